@@ -77,3 +77,46 @@ ORACLE_SQL["scd2_changes_composite"] = _islands(
 ORACLE_SQL["scd2_current"] = f"""
 SELECT * FROM ({ORACLE_SQL["scd2_changes"]}) WHERE __END_AT IS NULL
 """
+
+
+# Snapshots stacked with their version; islands break on a change of status or
+# when the customer is missing from the snapshot right before.
+_SNAPSHOTS = """
+cut AS (SELECT * FROM (VALUES (DATE '1997-01-01'), (DATE '1999-01-01'), (DATE '2001-01-01')) v(version)),
+gv AS (SELECT version, lag(version) OVER (ORDER BY version) AS prev_v,
+              lead(version) OVER (ORDER BY version) AS next_v FROM cut),
+snap AS (
+  SELECT o.*, c.version FROM orders o JOIN cut c
+    ON o.o_orderdate >= c.version - INTERVAL 200 DAY AND o.o_orderdate < c.version
+  QUALIFY row_number() OVER (PARTITION BY o.o_custkey, c.version
+                             ORDER BY o.o_orderdate DESC, o.o_orderkey DESC) = 1
+)"""
+
+ORACLE_SQL["scd2_snapshots"] = f"""
+WITH {_SNAPSHOTS},
+flag AS (
+  SELECT s.*, g.prev_v, g.next_v,
+         CASE WHEN (lag(s.version) OVER w) IS NULL
+                OR (lag(s.version) OVER w) IS DISTINCT FROM g.prev_v
+                OR s.o_orderstatus IS DISTINCT FROM (lag(s.o_orderstatus) OVER w) THEN 1 ELSE 0 END AS opens
+  FROM snap s JOIN gv g ON s.version = g.version
+  WINDOW w AS (PARTITION BY s.o_custkey ORDER BY s.version)
+),
+isl AS (SELECT *, sum(opens) OVER (PARTITION BY o_custkey ORDER BY version ROWS UNBOUNDED PRECEDING) AS island
+        FROM flag),
+ver AS (
+  SELECT *, min(version) OVER (PARTITION BY o_custkey, island) AS start_at FROM isl
+  QUALIFY row_number() OVER (PARTITION BY o_custkey, island ORDER BY version DESC) = 1
+)
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       start_at AS __START_AT, next_v AS __END_AT
+FROM ver
+"""
+
+ORACLE_SQL["scd2_snapshots_stacked"] = ORACLE_SQL["scd2_snapshots"]
+
+ORACLE_SQL["scd1_snapshots"] = f"""
+WITH {_SNAPSHOTS}
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+FROM snap WHERE version = (SELECT max(version) FROM cut)
+"""

@@ -8,11 +8,15 @@ formulations in ``plans.oracle``.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import cdc, dedup
+from pyspark.sql import functions as F
+
+from ..operators import cdc, dedup, snapshot
+from ..session import shared_dir
 from ..sources.tables import fixture
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -83,3 +87,66 @@ def scd2_changes_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("scd2_current")
 def scd2_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cdc.current_versions(scd2_changes(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- C3, C4
+
+# Fixed values of the snapshot recipe: snapshot dates and the look-back window.
+SNAPSHOT_CUTOFFS = [dt.date(1997, 1, 1), dt.date(1999, 1, 1), dt.date(2001, 1, 1)]
+SNAPSHOT_DAYS = 200
+
+
+def order_snapshot(orders: DataFrame, cutoff: dt.date) -> DataFrame:
+    """State at ``cutoff``: each customer's newest order of the preceding 200 days."""
+    c = F.lit(cutoff)
+    window = (F.col("o_orderdate") >= F.date_sub(c, SNAPSHOT_DAYS).cast("timestamp_ntz")) & (
+        F.col("o_orderdate") < c.cast("timestamp_ntz")
+    )
+    return dedup.latest_per_key(orders.filter(window), ["o_custkey"], ORDER_KEYS)
+
+
+def _snapshot_history(spark: SparkSession, sf_dir: str, scd_type: int) -> DataFrame:
+    orders = fixture(spark, sf_dir, "orders")
+    shared_dir(spark)
+    history = None
+    for i, cutoff in enumerate(SNAPSHOT_CUTOFFS):
+        history = snapshot.apply_snapshot(
+            history, order_snapshot(orders, cutoff), cutoff, ["o_custkey"], track=["o_orderstatus"], scd_type=scd_type
+        )
+        if i < len(SNAPSHOT_CUTOFFS) - 1 and scd_type == 2:
+            # The next diff reads this history twice (open and closed rows):
+            # materialize it in the shared checkpoint folder to cut lineage.
+            history = history.checkpoint(eager=True)
+    return history
+
+
+@register("scd2_snapshots")
+def scd2_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots applied one after another with the incremental diff."""
+    return _snapshot_history(spark, sf_dir, 2)
+
+
+@register("scd1_snapshots")
+def scd1_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _snapshot_history(spark, sf_dir, 1)
+
+
+@register("scd2_snapshots_stacked")
+def scd2_snapshots_stacked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All snapshots in one pass: every order lands in the snapshots whose window
+    contains it, the newest per (customer, snapshot) is kept, then islands."""
+    orders = fixture(spark, sf_dir, "orders")
+    cutoffs = F.array(*[F.lit(c) for c in SNAPSHOT_CUTOFFS])
+    member = F.filter(
+        cutoffs,
+        lambda c: (F.col("o_orderdate") >= F.date_sub(c, SNAPSHOT_DAYS).cast("timestamp_ntz"))
+        & (F.col("o_orderdate") < c.cast("timestamp_ntz")),
+    )
+    stacked = (
+        orders.withColumn("snapshot_version", F.explode(member))
+        .repartition("o_custkey")
+    )
+    newest = dedup.latest_per_key(stacked, ["o_custkey", "snapshot_version"], ORDER_KEYS)
+    return snapshot.scd2_from_snapshots(
+        newest, ["o_custkey"], "snapshot_version", track=["o_orderstatus"], versions=SNAPSHOT_CUTOFFS
+    )
