@@ -120,3 +120,26 @@ WITH {_SNAPSHOTS}
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
 FROM snap WHERE version = (SELECT max(version) FROM cut)
 """
+
+
+ORACLE_SQL["gold_flatten"] = """
+SELECT l_orderkey AS id_weatherstation, l_partkey AS id_weatherstationsensor,
+       CAST(l_shipdate AS DATE) AS observation_date,
+       l_quantity AS mean, l_discount AS min, l_tax AS max, l_extendedprice AS total
+FROM lineitem WHERE l_linestatus = 'F'
+"""
+
+ORACLE_SQL["gold_flatten_api"] = ORACLE_SQL["gold_flatten"]
+
+ORACLE_SQL["gold_sql_file"] = """
+SELECT c_custkey, c_name, c_mktsegment, c_acctbal FROM customer WHERE c_acctbal > 0
+"""
+
+ORACLE_SQL["gold_sql_file_agg"] = """
+SELECT s_nationkey, count(*) AS suppliers, round(sum(s_acctbal), 2) AS total_acctbal FROM supplier GROUP BY s_nationkey
+"""
+
+ORACLE_SQL["gold_project"] = f"""
+SELECT o_custkey, o_orderkey, o_orderstatus, o_orderdate
+FROM ({ORACLE_SQL["scd2_changes_composite"]}) WHERE __END_AT IS NULL
+"""
