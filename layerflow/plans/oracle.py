@@ -143,3 +143,37 @@ ORACLE_SQL["gold_project"] = f"""
 SELECT o_custkey, o_orderkey, o_orderstatus, o_orderdate
 FROM ({ORACLE_SQL["scd2_changes_composite"]}) WHERE __END_AT IS NULL
 """
+
+
+ORACLE_SQL["bronze_file_date"] = r"""
+WITH n AS (
+  SELECT event_id,
+         event_type || '_' || CASE WHEN event_id % 10 = 0 THEN strftime(ts, '%Y%m%d')
+                                   ELSE strftime(ts, '%Y%m%d_%H%M%S') END || '.json' AS file_name
+  FROM events
+)
+SELECT event_id, file_name,
+       try_strptime(regexp_extract(file_name, '_(\d{8})_\d{6}\.json$', 1), '%Y%m%d') AS file_date
+FROM n
+"""
+
+ORACLE_SQL["bronze_ingest"] = """
+SELECT event_id, ts, user_id, event_type, value, props, date_trunc('day', ts)::TIMESTAMP AS file_date FROM events
+"""
+
+ORACLE_SQL["bronze_decimal"] = """
+SELECT p_partkey, p_name, CAST(p_retailprice AS DECIMAL(38,2)) AS p_retailprice FROM part
+"""
+
+ORACLE_SQL["bronze_quarantine"] = """
+SELECT event_id, ts, user_id, event_type, value, props, NULL::VARCHAR AS _quarantine_reason FROM events
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'null_element' FROM events WHERE event_id % 10 = 0
+"""
+
+ORACLE_SQL["bronze_quarantine_native"] = """
+SELECT event_id, ts, user_id, event_type, value, props, NULL::VARCHAR AS _quarantine_reason
+FROM events WHERE event_id % 10 <> 0
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'corrupt_record' FROM events WHERE event_id % 10 = 0
+"""

@@ -11,13 +11,15 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
 from ..operators import cdc, dedup, nested, snapshot
 from . import gold
-from ..session import shared_dir
+from ..functions.lineage import file_date
+from ..session import scratch_path, shared_dir
+from ..sources import files, landing
 from ..sources.tables import fixture
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -255,3 +257,95 @@ def gold_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q4-Q6 shape: projection of the current versions of a silver table."""
     scd2_changes_composite(spark, sf_dir).createOrReplaceTempView("silver_orders")
     return gold.build_views(spark, CURRENT_ORDERS_SQL)["gold.orders_current"]
+
+
+# ---------------------------------------------------------------- S1-S3, S6, S10, P1, P2, B1-B4
+
+# Declared schemas in the control table's JSON form.
+EVENTS_SCHEMA = {
+    "type": "struct",
+    "fields": [
+        {"name": "event_id", "type": "bigint", "nullable": False},
+        {"name": "ts", "type": "timestamp", "nullable": True},
+        {"name": "user_id", "type": "bigint", "nullable": True},
+        {"name": "event_type", "type": "string", "nullable": True},
+        {"name": "value", "type": "double", "nullable": True},
+        {"name": "props", "type": "string", "nullable": True},
+    ],
+}
+PART_SCHEMA = {
+    "type": "struct",
+    "fields": [
+        {"name": "p_partkey", "type": "long", "nullable": False},
+        {"name": "p_name", "type": "string"},
+        {"name": "p_retailprice", "type": "decimal"},
+    ],
+}
+EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def _event_landing_time() -> Column:
+    """Events land once per day of their timestamp (folder landed_at=YYYYMMDD_000000)."""
+    return F.date_format(F.date_trunc("DAY", F.col("ts")), "yyyyMMdd_HHmmss")
+
+
+def land_events(spark: SparkSession, sf_dir: str, poison: Column | None = None) -> str:
+    """Write the events table as landed JSON-array files; returns the key folder."""
+    base = scratch_path(spark, "landing")
+    landing.land_json_arrays(fixture(spark, sf_dir, "events"), base, "events", _event_landing_time(), poison)
+    return f"{base}/key=events"
+
+
+def _events_out(df: DataFrame, *extra: str) -> DataFrame:
+    return df.select(*[F.col(c).cast("timestamp_ntz") if c == "ts" else F.col(c) for c in EVENT_COLUMNS], *extra)
+
+
+@register("bronze_file_date")
+def bronze_file_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 on landed-file names built from the events; every tenth name lacks the
+    time part and therefore has no date."""
+    ev = fixture(spark, sf_dir, "events")
+    stamp = F.when(F.col("event_id") % 10 == 0, F.date_format("ts", "yyyyMMdd")).otherwise(
+        F.date_format("ts", "yyyyMMdd_HHmmss")
+    )
+    name = F.concat(F.col("event_type"), F.lit("_"), stamp, F.lit(".json"))
+    return ev.select("event_id", name.alias("file_name")).withColumn("file_date", file_date(F.col("file_name")))
+
+
+@register("bronze_ingest")
+def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events landed as JSON arrays → incremental stream ingest → bronze parquet."""
+    source = land_events(spark, sf_dir)
+    bronze = scratch_path(spark, "bronze")
+    stream = files.read_landed(spark, source, EVENTS_SCHEMA, "json", stream=True)
+    files.write_bronze(stream, bronze, scratch_path(spark, "checkpoint"))
+    return _events_out(files.good_rows(spark.read.parquet(bronze)), "file_date")
+
+
+@register("bronze_decimal")
+def bronze_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bare ``decimal`` in a declared schema reads as decimal(38,2)."""
+    base = scratch_path(spark, "landing")
+    landing.land_json_arrays(
+        fixture(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice"),
+        base, "part", F.lit("20250115_000000"),
+    )
+    df = files.read_landed(spark, f"{base}/key=part", PART_SCHEMA, "json", stream=False)
+    return files.good_rows(df).select("p_partkey", "p_name", "p_retailprice")
+
+
+def _poisoned_events(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    source = land_events(spark, sf_dir, poison=F.col("event_id") % 10 == 0)
+    return files.read_landed(spark, source, EVENTS_SCHEMA, "json", stream=False, mode=mode)
+
+
+@register("bronze_quarantine")
+def bronze_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Salvage: every event survives; each ``null`` element is one quarantined row."""
+    return _events_out(_poisoned_events(spark, sf_dir, "salvage"), files.REASON)
+
+
+@register("bronze_quarantine_native")
+def bronze_quarantine_native(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Native reader: an array holding a ``null`` is one all-NULL corrupt row."""
+    return _events_out(_poisoned_events(spark, sf_dir, "native"), files.REASON)
