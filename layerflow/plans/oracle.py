@@ -177,3 +177,5 @@ FROM events WHERE event_id % 10 <> 0
 UNION ALL
 SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'corrupt_record' FROM events WHERE event_id % 10 = 0
 """
+
+ORACLE_SQL["scd2_stream"] = ORACLE_SQL["scd2_changes"]

@@ -20,6 +20,7 @@ from . import gold
 from ..functions.lineage import file_date
 from ..session import scratch_path, shared_dir
 from ..sources import files, landing
+from ..streaming import cdc_stream
 from ..sources.tables import fixture
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -349,3 +350,41 @@ def bronze_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_quarantine_native(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Native reader: an array holding a ``null`` is one all-NULL corrupt row."""
     return _events_out(_poisoned_events(spark, sf_dir, "native"), files.REASON)
+
+
+# ---------------------------------------------------------------- C7, S5, S7
+
+STREAM_APPENDS = 5
+STREAM_BUCKETS = 16
+BRONZE_FILES_PER_TRIGGER = 2
+SILVER_FILES_PER_TRIGGER = 32
+
+
+@register("scd2_stream")
+def scd2_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event feed arrives in five appends split by a hash of the event id (so
+    every append holds late and out-of-order rows); after the third and the fifth
+    append bronze ingest and the silver stream run, several micro-batches each."""
+    events = fixture(spark, sf_dir, "events")
+    base = scratch_path(spark, "landing")
+    bronze, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    ck_bronze, ck_silver = scratch_path(spark, "checkpoint"), scratch_path(spark, "checkpoint")
+    part = F.pmod(F.xxhash64("event_id"), F.lit(STREAM_APPENDS))
+    for rounds in ((0, 1, 2), (3, 4)):
+        for p in rounds:
+            landing.land_json_arrays(events.filter(part == p), base, "events", F.lit(f"2025010{p + 1}_000000"))
+        files.ingest(
+            spark, f"{base}/key=events", bronze, ck_bronze, EVENTS_SCHEMA, "json",
+            keys=["user_id"], buckets=STREAM_BUCKETS, max_files_per_trigger=BRONZE_FILES_PER_TRIGGER,
+        )
+        cdc_stream.apply_changes(
+            spark, bronze, silver, ck_silver, ["user_id"], "ts", buckets=STREAM_BUCKETS,
+            track=["event_type"], columns=["user_id", "ts", "event_type"],
+            max_files_per_trigger=SILVER_FILES_PER_TRIGGER,
+        )
+    out = cdc_stream.read_silver(spark, silver)
+    return out.select(
+        "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type",
+        F.col(cdc.START_AT).cast("timestamp_ntz").alias(cdc.START_AT),
+        F.col(cdc.END_AT).cast("timestamp_ntz").alias(cdc.END_AT),
+    )

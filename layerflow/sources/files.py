@@ -147,3 +147,33 @@ def write_bronze(
             raise q.exception()
         return None
     return q
+
+
+def ingest(
+    spark: SparkSession,
+    source_path: str,
+    target_path: str,
+    checkpoint: str,
+    schema,
+    file_format: str = "csv",
+    keys: list[str] | None = None,
+    buckets: int = 64,
+    mode: str = "native",
+    whole_file: bool = False,
+    max_files_per_trigger: int | None = None,
+    options: dict[str, str] | None = None,
+) -> None:
+    """S1 + S6: one ``availableNow`` run of the bronze stream for one source folder.
+
+    With ``keys`` (known from the silver row that reads this table) bronze is
+    partitioned by key bucket, so silver can recompute only touched buckets.
+    """
+    df = read_landed(
+        spark, source_path, schema, file_format, stream=True, mode=mode, whole_file=whole_file,
+        max_files_per_trigger=max_files_per_trigger, options=options,
+    )
+    part = None
+    if keys:
+        df = with_bucket(df, keys, buckets)
+        part = ["__bucket"]
+    write_bronze(df, target_path, checkpoint, partition_by=part)
