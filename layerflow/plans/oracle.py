@@ -179,3 +179,34 @@ SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'corrupt_record' FROM events WHERE ev
 """
 
 ORACLE_SQL["scd2_stream"] = ORACLE_SQL["scd2_changes"]
+
+
+ORACLE_SQL["payload_extract"] = """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k
+FROM events WHERE event_type IS DISTINCT FROM 'error'
+"""
+
+ORACLE_SQL["request_plan"] = """
+SELECT s_suppkey, 'readings' AS resource_key,
+       '/readings/summarized/station/' || CAST(s_suppkey AS VARCHAR) || '/year/2024?month=12' AS endpoint,
+       'https://api.example.test/meteo/readings/summarized/station/' || CAST(s_suppkey AS VARCHAR)
+         || '/year/2024?month=12' AS url
+FROM supplier
+"""
+
+ORACLE_SQL["child_concat"] = """
+SELECT conv_id, turn, role FROM conversations
+"""
+
+
+ORACLE_SQL["control_active"] = """
+SELECT 'suppliers_1' AS operation_name, 'api_' || s_name AS ingestion_name,
+       CASE s_suppkey % 4 WHEN 0 THEN 'api' WHEN 1 THEN 'bronze' WHEN 2 THEN 'silver' ELSE 'gold' END
+         AS operation_type,
+       'bronze.t' || CAST(s_suppkey AS VARCHAR) AS target_table,
+       '/landing/s' || CAST(s_suppkey AS VARCHAR) AS source_path,
+       'json' AS file_format, '2' AS scd_type
+FROM supplier WHERE s_nationkey % 3 = 1 AND s_acctbal > 0
+"""
+
+ORACLE_SQL["control_run"] = ORACLE_SQL["scd2_current"]

@@ -14,9 +14,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators import cdc, dedup, nested, snapshot
-from . import gold
+from . import control, gold
 from ..functions.lineage import file_date
 from ..session import scratch_path, shared_dir
 from ..sources import files, landing
@@ -388,3 +389,123 @@ def scd2_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col(cdc.START_AT).cast("timestamp_ntz").alias(cdc.START_AT),
         F.col(cdc.END_AT).cast("timestamp_ntz").alias(cdc.END_AT),
     )
+
+
+# ---------------------------------------------------------------- L1-L7
+
+@register("payload_extract")
+def payload_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses wrap each event's ``props`` in a list under ``stations``, except
+    error events, whose list sits under another key and so yields no row."""
+    ev = fixture(spark, sf_dir, "events")
+    list_key = F.when(F.col("event_type") == "error", F.lit("summarized")).otherwise(F.lit("stations"))
+    body = F.concat(F.lit('{"'), list_key, F.lit('": ['), F.col("props"), F.lit("]}"))
+    responses = ev.select("event_id", body.alias("body"))
+    return landing.extract_payload(responses, "body", "stations", StructType([StructField("k", LongType())]), ["event_id"])
+
+
+# Fixed values of the request recipe.
+REQUEST_TEMPLATE = "/readings/summarized/station/{idWeatherstation}/year/{year}"
+REQUEST_BASE_URL = "https://api.example.test/meteo"
+REQUEST_RUN_DATE = dt.date(2025, 1, 15)
+
+
+@register("request_plan")
+def request_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request per supplier for the month before the run date."""
+    return landing.fan_out_requests(
+        fixture(spark, sf_dir, "supplier"), "s_suppkey", REQUEST_TEMPLATE, REQUEST_BASE_URL, F.lit(REQUEST_RUN_DATE)
+    )
+
+
+@register("child_concat")
+def child_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation turn is one response: a list of two stations whose first
+    holds the turn as its sensor; the children of the first station are kept."""
+    conv = fixture(spark, sf_dir, "conversations")
+    child = F.struct(F.col("turn"), F.col("role"))
+    stations = F.array(
+        F.struct(F.array(child).alias("sensors")),
+        F.struct(F.array_remove(F.array(child), child).alias("sensors")),
+    )
+    return landing.first_element_children(conv.select("conv_id", stations.alias("response")), "response", "sensors", ["conv_id"])
+
+
+# ---------------------------------------------------------------- R1-R5, S4, S11
+
+def supplier_control_rows(supplier: DataFrame) -> DataFrame:
+    """A control table derived from the suppliers: one operation per supplier,
+    three pipelines by nation, type by key, active when the balance is positive."""
+    kinds = F.array(*[F.lit(k) for k in ("api", "bronze", "silver", "gold")])
+    params = F.to_json(F.struct(
+        F.concat(F.lit("bronze.t"), F.col("s_suppkey").cast("string")).alias("target_table"),
+        F.concat(F.lit("/landing/s"), F.col("s_suppkey").cast("string")).alias("source_path"),
+        F.lit("json").alias("file_format"),
+        F.struct(F.array(F.lit("id")).alias("keys"), F.lit("2").alias("scd_type")).alias("cdc_parameters"),
+    ))
+    return supplier.select(
+        F.concat(F.lit("suppliers_"), F.pmod("s_nationkey", F.lit(3)).cast("string")).alias("operation_name"),
+        F.concat(F.lit("api_"), F.col("s_name")).alias("ingestion_name"),
+        F.element_at(kinds, (F.pmod("s_suppkey", F.lit(4)) + 1).cast("int")).alias("operation_type"),
+        params.alias("parameters"),
+        (F.col("s_acctbal") > 0).alias("is_active"),
+        F.current_timestamp().alias("creation_date"),
+    )
+
+
+@register("control_active")
+def control_active(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Control table written (S11), read back (S4), filtered to one pipeline's
+    active rows (P7) and its JSON parameters parsed (P9)."""
+    path = scratch_path(spark, "control")
+    control.write_control(supplier_control_rows(fixture(spark, sf_dir, "supplier")), path, mode="overwrite")
+    ops = control.active_operations(spark.read.parquet(path), "suppliers_1")
+    return ops.select(
+        "operation_name", "ingestion_name", "operation_type",
+        F.col("params.target_table").alias("target_table"),
+        F.col("params.source_path").alias("source_path"),
+        F.col("params.file_format").alias("file_format"),
+        F.col("params.cdc_parameters.scd_type").alias("scd_type"),
+    )
+
+
+CONTROL_GOLD_SQL = """
+CREATE OR REFRESH MATERIALIZED VIEW gold.events_current as (
+SELECT user_id, ts, event_type, `__START_AT`, `__END_AT`
+FROM silver.events_cdc
+WHERE `__END_AT` IS NULL
+);
+"""
+
+
+@register("control_run")
+def control_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Control rows drive the whole flow on the events: landed JSON → bronze
+    (bucketed by the silver keys) → SCD2 silver tracking ``event_type`` → gold
+    view of the current versions. An inactive row and an ``api`` row are skipped."""
+    source = land_events(spark, sf_dir)
+    sql_path = scratch_path(spark, "sql")
+    spark.createDataFrame([(CONTROL_GOLD_SQL,)], "value string").coalesce(1).write.text(sql_path)
+    import json
+
+    rows = [
+        ("events_flow", "api_events", "api", json.dumps({"endpoint": "/events", "base_url": "https://api.example.test"}), True),
+        ("events_flow", "bronze_events", "bronze", json.dumps(
+            {"source_path": source, "file_format": "json", "target_table": "bronze.events", "schema": EVENTS_SCHEMA}), True),
+        ("events_flow", "events_cdc", "silver", json.dumps({
+            "source_table": "bronze.events", "target_table": "silver.events_cdc",
+            "cdc_parameters": {"cdc_type": "auto_cdc", "keys": ["user_id"], "sequence_by": "ts",
+                               "scd_type": "2", "track_history_column_list": ["event_type"]}}), True),
+        ("events_flow", "events_cdc_old", "silver", json.dumps({"source_table": "bronze.events"}), False),
+        ("events_flow", "gold_layer", "gold", json.dumps({"sql_file_path": sql_path}), True),
+    ]
+    ctl = spark.createDataFrame(rows, "operation_name string, ingestion_name string, operation_type string, "
+                                      "parameters string, is_active boolean").withColumn(
+        "creation_date", F.current_timestamp())
+    control.run_operations(spark, ctl, "events_flow", scratch_path(spark, "warehouse"), buckets=STREAM_BUCKETS)
+    out = spark.read.table("gold.events_current")
+    return out.select(
+        "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type",
+        F.col(cdc.START_AT).cast("timestamp_ntz").alias(cdc.START_AT),
+        F.col(cdc.END_AT).cast("timestamp_ntz").alias(cdc.END_AT),
+    )
