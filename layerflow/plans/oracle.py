@@ -210,3 +210,5 @@ FROM supplier WHERE s_nationkey % 3 = 1 AND s_acctbal > 0
 """
 
 ORACLE_SQL["control_run"] = ORACLE_SQL["scd2_current"]
+
+ORACLE_SQL["scd2_changes_segmented"] = ORACLE_SQL["scd2_changes"]

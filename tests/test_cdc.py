@@ -108,3 +108,31 @@ def test_first_and_latest_per_key(spark):
     assert rows_of(dedup.first_per_key(df, ["k"], [("o", "desc")]), "k", "x") == [(1, "c"), (2, "b")]
     with pytest.raises(ValueError):
         dedup.first_per_key(df, ["k"], [("o", "down")])
+
+
+@pytest.mark.parametrize("seed,bounds", [(4, [100.0, 500.0, 900.0]), (5, [float(b) for b in range(10, 1000, 25)]), (6, [])])
+def test_segmented_matches_brute_force(spark, seed, bounds):
+    from layerflow.operators.segmented import scd2_from_changes_segmented
+
+    rnd = random.Random(seed)
+    rows = []
+    for k in range(6):
+        n = 300 if k == 0 else rnd.randint(1, 30)  # key 0 is hot
+        for s in rnd.sample(range(1000), n):
+            rows.append((k if k != 3 else None, s, rnd.choice("AB" if k == 0 else "ABC"), rnd.random()))
+    df = spark.createDataFrame(rows, "k int, seq int, a string, v double")
+    got = rows_of(scd2_from_changes_segmented(df, ["k"], "seq", track=["a"], bounds=bounds),
+                  "k", "seq", "a", "v", "__START_AT", "__END_AT")
+    assert got == brute_scd2(rows, [2])
+
+
+def test_segmented_same_instant_and_long_island(spark):
+    from layerflow.operators.segmented import scd2_from_changes_segmented
+
+    # one version spanning every range, and ties on the first sequence column
+    rows = [(1, s, "A", s) for s in range(0, 100)] + [(1, 50, "B", -1), (1, 100, "B", 0)]
+    df = spark.createDataFrame(rows, "k int, seq int, a string, n int")
+    plain = rows_of(cdc.scd2_from_changes(df, ["k"], "seq", track=["a"]), "seq", "a", "n", "__START_AT", "__END_AT")
+    seg = rows_of(scd2_from_changes_segmented(df, ["k"], "seq", track=["a"], bounds=[10.0, 20.0, 50.0, 51.0, 99.0]),
+                  "seq", "a", "n", "__START_AT", "__END_AT")
+    assert seg == plain
