@@ -108,8 +108,17 @@ def scd2_from_changes(
     sequence_by: str | Sequence[str],
     track: Sequence[str] | None = None,
     track_except: Sequence[str] | None = None,
+    segments: int | None = None,
 ) -> DataFrame:
-    """C1 (+C5/C6): one row per version of every key."""
+    """C1 (+C5/C6): one row per version of every key.
+
+    ``segments`` switches to the hot-key plan (``operators.segmented``), which
+    spreads each key over that many sequence ranges; same result.
+    """
+    if segments and segments > 1:
+        from .segmented import scd2_from_changes_segmented
+
+        return scd2_from_changes_segmented(df, keys, sequence_by, track, track_except, segments=segments)
     keys, seq = _as_list(keys), _as_list(sequence_by)
     _check(df, keys, seq)
     tracked = tracked_columns(df, keys, seq, track, track_except)

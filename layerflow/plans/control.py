@@ -43,7 +43,7 @@ PARAMETERS_SCHEMA = (
     "sql_file_path string, base_url string, base_volume_path string, endpoint string, "
     "cdc_parameters struct<cdc_type string, keys array<string>, sequence_by string, scd_type string, "
     "stored_as_scd_type string, order_keys array<string>, track_history_column_list array<string>, "
-    "track_history_except_column_list array<string>>"
+    "track_history_except_column_list array<string>, segments int>"
 )
 
 
@@ -105,6 +105,7 @@ def silver_plan(params: dict) -> dict:
         "scd_type": scd_type_of(cdc),
         "track": list(cdc.get("track_history_column_list") or []),
         "track_except": list(cdc.get("track_history_except_column_list") or []),
+        "segments": cdc.get("segments"),
     }
     if cdc_type == "auto_cdc":
         seq = _need(cdc.get("sequence_by"), "SEQUENCE_BY")
@@ -180,7 +181,7 @@ def run_operations(
             cdc_stream.apply_changes(
                 spark, wh.path(source), wh.path(target), wh.checkpoint(target, "silver"), p["keys"],
                 p["sequence_by"], buckets=buckets, track=p["track"] or None, track_except=p["track_except"] or None,
-                scd_type=p["scd_type"],
+                scd_type=p["scd_type"], segments=p["segments"],
             )
             wh.register(target)
         else:

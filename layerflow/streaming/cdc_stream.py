@@ -43,8 +43,13 @@ def recompute_buckets(
     track_except: Sequence[str] | None = None,
     columns: Sequence[str] | None = None,
     scd_type: int = 2,
+    segments: int | None = None,
 ) -> DataFrame:
-    """History of the touched buckets, with the bucket column for partitioned writes."""
+    """History of the touched buckets, with the bucket column for partitioned writes.
+
+    ``segments`` uses the hot-key plan, so a key holding much of a bucket is
+    spread over that many tasks instead of one.
+    """
     keys = list(keys)
     if BUCKET in bronze.columns:
         rows = bronze.filter(F.col(BUCKET).isin(touched))
@@ -57,7 +62,7 @@ def recompute_buckets(
     if int(scd_type) == 1:
         hist = cdc.scd1_from_changes(rows, keys, sequence_by)
     else:
-        hist = cdc.scd2_from_changes(rows, keys, sequence_by, track=track, track_except=track_except)
+        hist = cdc.scd2_from_changes(rows, keys, sequence_by, track=track, track_except=track_except, segments=segments)
     return hist.withColumn(BUCKET, bucket_of(keys, buckets))
 
 
@@ -75,6 +80,7 @@ def apply_changes(
     scd_type: int = 2,
     max_files_per_trigger: int | None = None,
     wait: bool = True,
+    segments: int | None = None,
 ):
     """Run the silver stream over everything bronze holds now (``availableNow``)."""
     bronze_schema = spark.read.parquet(bronze_path).schema
@@ -95,7 +101,7 @@ def apply_changes(
             return
         history = recompute_buckets(
             session.read.parquet(bronze_path), touched, key_list, sequence_by, buckets,
-            track, track_except, columns, scd_type,
+            track, track_except, columns, scd_type, segments,
         )
         (
             history.write.mode("overwrite")

@@ -33,3 +33,15 @@ def test_late_rows_and_replay_equal_batch(spark, tmp_path):
     cdc_stream.apply_changes(spark, bronze, silver, str(tmp_path / "cks2"), ["user_id"], "ts", buckets=8,
                              track=["event_type"], columns=COLS, max_files_per_trigger=2)
     assert canon(cdc_stream.read_silver(spark, silver)) == expected
+
+
+def test_stream_with_segmented_plan(spark, tmp_path):
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    base, bronze, silver = str(tmp_path / "land"), str(tmp_path / "bronze"), str(tmp_path / "silver")
+    landing.land_json_arrays(events, base, "events", F.lit("20250101_000000"))
+    files.ingest(spark, f"{base}/key=events", bronze, str(tmp_path / "ckb"), EVENTS_SCHEMA, "json",
+                 keys=["user_id"], buckets=4)
+    cdc_stream.apply_changes(spark, bronze, silver, str(tmp_path / "cks"), ["user_id"], "ts", buckets=4,
+                             track=["event_type"], columns=COLS, segments=8)
+    expected = canon(cdc.scd2_from_changes(spark.read.parquet(bronze).select(*COLS), ["user_id"], "ts", track=["event_type"]))
+    assert canon(cdc_stream.read_silver(spark, silver)) == expected
