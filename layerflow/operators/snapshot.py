@@ -79,7 +79,6 @@ def apply_snapshot(
     open_rows = target.filter(F.col(END_AT).isNull()).select(*cols, START_AT).withColumn("__in_t", F.lit(True))
     closed = target.filter(F.col(END_AT).isNotNull()).select(*cols, START_AT, END_AT)
     snap = snapshot.select(*cols).withColumn("__in_s", F.lit(True))
-    j = open_rows.alias("t").join(snap.alias("s"), _null_safe_on(keys, "t", "s"), "full_outer")
 
     def side(alias: str) -> list[Column]:
         return [F.col(f"{alias}.{c}").alias(c) for c in cols]
@@ -97,7 +96,22 @@ def apply_snapshot(
         .when(in_t, F.array(closed_t))
         .otherwise(F.array(opened_s))
     )
-    changed = j.select(F.inline(rows))
+
+    def diff(t_rows: DataFrame, s_rows: DataFrame, on: Column) -> DataFrame:
+        return t_rows.alias("t").join(s_rows.alias("s"), on, "full_outer").select(F.inline(rows))
+
+    # Non-NULL keys join on plain equality, so a snapshot already hash-partitioned
+    # by its keys (as a per-key dedup leaves it) is not shuffled again; rows with
+    # a NULL key (one group) take a separate NULL-safe join.
+    equal_on = reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys])
+    has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    nullable = any(snapshot.schema[k].nullable or target.schema[k].nullable for k in keys)
+    if nullable:
+        changed = diff(open_rows.filter(~has_null), snap.filter(~has_null), equal_on).unionByName(
+            diff(open_rows.filter(has_null), snap.filter(has_null), _null_safe_on(keys, "t", "s"))
+        )
+    else:
+        changed = diff(open_rows, snap, equal_on)
     return closed.unionByName(changed)
 
 
