@@ -33,3 +33,27 @@ def op2_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .piece_codec import codec_digest
 
     return codec_digest(table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every text with the 49k word vocabulary."""
+    from .token_counts import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+
+
+@query
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases, notices and identifier expressions of every text."""
+    from .license_scan import license_scan
+
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and the learned decision list over every text."""
+    from .quality_rules import quality_rules
+
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
