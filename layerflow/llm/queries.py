@@ -57,3 +57,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_rules import quality_rules
 
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the mix takes every document: weights 3, 1, 2 over the sources, 150% of all words."""
+    from .mixing import takes
+
+    return takes(table(spark, sf_dir, "documents"))
