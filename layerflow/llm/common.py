@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -38,6 +41,29 @@ def id_and_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of all executors, once for each context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_layerflow_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="layerflow-code-"), "layerflow.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(archive)
+    sc._layerflow_shipped = True
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` with the package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def map_rows(df: DataFrame, rows: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
     """``mapInArrow`` with a function from a batch to columns (name → list or array)."""
 
@@ -47,7 +73,7 @@ def map_rows(df: DataFrame, rows: Callable[[pa.RecordBatch], dict], schema: str)
                 out = rows(batch)
                 yield pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def crc_mod(id_col: str, n: int):

@@ -65,3 +65,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import takes
 
     return takes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all texts and the components of those within 4 bits of each other."""
+    from .simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
