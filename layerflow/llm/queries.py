@@ -73,3 +73,37 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all texts inside 20-word windows that start earlier elsewhere, removed."""
+    from .substring_dedup import substring_digest
+
+    return substring_digest(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op10_substring_dedup"] = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), words AS (
+  SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS i FROM texts
+), windows AS (
+  SELECT doc_id, unnest(range(1, len(ws) - 18)) AS i,
+         unnest(list_transform(range(1, len(ws) - 18), lambda k: array_to_string(ws[k:k + 19], ' '))) AS win
+  FROM texts WHERE len(ws) >= 20
+), again AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) > 1 AS repeated FROM windows
+), covered AS (
+  SELECT words.doc_id, words.i, words.w,
+         max(coalesce(repeated, false)::int) OVER (
+           PARTITION BY words.doc_id ORDER BY words.i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+  FROM words LEFT JOIN again ON again.doc_id = words.doc_id AND again.i = words.i
+), per_doc AS (
+  SELECT doc_id, count(*) AS n, sum(gone) AS gone, string_agg(w, ' ' ORDER BY i) FILTER (gone = 0) AS kept
+  FROM covered GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_words, coalesce(gone, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN per_doc USING (doc_id)
+"""
