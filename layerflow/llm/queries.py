@@ -107,3 +107,19 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_words, coalesce(gone, 0)::BIGINT AS n
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM documents LEFT JOIN per_doc USING (doc_id)
 """
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, learned from the rows that are not held out."""
+    from .language_id import language_id
+
+    return language_id(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every text, learned from the labelled rows that are not held out."""
+    from .quality_gam import quality_scores
+
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
