@@ -58,7 +58,15 @@ def ship(spark: SparkSession) -> None:
     sc._layerflow_shipped = True
 
 
-def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``mapInArrow`` with the package at hand in the workers."""
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)

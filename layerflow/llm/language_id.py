@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WHITE, crc_mod, map_rows
+from .common import WHITE, crc_mod, map_batches, map_rows
 
 UNKNOWN = "und"
 MEMO_ENTRIES = 400_000
@@ -201,6 +201,23 @@ def predict(docs: DataFrame, learned: dict[str, str], *keep: str, text_col: str
     return map_rows(source, rows, f"{fields}{', ' if keep else ''}lang_pred string, score double")
 
 
+def recognised(docs: DataFrame, learned: dict[str, str], least_score: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text is in one of the learned languages: its predicted language is
+    not ``und`` and its score reaches ``least_score`` (equal costs in four languages score 0.25)."""
+    key = hashlib.sha256(repr(sorted(learned.items())).encode()).hexdigest()
+    broadcast = docs.sparkSession.sparkContext.broadcast(learned)  # bounded by words_per_language
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                own = _IDENTIFIERS.get(key) or identifier(key, broadcast.value)
+                found = [own.predict(text.as_py()) for text in batch.column(at)]
+                yield batch.filter(pa.array([lang != UNKNOWN and score >= least_score for lang, score in found]))
+
+    return map_batches(docs, run, docs.schema)
+
+
 def language_id(
     docs: DataFrame, words_per_language: int = 10_000, docs_per_language: int = 1_000, id_col: str = "doc_id",
     text_col: str = "text", lang_col: str = "lang",

@@ -21,7 +21,7 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -32,7 +32,7 @@ def op2_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every text with the 32k piece model and decode it again."""
     from .piece_codec import codec_digest
 
-    return codec_digest(table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
+    return codec_digest(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
 @query
@@ -40,7 +40,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every text with the 49k word vocabulary."""
     from .token_counts import token_counts
 
-    return token_counts(table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"))
+    return token_counts(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
 @query
@@ -123,3 +123,32 @@ def op8_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_gam import quality_scores
 
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings at cosine 0.95 or more."""
+    from .embedding_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE_SQL["op7_embedding_dedup"] = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM vectors a JOIN vectors b
+    ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95
+), reach AS (
+  SELECT vec_id AS x, vec_id AS y FROM embeddings
+  UNION
+  SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x
+), counts AS (
+  SELECT x AS vec_id, count(*) AS n FROM links GROUP BY x
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings LEFT JOIN counts USING (vec_id)
+JOIN (SELECT x AS vec_id, min(y) AS component_id FROM reach GROUP BY x) USING (vec_id)
+"""

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_bytes, map_batches, map_rows, written
+from .common import free_name, id_and_bytes, map_batches, map_rows, written
 from .components import component_labels
 
 SHINGLE_WORDS = 4
@@ -259,16 +259,50 @@ def links_in_cells(placed: DataFrame, distance: int) -> DataFrame:
     return map_batches(placed.repartition("cell").sortWithinPartitions("cell"), run, "a long, b long")
 
 
+def _per_fingerprint(found: DataFrame, distance: int) -> DataFrame:
+    """(fp, label): the component of every fingerprint, by its smallest fingerprint."""
+    classes = found.select("fp").distinct()
+    labels = component_labels(links_in_cells(replicas(classes, distance), distance))
+    return classes.join(labels, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("label", "fp").alias("label"))
+
+
 def near_duplicates(
     docs: DataFrame, distance: int = 4, shingle: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """doc_id, fingerprint, component_id for every row of ``docs``."""
     found = written(fingerprints(docs, shingle, SEED, id_col, text_col), "simhash-fingerprints")
-    classes = found.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    labels = component_labels(links_in_cells(replicas(classes.select("fp"), distance), distance))
-    joined = classes.join(labels, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least", F.coalesce("label", "fp").alias("label"))
-    least = joined.groupBy("label").agg(F.min("least").alias("component_id"))
-    per_fp = joined.join(least, "label").select("fp", "component_id")
+    labels = written(_per_fingerprint(found, distance), "simhash-labels")
+    own = found.groupBy("fp").agg(F.min("doc_id").alias("least")).join(labels, "fp")
+    least = own.groupBy("label").agg(F.min("least").alias("component_id"))
+    per_fp = labels.join(least, "label").select("fp", "component_id")
     return found.join(per_fp, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(
+    docs: DataFrame, distance: int = 4, shingle: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs``, all columns, of which one of each component stays: that of the smallest id (null last),
+    among rows of one id that of the smallest hash of its text, and of equal rows any one."""
+    text_hash = F.xxhash64(F.col(text_col).cast("string"))
+    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), text_hash.alias("th"))
+
+    def rows(batch: pa.RecordBatch) -> dict:
+        found = [fingerprint(text or b"", shingle, SEED) for text in batch.column("text").to_pylist()]
+        return {"doc_id": batch.column("doc_id"), "th": batch.column("th"), "fp": pa.array(np.array(found, np.uint64).view(np.int64))}
+
+    found = written(map_rows(
+        keyed.withColumn("text", F.col("text").cast("binary")), rows, "doc_id long, th long, fp long"), "simhash-fingerprints")
+    first = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "th")
+    kept = found.groupBy("fp").agg(F.min(first).alias("first")).join(_per_fingerprint(found, distance), "fp").groupBy("label").agg(
+        F.min("first").alias("first"))
+    kept = written(kept.select("first.doc_id", "first.th"), "simhash-kept")
+    own_id, own_hash = free_name(docs, "own_id"), free_name(docs, "own_hash")
+    keys = kept.select(F.coalesce("doc_id", F.lit(-1)).alias(own_id), F.struct(F.col("doc_id").isNull(), "th").alias(own_hash))
+    tagged = docs.withColumn(own_id, F.coalesce(F.col(id_col).cast("long"), F.lit(-1))).withColumn(
+        own_hash, F.struct(F.col(id_col).isNull(), text_hash))
+    out = tagged.join(keys, [own_id, own_hash], "left_semi")
+    repeated = found.groupBy("doc_id", "th").count().filter("count > 1")
+    if not repeated.isEmpty():  # equal rows have all passed; the first is aggregated before the shuffle
+        out = out.dropDuplicates([own_id, own_hash])
+    return out.drop(own_id, own_hash)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, map_rows, written
+from .common import free_name, map_batches, map_rows, written
 
 LENGTH = 20
 SEED_WORDS = 8
@@ -335,3 +335,43 @@ def substring_digest(
         }
 
     return map_rows(joined, rows, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+
+
+def without_repeats(
+    docs: DataFrame, length: int = LENGTH, k: int = SEED_WORDS, id_col: str = "doc_id", text_col: str = "text",
+    chars_col: str | None = None,
+) -> DataFrame:
+    """The rows of ``docs``, all columns. Texts that lose words are their kept words, joined by a space, and
+    ``chars_col``, if named, their new length; documents that lose all words go; all others stay as they are."""
+    d, t, packs = (free_name(docs, c) for c in ("own_d", "own_t", "own_packs"))
+    body = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
+    tagged = docs.withColumn(d, F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST_ID))).withColumn(
+        t, F.shiftrightunsigned(F.xxhash64(body), 37))
+    found = repeats(identified(docs, id_col, text_col), length, k).toDF(d, t, packs)
+    joined = tagged.join(found, [d, t], "left").select(*[F.col(f"`{c}`") for c in docs.columns], packs)
+    names = docs.columns
+    text_at, chars_at = names.index(text_col), names.index(chars_col) if chars_col else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = list(batch.columns[:-1])
+            own = batch.column(len(names))
+            touched = np.flatnonzero(own.is_valid().to_numpy(zero_copy_only=False))
+            if len(touched):
+                texts = columns[text_at].to_pylist()
+                chars = columns[chars_at].to_pylist() if chars_col else []
+                stays = np.ones(batch.num_rows, bool)
+                for i in touched.tolist():
+                    kept, _ = _kept(texts[i].encode(), _packs(own[i]), length)
+                    texts[i] = b" ".join(kept).decode()
+                    stays[i] = bool(kept)
+                    if chars_col:
+                        chars[i] = len(texts[i])
+                columns[text_at] = pa.array(texts, columns[text_at].type)
+                if chars_col:
+                    columns[chars_at] = pa.array(chars, columns[chars_at].type)
+                yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(stays))
+            elif batch.num_rows:
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return map_batches(joined, run, docs.schema)
