@@ -1,35 +1,139 @@
 """Gold views declared in a SQL file.
 
-A file holds statements of the form::
-
-    CREATE OR REFRESH MATERIALIZED VIEW name AS ( <select> );
-
-(case-insensitive; the body ends at the first ``);``; other statements are
-ignored). Each body runs through ``spark.sql`` unchanged, so every Spark SQL
-operator is available inside it. Views are built in file order and each is
-registered as a temporary view under the last part of its name, so later views
-can read earlier ones.
+A file may hold statements ``CREATE OR REFRESH MATERIALIZED VIEW name AS ( select );`` in any letter case; other
+statements are passed over. A small scanner cuts the text into words, quoted texts, comments, parentheses and
+semicolons, so that these can stand inside a body. Each body runs through ``spark.sql``; every Spark SQL
+operator is available in it.
+
+Names may have one to three parts. The session catalog knows two at most, so a name of three parts behind FROM
+or JOIN loses its first part (the catalog), and a name of a view built earlier is read from that view, whichever
+way it is spelled. Views are built in file order.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-_VIEW = re.compile(
-    r"CREATE\s+OR\s+REFRESH\s+MATERIALIZED\s+VIEW\s+(\S+)\s+AS\s+\((.*?)\);",
-    re.IGNORECASE | re.DOTALL,
+from ..storage import replace_folder
+
+_PIECE = re.compile(
+    r"""(?P<comment>--[^\n]*|/\*(?:.|\n)*?\*/)|(?P<text>'(?:\\.|''|[^'\\])*'|"(?:\\.|""|[^"\\])*")"""
+    r"""|(?P<name>(?:`(?:``|[^`])*`|\w+)(?:\s*\.\s*(?:`(?:``|[^`])*`|[A-Za-z_]\w*))*)|(?P<mark>[();])|(?P<other>\s+|.)""",
+    re.DOTALL,
 )
+_HEADER = ("create", "or", "refresh", "materialized", "view")
+
+
+@dataclass(frozen=True)
+class Piece:
+    kind: str
+    text: str
+
+    @property
+    def word(self) -> str:
+        return self.text.lower() if self.kind == "name" else self.text
+
+
+def pieces(sql_text: str) -> list[Piece]:
+    return [Piece(m.lastgroup, m.group()) for m in _PIECE.finditer(sql_text)]
+
+
+def statements(sql_text: str) -> Iterator[list[Piece]]:
+    """The pieces of each statement; a semicolon between parentheses ends none."""
+    own: list[Piece] = []
+    depth = 0
+    for p in pieces(sql_text):
+        if p.kind == "mark":
+            depth = max(0, depth + {"(": 1, ")": -1, ";": 0}[p.text])
+            if p.text == ";" and not depth:
+                yield own
+                own = []
+                continue
+        own.append(p)
+    yield own
+
+
+def name_parts(name: str) -> tuple[str, ...]:
+    """The parts of a name, without quotes."""
+    found = re.findall(r"`((?:``|[^`])*)`|(\w+)", name)
+    return tuple(quoted.replace("``", "`") or plain for quoted, plain in found)
+
+
+def _solid(own: list[Piece]) -> list[Piece]:
+    return [p for p in own if p.kind != "comment" and p.text.strip()]
 
 
 def view_statements(sql_text: str) -> list[tuple[str, str]]:
-    """(name, select body) of every materialized-view statement, in file order."""
-    return [(name, body.strip()) for name, body in _VIEW.findall(sql_text)]
+    """(name, body) of every materialized-view statement, in file order."""
+    found = []
+    for own in statements(sql_text):
+        solid = _solid(own)
+        words = tuple(p.word for p in solid[:len(_HEADER)])
+        if words != _HEADER or len(solid) < len(_HEADER) + 4:
+            continue
+        name, keyword, opening = solid[len(_HEADER):len(_HEADER) + 3]
+        if name.kind != "name" or keyword.word != "as" or opening.text != "(" or solid[-1].text != ")":
+            continue
+        start, end = own.index(opening), len(own) - 1 - own[::-1].index(solid[-1])
+        found.append((name.text, "".join(p.text for p in own[start + 1:end]).strip()))
+    return found
+
+
+def _tail_matches(known: tuple[str, ...], asked: tuple[str, ...]) -> bool:
+    n = min(len(known), len(asked))
+    return [x.lower() for x in known[-n:]] == [x.lower() for x in asked[-n:]]
+
+
+def on_session_names(body: str, built: dict[tuple[str, ...], str]) -> str:
+    """The body with the tables behind FROM and JOIN under names that the session knows: views built earlier
+    (``built``: parts → temporary view) and two-part names of the catalog."""
+    out, reading = [], False
+    for p in pieces(body):
+        text = p.text
+        if p.kind == "name":
+            if reading:
+                parts = name_parts(text)
+                exact = [v for known, v in built.items() if [x.lower() for x in known] == [x.lower() for x in parts]]
+                alike = exact or [v for known, v in built.items() if _tail_matches(known, parts)]
+                if len(alike) == 1:
+                    text = f"`{alike[0]}`"
+                elif len(parts) == 3:
+                    text = ".".join(f"`{x}`" for x in parts[1:])
+            reading = p.word in ("from", "join")
+        elif p.kind == "mark" or (p.kind == "other" and text.strip()):
+            reading = False
+        out.append(text)
+    return "".join(out)
 
 
 def short_name(name: str) -> str:
-    return name.split(".")[-1].strip("`")
+    return name_parts(name)[-1]
+
+
+def table_name(name: str) -> str:
+    """Two-part name of a view's stored table: its last two parts, or ``gold`` and its only part."""
+    parts = name_parts(name)
+    return ".".join(parts[-2:]) if len(parts) > 1 else f"gold.{parts[0]}"
+
+
+def _session_view(name: str) -> str:
+    """A temporary view of its own for every full name."""
+    parts = name_parts(name)
+    return f"{parts[-1]}__{hashlib.md5('.'.join(parts).lower().encode()).hexdigest()[:8]}"
+
+
+def _publish(df: DataFrame, name: str, all_names: list[str]) -> str:
+    """Register a view under its own session name, and under its last part if no other view ends in it."""
+    view = _session_view(name)
+    df.createOrReplaceTempView(view)
+    if sum(short_name(n).lower() == short_name(name).lower() for n in all_names) == 1:
+        df.createOrReplaceTempView(short_name(name))
+    return view
 
 
 def build_views(spark: SparkSession, sql_text: str) -> dict[str, DataFrame]:
@@ -37,30 +141,38 @@ def build_views(spark: SparkSession, sql_text: str) -> dict[str, DataFrame]:
 
     Parse and analysis errors surface here, before anything is written.
     """
+    found = view_statements(sql_text)
     views: dict[str, DataFrame] = {}
-    for name, body in view_statements(sql_text):
-        df = spark.sql(body)
-        df.createOrReplaceTempView(short_name(name))
-        views[name] = df
+    built: dict[tuple[str, ...], str] = {}
+    for name, body in found:
+        views[name] = spark.sql(on_session_names(body, built))
+        built[name_parts(name)] = _publish(views[name], name, [n for n, _ in found])
     return views
 
 
 def materialize_views(spark: SparkSession, sql_text: str, location: str) -> dict[str, str]:
-    """Build every view and overwrite its parquet folder below ``location``.
+    """Build every view and replace its parquet folder below ``location`` (one for each full name).
 
-    Returns view name → folder. Each view is re-pointed at its stored copy so a
-    later view reads the stored rows instead of recomputing them.
+    Returns view name → folder. The new rows are written beside the old folder and then take its place, so a failed
+    job leaves the old table. Later views read the stored rows.
     """
+    found = view_statements(sql_text)
     written: dict[str, str] = {}
-    for name, body in view_statements(sql_text):
-        path = f"{location.rstrip('/')}/{short_name(name)}"
-        spark.sql(body).write.mode("overwrite").parquet(path)
-        spark.read.parquet(path).createOrReplaceTempView(short_name(name))
+    built: dict[tuple[str, ...], str] = {}
+    for name, body in found:
+        path = "/".join([location.rstrip("/"), *name_parts(name)])
+        replace_folder(spark, spark.sql(on_session_names(body, built)), path)
+        built[name_parts(name)] = _publish(spark.read.parquet(path), name, [n for n, _ in found])
         written[name] = path
     return written
 
 
-def read_sql_file(spark: SparkSession, path: str) -> str:
-    """The text of a SQL file on any Spark-readable storage (one small file)."""
+def read_sql_file(spark: SparkSession, path: str, most_bytes: int = 16 << 20) -> str:
+    """The text of a SQL file on any Spark-readable storage. A file of statements is small: more than
+    ``most_bytes`` below ``path`` is refused before anything is read."""
+    files = spark.read.format("binaryFile").load(path).select("path", "length")
+    size = files.agg({"length": "sum"}).first()[0] or 0
+    if size > most_bytes:
+        raise ValueError(f"{path}: {size} bytes are no SQL file")
     rows = spark.read.option("wholetext", "true").text(path).collect()
     return "\n".join(r.value for r in rows)

@@ -37,13 +37,18 @@ def test_view_statements():
       SELECT 1 AS one
     );
     CREATE OR REFRESH MATERIALIZED VIEW second as (SELECT (2) AS two);
-    CREATE OR REFRESH MATERIALIZED VIEW third as (SELECT max(x) FROM (SELECT 3 AS x); SELECT 4);
+    CREATE OR REFRESH /* why */ MATERIALIZED VIEW third as (
+      SELECT max(x) AS m, ');' AS t -- not the end: );
+      FROM (SELECT 3 AS x)
+    );
     CREATE VIEW ignored AS SELECT 3;
+    CREATE OR REFRESH MATERIALIZED VIEW `a;b`.`c` AS (SELECT ");" AS q);
     """
     stmts = gold.view_statements(text)
-    assert [n for n, _ in stmts] == ["a.b.first", "second", "third"]
+    assert [n for n, _ in stmts] == ["a.b.first", "second", "third", "`a;b`.`c`"]
     assert stmts[1][1] == "SELECT (2) AS two"
-    assert stmts[2][1] == "SELECT max(x) FROM (SELECT 3 AS x"  # the body ends at the first ");"
+    assert stmts[2][1].startswith("SELECT max(x) AS m, ');' AS t") and stmts[2][1].endswith("FROM (SELECT 3 AS x)")
+    assert stmts[3][1] == 'SELECT ");" AS q'
     assert gold.view_statements("nothing here") == []
 
 
@@ -68,3 +73,20 @@ def test_daily_readings_filters_validated(spark):
                  (11, [])])]
     out = nested.daily_readings(spark.createDataFrame(rows, schema)).collect()
     assert [(r.id_weatherstationsensor, r.observation_date, r.mean) for r in out] == [(10, dt.date(2025, 1, 1), 1.0)]
+
+
+def test_three_part_names_and_equal_last_parts(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS goldnames")
+    spark.range(3).selectExpr("id", "named_struct('b', named_struct('c', id)) as a").write.mode("overwrite").saveAsTable("goldnames.src")
+    text = """CREATE OR REFRESH MATERIALIZED VIEW cat.gold.x AS (SELECT t.id, t.a.b.c AS c FROM cat.goldnames.src t WHERE id > 0);
+              CREATE OR REFRESH MATERIALIZED VIEW cat.other.x AS (SELECT max(id) AS m FROM cat.gold.x);
+              CREATE OR REFRESH MATERIALIZED VIEW y AS (SELECT m FROM other.x JOIN (SELECT 1 AS one) ON true);"""
+    views = gold.build_views(spark, text)
+    assert sorted(r.c for r in views["cat.gold.x"].collect()) == [1, 2]
+    assert views["y"].first().m == 2
+    stored = gold.materialize_views(spark, text, str(tmp_path))
+    assert len(set(stored.values())) == 3
+    assert spark.read.parquet(stored["cat.other.x"]).first().m == 2
+    assert spark.read.parquet(stored["cat.gold.x"]).count() == 2
+    assert gold.materialize_views(spark, text, str(tmp_path)) == stored  # a refresh takes the place of what was there
+    spark.sql("DROP TABLE goldnames.src")
