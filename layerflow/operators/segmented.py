@@ -14,8 +14,11 @@ When one key may hold a large share of the feed, this plan spreads it out:
 4. Window over the boundary rows of each key (B rows for a hot key): whether a
    range's first row opens a version, the start of the version still open
    when the range begins, and the next range's first row.
-5. Boundary info joined back on (key, range) — the big side keeps its
-   partitioning; only boundary rows move.
+5. Boundary info joined back on (key, range) to the stored result of step 2.
+
+The feed is scanned and shuffled once (steps 2 and 3 read the stored local
+result); the join of step 5 moves it again unless the boundary rows are few
+enough for Spark to broadcast them.
 
 Same result as the plain plan (tests compare both with brute force).
 """
@@ -28,12 +31,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
+from ..session import scratch_path
 from .cdc import END_AT, START_AT, _as_list, _check, _with_sequence, tracked_columns
 from .ordering import tie_break_columns
 
 SEG = "__seg"
 KID = "__kid"
-MAX_BOUNDS = 1023
 
 
 def _numeric(df: DataFrame, name: str) -> Column:
@@ -43,7 +46,11 @@ def _numeric(df: DataFrame, name: str) -> Column:
     if isinstance(t, TimestampType):
         return F.unix_micros(c).cast("double")
     if isinstance(t, TimestampNTZType):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
+        # From the fields of the wall clock: a cast to timestamp would go through the session time zone, which
+        # repeats an hour at a clock change.
+        day = F.unix_date(c.cast("date")).cast("double")
+        second = F.extract(F.lit("SECOND"), c).cast("double")
+        return day * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + second
     if isinstance(t, DateType):
         return F.unix_date(c).cast("double")
     if isinstance(t, NumericType):
@@ -61,6 +68,23 @@ def range_bounds(df: DataFrame, seq0: str, segments: int, rel_error: float = 0.0
     return sorted(set(bounds))
 
 
+def _range_of(value: Column, bounds: Sequence[float]) -> Column:
+    """How many of the sorted bounds are <= the value, by bisection over one array."""
+    if not bounds:
+        return F.lit(0)
+    array = F.array(*[F.lit(float(b)) for b in bounds])
+    steps = F.sequence(F.lit(1), F.lit(len(bounds).bit_length()))
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
+
+    def step(s: Column, _: Column) -> Column:
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        at_or_below = F.coalesce(F.get(array, mid) <= value, F.lit(False)) & (s["lo"] < s["hi"])
+        return F.struct(
+            F.when(at_or_below, mid + 1).otherwise(s["lo"]).alias("lo"), F.when(at_or_below, s["hi"]).otherwise(mid).alias("hi"))
+
+    return F.aggregate(steps, start, step, lambda s: s["lo"])
+
+
 def scd2_from_changes_segmented(
     df: DataFrame,
     keys: Sequence[str],
@@ -80,18 +104,10 @@ def scd2_from_changes_segmented(
     src = _with_sequence(df, seq)
     if bounds is None:
         bounds = range_bounds(src, seq[0], segments)
-    if len(bounds) > MAX_BOUNDS:
-        raise ValueError(f"at most {MAX_BOUNDS} range bounds are supported, got {len(bounds)}")
 
     def build_local() -> DataFrame:
-        """Per-range window pass. Built once per use so the self-join has two
-        independent plans (Spark still reuses the shared shuffle)."""
-        base = _with_sequence(df, seq)
-        num = _numeric(base, seq[0])
-        seg = F.lit(0)
-        for b in bounds:  # index of the range: how many bounds are <= the value
-            seg = seg + F.when(num >= F.lit(float(b)), 1).otherwise(0)
-        rows = base.withColumn(KID, F.struct(*[F.col(k) for k in keys])).withColumn(SEG, seg.cast("int"))
+        """Per-range window pass: the one full shuffle."""
+        rows = src.withColumn(KID, F.struct(*[F.col(k) for k in keys])).withColumn(SEG, _range_of(_numeric(src, seq[0]), bounds))
         out = (
             rows.withColumn("__next", F.lead(s0).over(wl))
             .filter(F.col("__next").isNull() | (F.col("__next") != s0))
@@ -108,10 +124,14 @@ def scd2_from_changes_segmented(
     wl = Window.partitionBy(KID, SEG).orderBy(*[F.col(c).asc_nulls_first() for c in (*seq, *rest)])
     running = wl.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     trk = F.struct(*[F.col(c) for c in tracked]) if tracked else F.struct(F.lit(0))
-    local = build_local()
+    # Stored once: the boundary rows and the final join read it, so the feed is scanned and shuffled once.
+    spark = df.sparkSession
+    path = scratch_path(spark, "segmented")
+    build_local().write.parquet(path)
+    local = spark.read.parquet(path)
 
     rn = F.col("__rn")
-    edges = build_local().groupBy(KID, SEG).agg(
+    edges = local.groupBy(KID, SEG).agg(
         F.min_by(s0, rn).alias("__e_f_s0"),
         F.min_by("__trk", rn).alias("__e_f_trk"),
         F.max_by("__trk", rn).alias("__e_l_trk"),

@@ -14,7 +14,8 @@ Two forms compute the same table:
 
 ``apply_snapshot``  incremental: open versions FULL OUTER JOIN the new snapshot
                     on the keys (NULL-safe). One shuffle of open rows + snapshot;
-                    closed history passes through untouched.
+                    closed history passes through untouched (``diff_snapshot``
+                    returns the changed part alone, for a store that only adds).
 ``scd2_from_snapshots``  batch over all snapshots stacked with a version
                     column: one window per key; a gap between the key's
                     previous version and the previous snapshot breaks the island.
@@ -74,18 +75,36 @@ def apply_snapshot(
         last = last_applied_version(target)
         if last is not None and version <= last:
             return target
-    vtype = target.schema[START_AT].dataType
-    v = v.cast(vtype)
-    open_rows = target.filter(F.col(END_AT).isNull()).select(*cols, START_AT).withColumn("__in_t", F.lit(True))
     closed = target.filter(F.col(END_AT).isNotNull()).select(*cols, START_AT, END_AT)
-    snap = snapshot.select(*cols).withColumn("__in_s", F.lit(True))
+    open_rows = target.filter(F.col(END_AT).isNull())
+    return closed.unionByName(diff_snapshot(open_rows, snapshot, version, keys, track, track_except))
+
+
+def diff_snapshot(
+    open_rows: DataFrame,
+    snapshot: DataFrame,
+    version: Any,
+    keys: Sequence[str],
+    track: Sequence[str] | None = None,
+    track_except: Sequence[str] | None = None,
+) -> DataFrame:
+    """The open versions after ``snapshot`` (``__END_AT`` NULL) and those that it
+    closes, in one pass over both inputs. Keys that may be NULL join NULL-safe."""
+    keys = _as_list(keys)
+    check_columns(snapshot, keys, "keys")
+    cols = snapshot.columns
+    tracked = tracked_columns(snapshot, keys, [], track, track_except)
+    vtype = open_rows.schema[START_AT].dataType
+    v = F.lit(version).cast(vtype)
+    t_rows = open_rows.select(*cols, START_AT).withColumn("__in_t", F.lit(True))
+    s_rows = snapshot.select(*cols).withColumn("__in_s", F.lit(True))
 
     def side(alias: str) -> list[Column]:
         return [F.col(f"{alias}.{c}").alias(c) for c in cols]
 
     in_t = F.col("t.__in_t").isNotNull()
     in_s = F.col("s.__in_s").isNotNull()
-    same = F.struct(*[F.col(f"t.{c}") for c in tracked]).eqNullSafe(F.struct(*[F.col(f"s.{c}") for c in tracked]))
+    same = F.struct(*[F.col(f"t.{c}") for c in tracked]).eqNullSafe(F.struct(*[F.col(f"s.{c}") for c in tracked])) if tracked else F.lit(True)
     null_end = F.lit(None).cast(vtype)
     kept = F.struct(*side("s"), F.col(f"t.{START_AT}").alias(START_AT), null_end.alias(END_AT))
     closed_t = F.struct(*side("t"), F.col(f"t.{START_AT}").alias(START_AT), v.alias(END_AT))
@@ -96,62 +115,25 @@ def apply_snapshot(
         .when(in_t, F.array(closed_t))
         .otherwise(F.array(opened_s))
     )
+    # Plain equality keeps the partitioning that a per-key dedup leaves; it serves where no key can be NULL.
+    nullable = any(snapshot.schema[k].nullable or open_rows.schema[k].nullable for k in keys)
+    on = _null_safe_on(keys, "t", "s") if nullable else reduce(
+        lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys])
+    return t_rows.alias("t").join(s_rows.alias("s"), on, "full_outer").select(F.inline(rows))
 
-    def diff(t_rows: DataFrame, s_rows: DataFrame, on: Column) -> DataFrame:
-        return t_rows.alias("t").join(s_rows.alias("s"), on, "full_outer").select(F.inline(rows))
-
-    # Non-NULL keys join on plain equality, so a snapshot already hash-partitioned
-    # by its keys (as a per-key dedup leaves it) is not shuffled again; rows with
-    # a NULL key (one group) take a separate NULL-safe join.
-    equal_on = reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys])
-    has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    nullable = any(snapshot.schema[k].nullable or target.schema[k].nullable for k in keys)
-    if nullable:
-        changed = diff(open_rows.filter(~has_null), snap.filter(~has_null), equal_on).unionByName(
-            diff(open_rows.filter(has_null), snap.filter(has_null), _null_safe_on(keys, "t", "s"))
-        )
-    else:
-        changed = diff(open_rows, snap, equal_on)
-    return closed.unionByName(changed)
-
-
-def scd1_from_snapshot(snapshot: DataFrame) -> DataFrame:
-    """C4: a type 1 table is the newest snapshot itself (absent keys are deleted)."""
-    return snapshot
 
-
-# Snapshot versions are inlined into the plan as a literal map up to this many;
-# beyond it the (version, previous, next) table is joined instead.
-MAX_INLINE_VERSIONS = 10_000
-
-
-def _neighbours(stacked: DataFrame, version_col: str, versions: Sequence[Any] | None) -> tuple[DataFrame, Column, Column]:
-    """Previous and next snapshot version of every row's version."""
+def _neighbours(stacked: DataFrame, version_col: str, versions: Sequence[Any] | None) -> DataFrame:
+    """``stacked`` with the previous and next snapshot version of every row's version. The window runs over the
+    distinct versions (one row for each snapshot ever taken); rows without a version are not applied."""
     if versions is None:
-        found = (
-            stacked.select(version_col).distinct().orderBy(version_col)
-            .limit(MAX_INLINE_VERSIONS + 1).collect()
-        )
-        versions = [r[0] for r in found]
+        known = stacked.select(version_col).distinct().filter(F.col(version_col).isNotNull())
     else:
-        versions = sorted(set(versions))
-    if len(versions) <= MAX_INLINE_VERSIONS:
-        if not versions:
-            return stacked, F.lit(None), F.lit(None)
-        keys_arr = F.array(*[F.lit(x) for x in versions])
-        prev_map = F.map_from_arrays(keys_arr, F.array(F.lit(None).cast(stacked.schema[version_col].dataType),
-                                                       *[F.lit(x) for x in versions[:-1]]))
-        next_map = F.map_from_arrays(keys_arr, F.array(*[F.lit(x) for x in versions[1:]],
-                                                       F.lit(None).cast(stacked.schema[version_col].dataType)))
-        ver = F.col(version_col)
-        return stacked, F.element_at(prev_map, ver), F.element_at(next_map, ver)
-    gw = Window.orderBy(version_col)
-    table = (
-        stacked.select(version_col).distinct()
-        .withColumn("__prev_v", F.lag(version_col).over(gw))
-        .withColumn("__next_v", F.lead(version_col).over(gw))
-    )
-    return stacked.join(table, version_col), F.col("__prev_v"), F.col("__next_v")
+        kind = stacked.schema[version_col].dataType.simpleString()
+        known = stacked.sparkSession.createDataFrame([(v,) for v in sorted(set(versions))], f"`{version_col}` {kind}")
+    in_order = Window.orderBy(version_col)
+    table = known.withColumn("__prev_v", F.lag(version_col).over(in_order)).withColumn(
+        "__next_v", F.lead(version_col).over(in_order))
+    return stacked.join(table, version_col)
 
 
 def scd2_from_snapshots(
@@ -165,9 +147,8 @@ def scd2_from_snapshots(
     """C3, batch form: history from all snapshots at once.
 
     ``stacked`` holds every snapshot's rows plus ``version_col``. Each row needs
-    the previous and next *snapshot* version: from ``versions`` when given, else
-    from the distinct versions found (one scalar per snapshot, bounded by
-    ``MAX_INLINE_VERSIONS``, beyond which a join is used).
+    the previous and next *snapshot* version: of ``versions`` when given, else of
+    the distinct versions found. Rows with a NULL version are not applied.
     """
     keys = _as_list(keys)
     check_columns(stacked, [*keys, version_col], "scd2_from_snapshots")
@@ -177,9 +158,8 @@ def scd2_from_snapshots(
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in (version_col, *rest)])
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ver = F.col(version_col)
-    base, prev_v, next_v = _neighbours(stacked, version_col, versions)
     one_per_version = (
-        base.withColumn("__prev_v", prev_v).withColumn("__next_v", next_v)
+        _neighbours(stacked, version_col, versions)
         .withColumn("__dup", F.lead(version_col).over(w))
         .filter(F.col("__dup").isNull() | (F.col("__dup") != ver))
     )

@@ -6,12 +6,15 @@ pipeline are collected on the driver; all data work runs as Spark jobs.
 
 Tables are named ``layer.table`` and stored as parquet folders
 ``{warehouse}/{layer}/{table}``; each is exposed in the session catalog as an
-external table of that two-part name, so gold SQL can refer to it.
+external table of that two-part name (a snapshot history as a view over its
+folders), so gold SQL can refer to it. Rows that cannot be applied are written
+below ``{warehouse}/_quarantine/{table}``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Iterable
 from typing import Any
 
@@ -21,6 +24,8 @@ from pyspark.sql.types import BooleanType, StringType, StructField, StructType,
 
 from ..operators import dedup, snapshot
 from ..sources import files
+from ..sources.tables import read_table
+from ..storage import SnapshotStore, exists, remove_folder, replace_folder
 from ..streaming import cdc_stream
 from . import gold
 
@@ -41,6 +46,8 @@ CDC_TYPES = ("auto_cdc", "auto_cdc_from_snapshot")
 PARAMETERS_SCHEMA = (
     "target_table string, source_path string, file_format string, source_table string, "
     "sql_file_path string, base_url string, base_volume_path string, endpoint string, "
+    "dependencies array<struct<endpoint string, key string>>, "
+    "mode string, whole_file boolean, options map<string,string>, "
     "cdc_parameters struct<cdc_type string, keys array<string>, sequence_by string, scd_type string, "
     "stored_as_scd_type string, order_keys array<string>, track_history_column_list array<string>, "
     "track_history_except_column_list array<string>, segments int>"
@@ -55,11 +62,20 @@ def write_control(df: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def delete_operations(spark: SparkSession, path: str, ingestion_names: Iterable[str]) -> None:
-    """DELETE by ingestion name: plain parquet has no DELETE, so rewrite the rest
-    (the control table is small) through a checkpoint to cut the self-read."""
-    names = list(ingestion_names)
-    kept = spark.read.parquet(path).filter(~F.col("ingestion_name").isin(names)).checkpoint(eager=True)
-    kept.write.mode("overwrite").parquet(path)
+    """DELETE by ingestion name: plain parquet has no DELETE, so the rest (the control table is small) is written
+    beside it and takes its place. Rows without a name are no one's and stay."""
+    named = F.coalesce(F.col("ingestion_name").isin(list(ingestion_names)), F.lit(False))
+    replace_folder(spark, spark.read.parquet(path).filter(~named), path)
+
+
+def list_operations(spark: SparkSession, path: str) -> DataFrame:
+    """The control table's rows by pipeline, layer and name."""
+    return spark.read.parquet(path).orderBy("operation_name", "operation_type", "ingestion_name")
+
+
+def drop_control(spark: SparkSession, path: str) -> None:
+    """Remove the control table; a table that is not there is no error."""
+    remove_folder(spark, path)
 
 
 def active_operations(control: DataFrame, operation_name: str) -> DataFrame:
@@ -78,17 +94,29 @@ class ConfigError(ValueError):
 
 def _need(value: Any, what: str) -> Any:
     if value is None or value == "" or value == []:
-        raise ConfigError(f"{what} - missing configuration")
+        raise ConfigError(f"the control row gives no {what.lower()}")
     return value
 
 
 def scd_type_of(cdc: dict) -> int:
-    """``scd_type`` or ``stored_as_scd_type``, as number or text; default 2."""
-    raw = cdc.get("scd_type", cdc.get("stored_as_scd_type", 2))
-    t = int(str(raw).strip())
-    if t not in (1, 2):
-        raise ConfigError(f"SCD_TYPE must be 1 or 2, got {raw!r}")
-    return t
+    """``scd_type``, else ``stored_as_scd_type``, as number or text; 2 if neither says anything."""
+    raw = next((cdc[k] for k in ("scd_type", "stored_as_scd_type") if cdc.get(k) not in (None, "")), 2)
+    if str(raw).strip() not in ("1", "2"):
+        raise ConfigError(f"an SCD type is 1 or 2, not {raw!r}")
+    return int(raw)
+
+
+def sequence_columns(raw: Any) -> list[str]:
+    """``sequence_by`` as a name, a list, or a list as JSON text."""
+    if isinstance(raw, str) and raw.lstrip().startswith("["):
+        raw = json.loads(raw)
+    return [raw] if isinstance(raw, str) else list(raw)
+
+
+def order_key(text: str) -> tuple[str, str]:
+    """``name`` or ``name asc|desc``."""
+    name, _, direction = text.strip().rpartition(" ")
+    return (name.strip(), direction.lower()) if name and direction.lower() in ("asc", "desc") else (text.strip(), "asc")
 
 
 def silver_plan(params: dict) -> dict:
@@ -96,7 +124,7 @@ def silver_plan(params: dict) -> dict:
     cdc = _need(params.get("cdc_parameters"), "CDC_PARAMETERS")
     cdc_type = _need(cdc.get("cdc_type"), "CDC_TYPE")
     if cdc_type not in CDC_TYPES:
-        raise ConfigError(f"CDC_TYPE must be one of {CDC_TYPES}, got {cdc_type!r}")
+        raise ConfigError(f"a CDC type is one of {CDC_TYPES}, not {cdc_type!r}")
     plan = {
         "cdc_type": cdc_type,
         "source_table": _need(params.get("source_table"), "SOURCE_TABLE"),
@@ -108,10 +136,9 @@ def silver_plan(params: dict) -> dict:
         "segments": cdc.get("segments"),
     }
     if cdc_type == "auto_cdc":
-        seq = _need(cdc.get("sequence_by"), "SEQUENCE_BY")
-        plan["sequence_by"] = [seq] if isinstance(seq, str) else list(seq)
+        plan["sequence_by"] = _need(sequence_columns(_need(cdc.get("sequence_by"), "SEQUENCE_BY")), "SEQUENCE_BY")
     else:
-        plan["order_keys"] = list(_need(cdc.get("order_keys"), "ORDER_KEYS"))
+        plan["order_keys"] = [order_key(k) for k in _need(cdc.get("order_keys"), "ORDER_KEYS")]
     return plan
 
 
@@ -130,17 +157,53 @@ class Warehouse:
     def checkpoint(self, name: str, what: str) -> str:
         return f"{self.root}/_checkpoints/{name.split('.')[-1]}/{what}"
 
-    def register(self, name: str, location: str | None = None) -> None:
+    def quarantine(self, name: str) -> str:
+        return f"{self.root}/_quarantine/{name.split('.')[-1]}"
+
+    def _name(self, name: str) -> tuple[str, str]:
+        """The two-part name in the session catalog, quoted and plain; its database exists afterwards."""
         parts = name.split(".")[-2:]
         if len(parts) == 2:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{parts[0]}` LOCATION '{self.root}/{parts[0]}'")
-        ident = ".".join(f"`{p}`" for p in parts)
-        self.spark.sql(f"DROP TABLE IF EXISTS {ident}")
-        self.spark.sql(f"CREATE TABLE {ident} USING parquet LOCATION '{location or self.path(name)}'")
-        qualified = ".".join(parts)
-        if any(c.isPartition for c in self.spark.catalog.listColumns(qualified)):
-            self.spark.catalog.recoverPartitions(qualified)
-        self.spark.catalog.refreshTable(qualified)
+        return ".".join(f"`{p}`" for p in parts), ".".join(parts)
+
+    def _make_room(self, ident: str, plain: str, location: str | None, replace: bool) -> bool:
+        """Drop what stands under a name if that loses no data. Only an external table or a view can go, and one of
+        another place only with ``replace``. True if the table already is the one wanted."""
+        if not self.spark.catalog.tableExists(plain):
+            return False
+        if self.spark.catalog.getTable(plain).tableType == "VIEW":
+            self.spark.sql(f"DROP VIEW {ident}")
+            return False
+        about = {r.col_name: r.data_type for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {ident}").collect()}
+        here = str(about.get("Location", "")).removeprefix("file:").rstrip("/")
+        same = location is not None and here == location.removeprefix("file://").removeprefix("file:").rstrip("/")
+        if about.get("Type") != "EXTERNAL" or not (same or replace):
+            raise ConfigError(f"{plain} is a table of someone else ({about.get('Type')}, {here})")
+        if same:
+            return True
+        self.spark.sql(f"DROP TABLE {ident}")
+        return False
+
+    def register(self, name: str, location: str | None = None, replace: bool = False) -> None:
+        """Expose a parquet folder as an external table. Managed tables and tables of another folder are refused
+        (those of another folder are replaced if asked: their files stay)."""
+        location = location or self.path(name)
+        ident, plain = self._name(name)
+        if not self._make_room(ident, plain, location, replace):
+            self.spark.sql(f"CREATE TABLE {ident} USING parquet LOCATION '{location}'")
+        if any(c.isPartition for c in self.spark.catalog.listColumns(plain)):
+            self.spark.catalog.recoverPartitions(plain)
+        self.spark.catalog.refreshTable(plain)
+
+    def register_history(self, name: str, store: SnapshotStore, replace: bool = False) -> None:
+        """Expose a snapshot history as a view over the folders of its complete runs."""
+        ident, plain = self._name(name)
+        self._make_room(ident, plain, None, replace)
+        runs = store.folders()
+        columns = ", ".join(f"`{c}`" for c in store.read().columns)
+        body = " UNION ALL ".join(f"SELECT {columns} FROM parquet.`{path}`" for path in runs)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {ident} AS {body}")
 
 
 def run_operations(
@@ -150,96 +213,96 @@ def run_operations(
     warehouse_root: str,
     buckets: int = 64,
     snapshot_version: Any = None,
+    replace_tables: bool = False,
+    max_files_per_trigger: int | None = None,
 ) -> dict[str, list[str]]:
     """R2: run one pipeline's active bronze, then silver, then gold rows.
 
-    Returns the tables written per layer. ``api`` rows are not run here.
+    Returns the tables written per layer. ``api`` rows are not run here. ``replace_tables`` lets a run take over names
+    of external tables that belong to another warehouse folder.
     """
-    rows = active_operations(control, operation_name).select("ingestion_name", "operation_type", "params").collect()
-    if not rows:
-        return {layer: [] for layer in LAYER_ORDER}
+    rows = active_operations(control, operation_name).select(
+        "ingestion_name", "operation_type", "parameters", "params").collect()
+    done: dict[str, list[str]] = {layer: [] for layer in LAYER_ORDER}
+    for r in rows:
+        if r.operation_type in LAYER_ORDER and (r.params is None or not _is_object(r.parameters)):
+            raise ConfigError(f"{r.ingestion_name}: the parameters are no JSON object")
     wh = Warehouse(spark, warehouse_root)
     by_type = {layer: [r for r in rows if r.operation_type == layer] for layer in LAYER_ORDER}
     silver_rows = [silver_plan(r.params.asDict(recursive=True)) for r in by_type["silver"]]
-    keys_for = {p["source_table"]: p["keys"] for p in silver_rows if p["cdc_type"] == "auto_cdc"}
-    done: dict[str, list[str]] = {layer: [] for layer in LAYER_ORDER}
+    # Bronze is stored by the buckets of one target's keys; targets of other keys read it by the hash itself.
+    keys_for: dict[str, list[str]] = {}
+    for p in silver_rows:
+        if p["cdc_type"] == "auto_cdc":
+            keys_for.setdefault(p["source_table"], p["keys"])
 
     for r in by_type["bronze"]:
         p = r.params
         target = _need(p.target_table, "TARGET_TABLE")
         files.ingest(
             spark, _need(p.source_path, "SOURCE_PATH"), wh.path(target), wh.checkpoint(target, "bronze"),
-            _bronze_schema(control, r.ingestion_name), p.file_format or "csv",
-            keys=keys_for.get(target), buckets=buckets,
+            _need(json.loads(r.parameters).get("schema"), "SCHEMA"), p.file_format or "csv",
+            keys=keys_for.get(target), buckets=buckets, mode=p.mode or "native", whole_file=bool(p.whole_file),
+            max_files_per_trigger=max_files_per_trigger, options=p.options,
         )
-        wh.register(target)
+        wh.register(target, replace=replace_tables)
         done["bronze"].append(target)
 
     for p in silver_rows:
         target, source = p["target_table"], p["source_table"]
+        stored = wh.path(source) if exists(spark, wh.path(source)) else ".".join(source.split(".")[-2:])
         if p["cdc_type"] == "auto_cdc":
+            cdc_stream.plain_rows(read_table(spark, stored)).createOrReplaceTempView(f"{target.split('.')[-1]}_source")
             cdc_stream.apply_changes(
-                spark, wh.path(source), wh.path(target), wh.checkpoint(target, "silver"), p["keys"],
+                spark, stored, wh.path(target), wh.checkpoint(target, "silver"), p["keys"],
                 p["sequence_by"], buckets=buckets, track=p["track"] or None, track_except=p["track_except"] or None,
-                scd_type=p["scd_type"], segments=p["segments"],
+                scd_type=p["scd_type"], segments=p["segments"], quarantine_path=wh.quarantine(target),
             )
-            wh.register(target)
+            wh.register(target, replace=replace_tables)
         else:
-            wh.register(target, _apply_snapshot_flow(spark, wh, p, snapshot_version))
+            apply_snapshot_flow(spark, wh, p, stored, snapshot_version, replace_tables)
         done["silver"].append(target)
 
     for r in by_type["gold"]:
         path = _need(r.params.sql_file_path, "SQL_FILE_PATH")
         written = gold.materialize_views(spark, gold.read_sql_file(spark, path), f"{wh.root}/gold")
-        for name in written:
-            wh.register(f"gold.{gold.short_name(name)}")
+        for name, folder in written.items():
+            wh.register(gold.table_name(name), folder, replace_tables)
             done["gold"].append(name)
     return done
 
 
-def _bronze_schema(control: DataFrame, ingestion_name: str):
-    """The ``schema`` object of a bronze row, kept as JSON (it is nested)."""
-    row = (
-        control.filter(F.col("ingestion_name") == F.lit(ingestion_name))
-        .select(F.get_json_object("parameters", "$.schema").alias("s")).first()
-    )
-    return _need(row and row.s, "SCHEMA")
-
-
-def _apply_snapshot_flow(spark: SparkSession, wh: Warehouse, p: dict, version: Any) -> str:
-    """Snapshot flow: the W2 view of bronze (first row per key in ``order_keys``
-    order) diffed against the latest stored history. Each run writes a new
-    ``version=`` folder and never rewrites the one it reads; returns the folder
-    that now holds the table."""
-    source = spark.read.parquet(wh.path(p["source_table"]))
-    source = source.drop(*[c for c in cdc_stream.BOOKKEEPING if c in source.columns and c not in p["keys"]])
-    snap = dedup.first_per_key(source, p["keys"], p["order_keys"])
-    version = version if version is not None else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    root = wh.path(p["target_table"]) + "/_versions"
-    current, latest = None, None
+def _is_object(text: str | None) -> bool:
     try:
-        stored = spark.read.parquet(root)
-        latest = stored.agg(F.max("version")).first()[0]
-        current = stored.filter(F.col("version") == latest).drop("version")
-    except Exception as e:  # first run: nothing stored yet
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-    stamp = _stamp(version)
-    if current is not None and p["scd_type"] == 2:
-        last = snapshot.last_applied_version(current)
-        if last is not None and version <= last:
-            return f"{root}/version={latest}"
-    history = snapshot.apply_snapshot(
-        current, snap, version, p["keys"], track=p["track"] or None, track_except=p["track_except"] or None,
-        scd_type=p["scd_type"],
-    )
-    out = f"{root}/version={stamp}"
-    history.write.mode("overwrite").parquet(out)
-    return out
-
-
-def _stamp(version: Any) -> str:
-    """Sortable folder name of a snapshot version."""
-    if isinstance(version, (dt.datetime, dt.date)):
-        return version.strftime("%Y%m%dT%H%M%S") if isinstance(version, dt.datetime) else version.strftime("%Y%m%d")
-    return f"{version:020d}" if isinstance(version, int) else str(version)
+        return isinstance(json.loads(text or ""), dict)
+    except ValueError:
+        return False
+
+
+def _plain_version(version: Any) -> Any:
+    """The version as Spark gives it back: a timestamp without zone, in local time."""
+    if version is None:
+        return dt.datetime.now()
+    if isinstance(version, dt.datetime) and version.tzinfo is not None:
+        return version.astimezone().replace(tzinfo=None)
+    return version
+
+
+def apply_snapshot_flow(spark: SparkSession, wh: Warehouse, p: dict, stored: str, version: Any, replace: bool) -> None:
+    """Snapshot flow: the W2 view of bronze (first good row per key in ``order_keys`` order, all its columns,
+    named ``<target>_snapshot`` for the session) diffed against the stored history. A version that is not newer than the
+    last one applied changes nothing, for either SCD type. Open rows are written anew, closed rows only added."""
+    snap = dedup.first_per_key(cdc_stream.plain_rows(read_table(spark, stored)), p["keys"], p["order_keys"])
+    target = p["target_table"]
+    snap.createOrReplaceTempView(f"{target.split('.')[-1]}_snapshot")
+    store = SnapshotStore(spark, wh.path(target))
+    version, last = _plain_version(version), store.last()
+    if last is None or version > last[2]:
+        keep_out = cdc_stream.untracked_lineage(snap, p["track"], p["track_except"])
+        if p["scd_type"] == 1:
+            store.add(snap, None, version)
+        elif last is None:
+            store.add(snapshot.apply_snapshot(None, snap, version, p["keys"], p["track"], keep_out), None, version)
+        else:
+            store.add_changes(snapshot.diff_snapshot(store.open_rows(), snap, version, p["keys"], p["track"], keep_out), version)
+    wh.register_history(target, store, replace)

@@ -82,12 +82,12 @@ SELECT * FROM ({ORACLE_SQL["scd2_changes"]}) WHERE __END_AT IS NULL
 # Snapshots stacked with their version; islands break on a change of status or
 # when the customer is missing from the snapshot right before.
 _SNAPSHOTS = """
-cut AS (SELECT * FROM (VALUES (DATE '1997-01-01'), (DATE '1999-01-01'), (DATE '2001-01-01')) v(version)),
+cut AS (SELECT * FROM (VALUES (DATE '1995-01-01'), (DATE '1997-01-01'), (DATE '1999-01-01'), (DATE '2100-01-01')) v(version)),
 gv AS (SELECT version, lag(version) OVER (ORDER BY version) AS prev_v,
               lead(version) OVER (ORDER BY version) AS next_v FROM cut),
 snap AS (
-  SELECT o.*, c.version FROM orders o JOIN cut c
-    ON o.o_orderdate >= c.version - INTERVAL 200 DAY AND o.o_orderdate < c.version
+  SELECT o.*, c.version FROM orders o JOIN gv c
+    ON (c.prev_v IS NULL OR o.o_orderdate >= c.prev_v) AND o.o_orderdate < c.version
   QUALIFY row_number() OVER (PARTITION BY o.o_custkey, c.version
                              ORDER BY o.o_orderdate DESC, o.o_orderkey DESC) = 1
 )"""
@@ -123,10 +123,16 @@ FROM snap WHERE version = (SELECT max(version) FROM cut)
 
 
 ORACLE_SQL["gold_flatten"] = """
-SELECT l_orderkey AS id_weatherstation, l_partkey AS id_weatherstationsensor,
-       CAST(l_shipdate AS DATE) AS observation_date,
+WITH day AS (SELECT *, CAST(l_shipdate AS DATE) AS d FROM lineitem)
+SELECT l_orderkey AS id_weatherstation, l_partkey AS id_weatherstationsensor, d AS observation_date,
        l_quantity AS mean, l_discount AS min, l_tax AS max, l_extendedprice AS total
-FROM lineitem WHERE l_linestatus = 'F'
+FROM day WHERE l_linestatus = 'F'
+UNION ALL
+SELECT l_orderkey, l_partkey, d, l_quantity + 1, l_tax, l_discount, l_extendedprice FROM day WHERE l_linestatus = 'F'
+UNION ALL
+SELECT l_orderkey, l_partkey, d + 1, l_quantity, l_discount, l_tax, l_extendedprice FROM day WHERE l_returnflag = 'R'
+UNION ALL
+SELECT l_orderkey, l_partkey, d + 1, NULL, NULL, NULL, NULL FROM day WHERE l_returnflag = 'R'
 """
 
 ORACLE_SQL["gold_flatten_api"] = ORACLE_SQL["gold_flatten"]
@@ -165,17 +171,56 @@ ORACLE_SQL["bronze_decimal"] = """
 SELECT p_partkey, p_name, CAST(p_retailprice AS DECIMAL(38,2)) AS p_retailprice FROM part
 """
 
-ORACLE_SQL["bronze_quarantine"] = """
+# Landed arrays: events of one day and of eight consecutive ids.
+_ARRAYS = """
+arrays AS (
+  SELECT date_trunc('day', ts) AS landed, floor(event_id / 8) AS part, bool_or(event_id % 10 = 0) AS poisoned
+  FROM events GROUP BY ALL
+)"""
+
+ORACLE_SQL["bronze_quarantine"] = f"""
+WITH {_ARRAYS}
 SELECT event_id, ts, user_id, event_type, value, props, NULL::VARCHAR AS _quarantine_reason FROM events
 UNION ALL
-SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'null_element' FROM events WHERE event_id % 10 = 0
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'null_element' FROM arrays WHERE poisoned
 """
 
-ORACLE_SQL["bronze_quarantine_native"] = """
+ORACLE_SQL["bronze_quarantine_native"] = f"""
+WITH {_ARRAYS}
 SELECT event_id, ts, user_id, event_type, value, props, NULL::VARCHAR AS _quarantine_reason
-FROM events WHERE event_id % 10 <> 0
+FROM events JOIN arrays ON landed = date_trunc('day', ts) AND part = floor(event_id / 8) WHERE NOT poisoned
 UNION ALL
-SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'corrupt_record' FROM events WHERE event_id % 10 = 0
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'corrupt_record' FROM arrays WHERE poisoned
+"""
+
+ORACLE_SQL["bronze_quarantine_missing"] = """
+SELECT CASE WHEN event_id % 7 <> 0 THEN event_id END AS event_id, user_id, event_type, value,
+       CASE WHEN event_id % 7 = 0 THEN 'missing:event_id' END AS _quarantine_reason FROM events
+"""
+
+ORACLE_SQL["bronze_wrong_type"] = """
+SELECT event_id, CASE WHEN event_id % 3 <> 0 THEN user_id END AS user_id, event_type,
+       NULL::VARCHAR AS _quarantine_reason FROM events
+"""
+
+ORACLE_SQL["bronze_csv"] = """
+SELECT event_id, ts, user_id, CASE WHEN event_id % 5 <> 0 THEN event_type END AS event_type,
+       CASE WHEN event_id % 5 <> 0 THEN value END AS value, CASE WHEN event_id % 5 <> 0 THEN 'a, quoted' END AS props,
+       CASE WHEN event_id % 5 = 0 THEN 'short_row' END AS _quarantine_reason FROM events
+"""
+
+ORACLE_SQL["bronze_lineage"] = """
+SELECT event_id, 'events' AS file_key, strftime(ts, '%Y%m%d') AS file_day, true AS named, true AS sized, true AS stamped
+FROM events
+"""
+
+ORACLE_SQL["table_scans"] = """
+SELECT scan, event_id, user_id, event_type, value FROM events, (VALUES ('batch'), ('stream')) s(scan)
+"""
+
+ORACLE_SQL["rank_within_keys"] = """
+SELECT o_custkey, o_orderdate, o_orderkey,
+       row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS row_num FROM orders
 """
 
 ORACLE_SQL["scd2_stream"] = ORACLE_SQL["scd2_changes"]
@@ -195,7 +240,22 @@ FROM supplier
 """
 
 ORACLE_SQL["child_concat"] = """
-SELECT conv_id, turn, role FROM conversations
+SELECT conv_id, turn * f AS turn, role FROM conversations, (VALUES (1), (-1)) s(f) WHERE turn % 4 <> 3
+"""
+
+ORACLE_SQL["resource_keys"] = """
+SELECT s_suppkey,
+       CASE s_suppkey % 4 WHEN 0 THEN '/measures' || s_suppkey WHEN 1 THEN '/stations' || s_suppkey || '/{idWeatherstation}/sensors'
+         WHEN 2 THEN '/readings' || s_suppkey || '/station/{idWeatherstation}/year/{year}' ELSE 'plain' || s_suppkey END AS endpoint,
+       CASE s_suppkey % 4 WHEN 0 THEN 'measures' || s_suppkey WHEN 1 THEN 'sensors'
+         WHEN 2 THEN 'readings' || s_suppkey ELSE 'plain' || s_suppkey END AS resource_key
+FROM supplier
+"""
+
+ORACLE_SQL["dependent_requests"] = """
+SELECT n_nationkey * 10 + k AS area, 'sensors' AS resource_key, '/areas/' || (n_nationkey * 10 + k) || '/sensors' AS endpoint,
+       'https://api.example.test/meteo/areas/' || (n_nationkey * 10 + k) || '/sensors' AS url
+FROM nation, (VALUES (0), (1)) s(k)
 """
 
 
@@ -212,3 +272,62 @@ FROM supplier WHERE s_nationkey % 3 = 1 AND s_acctbal > 0
 ORACLE_SQL["control_run"] = ORACLE_SQL["scd2_current"]
 
 ORACLE_SQL["scd2_changes_segmented"] = ORACLE_SQL["scd2_changes"]
+
+ORACLE_SQL["control_delete"] = """
+SELECT 'suppliers_' || (s_nationkey % 3) AS operation_name,
+       CASE WHEN k % 2 = 0 OR k % 5 <> 0 THEN 'api_' || s_name END AS ingestion_name,
+       CASE s_suppkey % 4 WHEN 0 THEN 'api' WHEN 1 THEN 'bronze' WHEN 2 THEN 'silver' ELSE 'gold' END AS operation_type,
+       s_acctbal > 0 AS is_active
+FROM (SELECT *, CAST(regexp_extract(s_name, '(\\d+)$', 1) AS INT) AS k FROM supplier)
+WHERE k % 3 <> 0 OR (k % 2 = 1 AND k % 5 = 0)
+"""
+
+ORACLE_SQL["control_run_snapshot"] = """
+SELECT o_orderkey, o_custkey, o_orderstatus, '2025010' || (o_orderkey % 3 + 1) AS landed,
+       (o_orderkey % 3 + 1)::INT AS __START_AT, NULL::INT AS __END_AT
+FROM orders
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey % 3, o_orderkey) = 1
+"""
+
+_NEWEST = """
+SELECT o.*, v.version FROM orders o JOIN (VALUES (1), (2), (3)) v(version) ON o.o_orderkey % 3 + 1 <= v.version
+QUALIFY row_number() OVER (PARTITION BY o_custkey, v.version ORDER BY o_orderkey % 3 DESC, o_orderkey DESC) = 1
+"""
+
+ORACLE_SQL["control_run_versions"] = f"""
+WITH snap AS ({_NEWEST}),
+flag AS (
+  SELECT *, CASE WHEN o_orderstatus IS DISTINCT FROM lag(o_orderstatus) OVER w OR row_number() OVER w = 1 THEN 1 ELSE 0 END AS opens
+  FROM snap WINDOW w AS (PARTITION BY o_custkey ORDER BY version)
+), isl AS (
+  SELECT *, sum(opens) OVER (PARTITION BY o_custkey ORDER BY version ROWS UNBOUNDED PRECEDING) AS island FROM flag
+), ver AS (
+  SELECT *, min(version) OVER (PARTITION BY o_custkey, island) AS start_at FROM isl
+  QUALIFY row_number() OVER (PARTITION BY o_custkey, island ORDER BY version DESC) = 1
+)
+SELECT o_orderkey, o_custkey, o_orderstatus, start_at::INT AS __START_AT,
+       (lead(start_at) OVER (PARTITION BY o_custkey ORDER BY start_at))::INT AS __END_AT FROM ver
+"""
+
+ORACLE_SQL["control_run_scd1"] = f"""
+SELECT kept_in, o_orderkey, o_custkey, o_orderstatus
+FROM ({_NEWEST}), (VALUES ('table'), ('view')) s(kept_in) WHERE version = 3
+"""
+
+ORACLE_SQL["scd2_two_targets"] = f"""
+SELECT 'by_user' AS target, user_id, event_type, __START_AT, __END_AT FROM ({ORACLE_SQL["scd2_changes"]})
+UNION ALL
+SELECT 'by_type', user_id, event_type, __START_AT, __END_AT FROM ({_islands(
+    """SELECT * FROM events WHERE ts IS NOT NULL
+       QUALIFY row_number() OVER (PARTITION BY event_type, ts ORDER BY event_id DESC) = 1""",
+    "event_type", "ts", "user_id", "user_id, event_type",
+)})
+"""
+
+ORACLE_SQL["null_sequence"] = """
+SELECT event_id, user_id, event_type, 'null_sequence' AS _quarantine_reason FROM events WHERE event_id % 9 = 0
+"""
+
+ORACLE_SQL["gold_stations"] = "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer"
+ORACLE_SQL["gold_measures"] = "SELECT p_partkey, p_name, p_brand FROM part"
+ORACLE_SQL["gold_sensors"] = "SELECT s_suppkey, s_name, s_nationkey FROM supplier"

@@ -9,6 +9,7 @@ formulations in ``plans.oracle``.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +23,7 @@ from ..functions.lineage import file_date
 from ..session import scratch_path, shared_dir
 from ..sources import files, landing
 from ..streaming import cdc_stream
-from ..sources.tables import fixture
+from ..sources.tables import fixture, read_table, stream_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -52,6 +53,13 @@ def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.latest_per_key(fixture(spark, sf_dir, "orders"), ["o_custkey"], ORDER_KEYS)
 
 
+@register("rank_within_keys")
+def rank_within_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every order among its customer's, in order date and key."""
+    orders = fixture(spark, sf_dir, "orders").select("o_custkey", *ORDER_KEYS)
+    return dedup.rank_within_keys(orders, ["o_custkey"], ORDER_KEYS)
+
+
 # ---------------------------------------------------------------- C1, C2, C5, C6, P5
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,18 +112,17 @@ def scd2_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- C3, C4
 
-# Fixed values of the snapshot recipe: snapshot dates and the look-back window.
-SNAPSHOT_CUTOFFS = [dt.date(1997, 1, 1), dt.date(1999, 1, 1), dt.date(2001, 1, 1)]
-SNAPSHOT_DAYS = 200
+# Fixed values of the snapshot recipe: the snapshot dates, the last behind all orders. A snapshot shows the customers
+# that ordered since the one before, so every order takes part in one, and customers come and go.
+SNAPSHOT_CUTOFFS = [dt.date(1995, 1, 1), dt.date(1997, 1, 1), dt.date(1999, 1, 1), dt.date(2100, 1, 1)]
 
 
-def order_snapshot(orders: DataFrame, cutoff: dt.date) -> DataFrame:
-    """State at ``cutoff``: each customer's newest order of the preceding 200 days."""
-    c = F.lit(cutoff)
-    window = (F.col("o_orderdate") >= F.date_sub(c, SNAPSHOT_DAYS).cast("timestamp_ntz")) & (
-        F.col("o_orderdate") < c.cast("timestamp_ntz")
-    )
-    return dedup.latest_per_key(orders.filter(window), ["o_custkey"], ORDER_KEYS)
+def order_snapshot(orders: DataFrame, since: dt.date | None, cutoff: dt.date) -> DataFrame:
+    """State at ``cutoff``: each customer's newest order since the snapshot before."""
+    rows = orders.filter(F.col("o_orderdate") < F.lit(cutoff).cast("timestamp_ntz"))
+    if since is not None:
+        rows = rows.filter(F.col("o_orderdate") >= F.lit(since).cast("timestamp_ntz"))
+    return dedup.latest_per_key(rows, ["o_custkey"], ORDER_KEYS)
 
 
 def _snapshot_history(spark: SparkSession, sf_dir: str, scd_type: int) -> DataFrame:
@@ -124,7 +131,7 @@ def _snapshot_history(spark: SparkSession, sf_dir: str, scd_type: int) -> DataFr
     history = None
     for i, cutoff in enumerate(SNAPSHOT_CUTOFFS):
         history = snapshot.apply_snapshot(
-            history, order_snapshot(orders, cutoff), cutoff, ["o_custkey"], track=["o_orderstatus"], scd_type=scd_type
+            history, order_snapshot(orders, SNAPSHOT_CUTOFFS[i - 1] if i else None, cutoff), cutoff, ["o_custkey"], track=["o_orderstatus"], scd_type=scd_type
         )
         if i < len(SNAPSHOT_CUTOFFS) - 1 and scd_type == 2:
             # The next diff reads this history twice (open and closed rows):
@@ -146,20 +153,14 @@ def scd1_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("scd2_snapshots_stacked")
 def scd2_snapshots_stacked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All snapshots in one pass: every order lands in the snapshots whose window
-    contains it, the newest per (customer, snapshot) is kept, then islands."""
+    """All snapshots in one pass: every order lands in the first snapshot behind it, the newest per (customer,
+    snapshot) is kept (before the shuffle as well as behind it), then islands."""
     orders = fixture(spark, sf_dir, "orders")
-    cutoffs = F.array(*[F.lit(c) for c in SNAPSHOT_CUTOFFS])
-    member = F.filter(
-        cutoffs,
-        lambda c: (F.col("o_orderdate") >= F.date_sub(c, SNAPSHOT_DAYS).cast("timestamp_ntz"))
-        & (F.col("o_orderdate") < c.cast("timestamp_ntz")),
-    )
-    stacked = (
-        orders.withColumn("snapshot_version", F.explode(member))
-        .repartition("o_custkey")
-    )
-    newest = dedup.latest_per_key(stacked, ["o_custkey", "snapshot_version"], ORDER_KEYS)
+    version = F.lit(None).cast("date")
+    for cutoff in reversed(SNAPSHOT_CUTOFFS):
+        version = F.when(F.col("o_orderdate") < F.lit(cutoff).cast("timestamp_ntz"), F.lit(cutoff)).otherwise(version)
+    newest = dedup.latest_per_key(
+        orders.withColumn("snapshot_version", version), ["o_custkey", "snapshot_version"], ORDER_KEYS)
     return snapshot.scd2_from_snapshots(
         newest, ["o_custkey"], "snapshot_version", track=["o_orderstatus"], versions=SNAPSHOT_CUTOFFS
     )
@@ -168,48 +169,52 @@ def scd2_snapshots_stacked(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- G1-G3, P3-P6, Q1-Q6, S9
 
 def nested_readings(lineitem: DataFrame) -> DataFrame:
-    """Line items in the readings shape, one station record per line (no grouping,
-    so no record grows with the data): order → [part (with dates), supplier (no
-    dates)] → ship date, validated = (linestatus 'F') → quantity, discount, tax and
-    price as mean, min, max and total."""
-    values = F.array(F.struct(
+    """Line items in the readings shape, one station record per line, from the line's own columns (no grouping, so no
+    record grows with the data). Sensors: the part with two dates and a NULL one, the supplier with no dates (NULL for
+    line 1, an empty list for line 2, else one date without a verdict and one without values), and a NULL sensor. Dates
+    of the part: ship date, validated for line status F, with two measurements; the day after, validated for return
+    flag R, with a measurement and a NULL one."""
+    first = F.struct(
         F.col("l_quantity").alias("mean"), F.col("l_discount").alias("min"),
         F.col("l_tax").alias("max"), F.col("l_extendedprice").alias("total"),
-    ))
-    dates = F.array(F.struct(
-        F.col("l_shipdate").cast("date").alias("observation_date"),
-        (F.col("l_linestatus") == F.lit("F")).alias("is_validated"),
-        values.alias("values"),
-    ))
-    empty = F.array_remove(dates, dates.getItem(0))
-    sensors = F.array(
-        F.struct(F.col("l_partkey").alias("id_weatherstationsensor"), dates.alias("dates")),
-        F.struct(F.col("l_suppkey").alias("id_weatherstationsensor"), empty.alias("dates")),
     )
-    return lineitem.select(F.col("l_orderkey").alias("id_weatherstation"), sensors.alias("sensors"))
+    second = F.struct(
+        (F.col("l_quantity") + 1).alias("mean"), F.col("l_tax").alias("min"),
+        F.col("l_discount").alias("max"), F.col("l_extendedprice").alias("total"),
+    )
+    nothing = F.when(F.lit(False), first)
+    ship = F.col("l_shipdate").cast("date")
+
+    def date(days: int, valid: Column, values: Column) -> Column:
+        return F.struct(F.date_add(ship, days).alias("observation_date"), valid.alias("is_validated"), values.alias("values"))
+
+    of_part = [
+        date(0, F.col("l_linestatus") == "F", F.array(first, second)),
+        date(1, F.col("l_returnflag") == "R", F.array(first, nothing)),
+    ]
+    of_supplier = F.array(
+        date(0, F.lit(None).cast("boolean"), F.array(first)), date(2, F.lit(True), F.array_remove(F.array(first), first)))
+    no_dates = F.slice(of_supplier, 1, 0)
+    sensor = lambda key, dates: F.struct(F.col(key).alias("id_weatherstationsensor"), dates.alias("dates"))
+    part = sensor("l_partkey", F.array(*of_part, F.when(F.lit(False), of_part[0])))
+    supplier = sensor("l_suppkey", F.when(F.col("l_linenumber") == 2, no_dates).when(F.col("l_linenumber") != 1, of_supplier))
+    return lineitem.select(
+        F.col("l_orderkey").alias("id_weatherstation"), F.array(part, supplier, F.when(F.lit(False), part)).alias("sensors"))
 
 
-# Gold SQL in the form the runner reads from a file: three explodes with the
-# validity filter between the second and the third.
+# Gold SQL in the form the runner reads from a file, with the names a deployed file has.
 READINGS_SQL = """
-CREATE OR REFRESH MATERIALIZED VIEW gold.readings as (
-with transform_1 as (
-SELECT id_weatherstation, explode(sensors) as sensors
-FROM readings_current
-),
-transform_2 as (
-SELECT id_weatherstation, sensors.id_weatherstationsensor, explode(sensors.dates) record_date
-FROM transform_1
-),
-transform_3 as (
-SELECT id_weatherstation, id_weatherstationsensor, record_date.observation_date,
-       explode(record_date.values) date_values
-FROM transform_2
-WHERE record_date.is_validated = 'true'
-)
-SELECT id_weatherstation, id_weatherstationsensor, observation_date,
-       date_values.mean, date_values.min, date_values.max, date_values.total
-FROM transform_3 tr_3
+CREATE OR REFRESH MATERIALIZED VIEW weather.gold.readings AS (
+  WITH per_sensor AS (
+    SELECT id_weatherstation AS station, explode(sensors) AS s FROM readings_current
+  ), per_day AS (
+    SELECT station, s.id_weatherstationsensor AS sensor, explode(s.dates) AS d FROM per_sensor
+  ), measured AS (
+    SELECT station, sensor, d.observation_date AS day, explode(d.`values`) AS m FROM per_day WHERE d.is_validated
+  )
+  SELECT station AS id_weatherstation, sensor AS id_weatherstationsensor, day AS observation_date,
+         m.mean, m.min, m.max, m.total
+  FROM measured
 );
 """
 
@@ -217,7 +222,7 @@ FROM transform_3 tr_3
 @register("gold_flatten")
 def gold_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested_readings(fixture(spark, sf_dir, "lineitem")).createOrReplaceTempView("readings_current")
-    return gold.build_views(spark, READINGS_SQL)["gold.readings"]
+    return gold.build_views(spark, READINGS_SQL)["weather.gold.readings"]
 
 
 @register("gold_flatten_api")
@@ -299,10 +304,16 @@ def _event_landing_time() -> Column:
     return F.date_format(F.date_trunc("DAY", F.col("ts")), "yyyyMMdd_HHmmss")
 
 
+#: Ids of one landed array: it holds no more events than these.
+EVENTS_AN_ARRAY = 8
+
+
 def land_events(spark: SparkSession, sf_dir: str, poison: Column | None = None) -> str:
-    """Write the events table as landed JSON-array files; returns the key folder."""
+    """Write the events table as landed JSON-array files of several records; returns the key folder."""
     base = scratch_path(spark, "landing")
-    landing.land_json_arrays(fixture(spark, sf_dir, "events"), base, "events", _event_landing_time(), poison)
+    landing.land_json_arrays(
+        fixture(spark, sf_dir, "events"), base, "events", _event_landing_time(), poison,
+        group=F.floor(F.col("event_id") / EVENTS_AN_ARRAY))
     return f"{base}/key=events"
 
 
@@ -351,16 +362,96 @@ def _poisoned_events(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
 
 @register("bronze_quarantine")
 def bronze_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Salvage: every event survives; each ``null`` element is one quarantined row."""
+    """Salvage: every event survives; the ``null`` element of an array with every tenth event is one quarantined
+    row."""
     return _events_out(_poisoned_events(spark, sf_dir, "salvage"), files.REASON)
 
 
 @register("bronze_quarantine_native")
 def bronze_quarantine_native(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Native reader: an array holding a ``null`` is one all-NULL corrupt row."""
+    """Native reader: an array holding a ``null`` is one all-NULL corrupt row, its events with it."""
     return _events_out(_poisoned_events(spark, sf_dir, "native"), files.REASON)
 
 
+def _landed_text(spark: SparkSession, lines: DataFrame) -> str:
+    """One column ``value`` of lines written as landed text; returns the folder."""
+    path = scratch_path(spark, "landing")
+    lines.write.text(path)
+    return path
+
+
+@register("bronze_quarantine_missing")
+def bronze_quarantine_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh event lands without its declared-not-null id."""
+    ev = fixture(spark, sf_dir, "events").select(
+        F.when(F.col("event_id") % 7 != 0, F.col("event_id")).alias("event_id"), "user_id", "event_type", "value")
+    source = _landed_text(spark, ev.select(F.to_json(F.struct("*")).alias("value")))
+    read = files.read_landed(spark, source, EVENTS_SCHEMA, "json", stream=False)
+    return read.select("event_id", "user_id", "event_type", "value", files.REASON)
+
+
+@register("bronze_wrong_type")
+def bronze_wrong_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third event lands with text for its number; only that field is lost."""
+    ev = fixture(spark, sf_dir, "events").select(
+        "event_id", F.when(F.col("event_id") % 3 == 0, F.lit("none")).otherwise(F.col("user_id").cast("string")).alias("user"),
+        "event_type")
+    text = F.concat(
+        F.lit('{"event_id": '), F.col("event_id"), F.lit(', "user_id": '),
+        F.when(F.col("event_id") % 3 == 0, F.lit('"none"')).otherwise(F.col("user")),
+        F.lit(', "event_type": "'), F.col("event_type"), F.lit('"}'))
+    source = _landed_text(spark, ev.select(text.alias("value")))
+    read = files.read_landed(spark, source, EVENTS_SCHEMA, "json", stream=False)
+    return read.select("event_id", "user_id", "event_type", files.REASON)
+
+
+@register("bronze_csv")
+def bronze_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: events as CSV files with a header, through the ingest stream; every fifth row has too few fields and is
+    quarantined."""
+    ev = fixture(spark, sf_dir, "events")
+    fields = [F.col("event_id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.col("user_id")]
+    row = F.when(F.col("event_id") % 5 == 0, F.concat_ws(",", *fields)).otherwise(
+        F.concat_ws(",", *fields, "event_type", "value", F.lit('"a, quoted"')))
+    path = scratch_path(spark, "landing")
+    # Each file begins with the header: the first line of the writer's partition.
+    ev.select(row.alias("event_id,ts,user_id,event_type,value,props")).write.option("header", True).option(
+        "quote", "\u0000").option("sep", "\t").csv(path)
+    bronze = scratch_path(spark, "bronze")
+    files.ingest(spark, path, bronze, scratch_path(spark, "checkpoint"), EVENTS_SCHEMA, "csv", options={"header": "true"})
+    read = spark.read.parquet(bronze)
+    return read.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value", "props", files.REASON)
+
+
+@register("bronze_lineage")
+def bronze_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What lineage says of every ingested event: its file's folder, that the file has a name and a size, and
+    that the row was stamped before now."""
+    source = land_events(spark, sf_dir)
+    bronze = scratch_path(spark, "bronze")
+    files.ingest(spark, source, bronze, scratch_path(spark, "checkpoint"), EVENTS_SCHEMA, "json")
+    meta = F.col("source_metadata")
+    return files.good_rows(spark.read.parquet(bronze)).select(
+        "event_id", F.regexp_extract(meta["file_path"], r"key=(\w+)/landed_at=(\d{8})_", 1).alias("file_key"),
+        F.regexp_extract(meta["file_path"], r"landed_at=(\d{8})_", 1).alias("file_day"),
+        F.endswith(meta["file_path"], meta["file_name"]).alias("named"), (meta["file_size"] > 0).alias("sized"),
+        (F.col("_ingestion_timestamp") <= F.current_timestamp()).alias("stamped"))
+
+
+@register("table_scans")
+def table_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog table of the events read as a batch and as a stream, by name; both reads side by side."""
+    root = scratch_path(spark, "tables")
+    wh = control.Warehouse(spark, root)
+    fixture(spark, sf_dir, "events").write.parquet(wh.path("scans.events"))
+    wh.register("scans.events", replace=True)
+    streamed = scratch_path(spark, "tables")
+    files.write_bronze(stream_table(spark, "scans.events", max_files_per_trigger=1), streamed, scratch_path(spark, "checkpoint"))
+    once = read_table(spark, "scans.events").select(F.lit("batch").alias("scan"), "event_id", "user_id", "event_type", "value")
+    return once.unionByName(spark.read.parquet(streamed).select(
+        F.lit("stream").alias("scan"), "event_id", "user_id", "event_type", "value"))
+
+
 # ---------------------------------------------------------------- C7, S5, S7
 
 STREAM_APPENDS = 5
@@ -426,15 +517,43 @@ def request_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("resource_keys")
+def resource_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1 on every shape of endpoint, one for each supplier."""
+    sup = fixture(spark, sf_dir, "supplier")
+    n = F.col("s_suppkey").cast("string")
+    shapes = F.array(
+        F.concat(F.lit("/measures"), n), F.concat(F.lit("/stations"), n, F.lit("/{idWeatherstation}/sensors")),
+        F.concat(F.lit("/readings"), n, F.lit("/station/{idWeatherstation}/year/{year}")), F.concat(F.lit("plain"), n))
+    endpoint = F.element_at(shapes, (F.pmod("s_suppkey", F.lit(4)) + 1).cast("int"))
+    return sup.select("s_suppkey", endpoint.alias("endpoint")).withColumn("resource_key", landing.resource_key(F.col("endpoint")))
+
+
+@register("dependent_requests")
+def dependent_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L3 by the dependency of a control row: each nation's response lists two of its children under the key that the
+    row names; one request per child, its id in place of the row's placeholder."""
+    dependency = {"endpoint": "/nations", "key": "areas"}
+    body = F.concat(
+        F.lit('{"areas": [{"area": '), F.col("n_nationkey") * 10, F.lit('}, {"area": '), F.col("n_nationkey") * 10 + 1,
+        F.lit('}], "other": [{"area": -1}]}'))
+    responses = fixture(spark, sf_dir, "nation").select(body.alias("body"))
+    return landing.dependent_requests(
+        responses, "body", dependency["key"], "area", LongType(), "/areas/{idArea}/sensors", base_url=REQUEST_BASE_URL,
+        placeholder="{idArea}")
+
+
 @register("child_concat")
 def child_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every conversation turn is one response: a list of two stations whose first
-    holds the turn as its sensor; the children of the first station are kept."""
+    """Every conversation turn is one response: a list of two stations. The first holds two sensors (the turn, and
+    the turn negated) and is empty for every fourth turn; the second's sensors are not kept."""
     conv = fixture(spark, sf_dir, "conversations")
     child = F.struct(F.col("turn"), F.col("role"))
+    other = F.struct((-F.col("turn")).alias("turn"), F.col("role"))
+    both = F.array(child, other)
     stations = F.array(
-        F.struct(F.array(child).alias("sensors")),
-        F.struct(F.array_remove(F.array(child), child).alias("sensors")),
+        F.struct(F.when(F.col("turn") % 4 == 3, F.slice(both, 1, 0)).otherwise(both).alias("sensors")),
+        F.struct(F.array(other).alias("sensors")),
     )
     return landing.first_element_children(conv.select("conv_id", stations.alias("response")), "response", "sensors", ["conv_id"])
 
@@ -461,6 +580,21 @@ def supplier_control_rows(supplier: DataFrame) -> DataFrame:
     )
 
 
+@register("control_delete")
+def control_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Created, inserted into, rows deleted by name, listed. Every third supplier's row is deleted; rows
+    without a name stay."""
+    path = scratch_path(spark, "control")
+    rows = supplier_control_rows(fixture(spark, sf_dir, "supplier"))
+    key = F.regexp_extract("ingestion_name", r"(\d+)$", 1).cast("int")
+    control.write_control(rows.filter(key % 2 == 0), path, mode="overwrite")
+    control.write_control(
+        rows.filter(key % 2 == 1).withColumn("ingestion_name", F.when(key % 5 != 0, F.col("ingestion_name"))), path)
+    gone = [r[0] for r in rows.filter(key % 3 == 0).select("ingestion_name").collect()]
+    control.delete_operations(spark, path, gone)
+    return control.list_operations(spark, path).select("operation_name", "ingestion_name", "operation_type", "is_active")
+
+
 @register("control_active")
 def control_active(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Control table written (S11), read back (S4), filtered to one pipeline's
@@ -494,8 +628,6 @@ def control_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = land_events(spark, sf_dir)
     sql_path = scratch_path(spark, "sql")
     spark.createDataFrame([(CONTROL_GOLD_SQL,)], "value string").coalesce(1).write.text(sql_path)
-    import json
-
     rows = [
         ("events_flow", "api_events", "api", json.dumps({"endpoint": "/events", "base_url": "https://api.example.test"}), True),
         ("events_flow", "bronze_events", "bronze", json.dumps(
@@ -510,10 +642,181 @@ def control_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ctl = spark.createDataFrame(rows, "operation_name string, ingestion_name string, operation_type string, "
                                       "parameters string, is_active boolean").withColumn(
         "creation_date", F.current_timestamp())
-    control.run_operations(spark, ctl, "events_flow", scratch_path(spark, "warehouse"), buckets=STREAM_BUCKETS)
+    control.run_operations(spark, ctl, "events_flow", scratch_path(spark, "warehouse"), buckets=STREAM_BUCKETS, replace_tables=True)
     out = spark.read.table("gold.events_current")
     return out.select(
         "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type",
         F.col(cdc.START_AT).cast("timestamp_ntz").alias(cdc.START_AT),
         F.col(cdc.END_AT).cast("timestamp_ntz").alias(cdc.END_AT),
     )
+
+
+# Silver rows as a deployed control table has them: no ``scd_type``, order keys and except-list on lineage columns.
+ORDERS_SCHEMA = {
+    "type": "struct",
+    "fields": [
+        {"name": "o_orderkey", "type": "bigint", "nullable": False},
+        {"name": "o_custkey", "type": "bigint"},
+        {"name": "o_orderstatus", "type": "string"},
+        {"name": "o_totalprice", "type": "double"},
+    ],
+}
+SNAPSHOT_PARTS = 3
+
+
+def _control(spark: SparkSession, name: str, rows: list[tuple[str, str, dict]]) -> DataFrame:
+    return spark.createDataFrame(
+        [(name, ingestion, kind, json.dumps(params), True) for ingestion, kind, params in rows],
+        "operation_name string, ingestion_name string, operation_type string, parameters string, is_active boolean",
+    ).withColumn("creation_date", F.current_timestamp())
+
+
+def _snapshot_runs(spark: SparkSession, sf_dir: str, pipeline: str, order_keys: list[str], scd: dict) -> DataFrame:
+    """Orders land in three parts by order key; after each the pipeline runs, with the part's number as the snapshot's
+    version, and once more with the same version, which changes nothing."""
+    orders = fixture(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    base, root = scratch_path(spark, "landing"), scratch_path(spark, "warehouse")
+    ctl = _control(spark, pipeline, [
+        ("bronze_orders", "bronze", {
+            "source_path": f"{base}/key=orders", "file_format": "json", "target_table": f"cat.bronze.{pipeline}", "schema": ORDERS_SCHEMA}),
+        ("orders_cdc", "silver", {
+            "source_table": f"cat.bronze.{pipeline}", "target_table": f"cat.silver.{pipeline}", "cdc_parameters": {
+                "cdc_type": "auto_cdc_from_snapshot", "keys": ["o_custkey"], "order_keys": order_keys, **scd,
+                "track_history_except_column_list": ["source_metadata", "file_date", "o_orderkey", "o_totalprice"]}}),
+    ])
+    for part in range(SNAPSHOT_PARTS):
+        landing.land_json_arrays(
+            orders.filter(F.col("o_orderkey") % SNAPSHOT_PARTS == part), base, "orders", F.lit(f"2025010{part + 1}_000000"))
+        for _ in range(2):
+            control.run_operations(spark, ctl, pipeline, root, snapshot_version=part + 1, replace_tables=True)
+    return spark.read.table(f"silver.{pipeline}")
+
+
+@register("control_run_snapshot")
+def control_run_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The oldest row of every customer, as deployed rows ask for it: a customer opens with the part that first names
+    it and never changes."""
+    out = _snapshot_runs(
+        spark, sf_dir, "orders_first", ["_ingestion_timestamp", "file_date"], {"stored_as_scd_type": "2"})
+    return out.select(
+        "o_orderkey", "o_custkey", "o_orderstatus", F.date_format("file_date", "yyyyMMdd").alias("landed"), cdc.START_AT, cdc.END_AT)
+
+
+@register("control_run_versions")
+def control_run_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest row of every customer in three versions: statuses open and close versions."""
+    out = _snapshot_runs(
+        spark, sf_dir, "orders_last", ["file_date desc", "o_orderkey desc"], {"scd_type": 2})
+    return out.select("o_orderkey", "o_custkey", "o_orderstatus", cdc.START_AT, cdc.END_AT)
+
+
+@register("control_run_scd1")
+def control_run_scd1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCD type 1 from snapshots, and the session's view of the last one (S8), which hold the same rows."""
+    table = _snapshot_runs(spark, sf_dir, "orders_now", ["file_date desc", "o_orderkey desc"], {"scd_type": "1"})
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus"]
+    view = spark.read.table("orders_now_snapshot").select(F.lit("view").alias("kept_in"), *columns)
+    return table.select(F.lit("table").alias("kept_in"), *columns).unionByName(view)
+
+
+@register("scd2_two_targets")
+def scd2_two_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two targets of different keys on one bronze table, in two ingests: by user, tracking the event type, and by event
+    type with a composite sequence, tracking the user. Sequences come as a name and as a list in the JSON text."""
+    events = fixture(spark, sf_dir, "events")
+    base, root = scratch_path(spark, "landing"), scratch_path(spark, "warehouse")
+    silver = lambda target, keys, sequence, track: (f"{target}_cdc", "silver", {
+        "source_table": "bronze.two_targets", "target_table": f"silver.{target}", "cdc_parameters": {
+            "cdc_type": "auto_cdc", "keys": keys, "sequence_by": sequence, "track_history_column_list": track}})
+    ctl = _control(spark, "two_targets", [
+        ("bronze_events", "bronze", {
+            "source_path": f"{base}/key=events", "file_format": "json", "target_table": "bronze.two_targets", "schema": EVENTS_SCHEMA}),
+        silver("by_user", ["user_id"], "ts", ["event_type"]),
+        silver("by_type", ["event_type"], ["ts", "event_id"], ["user_id"]),
+    ])
+    part = F.pmod(F.xxhash64("event_id"), F.lit(2))
+    for p in (0, 1):
+        landing.land_json_arrays(events.filter(part == p), base, "events", F.lit(f"2025010{p + 1}_000000"))
+        control.run_operations(spark, ctl, "two_targets", root, buckets=STREAM_BUCKETS, replace_tables=True)
+    ntz = lambda c: F.col(c).cast("timestamp_ntz").alias(c)
+    return spark.read.table("silver.by_user").select(F.lit("by_user").alias("target"), "user_id", "event_type", ntz(cdc.START_AT), ntz(cdc.END_AT)).unionByName(
+        spark.read.table("silver.by_type").select(F.lit("by_type").alias("target"), "user_id", "event_type", ntz(cdc.START_AT), ntz(cdc.END_AT)))
+
+
+@register("null_sequence")
+def null_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events without a time cannot be placed: they are in the target's quarantine table, with the reason."""
+    events = fixture(spark, sf_dir, "events").withColumn("ts", F.when(F.col("event_id") % 9 != 0, F.col("ts")))
+    base, root = scratch_path(spark, "landing"), scratch_path(spark, "warehouse")
+    landing.land_json_arrays(events, base, "events", F.lit("20250101_000000"))
+    ctl = _control(spark, "late_events", [
+        ("bronze_events", "bronze", {
+            "source_path": f"{base}/key=events", "file_format": "json", "target_table": "bronze.late_events", "schema": EVENTS_SCHEMA}),
+        ("events_cdc", "silver", {
+            "source_table": "bronze.late_events", "target_table": "silver.late_events", "cdc_parameters": {
+                "cdc_type": "auto_cdc", "keys": ["user_id"], "sequence_by": "ts", "track_history_column_list": ["event_type"]}}),
+    ])
+    control.run_operations(spark, ctl, "late_events", root, buckets=STREAM_BUCKETS, replace_tables=True)
+    bad = spark.read.parquet(control.Warehouse(spark, root).quarantine("silver.late_events"))
+    return bad.select("event_id", "user_id", "event_type", files.REASON)
+
+
+# ---------------------------------------------------------------- Q4-Q6 over landed, bronze and silver
+
+GOLD_ENTITIES_SQL = """
+-- current rows of three entities, each a projection of its silver table
+CREATE OR REFRESH MATERIALIZED VIEW trade.gold.stations AS (
+  SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM trade.silver.stations_cdc WHERE `__END_AT` IS NULL
+);
+CREATE OR REFRESH MATERIALIZED VIEW trade.gold.measures AS (
+  SELECT p_partkey, p_name, p_brand FROM trade.silver.measures_cdc WHERE `__END_AT` IS NULL
+);
+CREATE OR REFRESH MATERIALIZED VIEW trade.gold.sensors AS (
+  SELECT s_suppkey, s_name, s_nationkey FROM trade.silver.sensors_cdc WHERE `__END_AT` IS NULL
+);
+"""
+# Table, key and columns (with their declared types) behind each view.
+GOLD_ENTITIES = {
+    "stations": ("customer", "c_custkey", {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_mktsegment": "string"}),
+    "measures": ("part", "p_partkey", {"p_partkey": "bigint", "p_name": "string", "p_brand": "string"}),
+    "sensors": ("supplier", "s_suppkey", {"s_suppkey": "bigint", "s_name": "string", "s_nationkey": "int"}),
+}
+
+
+def _gold_entity(spark: SparkSession, sf_dir: str, wanted: str) -> DataFrame:
+    """The whole flow of one entity: landed arrays, bronze, snapshot-fed silver, and its statement of the gold file."""
+    base, root, sql = scratch_path(spark, "landing"), scratch_path(spark, "warehouse"), scratch_path(spark, "sql")
+    table, key, columns = GOLD_ENTITIES[wanted]
+    schema = {"type": "struct", "fields": [{"name": c, "type": t, "nullable": c != key} for c, t in columns.items()]}
+    landing.land_json_arrays(
+        fixture(spark, sf_dir, table).select(*columns), base, wanted, F.lit("20250101_000000"), group=F.floor(F.col(key) / 8))
+    body = next(b for n, b in gold.view_statements(GOLD_ENTITIES_SQL) if gold.short_name(n) == wanted)
+    text = f"CREATE OR REFRESH MATERIALIZED VIEW trade.gold.{wanted} AS (\n{body}\n);"
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(sql)
+    ctl = _control(spark, "trade", [
+        (f"bronze_{wanted}", "bronze", {
+            "source_path": f"{base}/key={wanted}", "file_format": "json", "target_table": f"trade.bronze.{wanted}", "schema": schema}),
+        (f"{wanted}_cdc", "silver", {
+            "source_table": f"trade.bronze.{wanted}", "target_table": f"trade.silver.{wanted}_cdc", "cdc_parameters": {
+                "cdc_type": "auto_cdc_from_snapshot", "keys": [key], "stored_as_scd_type": "2",
+                "order_keys": ["_ingestion_timestamp", "file_date"],
+                "track_history_except_column_list": ["source_metadata", "file_date"]}}),
+        ("gold_layer", "gold", {"sql_file_path": sql}),
+    ])
+    control.run_operations(spark, ctl, "trade", root, snapshot_version=1, replace_tables=True)
+    return spark.read.table(f"gold.{wanted}")
+
+
+@register("gold_stations")
+def gold_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gold_entity(spark, sf_dir, "stations")
+
+
+@register("gold_measures")
+def gold_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gold_entity(spark, sf_dir, "measures")
+
+
+@register("gold_sensors")
+def gold_sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gold_entity(spark, sf_dir, "sensors")

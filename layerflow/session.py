@@ -8,6 +8,8 @@ storage; we only choose one ourselves when the session has none (local tests).
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -36,8 +38,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide checkpoint folder, as a URI or path.
 
     Read from the session (``spark.checkpoint.dir`` or a folder already set on
-    the context). Only when neither exists, as in local tests, a fresh folder is
-    created and registered as the context's checkpoint folder.
+    the context). Only when neither exists, and in local mode only, a fresh folder is
+    created and registered as the context's checkpoint folder; on a cluster a
+    machine-local folder would not be shared, so the setting is required.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -47,10 +50,19 @@ def shared_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="layerflow-ckpt-"))
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    sc.setCheckpointDir(_own_scratch())
     return sc.getCheckpointDir()
 
 
+def _own_scratch() -> str:
+    """A folder of this process, removed when it ends (local mode only)."""
+    path = tempfile.mkdtemp(prefix="layerflow-ckpt-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A new, unique location below the shared folder for one job's files."""
     base = shared_dir(spark).rstrip("/")

@@ -20,6 +20,10 @@ Every output row carries ``_quarantine_reason`` (NULL for good rows) and
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -95,9 +99,12 @@ def read_landed(
         all_null = F.lit(True)
         for f in readable.fields:
             all_null = all_null & F.col(f.name).isNull()
-        out = with_lineage(src).withColumn(
-            "__base", F.when(F.col(CORRUPT).isNotNull() & all_null, F.lit("corrupt_record"))
-        )
+        base = F.when(F.col(CORRUPT).isNotNull() & all_null, F.lit("corrupt_record"))
+        if fmt == "csv":  # too few fields; a wrong-typed field alone leaves the record (B3)
+            sep = (options or {}).get("sep", (options or {}).get("delimiter", ","))
+            fields = F.size(F.split(F.col(CORRUPT), re.escape(sep)))
+            base = F.coalesce(base, F.when(F.col(CORRUPT).isNotNull() & (fields < len(readable.fields)), F.lit("short_row")))
+        out = with_lineage(src).withColumn("__base", base)
     else:
         raise ValueError(f"unknown mode {mode!r}; use 'native' or 'salvage'")
     return (
@@ -114,9 +121,26 @@ def quarantined_rows(df: DataFrame) -> DataFrame:
     return df.filter(F.col(REASON).isNotNull())
 
 
-def with_bucket(df: DataFrame, keys: list[str], buckets: int, name: str = "__bucket") -> DataFrame:
+BUCKET_PREFIX = "__bucket_"
+
+
+def bucket_column(keys: Sequence[str], buckets: int) -> str:
+    """Name of the bucket column for these keys and this number: a table's column of another name is for other
+    keys and is never taken for it."""
+    return BUCKET_PREFIX + hashlib.md5(repr((list(keys), buckets)).encode()).hexdigest()[:8]
+
+
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
     """Key bucket used to rewrite silver incrementally (all rows of a key share one)."""
-    return df.withColumn(name, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int"))
+    return df.withColumn(bucket_column(keys, buckets), bucket_of(keys, buckets))
+
+
+def without_buckets(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith(BUCKET_PREFIX)])
 
 
 def write_bronze(
@@ -174,6 +198,6 @@ def ingest(
     )
     part = None
     if keys:
-        df = with_bucket(df, keys, buckets)
-        part = ["__bucket"]
+        part = [bucket_column(keys, buckets)]
+        df = with_bucket(df, keys, buckets).repartition(part[0])  # one file for each bucket of a micro-batch
     write_bronze(df, target_path, checkpoint, partition_by=part)

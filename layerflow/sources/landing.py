@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType
+from pyspark.sql.types import ArrayType, DataType, StructField, StructType
 
 # Landed timestamps keep their microseconds (Spark's default writes milliseconds).
 JSON_WRITE_OPTIONS = {
@@ -45,12 +45,13 @@ def fan_out_requests(
     endpoint_template: str,
     base_url: str = "",
     run_date: Column | None = None,
+    placeholder: str = PARENT_PLACEHOLDER,
 ) -> DataFrame:
-    """L3: one request per parent row, the parent id substituted in the template.
+    """L3: one request per parent row, the parent id substituted for the template's ``placeholder``.
 
     Output: ``parent_key``, ``resource_key``, ``endpoint``, ``url``.
     """
-    endpoint = F.replace(F.lit(endpoint_template), F.lit(PARENT_PLACEHOLDER), F.col(parent_key).cast("string"))
+    endpoint = F.replace(F.lit(endpoint_template), F.lit(placeholder), F.col(parent_key).cast("string"))
     if YEAR_PLACEHOLDER in endpoint_template:
         when = run_date if run_date is not None else F.current_date()
         endpoint = F.replace(endpoint, F.lit(YEAR_PLACEHOLDER), previous_month_param(when))
@@ -69,6 +70,15 @@ def extract_payload(responses: DataFrame, body: str, list_key: str, element_type
     return responses.select(*keep, F.inline(arr))
 
 
+def dependent_requests(
+    responses: DataFrame, body: str, dependency_key: str, parent_key: str, parent_type: DataType, endpoint_template: str, **request,
+) -> DataFrame:
+    """L3 by the control row's dependency: the parents are the list under the dependency's ``key`` in the responses
+    of its endpoint; ``parent_key`` is the field of a parent that the template asks for."""
+    parents = extract_payload(responses, body, dependency_key, StructType([StructField(parent_key, parent_type)]))
+    return fan_out_requests(parents, parent_key, endpoint_template, **request)
+
+
 def first_element_children(responses: DataFrame, array_col: str, child_field: str, keep: list[str] = ()) -> DataFrame:
     """The children of the first element of every response, one row each;
     appending across responses is the union the rows already form."""
@@ -83,18 +93,27 @@ def land_json_arrays(
     landed_at: Column,
     poison: Column | None = None,
     mode: str = "append",
+    group: Column | None = None,
 ) -> None:
     """Write records as JSON-array lines under ``{base}/key={key}/landed_at=…/``.
 
-    Each line is one array; ``poison`` (a boolean column) appends a ``null``
-    element to that row's array, as an empty API answer does. The landing folder
-    name carries the timestamp that ``file_date`` reads.
+    Each line is one array of the records with one ``landed_at`` and ``group`` (as
+    one API answer holds them; the caller's group bounds its length), or of one
+    record. ``poison`` (a boolean column) appends a ``null`` element to an array, as
+    an empty API answer does. The landing folder name carries the timestamp that
+    ``file_date`` reads; rows are dealt by it, so a folder has few files.
     """
     record = F.to_json(F.struct(*[F.col(c) for c in df.columns]), JSON_WRITE_OPTIONS)
-    line = F.concat(F.lit("["), record, F.lit("]"))
-    if poison is not None:
-        line = F.when(poison, F.concat(F.lit("["), record, F.lit(", null]"))).otherwise(line)
+    rows = df.select(
+        landed_at.alias("landed_at"), record.alias("record"), (poison if poison is not None else F.lit(False)).alias("poison"),
+        (group if group is not None else F.lit(None)).cast("string").alias("group"))
+    if group is None:
+        lines = rows.select("landed_at", F.array("record").alias("records"), "poison")
+    else:
+        lines = rows.groupBy("landed_at", "group").agg(
+            F.sort_array(F.collect_list("record")).alias("records"), F.bool_or("poison").alias("poison"))
+    value = F.concat(F.lit("["), F.array_join("records", ","), F.when(F.col("poison"), ", null").otherwise(""), F.lit("]"))
     (
-        df.select(F.lit(key).alias("key"), landed_at.alias("landed_at"), line.alias("value"))
+        lines.select(F.lit(key).alias("key"), "landed_at", value.alias("value")).repartition("landed_at")
         .write.mode(mode).partitionBy("key", "landed_at").text(base_path)
     )

@@ -40,6 +40,13 @@ def replace_folder(spark: SparkSession, df: DataFrame, path: str) -> None:
     spark.catalog.refreshByPath(path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, here, _ = _fs(spark, path)
+    if fs.exists(here):
+        fs.delete(here, True)
+    spark.catalog.refreshByPath(path)
+
+
 @dataclass
 class SnapshotStore:
     """History of a snapshot-fed table that is only ever added to.
@@ -62,30 +69,42 @@ class SnapshotStore:
         row = None if log is None else log.orderBy(F.desc("place")).select("place", "run", "version").first()
         return None if row is None else (row["place"], row["run"], row["version"])
 
-    def _part(self, kind: str, runs: list[str]) -> DataFrame | None:
-        path = f"{self.root}/{kind}"
-        if not runs or not exists(self.spark, path):
-            return None
-        return self.spark.read.option("basePath", path).parquet(*[f"{path}/run={r}" for r in runs if exists(self.spark, f"{path}/run={r}")]).drop("run")
+    def folders(self) -> list[str]:
+        """Where the rows are: open rows of the newest run, closed rows of all complete ones."""
+        last = self.last()
+        if last is None:
+            return []
+        closed = [f"{self.root}/closed/run={r.run}" for r in self._log().orderBy("place").select("run").collect()]
+        return [f"{self.root}/open/run={last[1]}", *(path for path in closed if exists(self.spark, path))]
 
     def open_rows(self) -> DataFrame | None:
         last = self.last()
-        return None if last is None else self._part("open", [last[1]])
+        return None if last is None else self.spark.read.parquet(f"{self.root}/open/run={last[1]}")
 
     def read(self) -> DataFrame | None:
-        """The whole history: open rows of the newest run and the closed rows of all complete ones."""
-        now = self.open_rows()
-        if now is None:
-            return None
-        closed = self._part("closed", [r.run for r in self._log().select("run").collect()])
-        return now if closed is None else now.unionByName(closed)
+        """The whole history."""
+        found = self.folders()
+        return self.spark.read.parquet(*found) if found else None
 
     def add(self, open_rows: DataFrame, closed_rows: DataFrame | None, version: Any) -> None:
-        """One more complete run."""
-        last, run = self.last(), uuid.uuid4().hex
+        """One more complete run of separate open and closed rows."""
+        run = uuid.uuid4().hex
         open_rows.write.parquet(f"{self.root}/open/run={run}")
         if closed_rows is not None:
             closed_rows.write.parquet(f"{self.root}/closed/run={run}")
+        self._log_run(run, version)
+
+    def add_changes(self, changed: DataFrame, version: Any) -> None:
+        """One more complete run of rows that are open (no ``__END_AT``) or closed by it. They are computed once, into a
+        stage of two parts."""
+        stage = f"{self.root}/stage/{uuid.uuid4().hex}"
+        changed.withColumn("__closed", F.col("__END_AT").isNotNull()).write.partitionBy("__closed").parquet(stage)
+        rows = self.spark.read.schema(f"{changed.schema.toDDL()}, __closed boolean").parquet(stage)
+        self.add(rows.filter("not __closed").drop("__closed"), rows.filter("__closed").drop("__closed"), version)
+        remove_folder(self.spark, stage)
+
+    def _log_run(self, run: str, version: Any) -> None:
+        last = self.last()
         self.spark.range(1).select(
             F.lit(0 if last is None else last[0] + 1).cast("long").alias("place"), F.lit(run).alias("run"),
             F.lit(version).alias("version"), F.current_timestamp().alias("applied_at"),

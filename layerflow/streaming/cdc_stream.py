@@ -1,8 +1,9 @@
 """Keep an SCD table up to date from the growing bronze table.
 
 Bronze is the complete, append-only change log, so silver is a pure function
-of it. Both are stored by key bucket (``__bucket = pmod(xxhash64(keys), N)``);
-all rows of a key share a bucket. Each micro-batch of the bronze stream:
+of it. Both are stored by key bucket (``pmod(xxhash64(keys), N)``, in a column
+named after keys and N); all rows of a key share a bucket. Bronze of another
+key's buckets, or of none, is read by the hash itself (right, but not pruned). Each micro-batch of the bronze stream:
 
 1. collects the set of buckets it touches (at most N small integers);
 2. reads those buckets from bronze (partition pruning) — all rows, old and new;
@@ -23,14 +24,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cdc
-from ..sources.files import CORRUPT, LINEAGE, REASON
+from ..sources.files import CORRUPT, LINEAGE, REASON, bucket_column, bucket_of, without_buckets
+from ..sources.tables import read_table, stream_table
 
-BUCKET = "__bucket"
-BOOKKEEPING = (*LINEAGE, CORRUPT, REASON, BUCKET)
+NULL_SEQUENCE = "null_sequence"
 
 
-def bucket_of(keys: Sequence[str], buckets: int):
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+def plain_rows(bronze: DataFrame) -> DataFrame:
+    """Good rows of a bronze table: quarantined ones, and the columns that only keep book, are left out.
+    Lineage columns stay."""
+    rows = bronze.filter(F.col(REASON).isNull()) if REASON in bronze.columns else bronze
+    return without_buckets(rows).drop(CORRUPT, REASON)
+
+
+def untracked_lineage(df: DataFrame, track: Sequence[str] | None, track_except: Sequence[str] | None) -> list[str]:
+    """The except-list with the lineage columns: an ingest alone opens no version, unless ``track`` names them."""
+    return list(dict.fromkeys([*(track_except or []), *(c for c in LINEAGE if c in df.columns and c not in (track or []))]))
 
 
 def recompute_buckets(
@@ -51,24 +60,28 @@ def recompute_buckets(
     spread over that many tasks instead of one.
     """
     keys = list(keys)
-    if BUCKET in bronze.columns:
-        rows = bronze.filter(F.col(BUCKET).isin(touched))
+    own = bucket_column(keys, buckets)
+    if own in bronze.columns:  # written for these keys: partitions are pruned
+        rows = bronze.filter(F.col(own).isin(touched))
     else:
         rows = bronze.filter(bucket_of(keys, buckets).isin(touched))
-    if REASON in rows.columns:
-        rows = rows.filter(F.col(REASON).isNull())
-    keep = list(columns) if columns else [c for c in rows.columns if c not in BOOKKEEPING]
-    rows = rows.select(*keep)
+    rows = plain_rows(rows)
+    if columns:
+        rows = rows.select(*columns)
+    # Dealt by bucket first, which also serves the windows (bucket and keys), so one shuffle leaves one file a bucket.
+    rows = rows.withColumn(own, bucket_of(keys, buckets))
+    if not (segments and segments > 1):
+        rows = rows.repartition(own)
     if int(scd_type) == 1:
-        hist = cdc.scd1_from_changes(rows, keys, sequence_by)
-    else:
-        hist = cdc.scd2_from_changes(rows, keys, sequence_by, track=track, track_except=track_except, segments=segments)
-    return hist.withColumn(BUCKET, bucket_of(keys, buckets))
+        return cdc.scd1_from_changes(rows, [own, *keys], sequence_by)
+    hist = cdc.scd2_from_changes(
+        rows, [own, *keys], sequence_by, track=track, track_except=untracked_lineage(rows, track, track_except), segments=segments)
+    return hist.repartition(own) if segments and segments > 1 else hist
 
 
 def apply_changes(
     spark: SparkSession,
-    bronze_path: str,
+    bronze: str,
     silver_path: str,
     checkpoint: str,
     keys: Sequence[str],
@@ -81,32 +94,39 @@ def apply_changes(
     max_files_per_trigger: int | None = None,
     wait: bool = True,
     segments: int | None = None,
+    quarantine_path: str | None = None,
 ):
-    """Run the silver stream over everything bronze holds now (``availableNow``)."""
-    bronze_schema = spark.read.parquet(bronze_path).schema
-    reader = spark.readStream.format("parquet").schema(bronze_schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    changes = reader.load(bronze_path)
+    """Run the silver stream over everything bronze (a table's name or its folder) holds now (``availableNow``).
+
+    Rows that cannot be applied (quarantined by ingest, or without a sequence value) go to ``quarantine_path``, by
+    micro-batch, so a repeated batch replaces its own.
+    """
+    changes = stream_table(spark, bronze, max_files_per_trigger=max_files_per_trigger)
     key_list = list(keys)
+    own = bucket_column(key_list, buckets)
 
     def apply_batch(batch: DataFrame, epoch_id: int) -> None:
         session = batch.sparkSession
-        if BUCKET in batch.columns:
-            touched_df = batch.select(BUCKET).distinct()
-        else:
-            touched_df = batch.select(bucket_of(key_list, buckets).alias(BUCKET)).distinct()
-        touched = [r[0] for r in touched_df.collect()]
+        of_row = F.col(own) if own in batch.columns else bucket_of(key_list, buckets)
+        touched = [r[0] for r in batch.select(of_row.alias(own)).distinct().collect()]
+        if quarantine_path:
+            reason = F.col(REASON) if REASON in batch.columns else F.lit(None).cast("string")
+            late = F.lit(False)
+            for c in [sequence_by] if isinstance(sequence_by, str) else sequence_by:
+                late = late | F.col(c).isNull()
+            bad = without_buckets(batch).withColumn(REASON, F.coalesce(reason, F.when(late, F.lit(NULL_SEQUENCE)))).filter(
+                F.col(REASON).isNotNull())
+            bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch={epoch_id}")
         if not touched:
             return
         history = recompute_buckets(
-            session.read.parquet(bronze_path), touched, key_list, sequence_by, buckets,
+            read_table(session, bronze), touched, key_list, sequence_by, buckets,
             track, track_except, columns, scd_type, segments,
         )
         (
             history.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BUCKET)
+            .partitionBy(own)
             .parquet(silver_path)
         )
 
@@ -126,4 +146,4 @@ def apply_changes(
 
 def read_silver(spark: SparkSession, silver_path: str) -> DataFrame:
     """The SCD table without its bucket column."""
-    return spark.read.parquet(silver_path).drop(BUCKET)
+    return without_buckets(spark.read.parquet(silver_path))
