@@ -100,17 +100,10 @@ class Identifier:
         self.row: dict[str, int] = {}
         self.costs = np.zeros((1024, len(self.languages) + 1))  # last column: letters
 
-    def _learn(self, token: str) -> int:
+    def cost(self, token: str) -> np.ndarray:
         words = letters(token)
-        at = len(self.row) if len(token) <= MEMO_CHARS else self.memo_entries
-        while at >= len(self.costs):
-            self.costs = np.concatenate([self.costs, np.zeros_like(self.costs)])
         own = [f" {w} " for w in words]
-        self.costs[at, :-1] = [a.bits * sum(map(a.phrases, own)) for a in self.automata]
-        self.costs[at, -1] = sum(map(len, words))
-        if len(token) <= MEMO_CHARS:
-            self.row[token] = at
-        return at
+        return np.array([*(a.bits * sum(map(a.phrases, own)) for a in self.automata), sum(map(len, words))], float)
 
     def costs_of(self, text: str) -> np.ndarray:
         total = np.zeros(len(self.languages) + 1)
@@ -119,15 +112,23 @@ class Identifier:
         for token in text.split():
             try:
                 at.append(row[token])
+                continue
             except KeyError:
-                if len(token) > MEMO_CHARS:
-                    total += self.costs[self._learn(token)]
-                    continue
-                if len(row) >= self.memo_entries:
+                pass
+            cost = self.cost(token)
+            if len(token) > MEMO_CHARS:
+                total += cost
+                continue
+            if len(row) >= self.memo_entries:  # forget, after adding up what stands there
+                if at:
                     total += self.costs[at].sum(axis=0)
                     at = []
-                    row.clear()
-                at.append(self._learn(token))
+                row.clear()
+            if len(row) >= len(self.costs):
+                self.costs = np.concatenate([self.costs, np.zeros_like(self.costs)])
+            self.costs[len(row)] = cost
+            at.append(len(row))
+            row[token] = len(row)
         return total + self.costs[at].sum(axis=0) if at else total
 
     def predict(self, text: str | None) -> tuple[str, float]:

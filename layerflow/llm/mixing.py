@@ -143,25 +143,25 @@ def _choose(n: str, k: str) -> str:
 
 def hypergeometric(pop: str, good: str, taken: str, u: str) -> str:
     """SQL for the number of ``good`` among ``taken`` of ``pop``, from a uniform ``u``: probabilities are
-    subtracted from ``u`` from the mode outward. 12 standard deviations hold all that doubles can tell."""
+    subtracted from ``u`` from the mode outward (its variables begin with _, so columns keep their names). 12 standard deviations hold all that doubles can tell."""
     low, high = f"greatest(0L, {taken} - ({pop} - {good}))", f"least({good}, {taken})"
     mode = f"least({high}, greatest({low}, cast(floor(({good} + 1D) * ({taken} + 1D) / ({pop} + 2D)) as bigint)))"
     steps = (f"cast(least({high} - {low}, 10 + ceil(12 * sqrt({taken} * 1D * {good} / greatest({pop}, 1L) "
              f"* ({pop} - {good}) / greatest({pop}, 1L)))) as bigint)")
-    p0 = f"exp({_choose(good, 'm')} + {_choose(f'{pop} - {good}', f'{taken} - m')} - {_choose(pop, taken)})"
+    p0 = f"exp({_choose(good, '_m')} + {_choose(f'{pop} - {good}', f'{taken} - _m')} - {_choose(pop, taken)})"
     # State: what is left of u, next places and their probabilities above and below, the result (-1: none yet).
-    up = f"(a.pu * ({good} - a.ku) * ({taken} - a.ku) / ((a.ku + 1D) * ({pop} - {good} - {taken} + a.ku + 1D)))"
-    down = f"(a.pd * a.kd * ({pop} - {good} - {taken} + a.kd) / (({good} - a.kd + 1D) * ({taken} - a.kd + 1D)))"
-    first = f"named_struct('u', {u} - p, 'ku', m, 'pu', p, 'kd', m, 'pd', p, 'r', if({u} < p, m, -1L))"
+    up = f"(_a.pu * ({good} - _a.ku) * ({taken} - _a.ku) / ((_a.ku + 1D) * ({pop} - {good} - {taken} + _a.ku + 1D)))"
+    down = f"(_a.pd * _a.kd * ({pop} - {good} - {taken} + _a.kd) / (({good} - _a.kd + 1D) * ({taken} - _a.kd + 1D)))"
+    first = f"named_struct('u', {u} - _p, 'ku', _m, 'pu', _p, 'kd', _m, 'pd', _p, 'r', if({u} < _p, _m, -1L))"
     step = (
-        "if(a.r >= 0, a, transform(array(named_struct("
-        f"'x', if(a.ku < {high}, {up}, 0D), 'y', if(a.kd > {low}, {down}, 0D))), w -> named_struct("
-        "'u', a.u - w.x - w.y, "
-        f"'ku', if(a.ku < {high}, a.ku + 1, a.ku), 'pu', w.x, 'kd', if(a.kd > {low}, a.kd - 1, a.kd), 'pd', w.y, "
-        "'r', case when w.x > 0 and a.u < w.x then a.ku + 1 when w.y > 0 and a.u < w.x + w.y then a.kd - 1 else -1L end))[0])"
+        "if(_a.r >= 0, _a, transform(array(named_struct("
+        f"'x', if(_a.ku < {high}, {up}, 0D), 'y', if(_a.kd > {low}, {down}, 0D))), _w -> named_struct("
+        "'u', _a.u - _w.x - _w.y, "
+        f"'ku', if(_a.ku < {high}, _a.ku + 1, _a.ku), 'pu', _w.x, 'kd', if(_a.kd > {low}, _a.kd - 1, _a.kd), 'pd', _w.y, "
+        "'r', case when _w.x > 0 and _a.u < _w.x then _a.ku + 1 when _w.y > 0 and _a.u < _w.x + _w.y then _a.kd - 1 else -1L end))[0])"
     )
-    draw = f"aggregate(sequence(0L, {steps}), {first}, (a, i) -> {step}, a -> if(a.r >= 0, a.r, m))"
-    return f"transform(array({mode}), m -> transform(array({p0}), p -> {draw})[0])[0]"
+    draw = f"aggregate(sequence(0L, {steps}), {first}, (_a, _i) -> {step}, _a -> if(_a.r >= 0, _a.r, _m))"
+    return f"transform(array({mode}), _m -> transform(array({p0}), _p -> {draw})[0])[0]"
 
 
 def split_quotas(quotas: DataFrame, n_shards: int, seed: int) -> DataFrame:
