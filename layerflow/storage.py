@@ -21,6 +21,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the partition folders (``column=value``) below a folder; none if it is not there."""
+    fs, here, _ = _fs(spark, path)
+    if not fs.exists(here):
+        return []
+    return [f.getPath().getName() for f in fs.listStatus(here) if f.isDirectory() and "=" in f.getPath().getName()]
+
+
 def replace_folder(spark: SparkSession, df: DataFrame, path: str) -> None:
     """Write ``df`` beside ``path``, then let it take the place: ``df`` may read ``path``, and a failed write leaves
     it as it was."""

@@ -1,31 +1,35 @@
 """Keep an SCD table up to date from the growing bronze table.
 
-Bronze is the complete, append-only change log, so silver is a pure function
-of it. Both are stored by key bucket (``pmod(xxhash64(keys), N)``, in a column
-named after keys and N); all rows of a key share a bucket. Bronze of another
-key's buckets, or of none, is read by the hash itself (right, but not pruned). Each micro-batch of the bronze stream:
-
-1. collects the set of buckets it touches (at most N small integers);
-2. reads those buckets from bronze (partition pruning) — all rows, old and new;
-3. recomputes the history of those buckets with the batch operator;
-4. overwrites exactly those buckets of silver (dynamic partition overwrite).
-
-Late and out-of-order rows are therefore exact (no watermark is needed), a
-replayed batch after a failure rewrites the same buckets with the same rows
-(idempotent), and silver is never read while being written. One writer per
-silver table is assumed.
+Bronze is the complete, append-only change log, so silver is a pure function of it. Silver is stored by key bucket
+(``pmod(xxhash64(keys), N)``, in a column named after keys and N; all rows of a key share a bucket) and, inside it, by
+the era in which a version ended (a month of the sequence; open versions in an era of their own, the last). A
+micro-batch whose earliest row of a bucket falls in era E cannot change versions that ended in an earlier era: those
+files are neither read nor written. For the rest of the bucket:
+
+1. each key of the batch is recomputed from the start of its first version that ended in E or later or is open,
+   from the bronze rows of its bucket from there on (old and new; bronze of another key's buckets, or of none, is
+   read by the hash itself: right, but not pruned);
+2. versions of other keys are carried over as they are;
+3. the result is written to a stage first and then takes the place of the bucket's eras from E on.
+
+Late and out-of-order rows are therefore exact (no watermark is needed). A batch that failed on the way is repeated
+from its stage, if that was complete, so it never starts from half-replaced eras. SCD type 1 needs no bronze: the
+newest of the stored row and the batch's rows stays. One writer per silver table is assumed; a reader may see old and
+new eras of a bucket side by side while a batch commits.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from ..operators import cdc
-from ..sources.files import CORRUPT, LINEAGE, REASON, bucket_column, bucket_of, without_buckets
+from ..sources.files import BUCKET_PREFIX, CORRUPT, LINEAGE, REASON, bucket_column, bucket_of, without_buckets
 from ..sources.tables import read_table, stream_table
+from ..storage import exists, list_folders, remove_folder
 
 NULL_SEQUENCE = "null_sequence"
 
@@ -42,41 +46,98 @@ def untracked_lineage(df: DataFrame, track: Sequence[str] | None, track_except:
     return list(dict.fromkeys([*(track_except or []), *(c for c in LINEAGE if c in df.columns and c not in (track or []))]))
 
 
-def recompute_buckets(
+ERA = f"{BUCKET_PREFIX}era"
+OPEN_ERA = 9_000_000_000_000_000_000
+
+
+def era_of(df: DataFrame, column: str, width: float | None = None) -> Column:
+    """The era of a sequence value: its month, or for numbers its multiple of ``width`` (without one, all numbers
+    are of one era)."""
+    kind, c = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, (DateType, TimestampType, TimestampNTZType)):
+        return (F.year(c) * 12 + F.month(c)).cast("long")
+    if width and isinstance(kind, NumericType):
+        return F.floor(c / F.lit(width)).cast("long")
+    return F.when(c.isNotNull(), F.lit(0).cast("long"))
+
+
+def _null_safe(keys: Sequence[str]) -> Column:
+    out = F.lit(True)
+    for k in keys:
+        out = out & F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
+    return out
+
+
+def changed_eras(
+    batch: DataFrame,
     bronze: DataFrame,
-    touched: list[int],
+    silver: DataFrame | None,
     keys: Sequence[str],
     sequence_by: str | Sequence[str],
     buckets: int,
     track: Sequence[str] | None = None,
     track_except: Sequence[str] | None = None,
-    columns: Sequence[str] | None = None,
     scd_type: int = 2,
     segments: int | None = None,
-) -> DataFrame:
-    """History of the touched buckets, with the bucket column for partitioned writes.
-
-    ``segments`` uses the hot-key plan, so a key holding much of a bucket is
-    spread over that many tasks instead of one.
-    """
+    era_width: float | None = None,
+) -> tuple[DataFrame, dict[int, int]]:
+    """The new rows of the touched buckets' eras from the first that the batch can change on, with bucket and era;
+    and that first era of each touched bucket (at most N numbers reach the driver)."""
     keys = list(keys)
-    own = bucket_column(keys, buckets)
-    if own in bronze.columns:  # written for these keys: partitions are pruned
-        rows = bronze.filter(F.col(own).isin(touched))
+    seq = [sequence_by] if isinstance(sequence_by, str) else list(sequence_by)
+    own, by_key = bucket_column(keys, buckets), [bucket_column(keys, buckets), *keys]
+    placed = lambda df: plain_rows(df).withColumn(own, bucket_of(keys, buckets))
+    new_rows = placed(batch)
+    for c in seq:
+        new_rows = new_rows.filter(F.col(c).isNotNull())
+    first_eras = {r[0]: r[1] for r in new_rows.groupBy(own).agg(F.min(era_of(new_rows, seq[0], era_width))).collect()}
+    touched = list(first_eras)
+    if int(scd_type) == 1:
+        rows = new_rows
+        if silver is not None:
+            rows = silver.filter(F.col(own).isin(touched)).drop(ERA).select(*rows.columns).unionByName(rows)
+        now = cdc.scd1_from_changes(rows.repartition(own), by_key, seq)
+        return now.withColumn(ERA, F.lit(OPEN_ERA)), {b: 0 for b in touched}
+
+    at_hand = F.col(own).isin(touched) if own in bronze.columns else bucket_of(keys, buckets).isin(touched)
+    rows = placed(bronze.filter(at_hand))
+    batch_keys = new_rows.groupBy(*by_key).agg(F.min(seq[0]).alias("__first"))
+    carried = None
+    if silver is not None:
+        firsts = F.create_map(*[F.lit(x) for pair in first_eras.items() for x in pair])
+        open_to_change = silver.filter(F.col(own).isin(touched)).filter(F.col(ERA) >= firsts[F.col(own)])
+        carried = open_to_change.alias("l").join(batch_keys.alias("r"), _null_safe(by_key), "left_anti")
+        starts = open_to_change.groupBy(*by_key).agg(F.min(cdc.START_AT).alias("__from"))
+        least = new_rows.agg(F.min(seq[0]).alias("s")).crossJoin(starts.agg(F.min("__from").alias("f"))).select(F.least("s", "f")).first()[0]
+        rows = rows.filter(F.col(seq[0]) >= F.lit(least))  # reaches the scan; files and row groups of older rows are skipped
+        batch_keys = batch_keys.alias("l").join(starts.alias("r"), _null_safe(by_key), "left").select("l.*", "__from")
     else:
-        rows = bronze.filter(bucket_of(keys, buckets).isin(touched))
-    rows = plain_rows(rows)
-    if columns:
-        rows = rows.select(*columns)
-    # Dealt by bucket first, which also serves the windows (bucket and keys), so one shuffle leaves one file a bucket.
-    rows = rows.withColumn(own, bucket_of(keys, buckets))
+        batch_keys = batch_keys.withColumn("__from", F.lit(None).cast(new_rows.schema[seq[0]].dataType))
+    # A row before all versions of its key is where its history now begins; a key without versions begins anywhere.
+    since = F.least("__from", F.when(F.col("__from").isNotNull(), F.col("__first")))
+    rows = rows.alias("l").join(batch_keys.alias("r"), _null_safe(by_key)).filter(
+        since.isNull() | (F.col(f"l.{seq[0]}") >= since)).select("l.*")
     if not (segments and segments > 1):
-        rows = rows.repartition(own)
-    if int(scd_type) == 1:
-        return cdc.scd1_from_changes(rows, [own, *keys], sequence_by)
-    hist = cdc.scd2_from_changes(
-        rows, [own, *keys], sequence_by, track=track, track_except=untracked_lineage(rows, track, track_except), segments=segments)
-    return hist.repartition(own) if segments and segments > 1 else hist
+        rows = rows.repartition(own)  # also serves the windows over bucket and keys
+    history = cdc.scd2_from_changes(
+        rows, by_key, seq, track=track, track_except=untracked_lineage(rows, track, track_except), segments=segments)
+    history = history.withColumn(ERA, F.coalesce(era_of(history, cdc.END_AT, era_width), F.lit(OPEN_ERA)))
+    if carried is not None:
+        history = history.unionByName(carried.select(*history.columns))
+    return history.repartition(own), first_eras
+
+
+def replace_eras(spark: SparkSession, stage: str, silver_path: str, own: str, first_eras: dict[int, int]) -> None:
+    """Let the staged rows take the place of their buckets' eras; eras that the stage no longer has go."""
+    staged = spark.read.parquet(stage)
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(own, ERA).parquet(silver_path)
+    kept = {(r[0], r[1]) for r in staged.select(own, ERA).distinct().collect()}
+    for bucket, first in first_eras.items():
+        folder = f"{silver_path}/{own}={bucket}"
+        for name in list_folders(spark, folder):
+            era = int(name.partition("=")[2])
+            if era >= first and (bucket, era) not in kept:
+                remove_folder(spark, f"{folder}/{name}")
 
 
 def apply_changes(
@@ -95,11 +156,12 @@ def apply_changes(
     wait: bool = True,
     segments: int | None = None,
     quarantine_path: str | None = None,
+    era_width: float | None = None,
 ):
     """Run the silver stream over everything bronze (a table's name or its folder) holds now (``availableNow``).
 
     Rows that cannot be applied (quarantined by ingest, or without a sequence value) go to ``quarantine_path``, by
-    micro-batch, so a repeated batch replaces its own.
+    micro-batch, so a repeated batch replaces its own. ``era_width`` sets the eras of a numeric sequence.
     """
     changes = stream_table(spark, bronze, max_files_per_trigger=max_files_per_trigger)
     key_list = list(keys)
@@ -107,8 +169,7 @@ def apply_changes(
 
     def apply_batch(batch: DataFrame, epoch_id: int) -> None:
         session = batch.sparkSession
-        of_row = F.col(own) if own in batch.columns else bucket_of(key_list, buckets)
-        touched = [r[0] for r in batch.select(of_row.alias(own)).distinct().collect()]
+        batch = batch.select(*[c for c in batch.columns if columns is None or c in columns or c in (REASON, CORRUPT)])
         if quarantine_path:
             reason = F.col(REASON) if REASON in batch.columns else F.lit(None).cast("string")
             late = F.lit(False)
@@ -117,18 +178,22 @@ def apply_changes(
             bad = without_buckets(batch).withColumn(REASON, F.coalesce(reason, F.when(late, F.lit(NULL_SEQUENCE)))).filter(
                 F.col(REASON).isNotNull())
             bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch={epoch_id}")
-        if not touched:
-            return
-        history = recompute_buckets(
-            read_table(session, bronze), touched, key_list, sequence_by, buckets,
-            track, track_except, columns, scd_type, segments,
-        )
-        (
-            history.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(own)
-            .parquet(silver_path)
-        )
+        stage = f"{checkpoint.rstrip('/')}/stage/batch={epoch_id}"
+        done = f"{stage}/eras"
+        if not exists(session, f"{done}/_SUCCESS"):
+            source = read_table(session, bronze)
+            if columns:
+                source = source.select(*[c for c in source.columns if c in columns or c in (REASON, CORRUPT, own)])
+            silver = session.read.parquet(silver_path) if list_folders(session, silver_path) else None
+            now, first_eras = changed_eras(
+                batch, source, silver, key_list, sequence_by, buckets, track, track_except, scd_type, segments, era_width)
+            if not first_eras:
+                return
+            now.write.mode("overwrite").parquet(f"{stage}/rows")
+            session.createDataFrame(list(first_eras.items()), "bucket int, era long").coalesce(1).write.mode("overwrite").parquet(done)
+        first_eras = {r.bucket: r.era for r in session.read.parquet(done).collect()}
+        replace_eras(session, f"{stage}/rows", silver_path, own, first_eras)
+        remove_folder(session, f"{checkpoint.rstrip('/')}/stage/batch={epoch_id - 1}")
 
     q = (
         changes.writeStream.foreachBatch(apply_batch)
