@@ -66,6 +66,18 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+_MODEL: dict[str, object] = {}
+
+
+def worker_model(key: str, build: Callable[[], object]):
+    """What an operator keeps in a Python worker between tasks: its model and memory. A worker holds one operator's
+    at a time, as it serves one task after the other and lives longer than a stage."""
+    if key not in _MODEL:
+        _MODEL.clear()
+        _MODEL[key] = build()
+    return _MODEL[key]
+
+
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``mapInArrow`` with the package at hand in the workers."""
     ship(df.sparkSession)

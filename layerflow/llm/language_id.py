@@ -21,16 +21,17 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WHITE, crc_mod, map_batches, map_rows
+from .common import WHITE, crc_mod, map_batches, map_rows, worker_model
 
 UNKNOWN = "und"
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 200_000
 MEMO_CHARS = 48
 #: How sharply the score answers to the ratio of two languages' costs.
 SHARPNESS = 12.0
@@ -165,19 +166,13 @@ def samples(
     return {lang: f" {' '.join(ws)} " for lang, ws in out.items()}
 
 
-_IDENTIFIERS: dict[str, Identifier] = {}
-
-
-def identifier(key: str, learned: dict[str, str]) -> Identifier:
-    """The worker's identifier for a set of samples: built once in each Python worker."""
-    if key not in _IDENTIFIERS:
-        _IDENTIFIERS.clear()
-        _IDENTIFIERS[key] = Identifier(learned)
-    return _IDENTIFIERS[key]
+def identifier(key: str, learned: Callable[[], dict[str, str]]) -> Identifier:
+    """The worker's identifier for a set of samples."""
+    return worker_model(f"languages {key}", lambda: Identifier(learned()))
 
 
 def learn(
-    docs: DataFrame, words_per_language: int = 10_000, docs_per_language: int = 1_000, id_col: str = "doc_id",
+    docs: DataFrame, words_per_language: int = 6_000, docs_per_language: int = 1_000, id_col: str = "doc_id",
     text_col: str = "text", lang_col: str = "lang", held_out: tuple[int, int] = (4, 2),
 ) -> dict[str, str]:
     """Samples of all languages from the rows whose crc32(id) is not ``held_out[1]`` modulo ``held_out[0]``."""
@@ -191,7 +186,7 @@ def predict(docs: DataFrame, learned: dict[str, str], *keep: str, text_col: str
     broadcast = docs.sparkSession.sparkContext.broadcast(learned)  # bounded by words_per_language
 
     def rows(batch: pa.RecordBatch) -> dict:
-        own = _IDENTIFIERS.get(key) or identifier(key, broadcast.value)
+        own = identifier(key, lambda: broadcast.value)
         found = [own.predict(text.as_py()) for text in batch.column("_text")]
         kept = {c: batch.column(c) for c in keep}
         return kept | {
@@ -212,7 +207,7 @@ def recognised(docs: DataFrame, learned: dict[str, str], least_score: float = 0.
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                own = _IDENTIFIERS.get(key) or identifier(key, broadcast.value)
+                own = identifier(key, lambda: broadcast.value)
                 found = [own.predict(text.as_py()) for text in batch.column(at)]
                 yield batch.filter(pa.array([lang != UNKNOWN and score >= least_score for lang, score in found]))
 
@@ -220,7 +215,7 @@ def recognised(docs: DataFrame, learned: dict[str, str], least_score: float = 0.
 
 
 def language_id(
-    docs: DataFrame, words_per_language: int = 10_000, docs_per_language: int = 1_000, id_col: str = "doc_id",
+    docs: DataFrame, words_per_language: int = 6_000, docs_per_language: int = 1_000, id_col: str = "doc_id",
     text_col: str = "text", lang_col: str = "lang",
 ) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row of ``docs``."""

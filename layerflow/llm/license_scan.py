@@ -19,7 +19,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import id_and_bytes, map_rows
+from .common import id_and_bytes, map_rows, worker_model
 
 # The base phrases and their labels.
 BASE_PHRASES = {
@@ -198,8 +198,6 @@ class Scanner:
         return (len(words), len(starts), *place, ",".join(sorted(base)), ",".join(sorted(labels)), 1 - left, tags, permissive)
 
 
-_SCANNER: list[Scanner] = []
-
 RESULT = (
     ("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()), ("last_word", pa.int64()),
     ("base_labels", pa.string()), ("labels", pa.string()), ("score", pa.float64()), ("n_tags", pa.int64()),
@@ -212,9 +210,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     identifier tags and whether all their expressions leave a permissive choice (null without a tag)."""
 
     def rows(batch: pa.RecordBatch) -> dict:
-        if not _SCANNER:
-            _SCANNER.append(Scanner())
-        scan = _SCANNER[0].scan
+        scan = worker_model("licences", Scanner).scan
         found = [scan(body.as_py()) for body in batch.column("body")]
         return {"doc_id": batch.column("doc_id")} | {
             name: pa.array([f[i] for f in found], kind) for i, (name, kind) in enumerate(RESULT)

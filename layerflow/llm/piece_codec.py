@@ -31,12 +31,12 @@ from array import array
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import id_and_bytes, map_rows
+from .common import id_and_bytes, map_rows, worker_model
 
 SPACE = "▁"
 #: Letters after which punctuation may be cut off, as a class of a regular expression.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 250_000
 MEMO_CHARS = 48
 
 
@@ -230,14 +230,9 @@ class PieceCodec:
         return body.decode("utf-8", "replace").encode()
 
 
-_CODECS: dict[str, PieceCodec] = {}
-
-
 def codec(model_path: str) -> PieceCodec:
-    """The worker's codec for a model: built once in each Python worker."""
-    if model_path not in _CODECS:
-        _CODECS[model_path] = PieceCodec(model_path)
-    return _CODECS[model_path]
+    """The worker's codec for a model."""
+    return worker_model(f"pieces {model_path}", lambda: PieceCodec(model_path))
 
 
 def little_endian(ids: list[int]) -> bytes:

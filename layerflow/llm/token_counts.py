@@ -17,10 +17,12 @@ columns are ignored.
 
 from __future__ import annotations
 
+import os
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import id_and_bytes, map_rows
+from .common import id_and_bytes, map_rows, worker_model
 
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 512
@@ -129,17 +131,10 @@ class TokenCounter:
         return None
 
 
-_COUNTERS: dict[str, TokenCounter] = {}
-
-
 def counter(path: str) -> TokenCounter:
-    """The worker's counter for a file: built once in each Python worker."""
-    if path not in _COUNTERS:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
-        _COUNTERS[path] = TokenCounter(path)
-    return _COUNTERS[path]
+    """The worker's counter for a file."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
+    return worker_model(f"tokens {path}", lambda: TokenCounter(path))
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
