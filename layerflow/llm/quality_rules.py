@@ -122,12 +122,17 @@ def _labelled(rows: DataFrame, labels: DataFrame, id_col: str, label_col: str) -
 
 
 def _thresholds(rows: DataFrame, n: int) -> dict[str, list[float]]:
-    """Up to ``n`` quantiles of each feature over all and over the bad rows: the thresholds of conditions."""
-    share = [(i + 1) / (n + 1) for i in range(n)]
+    """Up to ``n`` quantiles of each feature over all and over the bad rows, with the smallest and largest values, and the
+    middles between them: the thresholds of conditions."""
+    share = [i / (n + 1) for i in range(n + 2)]
     found = rows.agg(*[
         F.percentile_approx(F.when(F.col("bad") >= least, F.col(f)), share, 2000).alias(f"{f}{least}") for f in FEATURES for least in (0, 1)
     ]).first()
-    return {f: sorted({*(found[f"{f}0"] or []), *(found[f"{f}1"] or [])}) for f in FEATURES}
+    out = {}
+    for f in FEATURES:
+        values = sorted({*(found[f"{f}0"] or []), *(found[f"{f}1"] or [])})
+        out[f] = sorted({*values, *((a + b) / 2 for a, b in zip(values, values[1:]))})
+    return out
 
 
 def _gain(p: int, n: int, p0: int, n0: int) -> float:
