@@ -19,24 +19,24 @@ def explode_array(df: DataFrame, array_col: str | Column, alias: str, keep: Sequ
     return df.select(*keep, F.explode(arr).alias(alias))
 
 
-def daily_readings(current: DataFrame) -> DataFrame:
+# The fields of the readings shape, outermost first.
+STATION, SENSOR, DAY, VALID = "id_weatherstation", "id_weatherstationsensor", "observation_date", "is_validated"
+STATISTICS = ("mean", "min", "max", "total")
+
+
+def daily_readings(
+    current: DataFrame, station: str = STATION, sensor: str = SENSOR, day: str = DAY, valid: str = VALID,
+    statistics: Sequence[str] = STATISTICS, levels: Sequence[str] = ("sensors", "dates", "values"),
+) -> DataFrame:
     """G2 on the readings shape: station → sensor → validated date → values.
 
-    Input columns ``id_weatherstation`` and ``sensors: array<struct<
-    id_weatherstationsensor, dates: array<struct<observation_date, is_validated,
-    values: array<struct<mean, min, max, total>>>>>>``; output is flat with the
-    seven gold columns. Only dates with ``is_validated`` true are expanded.
+    ``levels`` names the arrays of structs: ``sensors`` (with ``sensor`` and ``dates``), ``dates`` (with ``day``,
+    ``valid`` and ``values``) and ``values`` (with the ``statistics``). The output is flat: station, sensor, day,
+    statistics. Only dates whose ``valid`` is true are expanded.
     """
-    sensors = explode_array(current, "sensors", "sensor", ["id_weatherstation"])
-    dates = explode_array(
-        sensors, "sensor.dates", "record_date",
-        ["id_weatherstation", F.col("sensor.id_weatherstationsensor").alias("id_weatherstationsensor")],
-    )
+    first, second, third = levels
+    sensors = explode_array(current, first, "s", [station])
+    dates = explode_array(sensors, f"s.{second}", "d", [station, F.col(f"s.{sensor}").alias(sensor)])
     values = explode_array(
-        dates.filter(F.col("record_date.is_validated")), "record_date.values", "date_values",
-        ["id_weatherstation", "id_weatherstationsensor", F.col("record_date.observation_date").alias("observation_date")],
-    )
-    return values.select(
-        "id_weatherstation", "id_weatherstationsensor", "observation_date",
-        *[F.col(f"date_values.{f}").alias(f) for f in ("mean", "min", "max", "total")],
-    )
+        dates.filter(F.col(f"d.{valid}")), f"d.{third}", "v", [station, sensor, F.col(f"d.{day}").alias(day)])
+    return values.select(station, sensor, day, *[F.col(f"v.{f}").alias(f) for f in statistics])

@@ -108,7 +108,7 @@ def changed_eras(
         open_to_change = silver.filter(F.col(own).isin(touched)).filter(F.col(ERA) >= firsts[F.col(own)])
         carried = open_to_change.alias("l").join(batch_keys.alias("r"), _null_safe(by_key), "left_anti")
         starts = open_to_change.groupBy(*by_key).agg(F.min(cdc.START_AT).alias("__from"))
-        least = new_rows.agg(F.min(seq[0]).alias("s")).crossJoin(starts.agg(F.min("__from").alias("f"))).select(F.least("s", "f")).first()[0]
+        least = new_rows.select(seq[0]).union(starts.select("__from")).agg(F.min(seq[0])).first()[0]
         rows = rows.filter(F.col(seq[0]) >= F.lit(least))  # reaches the scan; files and row groups of older rows are skipped
         batch_keys = batch_keys.alias("l").join(starts.alias("r"), _null_safe(by_key), "left").select("l.*", "__from")
     else:

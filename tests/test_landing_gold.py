@@ -90,3 +90,10 @@ def test_three_part_names_and_equal_last_parts(spark, tmp_path):
     assert spark.read.parquet(stored["cat.gold.x"]).count() == 2
     assert gold.materialize_views(spark, text, str(tmp_path)) == stored  # a refresh takes the place of what was there
     spark.sql("DROP TABLE goldnames.src")
+
+
+def test_daily_readings_of_other_names(spark):
+    rows = spark.sql("SELECT 7 AS plant, array(named_struct('meter', 1, 'days', array(named_struct('d', 5, 'ok', true, 'vs', "
+                     "array(named_struct('lo', 2, 'hi', 3), named_struct('lo', 4, 'hi', 9)))))) AS meters")
+    out = nested.daily_readings(rows, "plant", "meter", "d", "ok", ("lo", "hi"), ("meters", "days", "vs"))
+    assert sorted(map(tuple, out.collect())) == [(7, 1, 5, 2, 3), (7, 1, 5, 4, 9)]
