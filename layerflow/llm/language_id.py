@@ -99,13 +99,21 @@ class Identifier:
         self.automata = [SuffixAutomaton(samples[lang]) for lang in self.languages]
         self.memo_entries = memo_entries
         self.row: dict[str, int] = {}
+        self.used = 0
         self.costs = np.zeros((1024, len(self.languages) + 1))  # last column: letters
 
-    def cost(self, token: str) -> np.ndarray:
-        words = letters(token)
+    def cost(self, words: list[str]) -> np.ndarray:
         own = [f" {w} " for w in words]
         return np.array([*(a.bits * sum(map(a.phrases, own)) for a in self.automata), sum(map(len, words))], float)
 
+    def _row(self, words: list[str]) -> int:
+        """A new row of the table."""
+        if self.used >= len(self.costs):
+            self.costs = np.concatenate([self.costs, np.zeros_like(self.costs)])
+        self.costs[self.used] = self.cost(words)
+        self.used += 1
+        return self.used - 1
+
     def costs_of(self, text: str) -> np.ndarray:
         total = np.zeros(len(self.languages) + 1)
         at: list[int] = []
@@ -115,21 +123,24 @@ class Identifier:
                 at.append(row[token])
                 continue
             except KeyError:
-                pass
-            cost = self.cost(token)
+                words = letters(token)
             if len(token) > MEMO_CHARS:
-                total += cost
+                total += self.cost(words)
                 continue
             if len(row) >= self.memo_entries:  # forget, after adding up what stands there
                 if at:
                     total += self.costs[at].sum(axis=0)
                     at = []
                 row.clear()
-            if len(row) >= len(self.costs):
-                self.costs = np.concatenate([self.costs, np.zeros_like(self.costs)])
-            self.costs[len(row)] = cost
-            at.append(len(row))
-            row[token] = len(row)
+                self.used = 0
+            if len(words) == 1:  # tokens of one word, however written, share its row
+                found = row.get(words[0])
+                if found is None:
+                    found = row[words[0]] = self._row(words)
+            else:
+                found = self._row(words)
+            row[token] = found
+            at.append(found)
         return total + self.costs[at].sum(axis=0) if at else total
 
     def predict(self, text: str | None) -> tuple[str, float]:
