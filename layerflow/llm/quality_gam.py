@@ -6,8 +6,8 @@ feature's table. Then the pairs of features that explain most of what is left (b
 tables of their own, boosted in the same way. A score is a sum of table entries, looked up for a whole
 batch at once.
 
-Learning sees a bounded sample: at most ``sample_rows`` labelled rows, those of smallest hash; counts of bins and
-gradients are over these. Features come from whole texts of all rows, and from the text alone.
+Learning sees a bounded sample: about ``sample_rows`` labelled rows at most, chosen by a hash of the id; counts of bins
+and gradients are over these. Features come from whole texts of all rows, and from the text alone.
 
 Results for special input: null and empty texts have all features 0 and are scored like any other; rows whose
 labels are null, other than 0 and 1 or contradict each other are not learned from; with labels of one kind
@@ -201,15 +201,17 @@ def learn(
     rows: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", sample_rows: int = 50_000,
     held_out: tuple[int, int] = (5, 0), **fitting,
 ) -> Gam:
-    """The model of at most ``sample_rows`` labelled rows of ``features`` that are not held out."""
+    """The model of about ``sample_rows`` at most of the labelled rows of ``features`` that are not held out."""
     fold = F.coalesce(crc_mod("doc_id", held_out[0]), F.lit(-1))
     known = (
         labels.filter(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).cast("long").alias("doc_id"))
         .agg(F.min(label_col).alias("low"), F.max(label_col).alias("high")).filter("low = high")
         .select("doc_id", F.col("low").cast("int").alias("y"))
     )
-    sample = rows.filter(fold != held_out[1]).join(known, "doc_id").orderBy(
-        F.xxhash64(F.lit("sample"), "doc_id"), "doc_id", "x").limit(sample_rows).select("x", "y").collect()
+    labelled = rows.filter(fold != held_out[1]).join(known, "doc_id")
+    step = max(1, math.ceil(known.count() / sample_rows))
+    sample = labelled.filter(F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(step)) == 0).select("doc_id", "x", "y").collect()
+    sample.sort(key=lambda r: (r.doc_id, r.x))  # sums of the fit do not depend on the order of tasks
     x = np.array([r.x for r in sample], dtype=float).reshape(len(sample), len(FEATURES))
     return fit(x, np.array([r.y for r in sample], dtype=float), **fitting)
 
