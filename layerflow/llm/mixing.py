@@ -13,9 +13,10 @@
    shards' blocks are disjoint.
 4. *Local shuffle.* A document goes to its block's shards, and is ordered inside each by a hash.
 
-All draws are hashes of a seed and the place in the tree, so reruns agree. What is shuffled is numbers;
-texts move only where the mix itself is asked for. Windows run over the catalogue of sources, and over the
-blocks of one source, which hold ``block_words`` each beyond the first ``least_blocks``; never over documents.
+All draws are hashes of a seed and the place in the tree, so reruns agree. ``takes`` counts what the tree deals, and
+``mixed`` deals the rows by the same tree. What is shuffled is numbers; texts move, and are sorted, only in ``mixed``.
+Windows run over the catalogue of sources, and over the blocks of one source, which hold ``block_words`` each beyond
+the first ``least_blocks``; never over documents.
 
 Results for special input: null and empty texts have size 0 and are taken with their block; the null source
 is a source like any other, sorted last; repeated rows are documents of their own; an empty table gives an
@@ -58,13 +59,16 @@ def _source_key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("s"), source.cast("string")), F.lit("n"))
 
 
+def _place(doc_id: Column, text: Column) -> Column:
+    """Hash of a document, which decides its block."""
+    return F.xxhash64(F.lit(1), doc_id.cast("long"), text.cast("string"))
 
 
 def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """doc_id, source_key, place (hash that decides the block) and size; written, as all else starts from it."""
     return written(docs.select(
         F.col(id_col).cast("long").alias("doc_id"), _source_key(F.col(source_col)).alias("source_key"),
-        F.xxhash64(F.lit(1), F.col(id_col).cast("long"), F.col(text_col).cast("string")).alias("place"),
+        _place(F.col(id_col), F.col(text_col)).alias("place"),
         word_count(F.col(text_col)).alias("size"),
     ), "mix-sizes")
 
@@ -118,16 +122,6 @@ def block_count(sized: DataFrame, mix: Mix) -> int:
     return max(mix.least_blocks, math.ceil(total / mix.block_words))
 
 
-def takes(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, size, source_size, target, taken: how many words of every document the mix takes."""
-    sized = sizes(docs, id_col, text_col, source_col)
-    n_blocks = block_count(sized, mix)
-    per_block = blocks(sized, mix, n_blocks)
-    return sized.withColumn("block", F.pmod("place", F.lit(n_blocks))).join(per_block, ["source_key", "block"]).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies",
-    )
-
-
 # ---------------------------------------------------------------- the splitting tree
 
 def _ln_factorial(n: str) -> str:
@@ -212,6 +206,40 @@ def shard_count(per_block: DataFrame, mix: Mix) -> int:
     return max(1, math.ceil(words / mix.shard_words))
 
 
+def _block(place: Column, n_blocks: int) -> Column:
+    return F.pmod(place, F.lit(n_blocks)).alias("block")
+
+
+def _order(mix: Mix, shard: Column, copy: Column, doc_id: Column, place: Column) -> Column:
+    """What the local shuffle orders a copy of a document by, inside its shard."""
+    return F.xxhash64(F.lit(mix.seed), F.lit("order"), shard, copy, doc_id, place)
+
+
+def _dealt_blocks(sized: DataFrame, mix: Mix) -> tuple[int, int, DataFrame, DataFrame]:
+    """Numbers of blocks and shards, what ``blocks`` says, and the shards that the tree deals the blocks to; both written."""
+    n_blocks = block_count(sized, mix)
+    per_block = written(blocks(sized, mix, n_blocks), "mix-blocks")
+    n_shards = shard_count(per_block, mix)
+    return n_blocks, n_shards, per_block, written(block_shards(per_block, mix, n_shards), "mix-shards")
+
+
+def takes(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """doc_id, size, source_size, target, taken, copies, dealt: how many words of every document the mix takes, as the
+    tree deals its block, and for each copy its shard and what the local shuffle orders it by there."""
+    sized = sizes(docs, id_col, text_col, source_col)
+    n_blocks, _, per_block, shards = _dealt_blocks(sized, mix)
+    of_block = per_block.select("source_key", "block", "source_size", "target").join(shards, ["source_key", "block"], "left")
+    rows = sized.withColumn("block", _block(F.col("place"), n_blocks)).join(of_block, ["source_key", "block"])
+    shards_of = F.coalesce("shards", F.array().cast("array<bigint>"))
+    dealt = F.transform(shards_of, lambda shard, copy: F.struct(
+        shard.alias("shard"), _order(mix, shard, copy, F.col("doc_id"), F.col("place")).alias("order")))
+    copies = F.size(shards_of).cast("long")
+    return rows.select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), copies.alias("copies"),
+        dealt.alias("dealt"),
+    )
+
+
 def mixed(
     docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     shard_col: str | None = None,
@@ -219,16 +247,14 @@ def mixed(
     """The mix itself: the rows of ``docs``, each as often as it is taken, dealt to shards (one partition
     holds whole shards) and shuffled inside them. ``shard_col`` names a column for the shard, if wanted."""
     sized = sizes(docs, id_col, text_col, source_col)
-    n_blocks = block_count(sized, mix)
-    per_block = written(blocks(sized, mix, n_blocks), "mix-blocks")
-    n_shards = shard_count(per_block, mix)
-    shards = written(block_shards(per_block, mix, n_shards), "mix-shards")
+    n_blocks, n_shards, _, shards = _dealt_blocks(sized, mix)
+    place = _place(F.col(id_col), F.col(text_col))
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _source_key(F.col(source_col)).alias("source_key"),
-        F.pmod(F.xxhash64(F.lit(1), F.col(id_col).cast("long"), F.col(text_col).cast("string")), F.lit(n_blocks)).alias("block"),
+        place.alias("place"), _block(place, n_blocks),
     )
-    dealt = rows.join(shards, ["source_key", "block"]).select("row", F.posexplode("shards").alias("copy", "shard"))
-    order = F.xxhash64(F.lit(mix.seed), F.lit("order"), "shard", "copy", f"row.{id_col}", f"row.{text_col}")
+    dealt = rows.join(shards, ["source_key", "block"]).select("row", "place", F.posexplode("shards").alias("copy", "shard"))
+    order = _order(mix, F.col("shard"), F.col("copy"), F.col(f"row.`{id_col}`").cast("long"), F.col("place"))
     dealt = dealt.repartition(max(1, n_shards), "shard").sortWithinPartitions("shard", order)
     extra = [F.col("shard").alias(shard_col)] if shard_col else []
     return dealt.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns], *extra)

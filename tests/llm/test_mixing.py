@@ -107,3 +107,25 @@ def test_the_mix_holds_what_is_taken(documents, odd, none):
     first = mixing.mixed(documents, Mix(shard_words=3000)).select("doc_id").collect()
     assert first == mixing.mixed(documents, Mix(shard_words=3000)).select("doc_id").collect()
     assert [r.doc_id for r in first] != sorted(r.doc_id for r in first)
+
+
+def test_takes_are_what_the_tree_deals(documents, odd):
+    for docs, mix in ((documents, Mix(shard_words=3000)), (odd, Mix(least_blocks=8, shard_words=2000))):
+        got = mixing.takes(docs, mix).collect()
+        assert all(r.copies == len(r.dealt) and r.taken == r.size * r.copies for r in got)
+        dealt = sorted((d.shard, d.order, r.doc_id or 0) for r in got for d in r.dealt)
+        mixed = mixing.mixed(docs, mix, shard_col="shard")
+        by_shard = {}
+        for r in mixed.collect():
+            by_shard.setdefault(r.shard, []).append(r.doc_id or 0)
+        assert len(by_shard) > 2
+        assert [(s, i) for s, _, i in dealt] == [(s, i) for s in sorted(by_shard) for i in by_shard[s]]
+
+
+def test_taken_is_counted_from_the_dealt_blocks(documents, monkeypatch):
+    deal = mixing.block_shards
+    monkeypatch.setattr(mixing, "block_shards", lambda *args: deal(*args).filter("block % 2 = 0"))
+    got = mixing.takes(documents).collect()
+    taken = sum(r.taken for r in got)
+    monkeypatch.undo()
+    assert 0 < taken < sum(r.taken for r in mixing.takes(documents).collect())
