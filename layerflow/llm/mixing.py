@@ -5,7 +5,8 @@
    filling: one level per unit of weight, found with running sums over the source catalogue).
 2. *Blocks.* Documents fall into blocks of their source by a hash. A source is taken whole as often as
    its target allows; for the rest, blocks are drawn without replacement in a permuted order up to the
-   target, and one more block fills the gap if some block fits it. So all counts are exact block quotas.
+   target, and then on, passing over blocks that do not fit; one more block fills the gap if some block comes nearer.
+   Of these sums the nearest to the target counts. So all counts are exact block quotas.
 3. *Splitting tree.* The quotas of all sources are divided among the output shards by a binary tree. At
    each node the left half's share of every source is a draw from the multivariate hypergeometric
    distribution (a chain of hypergeometric draws, inverted from their mode outward), so shards are exact
@@ -35,6 +36,10 @@ from pyspark.sql import functions as F
 from .common import WHITE, written
 
 
+#: Running sums of a draw of blocks: each but the first passes over all blocks that are larger than the gap.
+DRAWS = 4
+
+
 @dataclass(frozen=True)
 class Mix:
     """What a mix is to be. ``weights`` repeat over the sources in code point order, null last."""
@@ -102,17 +107,27 @@ def blocks(sized: DataFrame, mix: Mix, n_blocks: int) -> DataFrame:
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     own = own.withColumn("whole", whole).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
     source = Window.partitionBy("source_key")
-    permuted = source.orderBy(F.xxhash64(F.lit(mix.seed), F.lit("draw"), "source_key", "block"), "block")
-    own = own.withColumn("sum", F.sum("words").over(permuted.rowsBetween(Window.unboundedPreceding, 0)))
-    own = own.withColumn("drawn", F.col("sum") <= F.col("rest"))
-    own = own.withColumn(
-        "gap", F.col("rest") - F.coalesce(F.max(F.when(F.col("drawn"), F.col("sum"))).over(source), F.lit(0)),
-    ).withColumn("off", F.abs(F.col("words") - F.col("gap")))
-    filler = F.row_number().over(source.orderBy(F.col("drawn").asc(), "off", "block")) == 1
-    own = own.withColumn("drawn", F.col("drawn") | (filler & (F.col("off") < F.col("gap"))))
+    own = own.withColumn("at", F.xxhash64(F.lit(mix.seed), F.lit("draw"), "source_key", "block"))
+    permuted = source.orderBy("at", "block").rowsBetween(Window.unboundedPreceding, 0)
+    drawn, gap = F.col("drawn"), F.col("gap")
+    own = own.withColumns({"drawn": F.lit(False), "gap": F.col("rest"), "taken": F.lit(False), "miss": F.lit(math.inf)})
+    for k in range(DRAWS):
+        # A running sum ends at a block that overflows; the next one goes on with the later blocks that fit the gap.
+        fits = ~drawn & (F.col("words") > 0) & (F.col("words") <= gap) if k else F.lit(True)
+        own = own.withColumn("fits", fits).withColumn("sum", F.sum(F.when(F.col("fits"), F.col("words")).otherwise(0)).over(permuted))
+        own = own.withColumn("drawn", drawn | (F.col("fits") & (F.col("sum") <= gap)))
+        own = own.withColumn("gap", F.col("rest") - F.sum(F.when(drawn, F.col("words")).otherwise(0)).over(source))
+        # The block that comes nearest to the gap joins if that is better. Of all sums, the nearest to the target is taken.
+        off = F.struct(F.abs(F.col("words") - gap).alias("off"), "block")
+        own = own.withColumn("filler", F.min(F.when(~drawn, off)).over(source))
+        fills = F.coalesce(F.col("filler.off") < gap, F.lit(False))
+        own = own.withColumn("now", F.when(fills, F.col("filler.off")).otherwise(gap))
+        better = F.col("now") < F.col("miss")
+        own = own.withColumn("taken", F.when(better, drawn | (fills & (F.col("block") == F.col("filler.block")))).otherwise(F.col("taken")))
+        own = own.withColumn("miss", F.least("miss", "now"))
     return own.select(
         "source_key", "block", "words", "source_rank", "source_size", "target",
-        (F.col("whole") + F.col("drawn").cast("long")).alias("copies"),
+        (F.col("whole") + F.col("taken").cast("long")).alias("copies"),
     )
 
 

@@ -129,3 +129,18 @@ def test_taken_is_counted_from_the_dealt_blocks(documents, monkeypatch):
     taken = sum(r.taken for r in got)
     monkeypatch.undo()
     assert 0 < taken < sum(r.taken for r in mixing.takes(documents).collect())
+
+
+@pytest.mark.parametrize("part", [3, 5, 11])
+def test_one_dominant_document_leaves_no_gap(spark, part):
+    """40 sources, each of 400 documents and one that holds 1/part of all words; half of the words are wanted."""
+    small = [1 + k * 7 % 40 for k in range(400)]
+    large = round(sum(small) / (part - 1))
+    rows = [(k, f"s{s:02}", hash((s, k)), n) for s in range(40) for k, n in enumerate([*small, large])]
+    sized = spark.createDataFrame(rows, "doc_id long, source_key string, place long, size long")
+    taken, target = Counter(), {}
+    for r in mixing.blocks(sized, Mix(weights=(1,), share=0.5), 1024).collect():
+        assert r.copies in (0, 1)
+        taken[r.source_key] += r.words * r.copies
+        target[r.source_key] = r.target
+    assert len(target) == 40 and all(abs(taken[s] - target[s]) <= 0.005 * (sum(small) + large) for s in target)
