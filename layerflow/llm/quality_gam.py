@@ -6,8 +6,8 @@ feature's table. Then the pairs of features that explain most of what is left (b
 tables of their own, boosted in the same way. A score is a sum of table entries, looked up for a whole
 batch at once.
 
-Learning sees a bounded sample: about ``sample_rows`` labelled rows at most, chosen by a hash of the id; counts of bins
-and gradients are over these. Features come from whole texts of all rows, and from the text alone.
+Learning sees a bounded sample: about ``sample_rows`` distinct labelled rows at most, chosen by a hash of id and features,
+each with the number of its copies as weight; counts of bins and gradients are over these. Features come from whole texts of all rows, and from the text alone.
 
 Results for special input: null and empty texts have all features 0 and are scored like any other; rows whose
 labels are null, other than 0 and 1 or contradict each other are not learned from; with labels of one kind
@@ -99,9 +99,12 @@ class Gam:
         return 1 / (1 + np.exp(-total))
 
 
-def _quantiles(x: np.ndarray, n: int) -> np.ndarray:
-    """Borders of at most n bins of about equal counts; a bin holds values above one border up to the next."""
-    return np.unique(np.quantile(x, np.arange(1, n) / n, method="lower"))
+def _quantiles(x: np.ndarray, n: int, weight: np.ndarray) -> np.ndarray:
+    """Borders of at most n bins of about equal weight; a bin holds values above one border up to the next. As
+    ``np.quantile(..., method="lower")`` of every value repeated ``weight`` times."""
+    order, q = np.argsort(x, kind="stable"), np.arange(1, n) / n
+    until = np.cumsum(weight[order])
+    return np.unique(x[order][np.searchsorted(until, np.floor(until[-1] * q + (1 - q) - 1), side="right")])
 
 
 def _leaf_gain(g, h):
@@ -150,22 +153,23 @@ def _grid_tree(g: np.ndarray, h: np.ndarray, least: float) -> tuple[np.ndarray,
 
 def fit(
     x: np.ndarray, y: np.ndarray, bins: int = 32, coarse: int = 8, rounds: int = 150, pair_rounds: int = 60, n_pairs: int = 4,
-    rate: float = 0.1, least: float = 2.0,
+    rate: float = 0.1, least: float = 2.0, weight: np.ndarray | None = None,
 ) -> Gam:
-    """Learn a model from rows of features and labels (0 and 1)."""
-    good = float((y.sum() + 1) / (len(y) + 2))
+    """Learn a model from rows of features and labels (0 and 1); ``weight``: how many rows each stands for, else one."""
+    weight = np.ones(len(y)) if weight is None else weight
+    good = float(((weight * y).sum() + 1) / (weight.sum() + 2))
     gam = Gam(math.log(good / (1 - good)))
     if not 0 < y.sum() < len(y):
         return gam
-    gam.borders = [_quantiles(x[:, j], bins) for j in range(x.shape[1])]
-    gam.coarse = [_quantiles(x[:, j], coarse) for j in range(x.shape[1])]
+    gam.borders = [_quantiles(x[:, j], bins, weight) for j in range(x.shape[1])]
+    gam.coarse = [_quantiles(x[:, j], coarse, weight) for j in range(x.shape[1])]
     gam.tables = [np.zeros(len(b) + 1) for b in gam.borders]
     binned = [np.searchsorted(b, x[:, j]) for j, b in enumerate(gam.borders)]
     total = np.full(len(y), gam.intercept)
 
     def gradients() -> tuple[np.ndarray, np.ndarray]:
         p = 1 / (1 + np.exp(-total))
-        return y - p, p * (1 - p)
+        return weight * (y - p), weight * (p * (1 - p))
 
     for _ in range(rounds):
         for j, b in enumerate(binned):
@@ -201,7 +205,8 @@ def learn(
     rows: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", sample_rows: int = 50_000,
     held_out: tuple[int, int] = (5, 0), **fitting,
 ) -> Gam:
-    """The model of about ``sample_rows`` at most of the labelled rows of ``features`` that are not held out."""
+    """The model of the labelled rows of ``features`` that are not held out. Rows equal in id and features count as one
+    with their number as weight; about ``sample_rows`` of these at most reach the driver, however often an id occurs."""
     fold = F.coalesce(crc_mod("doc_id", held_out[0]), F.lit(-1))
     known = (
         labels.filter(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).cast("long").alias("doc_id"))
@@ -209,11 +214,13 @@ def learn(
         .select("doc_id", F.col("low").cast("int").alias("y"))
     )
     labelled = rows.filter(fold != held_out[1]).join(known, "doc_id")
-    step = max(1, math.ceil(known.count() / sample_rows))
-    sample = labelled.filter(F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(step)) == 0).select("doc_id", "x", "y").collect()
+    classes = written(labelled.groupBy("doc_id", "x", "y").agg(F.count("*").alias("n")), "quality-labelled")
+    step = max(1, math.ceil(classes.count() / sample_rows))
+    sample = classes.filter(F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "x"), F.lit(step)) == 0).collect()
     sample.sort(key=lambda r: (r.doc_id, r.x))  # sums of the fit do not depend on the order of tasks
     x = np.array([r.x for r in sample], dtype=float).reshape(len(sample), len(FEATURES))
-    return fit(x, np.array([r.y for r in sample], dtype=float), **fitting)
+    y, weight = (np.array([r[c] for r in sample], dtype=float) for c in ("y", "n"))
+    return fit(x, y, weight=weight, **fitting)
 
 
 def quality_scores(

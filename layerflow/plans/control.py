@@ -61,11 +61,15 @@ def write_control(df: DataFrame, path: str, mode: str = "append") -> None:
     df.select(*[F.col(f.name).cast(f.dataType) for f in CONTROL_SCHEMA.fields]).write.mode(mode).parquet(path)
 
 
-def delete_operations(spark: SparkSession, path: str, ingestion_names: Iterable[str]) -> None:
-    """DELETE by ingestion name: plain parquet has no DELETE, so the rest (the control table is small) is written
-    beside it and takes its place. Rows without a name are no one's and stay."""
-    named = F.coalesce(F.col("ingestion_name").isin(list(ingestion_names)), F.lit(False))
-    replace_folder(spark, spark.read.parquet(path).filter(~named), path)
+def delete_operations(spark: SparkSession, path: str, ingestion_names: Iterable[str] | DataFrame) -> None:
+    """DELETE by ingestion name, of a few names or of a table's column ``ingestion_name``: plain parquet has no DELETE,
+    so the rest is written beside it and takes its place. Rows without a name are no one's and stay."""
+    rows = spark.read.parquet(path)
+    if isinstance(ingestion_names, DataFrame):
+        rest = rows.join(ingestion_names.select("ingestion_name"), "ingestion_name", "left_anti").select(rows.columns)
+    else:
+        rest = rows.filter(~F.coalesce(F.col("ingestion_name").isin(list(ingestion_names)), F.lit(False)))
+    replace_folder(spark, rest, path)
 
 
 def list_operations(spark: SparkSession, path: str) -> DataFrame:

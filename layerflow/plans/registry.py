@@ -590,8 +590,7 @@ def control_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     control.write_control(rows.filter(key % 2 == 0), path, mode="overwrite")
     control.write_control(
         rows.filter(key % 2 == 1).withColumn("ingestion_name", F.when(key % 5 != 0, F.col("ingestion_name"))), path)
-    gone = [r[0] for r in rows.filter(key % 3 == 0).select("ingestion_name").collect()]
-    control.delete_operations(spark, path, gone)
+    control.delete_operations(spark, path, rows.filter(key % 3 == 0).select("ingestion_name"))
     return control.list_operations(spark, path).select("operation_name", "ingestion_name", "operation_type", "is_active")
 
 

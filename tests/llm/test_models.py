@@ -154,3 +154,29 @@ def test_quality_of_odd_rows(odd, odd_rows, none, labels):
     one_kind = quality_gam.quality_scores(odd, labels.filter("quality = 1")).collect()
     assert len({r.score for r in one_kind}) == 1 and one_kind[0].score > 0.5
     assert {r.score for r in quality_gam.quality_scores(odd, labels.filter("false")).collect()} == {0.5}
+
+
+def test_a_frequent_id_does_not_widen_the_sample(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(quality_gam, "fit", lambda x, y, weight=None, **_: seen.update(x=x, y=y, weight=weight))
+    width = len(quality_gam.FEATURES)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(50)], "doc_id long, quality int")
+    copies = [(1, [1.0] * width)] * 2000
+    others = [(k, [float(k)] * width) for k in range(2, 50)]
+    texts = [(3, [float(k), *[0.0] * (width - 1)]) for k in range(100, 2100)]
+    for rows, most in ((copies + others, 49), (texts + others, 200)):
+        quality_gam.learn(
+            spark.createDataFrame(rows, "doc_id long, x array<double>"), labels, sample_rows=100, held_out=(5, 9))
+        assert 0 < len(seen["x"]) <= most
+    quality_gam.learn(spark.createDataFrame(copies + others, "doc_id long, x array<double>"), labels, held_out=(5, 9))
+    assert seen["weight"].sum() == len(copies + others)
+
+
+def test_weights_stand_for_copies():
+    rnd = np.random.default_rng(3)
+    x, weight = np.round(rnd.normal(size=(400, 3)), 1), rnd.integers(1, 6, 400).astype(float)
+    y = (x[:, 0] + rnd.normal(size=400) > 0).astype(float)
+    every = np.repeat(np.arange(400), weight.astype(int))
+    a, b = quality_gam.fit(x, y, weight=weight), quality_gam.fit(x[every], y[every])
+    assert all((p == q).all() for p, q in zip(a.borders + a.coarse, b.borders + b.coarse))
+    assert np.allclose(a.scores(x), b.scores(x), atol=1e-6)

@@ -219,3 +219,12 @@ def test_a_cluster_needs_a_shared_folder():
         master="spark://host:7077", getCheckpointDir=lambda: None, getConf=lambda: SimpleNamespace(get=lambda k, d: None))
     with pytest.raises(RuntimeError):
         session.shared_dir(SimpleNamespace(sparkContext=context))
+
+
+def test_delete_by_a_table_of_names(spark, tmp_path):
+    path, schema = str(tmp_path / "control"), "operation_name string, ingestion_name string, operation_type string"
+    spark.createDataFrame([("o", n, "gold") for n in ("a", "b", "b", "c", None)], schema).write.parquet(path)
+    control.delete_operations(spark, path, spark.createDataFrame([("b",), ("b",), ("z",), (None,)], "ingestion_name string"))
+    left = spark.read.parquet(path)
+    assert left.columns == ["operation_name", "ingestion_name", "operation_type"]
+    assert sorted(r.ingestion_name or "" for r in left.collect()) == ["", "a", "c"]
