@@ -152,3 +152,69 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = compone
 FROM embeddings LEFT JOIN counts USING (vec_id)
 JOIN (SELECT x AS vec_id, min(y) AS component_id FROM reach GROUP BY x) USING (vec_id)
 """
+
+
+@query
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pattern matches and literals that reach names of secrets, of every text."""
+    from .secret_scan import secret_digest
+
+    return secret_digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings whitened by their 16 leading components."""
+    from .embedding_whitening import whitened
+
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct beginning of the rebuilt conversations, with its members, children, leaves and savings."""
+    from .prefix_trie import trie
+
+    return trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLE_SQL["op13_prefix_trie"] = r"""
+WITH ranked AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS txt,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), letters AS (
+  SELECT conv_id AS c, list_transform(range(1, len(conv_id::VARCHAR) + 1), lambda k: ascii(substr(conv_id::VARCHAR, k, 1))::UBIGINT) AS bs
+  FROM ranked WHERE i = 1
+), heads AS (
+  SELECT c AS conv_id, (xor(list_reduce(list_prepend(4294967295::UBIGINT, bs), lambda v, b:
+    list_reduce(list_prepend(xor(v, b), [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda u, z:
+      CASE WHEN u % 2 = 1 THEN xor(u >> 1, 3988292384::UBIGINT) ELSE u >> 1 END)), 4294967295::UBIGINT) % 4)::BIGINT AS h
+  FROM letters
+), rebuilt AS (
+  SELECT heads.conv_id, r.i, r.role, r.txt FROM heads JOIN ranked r ON r.conv_id = heads.conv_id - heads.conv_id % 20 AND r.i <= h
+  UNION ALL
+  SELECT heads.conv_id, r.i, r.role, r.txt FROM heads JOIN ranked r ON r.conv_id = heads.conv_id AND r.i > h
+), paths AS (
+  SELECT heads.conv_id, coalesce(list({'r': role, 't': txt} ORDER BY i) FILTER (i IS NOT NULL), []) AS path
+  FROM heads LEFT JOIN rebuilt USING (conv_id) GROUP BY heads.conv_id
+), members AS (
+  SELECT conv_id, path[1:d] AS node, d, len(path) = d AS ends FROM (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS d FROM paths)
+), nodes AS (
+  SELECT node, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '') AS ended,
+         CASE WHEN any_value(d) = 0 THEN 0 ELSE len(regexp_extract_all(node[-1].t, '[^ 	-
+]+')) END AS words
+  FROM members GROUP BY node
+), family AS (
+  SELECT n.*, p.conv_id AS parent_conv_id FROM nodes n LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.node = n.node[1:n.depth - 1]
+), children AS (
+  SELECT node[1:depth - 1] AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1
+), below AS (
+  SELECT f.node[1:k] AS node, sum((c.n IS NULL)::INT) AS leaves, sum((f.n_convs - 1) * f.words) AS saved
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM family) f LEFT JOIN children c ON c.node = f.node GROUP BY 1
+)
+SELECT f.conv_id, f.depth::BIGINT AS depth, f.parent_conv_id, f.n_convs, coalesce(c.n, 0)::BIGINT AS n_children,
+       b.leaves::BIGINT AS n_leaves, b.saved::BIGINT AS saved_tokens, sha256(f.ended) AS ends_sha256
+FROM family f LEFT JOIN children c ON c.node = f.node JOIN below b ON b.node = f.node
+"""
