@@ -12,10 +12,11 @@ beginnings are neighbours and a common one spreads over several tasks. A task ta
 size. A shard has vertical bitmaps: for every (position, turn) the bitset of the conversations that have the turn there.
 Depth first, a node's bitset (conversations as bits in ascending order of their ids) meets the postings of the turns
 that follow: each meeting is a child, its popcount the child's members, its lowest bit the smallest; what is left of the
-node's bitset ends there. Nodes of the shards are added up by their key, a digest of the path; ends go by key and id, in
-order, through one running SHA-256. Sums over subtrees double the distance in each round: a node's sum over the
-descendants within 2^k turns, plus that of its descendants at distance 2^k. Blocks are summed as wholes first, so rounds
-grow with the logarithm of the depth.
+node's bitset ends there. Nodes that shards share are added up by their key, a digest of the path; their ends go by key and id,
+in order, through one running SHA-256. A node that no other shard can know, by the order in which blocks were dealt, is
+final with all below it. The others, the edges, are few: their sums over subtrees double the distance in each round (a
+node's sum over the descendants within 2^k turns, plus that of its descendants at distance 2^k), blocks as wholes first,
+so rounds grow with the logarithm of the depth.
 
 Results for special input: rows with a null conversation id belong to no conversation; a conversation whose rebuilt
 form has no turn ends at the root; null, empty and very long texts are turns like any other; repeated rows are turns
@@ -92,7 +93,9 @@ def placed(turns: DataFrame) -> DataFrame:
         before = {r["last"]: r["n"] + (before.get(r["last"], 0) if r["first"] == r["last"] else 0)}
     if not shifts:
         return own.drop("task")
-    moved = own.sparkSession.createDataFrame(shifts, "task int, conv_id long, shift long")
+    task, conv, shift = zip(*shifts)
+    moved = own.sparkSession.createDataFrame(pa.table(
+        [pa.array(task, pa.int32()), pa.array(conv, pa.int64()), pa.array(shift, pa.int64())], names=["task", "conv_id", "shift"]))
     return own.join(F.broadcast(moved), ["task", "conv_id"], "left").select(
         "conv_id", (F.col("place") + F.coalesce("shift", F.lit(0))).alias("place"), "digest", "words")
 
@@ -145,35 +148,43 @@ def blocks_of(sequences: DataFrame, block: int = BLOCK) -> DataFrame:
 Block = tuple[int, int, bytes, bytes | None, bool, list[tuple[bytes, int]]]
 
 
-def shard_nodes(blocks: list[Block], size: int = BLOCK) -> Iterator[tuple]:
-    """(key, parent, parent_least, start, above, depth, conv_id, n_convs, words, ends) of every node of a shard: ``above``
-    holds the keys of the ancestors at distances 1, 2, 4, … inside the block, ``ends`` the ids that end at the node."""
+def _lowest(bits: int) -> int:
+    return (bits & -bits).bit_length() - 1
+
+
+def shard_nodes(blocks: list[Block], size: int = BLOCK) -> Iterator[list]:
+    """The nodes of a shard, fields as in ``NODES``; ``blocks`` stand in the order in which they were dealt.
+
+    A node is ``edge`` if another shard may know it too: within the first ``_DEALT_BY`` turns, if it holds the shard's first or
+    last block; below, if its ancestor there does. Edges are also the ends of full blocks, whose children are in other
+    blocks, and all nodes above an edge. The other nodes are whole here: ``children``, ``leaves`` and ``saved`` are
+    final. Those of an edge count the children that are no edges, with all below them. ``above`` holds the keys of an edge's
+    ancestors at distances 1, 2, 4, … inside the block.
+    """
+    borders = {(b[0], b[1]) for b in (blocks[0], blocks[-1])}
     blocks = sorted(blocks, key=lambda b: b[0])
     postings: dict[tuple[int, bytes], int] = {}
     roots: dict[tuple[int, bytes], int] = {}
-    for i, (_, number, start, _, _, turns) in enumerate(blocks):
+    border = 0
+    for i, (conv, number, start, _, _, turns) in enumerate(blocks):
         bit = 1 << i
+        border |= bit * ((conv, number) in borders)
         roots[number, start] = roots.get((number, start), 0) | bit
         for place, (turn, _) in enumerate(turns):
             postings[place, turn] = postings.get((place, turn), 0) | bit
 
-    def least(bits: int) -> int:
-        return (bits & -bits).bit_length() - 1
-
     for (number, start), members in roots.items():
-        base = number * size
-        begin = hashlib.blake2b(start, digest_size=16)
-        path: list[bytes] = [start]  # keys from the block's start down to the node at hand
-        waiting = [(0, members, begin, start, None, None)]
+        # Depth first; a node is put down behind its parent: [depth, bits, key, words, parent's place, edge, ends, smallest].
+        found: list[list] = []
+        waiting = [(0, members, hashlib.blake2b(start, digest_size=16), start, 0, -1)]
         while waiting:
-            depth, bits, state, key, words, parent_least = waiting.pop()
-            del path[depth:]
-            path.append(key)
-            smallest = blocks[least(bits)][0]
-            rest, ends, children = bits, [], []
+            depth, bits, path, key, words, parent = waiting.pop()
+            here = len(found)
+            edge = depth == size or (bits & border != 0 if depth <= _DEALT_BY else found[parent][5])
+            smallest, rest, ends = blocks[_lowest(bits)][0], bits, []
             while rest:
-                i = least(rest)
-                conv, _, _, _, goes_on, turns = blocks[i]
+                i = _lowest(rest)
+                conv, _, _, last, goes_on, turns = blocks[i]
                 if len(turns) == depth:
                     rest &= rest - 1
                     if not goes_on:
@@ -182,30 +193,54 @@ def shard_nodes(blocks: list[Block], size: int = BLOCK) -> Iterator[tuple]:
                 turn, count = turns[depth]
                 child = rest & postings[depth, turn]
                 rest &= ~child
-                below = state.copy()
+                below = path.copy()
                 below.update(turn)
-                full = depth + 1 == size
-                children.append((depth + 1, child, below, blocks[i][3] if full else below.digest(), count, smallest))
-            waiting += children
-            if depth or not number:
-                above = [path[depth - (1 << k)] for k in range(depth.bit_length()) if 1 << k < depth or (1 << k == depth and not number)]
-                yield (key, path[depth - 1] if depth else None, parent_least, start if depth else None, above, base + depth, smallest,
-                       bits.bit_count(), words or 0, ends)
+                waiting.append((depth + 1, child, below, last if depth + 1 == size else below.digest(), count, here))
+            found.append([depth, bits, key, words, parent, edge, ends, smallest])
+
+        for depth, _, _, _, parent, edge, _, _ in reversed(found):
+            if edge and depth:
+                found[parent][5] = True
+        children, leaves, saved = ([0] * len(found) for _ in range(3))
+        for i in range(len(found) - 1, -1, -1):
+            depth, bits, _, words, parent, edge, _, _ = found[i]
+            if not edge:
+                leaves[i] = leaves[i] or 1
+                saved[i] += (bits.bit_count() - 1) * words
+                if depth:
+                    children[parent] += 1
+                    leaves[parent] += leaves[i]
+                    saved[parent] += saved[i]
+        way: list[bytes] = []
+        for i, (depth, bits, key, words, parent, edge, ends, smallest) in enumerate(found):
+            del way[depth:]
+            way.append(key)
+            if not depth and number:  # the end of the block before: known there but for its children
+                yield [True, False, key, None, None, None, number * size, None, None, 0, None, children[i], leaves[i], saved[i], [], None]
+                continue
+            inside = 0 if number else 1  # whether the block's start is one of its nodes
+            yield [
+                edge, bool(depth) and (found[parent][5] or (depth == 1 and number > 0)), key, way[depth - 1] if depth else None,
+                start if depth else None, [way[depth - (1 << k)] for k in range(depth.bit_length()) if (1 << k) < depth + inside] if edge else None,
+                number * size + depth, smallest, found[parent][7] if depth else None, bits.bit_count(), words, children[i], leaves[i], saved[i],
+                ends if edge else None, None if edge else hashlib.sha256(",".join(map(str, ends)).encode()).hexdigest()]
 
 
-NODES = (
-    "key binary, parent binary, parent_least long, start binary, above array<binary>, depth long, conv_id long, n_convs long, words long, "
-    "ends array<long>")
 _ARROW = pa.schema([
-    ("key", pa.binary()), ("parent", pa.binary()), ("parent_least", pa.int64()), ("start", pa.binary()), ("above", pa.list_(pa.binary())),
-    ("depth", pa.int64()), ("conv_id", pa.int64()), ("n_convs", pa.int64()), ("words", pa.int64()), ("ends", pa.list_(pa.int64()))])
+    ("edge", pa.bool_()), ("under_edge", pa.bool_()), ("key", pa.binary()), ("parent", pa.binary()), ("start", pa.binary()),
+    ("above", pa.list_(pa.binary())), ("depth", pa.int64()), ("conv_id", pa.int64()), ("parent_conv_id", pa.int64()), ("n_convs", pa.int64()),
+    ("words", pa.int64()), ("children", pa.int64()), ("leaves", pa.int64()), ("saved", pa.int64()), ("ends", pa.list_(pa.int64())),
+    ("ends_sha256", pa.string())])
+NODES = (
+    "edge boolean, under_edge boolean, key binary, parent binary, start binary, above array<binary>, depth long, conv_id long, "
+    "parent_conv_id long, n_convs long, words long, children long, leaves long, saved long, ends array<long>, ends_sha256 string")
 
 
 def sharded(blocks: DataFrame, size: int = BLOCK, shard_blocks: int = SHARD_BLOCKS, shard_turns: int = SHARD_TURNS) -> DataFrame:
     """The nodes of every shard."""
 
     def out(shard: list[Block]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
+        rows: list[list] = []
         for row in shard_nodes(shard, size):
             rows.append(row)
             if len(rows) == 8192:
@@ -283,32 +318,43 @@ def trie(
     size: int = BLOCK, shard_blocks: int = SHARD_BLOCKS, shard_turns: int = SHARD_TURNS,
 ) -> DataFrame:
     """conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256 of every node."""
-    sequences = rebuilt(turns_of(conversations, id_col, turn_col, role_col, text_col))
-    parts = written(sharded(blocks_of(sequences, size), size, shard_blocks, shard_turns), "trie-shards")
+    turns = written(turns_of(conversations, id_col, turn_col, role_col, text_col), "trie-turns")
+    parts = written(sharded(blocks_of(rebuilt(turns), size), size, shard_blocks, shard_turns), "trie-shards")
+    edges = written(_edges(parts.filter("edge"), size), "trie-edges")
+    # Under an edge, the parent's smallest member may be in another shard. Children of one edge are dealt over its copies.
+    copies = edges.select(
+        F.col("key").alias("parent"), F.col("conv_id").alias("least"), F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
+    columns = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+    whole = parts.filter("not edge").select(
+        "key", "parent", "under_edge", "conv_id", "depth", "parent_conv_id", "n_convs", F.col("children").alias("n_children"),
+        F.col("leaves").alias("n_leaves"), F.col("saved").alias("saved_tokens"), "ends_sha256")
+    under = whole.filter("under_edge").drop("under_edge", "parent_conv_id").unionByName(edges.select(
+        "key", "parent", "conv_id", "depth", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")).withColumn(
+        "salt", F.pmod(F.xxhash64("key"), F.lit(_SALTS)).cast("int")).join(copies, ["parent", "salt"], "left").withColumnRenamed(
+        "least", "parent_conv_id")
+    return whole.filter("not under_edge").select(*columns).unionByName(under.select(*columns))
+
+
+def _edges(parts: DataFrame, size: int) -> DataFrame:
+    """The nodes that shards share, added up, with sums over their whole subtrees."""
     merged = written(parts.groupBy("key").agg(
-        F.any_value("parent").alias("parent"), F.min("parent_least").alias("parent_least"), F.any_value("start").alias("start"),
-        F.any_value("above").alias("above"), F.any_value("depth").alias("depth"), F.min("conv_id").alias("conv_id"),
-        F.sum("n_convs").alias("n_convs"), F.any_value("words").alias("words"), F.count("*").alias("shards")), "trie-nodes")
-    children = merged.filter("parent is not null").groupBy(F.col("parent").alias("key")).agg(F.count("*").alias("n_children"))
+        *[F.any_value(c, True).alias(c) for c in ("parent", "start", "above", "depth", "words")],
+        F.min("conv_id").alias("conv_id"), F.sum("n_convs").alias("n_convs"), *[F.sum(c).alias(c) for c in ("children", "leaves", "saved")]), "trie-merged")
+    of_edges = merged.filter("parent is not null").groupBy(F.col("parent").alias("key")).agg(F.count("*").alias("more"))
     ended = ends_digest(parts.filter(F.size("ends") > 0).select("key", F.explode("ends").alias("id")))
-    # A parent that one shard holds whole has its smallest member there. Those that several shards hold, and the ends of
-    # full blocks (their children are in other blocks), are looked up.
-    spread = merged.filter((F.col("shards") > 1) | (F.col("depth") % size == 0)).select(
-        F.col("key").alias("parent"), F.col("conv_id").alias("parent_conv_id"), F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
-    nodes = merged.join(children, "key", "left").join(ended, "key", "left").withColumn(
-        "salt", F.pmod(F.xxhash64("key"), F.lit(_SALTS)).cast("int")).join(spread, ["parent", "salt"], "left").select(
-        "key", "start", "above", "depth", "conv_id", F.coalesce("parent_conv_id", "parent_least").alias("parent_conv_id"), "n_convs",
-        F.coalesce("n_children", F.lit(0)).cast("long").alias("n_children"), F.coalesce("ends_sha256", F.lit(EMPTY)).alias("ends_sha256"),
-        F.when(F.col("n_children").isNull(), 1).otherwise(0).cast("long").alias("n_leaves"),
-        ((F.col("n_convs") - 1) * F.col("words")).alias("saved_tokens"))
     values = ("n_leaves", "saved_tokens")
-    now = written(nodes, "trie-sums")
-    deepest, deep = now.agg(F.max("depth"), F.max(F.size("above"))).first()
+    n_children = F.col("children") + F.coalesce("more", F.lit(0))
+    now = written(merged.join(of_edges, "key", "left").join(ended, "key", "left").select(
+        "key", "parent", "start", "above", "depth", "conv_id", "n_convs", n_children.alias("n_children"),
+        F.coalesce("ends_sha256", F.lit(EMPTY)).alias("ends_sha256"),
+        (F.when(n_children == 0, 1).otherwise(0) + F.col("leaves")).alias("n_leaves"),
+        ((F.col("n_convs") - 1) * F.col("words") + F.col("saved")).alias("saved_tokens")), "trie-sums")
+    deepest, rounds = now.agg(F.max("depth"), F.max(F.size("above"))).first()
     if (deepest or 0) > size:
-        whole = _whole_below(now, values).select("key", *[F.col(v).alias(f"{v}_below") for v in values])
-        now = written(now.join(whole, "key", "left").select(
+        below = _whole_below(now, values).select("key", *[F.col(v).alias(f"{v}_below") for v in values])
+        now = written(now.join(below, "key", "left").select(
             *[c for c in now.columns if c not in values],
             *[(F.col(v) + F.coalesce(f"{v}_below", F.lit(0))).alias(v) for v in values]), "trie-sums")
-    for k in range(deep or 0):
+    for k in range(rounds or 0):
         now = written(_with_below(now, F.get("above", k), values), "trie-sums")
-    return now.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+    return now

@@ -116,10 +116,15 @@ def test_a_shard_alone(seed):
     """Children, popcounts and ends of one shard, without Spark."""
     rnd = random.Random(seed)
     blocks = [(c, 0, b"", None, False, [(bytes([rnd.randrange(2)]), 1) for _ in range(rnd.randrange(6))]) for c in rnd.sample(range(1000), 60)]
-    got = {r[0]: r for r in pt.shard_nodes(blocks)}
+    got = [dict(zip(pt._ARROW.names, r)) for r in pt.shard_nodes(blocks)]
     paths = defaultdict(list)
     for c, *_, turns in blocks:
         for d in range(len(turns) + 1):
             paths[tuple(t for t, _ in turns[:d])].append((c, d == len(turns)))
-    assert sorted((r[5], r[6], r[7], sorted(r[9])) for r in got.values()) == sorted(
-        (len(p), min(m)[0], len(m), sorted(c for c, last in m if last)) for p, m in paths.items())
+    assert sorted((r["depth"], r["conv_id"], r["n_convs"]) for r in got) == sorted((len(p), min(m)[0], len(m)) for p, m in paths.items())
+    ends = {tuple(sorted(c for c, last in m if last)) for m in paths.values()}
+    assert {tuple(sorted(r["ends"])) for r in got if r["edge"]} <= ends
+    digests = {hashlib.sha256(",".join(map(str, e)).encode()).hexdigest() for e in ends}
+    assert {r["ends_sha256"] for r in got if not r["edge"]} <= digests
+    edges = {r["key"] for r in got if r["edge"]}
+    assert b"" in edges and all(r["parent"] in edges for r in got if r["under_edge"]) and all(r["parent"] in edges or not r["depth"] for r in got if r["edge"])
