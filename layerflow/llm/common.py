@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -78,10 +80,53 @@ def worker_model(key: str, build: Callable[[], object]):
     return _MODEL[key]
 
 
+#: Bytes of an Arrow batch on its way to a Python worker, unless the session sets its own: a task holds several batches at
+#: a time, in the JVM and in Python, and rows are whole texts.
+ARROW_BATCH = "8m"
+_ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def prepare(spark: SparkSession) -> None:
+    """What Python workers need of a session: this package, and batches of bounded bytes."""
+    ship(spark)
+    if spark.conf.get(_ARROW_BYTES, None) is None:
+        spark.conf.set(_ARROW_BYTES, ARROW_BATCH)
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system: a Python worker outlives its task and the stage, and would keep it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not with this C library
+        pass
+
+
+def _then_give_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``mapInArrow`` with the package at hand in the workers."""
-    ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    prepare(df.sparkSession)
+    return df.mapInArrow(_then_give_back(run), schema)
+
+
+def map_column(df: DataFrame, column: Column, values: Callable[[pa.Array], pa.Array], kind: str) -> Column:
+    """A column of ``df`` made of one other column in Arrow batches; the row's other columns stay in the JVM."""
+    prepare(df.sparkSession)
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from _then_give_back(lambda own: map(values, own))(batches)
+
+    return F.arrow_udf(run, kind)(column)
 
 
 def map_rows(df: DataFrame, rows: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:

@@ -1,16 +1,18 @@
 """Language identification by cross-parsing entropy.
 
-Of each language a bounded sample of labelled words is laid out as one text and indexed by its suffix
-automaton, which holds every substring of it. A document is parsed against each language: from left to right,
-always the longest phrase that occurs in the language's text (a character that does not occur is a phrase of its
-own). A phrase of a text of n characters costs log2(n + 1) bits, so samples of different length compare; the
-language needing the fewest normalised phrases wins. Parsing restarts at every word, from the space before it to
-the space behind it, so the phrases of a word depend on the word alone and are remembered in the Python worker, up to a
-bound; a document is the sum of its words.
-
-The labelled sample is the one bounded thing: of each language about ``docs_per_language`` documents, chosen by
-hash, and of their whole texts the ``words_per_language`` most frequent words, counted in Spark. Predictions
-read whole texts of all rows, and only the text.
+Of each language a bounded sample of labelled running text is indexed by its suffix automaton, which holds every
+substring of it. A document, its letters in lower case with one space for everything between words, is parsed as a whole
+against each language: from left to right, always the longest phrase that occurs in the language's text (a character
+that does not occur is a phrase of its own). Phrases run over word borders, so word order and endings count. A phrase of
+a text of n characters costs log2(n + 1) bits, so samples of different length compare; the language needing the
+fewest normalised phrases wins.
+
+The labelled sample is the one bounded thing: of each language at most ``pieces`` pieces of ``piece_chars`` characters,
+chosen and cut by hash, fewer where there are many languages (``total_pieces``). Predictions read whole texts of all
+rows, and only the text.
+
+``recognised`` keeps what reads like one of the languages, whatever their number: the best language's bits a letter must
+stay within the bound learned for it on labelled rows (``bounds``).
 
 Results for special input: null texts, texts without a letter, and all texts if no language was learned get
 ``und`` with score 0; equal costs go to the first language in code point order; repeated rows give repeated
@@ -19,218 +21,210 @@ results; an empty table gives an empty table; other columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import math
-from collections.abc import Callable
+import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WHITE, crc_mod, map_batches, map_rows, worker_model
+from .common import crc_mod, map_column, worker_model
 
 UNKNOWN = "und"
-MEMO_ENTRIES = 200_000
-MEMO_CHARS = 48
 #: How sharply the score answers to the ratio of two languages' costs.
 SHARPNESS = 12.0
+#: Phrases that a text may need beyond its bound: the first and the last one are cut off by its ends.
+SPARE_PHRASES = 3
+#: Of languages with so many labelled rows one text in ``APART`` is kept from the sample, for the bound.
+LEAST_ROWS, APART = 20, 4
+_BETWEEN = re.compile(r"[\W\d_]+")
 
 
 class SuffixAutomaton:
-    """All substrings of a text: states joined by single characters, about two states a character at most."""
+    """All substrings of a text: states joined by single characters, about two states a character at most. A state is
+    the dictionary of the states that follow it."""
 
     def __init__(self, text: str):
-        self.next: list[dict[str, int]] = [{}]
+        states: list[dict] = [{}]
         link, length, last = [-1], [0], 0
         for c in text:
-            here = len(self.next)
-            self.next.append({})
+            here = len(states)
+            states.append({})
             length.append(length[last] + 1)
             link.append(0)
             p = last
-            while p >= 0 and c not in self.next[p]:
-                self.next[p][c] = here
+            while p >= 0 and c not in states[p]:
+                states[p][c] = here
                 p = link[p]
             if p >= 0:
-                q = self.next[p][c]
+                q = states[p][c]
                 if length[p] + 1 == length[q]:
                     link[here] = q
                 else:
-                    copy = len(self.next)
-                    self.next.append(dict(self.next[q]))
+                    copy = len(states)
+                    states.append(dict(states[q]))
                     length.append(length[p] + 1)
                     link.append(link[q])
-                    while p >= 0 and self.next[p].get(c) == q:
-                        self.next[p][c] = copy
+                    while p >= 0 and states[p].get(c) == q:
+                        states[p][c] = copy
                         p = link[p]
                     link[q] = link[here] = copy
             last = here
+        for state in states:
+            for c, target in state.items():
+                state[c] = states[target]
+        self.start = states[0]
         self.bits = math.log2(len(text) + 1)
 
     def phrases(self, s: str) -> int:
         """Number of phrases of the greedy longest-match parse of ``s``."""
-        steps, state, found = self.next, self.next[0], 0
+        start = state = self.start
+        found = 0
         for c in s:
             target = state.get(c)
             if target is None:  # the phrase ends before c, and c begins the next
-                if state is not steps[0]:
+                if state is not start:
                     found += 1
-                target = steps[0].get(c)
-                if target is None:
+                target = start.get(c)
+                if target is None:  # c is a phrase of its own
                     found += 1
-                    state = steps[0]
-                    continue
-            state = steps[target]
-        return found + (state is not steps[0])
+                    target = start
+            state = target
+        return found + (state is not start)
 
 
-def letters(token: str) -> list[str]:
-    """The runs of letters of a token, in lower case."""
-    token = token.lower()
-    return [token] if token.isalpha() else "".join(c if c.isalpha() else " " for c in token).split()
+def running(text: str) -> str:
+    """The words of a text, letters in lower case, with a space around each; empty if there is no letter."""
+    words = _BETWEEN.sub(" ", text.lower()).strip()
+    if words and not words.replace(" ", "").isalpha():  # word characters that are no letters
+        words = " ".join("".join(c if c.isalpha() else " " for c in words).split())
+    return f" {words} " if words else ""
 
 
 class Identifier:
-    """Costs of tokens under all languages, remembered as rows of a table."""
+    """Costs of texts under all languages."""
 
-    def __init__(self, samples: dict[str, str], memo_entries: int = MEMO_ENTRIES):
+    def __init__(self, samples: dict[str, str]):
         self.languages = sorted(samples)
         self.automata = [SuffixAutomaton(samples[lang]) for lang in self.languages]
-        self.memo_entries = memo_entries
-        self.row: dict[str, int] = {}
-        self.used = 0
-        self.costs = np.zeros((1024, len(self.languages) + 1))  # last column: letters
-
-    def cost(self, words: list[str]) -> np.ndarray:
-        own = [f" {w} " for w in words]
-        return np.array([*(a.bits * sum(map(a.phrases, own)) for a in self.automata), sum(map(len, words))], float)
-
-    def _row(self, words: list[str]) -> int:
-        """A new row of the table."""
-        if self.used >= len(self.costs):
-            self.costs = np.concatenate([self.costs, np.zeros_like(self.costs)])
-        self.costs[self.used] = self.cost(words)
-        self.used += 1
-        return self.used - 1
-
-    def costs_of(self, text: str) -> np.ndarray:
-        total = np.zeros(len(self.languages) + 1)
-        at: list[int] = []
-        row = self.row
-        for token in text.split():
-            try:
-                at.append(row[token])
-                continue
-            except KeyError:
-                words = letters(token)
-            if len(token) > MEMO_CHARS:
-                total += self.cost(words)
-                continue
-            if len(row) >= self.memo_entries:  # forget, after adding up what stands there
-                if at:
-                    total += self.costs[at].sum(axis=0)
-                    at = []
-                row.clear()
-                self.used = 0
-            if len(words) == 1:  # tokens of one word, however written, share its row
-                found = row.get(words[0])
-                if found is None:
-                    found = row[words[0]] = self._row(words)
-            else:
-                found = self._row(words)
-            row[token] = found
-            at.append(found)
-        return total + self.costs[at].sum(axis=0) if at else total
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.languages:
-            return UNKNOWN, 0.0
-        costs = self.costs_of(text)
-        if not costs[-1]:
-            return UNKNOWN, 0.0
-        costs = costs[:-1]
+        gc.freeze()  # the automata stay; no collection needs to walk them again
+
+    def costs(self, words: str) -> np.ndarray:
+        return np.array([a.bits * a.phrases(words) for a in self.automata])
+
+    def predict(self, text: str | None) -> tuple[str, float, float | None]:
+        """(language, score, bits a letter beyond the spare phrases)."""
+        words = running(text) if text and self.languages else ""
+        if not words:
+            return UNKNOWN, 0.0, None
+        costs = self.costs(words)
         best = int(np.argmin(costs))
-        return self.languages[best], float(1 / np.sum((costs[best] / costs) ** SHARPNESS))
+        letters = len(words) - words.count(" ")
+        rate = max(0.0, costs[best] - SPARE_PHRASES * self.automata[best].bits) / letters
+        return self.languages[best], float(1 / np.sum((costs[best] / costs) ** SHARPNESS)), float(rate)
 
 
-def samples(
-    labelled: DataFrame, words_per_language: int, docs_per_language: int, id_col: str, text_col: str, lang_col: str,
-) -> dict[str, str]:
-    """Of each language the most frequent words of its sampled documents, as one text with a space around each
-    word. The catalogue of languages and ``words_per_language`` words of each reach the driver."""
-    known = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = known.groupBy(F.col(lang_col).alias("lang")).count().collect()
-    if not counts:
-        return {}
-    steps = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], max(1, r["count"] // docs_per_language))])
-    chosen = known.filter(F.pmod(F.xxhash64(F.lit("sample"), id_col, text_col), steps[F.col(lang_col)]) == 0)
-    words = chosen.select(
-        F.col(lang_col).alias("lang"), F.explode(F.split(F.lower(text_col), rf"[{WHITE}]+")).alias("w"),
-    ).select("lang", F.explode(F.expr(r"regexp_extract_all(w, '\\p{L}{1,40}', 0)")).alias("w"))
-    order = Window.partitionBy("lang").orderBy(F.desc("n"), "w")
-    kept = words.groupBy("lang", "w").agg(F.count("*").alias("n")).withColumn(
-        "rank", F.row_number().over(order)).filter(F.col("rank") <= words_per_language)
-    out: dict[str, list[str]] = {}
-    for r in sorted(kept.select("lang", "rank", "w").collect()):
-        out.setdefault(r.lang, []).append(r.w)
-    return {lang: f" {' '.join(ws)} " for lang, ws in out.items()}
+def _labelled(docs: DataFrame, id_col: str, text_col: str, lang_col: str, held_out: tuple[int, int]) -> tuple[DataFrame, dict[str, int]]:
+    """(lang, text, apart) of the labelled rows to learn from, and how many a language has. Copies of a text are on one
+    side."""
+    fold = F.coalesce(crc_mod(id_col, held_out[0]), F.lit(-1))
+    known = docs.filter((fold != held_out[1]) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    many = F.col("lang").isin([lang for lang, n in counts.items() if n >= LEAST_ROWS])
+    return known.withColumn("apart", many & (F.pmod(F.xxhash64(F.lit("apart"), "text"), F.lit(APART)) == 0)), counts
 
 
-def identifier(key: str, learned: Callable[[], dict[str, str]]) -> Identifier:
-    """The worker's identifier for a set of samples."""
-    return worker_model(f"languages {key}", lambda: Identifier(learned()))
+def _every(counts: dict[str, int], rows: int) -> Column:
+    """One text in so many, by language, for about ``rows`` of each."""
+    return F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, max(1, n // rows))])[F.col("lang")]
 
 
 def learn(
-    docs: DataFrame, words_per_language: int = 6_000, docs_per_language: int = 1_000, id_col: str = "doc_id",
+    docs: DataFrame, pieces: int = 150, piece_chars: int = 250, total_pieces: int = 800, id_col: str = "doc_id",
     text_col: str = "text", lang_col: str = "lang", held_out: tuple[int, int] = (4, 2),
 ) -> dict[str, str]:
-    """Samples of all languages from the rows whose crc32(id) is not ``held_out[1]`` modulo ``held_out[0]``."""
-    fold = F.coalesce(crc_mod(id_col, held_out[0]), F.lit(-1))
-    return samples(docs.filter(fold != held_out[1]), words_per_language, docs_per_language, id_col, text_col, lang_col)
+    """Of each language pieces of running text, as one text, from the rows whose crc32(id) is not ``held_out[1]`` modulo
+    ``held_out[0]``. The catalogue of languages and at most ``total_pieces`` pieces (one of each language at least) reach
+    the driver."""
+    known, counts = _labelled(docs, id_col, text_col, lang_col, held_out)
+    if not counts:
+        return {}
+    each = max(1, min(pieces, total_pieces // len(counts)))
+    chosen = known.filter("not apart").withColumn("h", F.xxhash64(F.lit("sample"), "text")).filter(
+        F.pmod("h", _every(counts, 8 * each)) == 0)
+    begin = (F.pmod(F.xxhash64("h"), F.greatest(F.lit(1), F.length("text") - piece_chars + 1)) + 1).cast("int")
+    cut = chosen.select("lang", "h", F.substring("text", begin, F.lit(piece_chars)).alias("piece")).distinct()
+    # The longer of a language's pieces first, up to the bound: short texts hold little of a language.
+    first = Window.partitionBy("lang").orderBy(F.desc(F.length("piece")), "h", "piece")
+    kept = cut.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= each)
+    out: dict[str, list[str]] = {}
+    for r in sorted(kept.select("lang", "rank", "piece").collect()):
+        out.setdefault(r.lang, []).append(running(r.piece).strip())
+    joined = {lang: " ".join(w for w in texts if w) for lang, texts in out.items()}
+    return {lang: f" {text} " for lang, text in joined.items() if text}
 
 
-def predict(docs: DataFrame, learned: dict[str, str], *keep: str, text_col: str = "text") -> DataFrame:
-    """The columns ``keep`` of every row, and lang_pred and score."""
+def prediction(docs: DataFrame, learned: dict[str, str], text: Column) -> Column:
+    """struct(lang, score, rate) of a text column, rate as in ``Identifier.predict``."""
     key = hashlib.sha256(repr(sorted(learned.items())).encode()).hexdigest()
-    broadcast = docs.sparkSession.sparkContext.broadcast(learned)  # bounded by words_per_language
+    broadcast = docs.sparkSession.sparkContext.broadcast(learned)  # bounded by total_pieces
 
-    def rows(batch: pa.RecordBatch) -> dict:
-        own = identifier(key, lambda: broadcast.value)
-        found = [own.predict(text.as_py()) for text in batch.column("_text")]
-        kept = {c: batch.column(c) for c in keep}
-        return kept | {
-            "lang_pred": pa.array([f[0] for f in found], pa.string()), "score": pa.array([f[1] for f in found], pa.float64())}
+    def values(texts: pa.Array) -> pa.Array:
+        own = worker_model(f"languages {key}", lambda: Identifier(broadcast.value))
+        found = [own.predict(t.as_py()) for t in texts]
+        lang, score, rate = zip(*found) if found else ((), (), ())
+        return pa.StructArray.from_arrays(
+            [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rate, pa.float64())], names=["lang", "score", "rate"])
 
-    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).cast("string").alias("_text"))
-    fields = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in keep)
-    return map_rows(source, rows, f"{fields}{', ' if keep else ''}lang_pred string, score double")
+    return map_column(docs, text.cast("string"), values, "lang string, score double, rate double")
 
 
-def recognised(docs: DataFrame, learned: dict[str, str], least_score: float = 0.3, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, whose text is in one of the learned languages: its predicted language is
-    not ``und`` and its score reaches ``least_score`` (equal costs in four languages score 0.25)."""
-    key = hashlib.sha256(repr(sorted(learned.items())).encode()).hexdigest()
-    broadcast = docs.sparkSession.sparkContext.broadcast(learned)  # bounded by words_per_language
-    at = docs.columns.index(text_col)
+def bounds(
+    docs: DataFrame, learned: dict[str, str], rows: int = 500, share: float = 0.99, slack: float = 1.25, id_col: str = "doc_id",
+    text_col: str = "text", lang_col: str = "lang", held_out: tuple[int, int] = (4, 2),
+) -> dict[str, float]:
+    """Bits a letter that texts of each language need: ``slack`` times what ``share`` of about ``rows`` labelled texts of
+    each stay within, none of them in the sample. Languages of fewer than ``LEAST_ROWS`` labelled rows have no bound."""
+    known, counts = _labelled(docs, id_col, text_col, lang_col, held_out)
+    if not counts:
+        return {}
+    chosen = known.filter(F.col("apart") & F.col("lang").isin(sorted(learned)))
+    chosen = chosen.filter(F.pmod(F.xxhash64(F.lit("bound"), "text"), _every(counts, APART * rows)) == 0)
+    rated = chosen.withColumn("p", prediction(chosen, learned, F.col("text"))).filter("p.lang = lang")
+    found = rated.groupBy("lang").agg(F.percentile_approx("p.rate", share, 10_000).alias("rate")).collect()
+    return {r.lang: slack * r.rate for r in found}
+
+
+def predict(docs: DataFrame, learned: dict[str, str], *keep: str, text_col: str = "text") -> DataFrame:
+    """The columns ``keep`` of every row, and lang_pred and score."""
+    found = docs.select(*[F.col(f"`{c}`") for c in keep], prediction(docs, learned, F.col(f"`{text_col}`")).alias("__found"))
+    return found.select(*[F.col(f"`{c}`") for c in keep], F.col("__found.lang").alias("lang_pred"), F.col("__found.score").alias("score"))
 
-    def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                own = identifier(key, lambda: broadcast.value)
-                found = [own.predict(text.as_py()) for text in batch.column(at)]
-                yield batch.filter(pa.array([lang != UNKNOWN and score >= least_score for lang, score in found]))
 
-    return map_batches(docs, run, docs.schema)
+def recognised(
+    docs: DataFrame, learned: dict[str, str], rates: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text",
+    lang_col: str = "lang",
+) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text is in one of the learned languages: its predicted language is not
+    ``und``, and its bits a letter are within that language's bound (languages without a bound have none). Bounds are
+    those of ``docs`` unless given."""
+    if rates is None:
+        rates = bounds(docs, learned, id_col=id_col, text_col=text_col, lang_col=lang_col)
+    found = F.col("__found")
+    limit = F.create_map(*[F.lit(x) for pair in sorted(rates.items()) for x in pair])[found["lang"]] if rates else F.lit(None)
+    return docs.withColumn("__found", prediction(docs, learned, F.col(f"`{text_col}`"))).filter(
+        (found["lang"] != UNKNOWN) & F.coalesce(found["rate"] <= limit, F.lit(True))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def language_id(
-    docs: DataFrame, words_per_language: int = 6_000, docs_per_language: int = 1_000, id_col: str = "doc_id",
-    text_col: str = "text", lang_col: str = "lang",
+    docs: DataFrame, pieces: int = 150, piece_chars: int = 250, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
 ) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row of ``docs``."""
-    learned = learn(docs, words_per_language, docs_per_language, id_col, text_col, lang_col)
+    learned = learn(docs, pieces, piece_chars, id_col=id_col, text_col=text_col, lang_col=lang_col)
     source = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(crc_mod(id_col, 4) == 2, F.lit(False)).alias("held_out"),
         F.col(text_col).alias("text"))

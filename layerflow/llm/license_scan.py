@@ -79,6 +79,10 @@ FAMILIES = (
     ("cc-by", "cc-by"), ("agpl", "agpl"), ("lgpl", "lgpl"), ("eupl", "eupl"), ("zlib", "zlib"), ("gpl", "gpl"),
     ("bsd", "bsd"), ("mpl", "mpl"), ("epl", "epl"), ("isc", "isc"), ("mit", "mit"), ("bsl", "bsl"), ("cc0", "cc0"),
 )
+# How further public identifiers begin; their label is that beginning.
+OTHER_IDENTIFIERS = (
+    "0bsd afl apsl blueoak cddl cecill cpl curl ecl epl-1.0 fsfap gfdl hpnd icu ijg libpng lppl ms-pl ms-rl ncsa nposl oclc odbl ofl"
+    " openssl osl php pddl postgresql psf python qpl rpl ruby sissl sleepycat tcl unicode upl vim w3c wtfpl x11 zpl").split()
 PERMISSIVE = frozenset("mit apache bsd isc zlib bsl unlicense cc0 cc-by artistic public-domain".split())
 
 #: Weight of one piece of evidence of each kind; the score is 1 - the product of (1 - weight) over the evidence.
@@ -92,14 +96,25 @@ _TOKEN = re.compile(rb"\s*([A-Za-z0-9.+:-]+|[()])")
 _PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
 
-def family(identifier: str) -> str:
-    """Label of a licence identifier: that of its family, else the identifier in lower case."""
+def family(identifier: str) -> str | None:
+    """Label of a licence identifier: its family's, or its own for ``LicenseRef-…``; None if it is none. A beginning counts
+    if no further letter but a version's ``v`` follows."""
     low = identifier.lower()
-    return next((label for start, label in FAMILIES if low.startswith(start)), low.strip(":+."))
+    for start, label in (*FAMILIES, *((x, x) for x in OTHER_IDENTIFIERS)):
+        if low.startswith(start) and re.match(r"$|[^a-z]|v\d", low[len(start):]):
+            return label
+    if low.startswith(("licenseref-", "documentref-")):
+        return low.strip(":+.")
+    return None
+
+
+def _is_exception(word: str) -> bool:
+    return "exception" in word or word.endswith("-note") or word.startswith("additionref-")
 
 
 def postfix(expression: bytes) -> list[str]:
-    """Shunting-yard: the longest well-formed beginning of an expression, operators behind their operands."""
+    """Shunting-yard: the longest well-formed beginning of an expression, operators behind their operands. It ends at the
+    first operand that is no licence identifier (behind ``with``: no exception)."""
     out: list[str] = []
     waiting: list[str] = []
     best: list[str] = []
@@ -111,7 +126,8 @@ def postfix(expression: bytes) -> list[str]:
             if token == "(":
                 waiting.append(token)
                 continue
-            if token == ")" or low in _PRECEDENCE:
+            known = _is_exception(low) if waiting[-1:] == ["with"] else family(low)
+            if token == ")" or low in _PRECEDENCE or not known:
                 break
             out.append(token)
             operand_next = False
@@ -137,7 +153,7 @@ def evaluate(expression: bytes) -> tuple[set[str], bool]:
     for token in postfix(expression):
         if token not in _PRECEDENCE:
             label = family(token)
-            stack.append(({label} if label else set(), label in PERMISSIVE))
+            stack.append(({label} if label else set(), label in PERMISSIVE))  # an exception has no label
             continue
         right, left = stack.pop(), stack.pop()
         if token == "with":  # an exception adds to what the licence permits; it is no licence

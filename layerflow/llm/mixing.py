@@ -127,7 +127,7 @@ def blocks(sized: DataFrame, mix: Mix, n_blocks: int) -> DataFrame:
         own = own.withColumn("miss", F.least("miss", "now"))
     return own.select(
         "source_key", "block", "words", "source_rank", "source_size", "target",
-        (F.col("whole") + F.col("taken").cast("long")).alias("copies"),
+        F.least(F.col("whole") + F.col("taken").cast("long"), F.lit(math.floor(mix.cap)).cast("long")).alias("copies"),
     )
 
 

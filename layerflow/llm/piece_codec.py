@@ -4,16 +4,18 @@ A segmentation of a string is its merge encoding exactly when every token, and
 every two neighbouring tokens, re-merge to themselves: no merge then ever crosses
 a token border, so the merges inside the tokens run as they would alone. There is
 only one such segmentation. It is found by backtracking: an Aho-Corasick automaton
-over the vocabulary lists the tokens that start at each character, the longest is
-tried first, each is checked against its left neighbour by re-merging the two
-(remembered for each pair), and a bitfield marks the character positions from
-which no compatible continuation exists, so each is left only once.
+over the vocabulary gives the longest token from each place reached, one match after the
+other; each is checked against its left neighbour by re-merging the two (remembered for
+each pair), its longest prefix among the tokens is tried next, and a bitfield marks the
+character positions from which no compatible continuation exists, so each is left only
+once.
 
 Before that, a text is cut where no token of the vocabulary can span the cut
 (derived from the vocabulary: before a space mark, around characters that occur
 in no longer token, between a Latin letter and punctuation that never follows a
 letter inside a token). Cuts change nothing in the result, and the encodings of
-the short pieces between them are remembered per Python worker, up to a bound.
+the short pieces between them are remembered per Python worker, in two generations of
+bounded size: what the younger does not hold is taken over from the older one.
 
 Results for special input: null and empty texts encode to the begin and end ids
 alone and decode to the empty text; characters outside the vocabulary become byte
@@ -27,6 +29,7 @@ import hashlib
 import re
 import string
 from array import array
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,8 +39,36 @@ from .common import id_and_bytes, map_rows, worker_model
 SPACE = "▁"
 #: Letters after which punctuation may be cut off, as a class of a regular expression.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
-MEMO_ENTRIES = 250_000
+#: Entries of a generation of the memories of words and pieces (about 250 bytes each); of pairs (100 bytes) four times as many.
+MEMO_ENTRIES = 50_000
 MEMO_CHARS = 48
+#: Longest matches known at a time, and how many are looked up ahead.
+MATCHES, AHEAD = 8192, 64
+_NONE, _UNKNOWN = -2, -1
+
+
+class Memory:
+    """A dictionary of two generations: when the younger is full it becomes the older, and what that held is forgotten
+    unless it was asked for in the meantime."""
+
+    __slots__ = ("entries", "young", "old")
+
+    def __init__(self, entries: int):
+        self.entries, self.young, self.old = entries, {}, {}
+
+    def get(self, key):
+        """The value, or None."""
+        found = self.young.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.entries:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
 
 
 class PieceCodec:
@@ -70,17 +101,20 @@ class PieceCodec:
                 self.out.append(piece.replace(SPACE, " ").encode())
         if {c for piece in self.ids for c in piece} - set(self.ids):
             raise ValueError(f"{model_path}: a character of a longer token is no token itself")
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-        for piece in self.ids:
-            self.automaton.add_word(piece)
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for piece, i in self.ids.items():
+            self.automaton.add_word(piece, i)
         self.automaton.make_automaton()
-        self.size, self.longest = len(self.out), max(map(len, self.ids))
+        self.size = len(self.out)
+        self.piece_of = {i: piece for piece, i in self.ids.items()}
         self.chars = {i: len(piece) for piece, i in self.ids.items()}
+        self.shorter = {  # the longest beginning of a token that is a token itself
+            i: next((self.ids[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in self.ids), _NONE) for p, i in self.ids.items()}
+        self.shorter[_UNKNOWN] = _NONE
         self.by_run, self.pieces = self._cutter()
-        self.memo_entries = memo_entries
-        self.memo: dict[str, tuple[int, ...]] = {}  # pieces
-        self.words: dict[str, tuple[int, ...]] = {}  # what stands between two spaces
-        self.pairs: dict[int, bool] = {}  # left id * size + right id; size as left: the start of a piece
+        self.memo = Memory(memo_entries)  # pieces that do not begin with a space mark
+        self.words = Memory(memo_entries)  # what stands between two spaces, and pieces behind a space mark
+        self.pairs = Memory(4 * memo_entries)  # left id * size + right id; size as left: the start of a piece
 
     def _cutter(self) -> tuple[bool, re.Pattern]:
         """Whether a text can be cut before its space marks, and what finds the pieces between all cuts."""
@@ -113,62 +147,64 @@ class PieceCodec:
                 ranks[i] = rank.get(parts[i] + parts[i + 1], none)
         return parts
 
-    def fits(self, key: int, left: str, right: str) -> bool:
-        """Whether two neighbours re-merge to themselves; ``left`` is empty at the start of a piece."""
-        if len(self.pairs) >= self.memo_entries:
-            self.pairs.clear()
-        known = self.pairs[key] = self.remerge(left + right) == ([left, right] if left else [right])
+    def fits(self, key: int) -> bool:
+        """Whether two neighbours re-merge to themselves."""
+        known = self.pairs.get(key)
+        if known is None:
+            left, right = divmod(key, self.size)
+            parts = [self.piece_of[i] for i in (left, right) if i < self.size]
+            known = self.remerge("".join(parts)) == parts
+            self.pairs.put(key, known)
         return known
 
+    def longest(self, s: str, at: int, known: dict[int, int]) -> int:
+        """The longest token from ``at`` on, and in ``known`` those of the places that follow it."""
+        if len(known) > MATCHES:
+            known.clear()
+        for end, i in islice(self.automaton.iter_long(s, at), AHEAD):
+            start = end - self.chars[i] + 1
+            if start in known:
+                break
+            known[start] = i
+        return known.setdefault(at, _UNKNOWN)
+
     def tokens(self, s: str) -> list[int]:
         """Backtracking search for the only segmentation whose neighbours all fit; -1 for a character
         outside the vocabulary, beside which no merge can happen."""
-        n, ids, pairs, size, most = len(s), self.ids, self.pairs, self.size, self.longest
-        reach = self.automaton.longest_prefix
+        n, size, chars, shorter = len(s), self.size, self.chars, self.shorter
+        known: dict[int, int] = {}
         failed = bytearray((n >> 3) + 1)
         tokens: list[int] = []
-        lengths: list[int] = []
-        at, left, left_id = 0, "", size
-        length = reach(s[:most]) or 1
+        at, left = 0, size
+        own = self.longest(s, 0, known) if n else _NONE
         while at < n:
-            while length:
-                end = at + length
+            while own != _NONE:
+                end = at + (chars[own] if own >= 0 else 1)
                 if not failed[end >> 3] >> (end & 7) & 1:
-                    token = s[at:end]
-                    own = ids.get(token, -1)
-                    if own >= 0:
-                        known = -1 if left_id < 0 else pairs.get(key := left_id * size + own)
-                        if known is None:
-                            known = self.fits(key, left, token)
-                        elif known == -1:
-                            known = self.alone(own, token)
-                        if known:
-                            break
-                    elif length == 1:
+                    if own < 0:
                         break
-                length -= 1
-            if length:
+                    fit = self.pairs.young.get(key := left * size + own)
+                    if self.fits(key) if fit is None else fit:
+                        break
+                own = shorter[own]
+            if own != _NONE:
                 tokens.append(own)
-                lengths.append(length)
-                at, left, left_id = end, token, own
-                length = reach(s[at:at + most]) or 1
+                at = end
+                left = own if own >= 0 else size  # behind a character outside the vocabulary: as at the start
+                if at < n:
+                    own = known.get(at)
+                    if own is None:
+                        own = self.longest(s, at, known)
             elif tokens:
                 failed[at >> 3] |= 1 << (at & 7)
-                tokens.pop()
-                length = lengths.pop()
-                at -= length
-                length -= 1
-                left_id = tokens[-1] if tokens else size
-                left = s[at - lengths[-1]:at] if tokens else ""
+                own = tokens.pop()
+                at -= chars[own] if own >= 0 else 1
+                own = shorter[own]
+                left = tokens[-1] if tokens and tokens[-1] >= 0 else size
             else:
                 raise ValueError("no compatible segmentation: not a merge-type vocabulary")
         return tokens
 
-    def alone(self, own: int, token: str) -> bool:
-        """A token behind a character outside the vocabulary stands as at the start of a piece."""
-        known = self.pairs.get(key := self.size * self.size + own)
-        return self.fits(key, "", token) if known is None else known
-
     def piece_ids(self, s: str) -> tuple[int, ...]:
         found = self.tokens(s)
         if -1 not in found:
@@ -186,16 +222,15 @@ class PieceCodec:
 
     def run_ids(self, run: str) -> tuple[int, ...]:
         """Ids of a run that starts with a space mark: those of its pieces, one after the other."""
-        memo = self.memo
         out: list[int] = []
         for piece in self.pieces.findall(run):
-            own = memo.get(piece)
+            # A piece behind one space mark is a word of its own, and remembered as such.
+            of, key = (self.words, piece[1:]) if piece[0] == SPACE and self.by_run else (self.memo, piece)
+            own = of.get(key)
             if own is None:
                 own = self.piece_ids(piece)
                 if len(piece) <= MEMO_CHARS:
-                    if len(memo) >= self.memo_entries:
-                        memo.clear()
-                    memo[piece] = own
+                    of.put(key, own)
             out += own
         return tuple(out)
 
@@ -209,15 +244,14 @@ class PieceCodec:
         else:
             words = self.words
             for word in runs:
-                try:
-                    ids += words[word]
-                except KeyError:
-                    own = self.run_ids(SPACE + word)
-                    ids += own
-                    if len(word) <= MEMO_CHARS:
-                        if len(words) >= self.memo_entries:
-                            words.clear()
-                        words[word] = own
+                own = words.young.get(word)
+                if own is None:
+                    own = words.get(word)
+                    if own is None:
+                        own = self.run_ids(SPACE + word)
+                        if len(word) <= MEMO_CHARS:
+                            words.put(word, own)
+                ids += own
         ids.append(self.eos)
         return ids
 

@@ -105,7 +105,7 @@ def features(statistics: DataFrame) -> DataFrame:
     ])
 
 
-def base_failed(statistics: DataFrame | None = None) -> Column:
+def base_failed() -> Column:
     return (F.col("n_words") < 50) | (F.lit(100) * F.col("n_repeat_words") > F.lit(50) * F.col("n_words"))
 
 

@@ -47,6 +47,7 @@ class TokenCounter:
             BORDERS & set(t.content) or t.lstrip or t.rstrip for t in self.tokenizer.get_added_tokens_decoder().values()
         ):
             raise ValueError(f"{path}: only tokenizers that drop white space are supported")
+        self.parts_closing = self._parts_closing()
         self.chunk, self.overlap = chunk, overlap
         self.memo: dict[bytes, int] = {}
         self.widened = 0
@@ -54,6 +55,16 @@ class TokenCounter:
     def _count(self, text: str) -> int:
         return len(self.tokenizer.encode(text, add_special_tokens=False))
 
+    def _parts_closing(self) -> bool:
+        """Whether case does not count and closing punctuation is always a part of its own, as the file's own steps say."""
+        normal, parts = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        if normal is None or parts is None:
+            return False
+        alike = all(normal.normalize_str(x) == normal.normalize_str(x.lower()) for x in ("AbZ", "\u00c7\u00c9", "\u0416x9", "\u0130"))
+        marks = [chr(c) for c in CLOSING]
+        return alike and all(
+            parts.pre_tokenize_str(normal.normalize_str(word + mark))[0][1][1] == len(word) for word in ("ab", "x9", "\u00e9") for mark in marks)
+
     def count(self, body: bytes) -> int:
         """Tokens of a text given as UTF-8."""
         if len(body) > self.chunk:
@@ -69,11 +80,11 @@ class TokenCounter:
         return total + self.ask(asked) if asked else total
 
     def ask(self, runs: list[bytes]) -> int:
-        """Counts of runs that are not remembered. A run of lower-cased word and closing punctuation
-        is asked as these two: the pre-tokenizer always parts them, and case does not count."""
+        """Counts of runs that are not remembered. A run of lower-cased word and closing punctuation is asked as these
+        two if the tokenizer always parts them and case does not count (``parts_closing``)."""
         memo, parts, asked = self.memo, [], {}
         for run in runs:
-            if len(run) <= MEMO_BYTES and b"<" not in run and (stem := run.lower().rstrip(CLOSING))[-1:].isalnum():
+            if self.parts_closing and len(run) <= MEMO_BYTES and b"<" not in run and (stem := run.lower().rstrip(CLOSING))[-1:].isalnum():
                 own = (stem, run[len(stem):])
             else:
                 own = (run,)  # may hold a special string, which is found before case is dropped
@@ -123,8 +134,9 @@ class TokenCounter:
         return [(a + start, b + start) for a, b in found.offsets]
 
     def _common_border(self, text: str, cold: int, end: int, ends: set[int]) -> int | None:
-        """The last place in the overlap at which a token ends in both encodings, white space
-        follows, and the tokens since the border before it agree; None if there is none."""
+        """The last place in the overlap at which a token ends in both encodings and white space follows; None if there
+        is none. White space is dropped and no token reaches over it (both checked in the constructor), so from such a
+        place on a text is encoded alike, whatever stands before."""
         for place in sorted({e for _, e in self._spans(text, cold, end)} & ends, reverse=True):
             if cold < place < end and text[place] in BORDERS:
                 return place

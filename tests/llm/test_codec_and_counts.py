@@ -36,6 +36,19 @@ def test_pieces_equal_the_library(library):
         assert own.decode(ids).decode() == library.decode(ids)
 
 
+def test_longest_matches():
+    """The automaton's matches from any place are the longest tokens there."""
+    own = piece_codec.PieceCodec(MODEL)
+    for text in _texts(400, 40, seed=8):
+        s = "▁" + text.replace(" ", "▁")
+        for at in range(len(s)):
+            known = {}
+            own.longest(s, at, known)
+            for place, i in known.items():
+                want = max((k for k in range(1, min(24, len(s) - place) + 1) if s[place:place + k] in own.ids), default=None)
+                assert i == (own.ids[s[place:place + want]] if want else -1)
+
+
 def test_backtracking_leaves_the_longest_match(library):
     """A longest first token is not always right; the search must come back from it."""
     own = piece_codec.PieceCodec(MODEL)
@@ -47,7 +60,7 @@ def test_backtracking_leaves_the_longest_match(library):
         assert found == [own.ids[p] for p in own.remerge(s)]
         at, greedy = 0, []
         while at < len(s):
-            n = max(k for k in range(1, own.longest + 1) if s[at:at + k] in own.ids)
+            n = max(k for k in range(1, len(s) + 1) if s[at:at + k] in own.ids)
             greedy.append(own.ids[s[at:at + n]])
             at += n
         greedy_wrong += greedy != found

@@ -47,6 +47,8 @@ def test_overlapping_and_edge_places():
     (b"GPL-2.0-or-later WITH Classpath-exception-2.0", {"gpl"}, False), (b"MIT OR GPL-2.0 AND LGPL-2.1", {"mit", "gpl", "lgpl"}, True),
     (b"(MIT OR GPL-2.0) AND LGPL-2.1", {"mit", "gpl", "lgpl"}, False), (b"((mit))", {"mit"}, True), (b"BSD-3-Clause */", {"bsd"}, True),
     (b"MIT AND (GPL-3.0 OR", {"mit", "gpl"}, False), (b"AND MIT", set(), False), (b")", set(), False), (b"", set(), False),
+    (b"MIT and then more words", {"mit"}, True), (b"MIT or any later choice", {"mit"}, True), (b"any MIT", set(), False), (b"MIT with more words", {"mit"}, True),
+    (b"GPL-2.0 WITH Linux-syscall-note OR MIT", {"gpl", "mit"}, True), (b"GPLv2 AND 0BSD", {"gpl", "0bsd"}, False), (b"mitten", set(), False), (b"Apache2 OR Python-2.0", {"apache", "python"}, True),
     (b"LicenseRef-My.Own+ or CC-BY-NC-4.0", {"licenseref-my.own", "cc-by-nc"}, False), (b"(" * 2000 + b"MIT" + b")" * 2000, {"mit"}, True),
 ])
 def test_expressions(expression, labels, free):

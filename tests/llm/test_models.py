@@ -1,14 +1,17 @@
 """op5, op6 and op8: statistics against plain Python, models by held-out accuracy and odd rows."""
 
 import collections
+import math
 import random
 import re
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from layerflow.llm import language_id, quality_gam, quality_rules
+from layerflow.llm.common import written
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SF = "/root/testdata/sf0.01"
@@ -114,11 +117,52 @@ def test_language_of_odd_rows(odd, odd_rows, none, documents):
     assert len(language_id.language_id(odd).collect()) == len(odd_rows)
 
 
-def test_a_small_memory_gives_the_same_costs():
-    words = {"a": " the of and in ", "b": " der die und das "}
-    large, small = language_id.Identifier(words), language_id.Identifier(words, memo_entries=3)
-    text = "the die of und, zzz " * 20 + "w" * 200
-    assert np.allclose(large.costs_of(text), small.costs_of(text))
+def _phrases(sample, s):
+    """Greedy longest-match parse by looking for substrings."""
+    at = n = 0
+    while at < len(s):
+        k = 1
+        while at + k < len(s) and s[at:at + k + 1] in sample:
+            k += 1
+        at, n = at + k, n + 1
+    return n
+
+
+def test_whole_documents_are_parsed_over_word_borders(documents, odd_rows):
+    learned = language_id.learn(documents)
+    own = language_id.Identifier(learned)
+    texts = [r.text for r in documents.limit(60).collect()] + [r[1] for r in odd_rows]
+    longer = 0
+    for text in texts:
+        words = re.findall(r"[^\W\d_]+", (text or "").lower())
+        words = [w for t in words for w in "".join(c if c.isalpha() else " " for c in t).split()]
+        s = f" {' '.join(words)} " if words else ""
+        assert language_id.running(text or "") == s
+        if s:
+            want = [a.bits * _phrases(learned[lang], s[:3000]) for lang, a in zip(own.languages, own.automata)]
+            assert own.costs(s[:3000]).tolist() == want
+            longer += any(f" {x} {y} " in learned[lang] for lang in own.languages for x, y in zip(words, words[1:]))
+    assert longer > 10  # phrases of several words do occur
+
+
+def _invented(rnd, letters, n):
+    words = ["".join(rnd.choice(letters) for _ in range(rnd.randint(2, 8))) for _ in range(120)]
+    return lambda k: " ".join(rnd.choice(words) for _ in range(k))
+
+
+@pytest.mark.parametrize("count", [1, 2, 4, 30])
+def test_the_bound_does_not_depend_on_the_number_of_languages(spark, count):
+    """Clean texts of every language stay, however many there are; letters in no order of any language go."""
+    rnd = random.Random(count)
+    makers = [_invented(rnd, rnd.sample("abcdefghijklmnopqrstuvwxyzäöüéèñ", 14), 0) for _ in range(count)]
+    rows = [(i, makers[i % count](rnd.randint(30, 120)), f"l{i % count:02}") for i in range(60 * count)]
+    junk = ["".join(rnd.choice("bcdfghjklmnpqrstvwxz") if rnd.random() < 0.85 else " " for _ in range(300)) for _ in range(30)]
+    docs = spark.createDataFrame([*rows, *((-1 - i, t, None) for i, t in enumerate(junk))], "doc_id long, text string, lang string")
+    learned = language_id.learn(docs)
+    assert len(learned) == count
+    kept = {r.doc_id for r in language_id.recognised(docs, learned).collect()}
+    assert sum(i >= 0 for i in kept) >= 0.99 * len(rows)
+    assert sum(i < 0 for i in kept) == 0
 
 
 # ---------------------------------------------------------------- quality
@@ -180,3 +224,63 @@ def test_weights_stand_for_copies():
     a, b = quality_gam.fit(x, y, weight=weight), quality_gam.fit(x[every], y[every])
     assert all((p == q).all() for p, q in zip(a.borders + a.coarse, b.borders + b.coarse))
     assert np.allclose(a.scores(x), b.scores(x), atol=1e-6)
+
+
+def _plain_features(body):
+    """op8's features of a text, character by character."""
+    words = body.split()
+    n = len(words)
+    if not n:
+        return None
+    chars = sum(map(len, words))
+    lines = [x for x in body.split(b"\n") if x.split()]
+    seen = collections.Counter(words)
+    return {
+        "n": math.log1p(n), "length": chars / n, "dup_lines": 1 - len(set(lines)) / len(lines), "distinct": len(seen) / n,
+        "most": max(seen.values()) / n, "again": sum(a == b for a, b in zip(words, words[1:])) / n, "a_line": math.log1p(n / len(lines)),
+        "long": sum(len(w) > 20 for w in words) / n, "capitals": sum(65 <= c <= 90 for c in body) / chars, "digits": sum(48 <= c <= 57 for c in body) / chars}
+
+
+_PLACES = {"n": 0, "length": 1, "capitals": 4, "digits": 5, "dup_lines": 7, "distinct": 8, "most": 9, "again": 10, "a_line": 11, "long": 12}
+
+
+def test_features_and_scores_row_by_row(documents, odd_rows):
+    """Text features against plain counts, and scores against one sum of table entries for each row."""
+    bodies = [(r.text or "").encode() for r in documents.collect()] + [(r[1] or "").encode() for r in odd_rows]
+    x = np.array([quality_gam.text_features(b) for b in bodies])
+    for body, row in zip(bodies, x):
+        want = _plain_features(body)
+        if want is not None:
+            assert [row[_PLACES[k]] for k in want] == pytest.approx(list(want.values()), abs=1e-12)
+    rnd = np.random.default_rng(2)
+    model = quality_gam.fit(x, (x[:, 1] + x[:, 8] * x[:, 0] + rnd.normal(0, 0.3, len(x)) > np.median(x[:, 1]) + 2).astype(int), rounds=20, pair_rounds=10)
+    assert model.pairs
+    for row, score in zip(x, model.scores(x)):
+        total = model.intercept
+        for value, borders, table in zip(row, model.borders, model.tables):
+            total += table[sum(b < value for b in borders)]
+        for (a, b), table in zip(model.pairs, model.pair_tables):
+            total += table[sum(c < row[a] for c in model.coarse[a]), sum(c < row[b] for c in model.coarse[b])]
+        assert score == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-12)
+
+
+def test_rules_judge_like_a_plain_list(spark):
+    """The verdict of every document against the learned list, read rule by rule and condition by condition."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    statistics = written(quality_rules.text_statistics(docs), "test-statistics")
+    rows = quality_rules.features(statistics)
+    rules = quality_rules.learn_rules(rows, labels)
+    assert rules
+
+    def holds(c, r):
+        above, below = quality_rules.FEATURES[c.feature]
+        value = r[above] / r[below] if r[below] else 0.0
+        return value > c.threshold if c.above else value <= c.threshold
+
+    facts = {r.doc_id: r for r in statistics.collect()}
+    for r in rows.withColumn("rule", quality_rules.verdict(rules)).collect():
+        want = next((k for k, rule in enumerate(rules, 1) if all(holds(c, facts[r.doc_id]) for c in rule)), None)
+        assert r.rule == want
+    failed = lambda f: f.n_words < 50 or 100 * f.n_repeat_words > 50 * f.n_words
+    for r in quality_rules.quality_rules(docs, labels).collect():
+        assert r.base_failed == failed(facts[r.doc_id]) and r.kept == (not r.base_failed and r.rule is None)
