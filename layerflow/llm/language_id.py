@@ -184,7 +184,7 @@ def prediction(docs: DataFrame, learned: dict[str, str], text: Column) -> Column
 
 
 def bounds(
-    docs: DataFrame, learned: dict[str, str], rows: int = 500, share: float = 0.99, slack: float = 1.25, id_col: str = "doc_id",
+    docs: DataFrame, learned: dict[str, str], rows: int = 500, share: float = 0.995, slack: float = 1.5, id_col: str = "doc_id",
     text_col: str = "text", lang_col: str = "lang", held_out: tuple[int, int] = (4, 2),
 ) -> dict[str, float]:
     """Bits a letter that texts of each language need: ``slack`` times what ``share`` of about ``rows`` labelled texts of

@@ -40,7 +40,7 @@ SPACE = "▁"
 #: Letters after which punctuation may be cut off, as a class of a regular expression.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 #: Entries of a generation of the memories of words and pieces (about 250 bytes each); of pairs (100 bytes) four times as many.
-MEMO_ENTRIES = 50_000
+MEMO_ENTRIES = 100_000
 MEMO_CHARS = 48
 #: Longest matches known at a time, and how many are looked up ahead.
 MATCHES, AHEAD = 8192, 64
