@@ -14,18 +14,21 @@ below ``{warehouse}/_quarantine/{table}``.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
 from collections.abc import Iterable
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import BooleanType, DataType, StringType, StructField, StructType, TimestampType
 
-from ..operators import dedup, snapshot
+from ..history import SnapshotStore
+from ..operators import dedup
+from ..schemas import evolve, fitted, read_stored, stored_schema
 from ..sources import files
 from ..sources.tables import read_table
-from ..storage import SnapshotStore, exists, remove_folder, replace_folder
+from ..storage import exists, list_folders, remove_folder, replace_folder
 from ..streaming import cdc_stream
 from . import gold
 
@@ -148,6 +151,11 @@ def silver_plan(params: dict) -> dict:
 
 # ---------------------------------------------------------------- runner
 
+def _type_ddl(kind: DataType) -> str:
+    """A type as SQL text; names of fields are quoted."""
+    return StructType([StructField("c", kind)]).toDDL().removeprefix("c ")
+
+
 class Warehouse:
     """Where ``layer.table`` lives, and its catalog registration."""
 
@@ -191,23 +199,51 @@ class Warehouse:
 
     def register(self, name: str, location: str | None = None, replace: bool = False) -> None:
         """Expose a parquet folder as an external table. Managed tables and tables of another folder are refused
-        (those of another folder are replaced if asked: their files stay)."""
+        (those of another folder are replaced if asked: their files stay). A folder with a schema log is declared with
+        its newest schema, again when that has changed."""
         location = location or self.path(name)
         ident, plain = self._name(name)
-        if not self._make_room(ident, plain, location, replace):
-            self.spark.sql(f"CREATE TABLE {ident} USING parquet LOCATION '{location}'")
+        self._declare(ident, plain, location, stored_schema(self.spark, location), self._partitions(location), replace)
+
+    def _partitions(self, location: str) -> list[str]:
+        """Names of the partition columns, from the first folders."""
+        found: list[str] = []
+        while inner := list_folders(self.spark, location):
+            found.append(inner[0].partition("=")[0])
+            location = f"{location}/{inner[0]}"
+        return found
+
+    def _declare(
+        self, ident: str, plain: str, location: str, schema: StructType | None, partitions: list[str], replace: bool,
+    ) -> None:
+        there = self._make_room(ident, plain, location, replace)
+        if there and schema is not None:
+            there = {f.name: f.dataType for f in self.spark.read.table(plain).schema} == {f.name: f.dataType for f in schema}
+            if not there:
+                self.spark.sql(f"DROP TABLE {ident}")
+        if not there:
+            columns = "" if schema is None else f"({', '.join(f'`{f.name}` {_type_ddl(f.dataType)}' for f in schema)})"
+            parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partitions)})" if partitions and columns else ""
+            self.spark.sql(f"CREATE TABLE {ident} {columns} USING parquet {parts} LOCATION '{location}'")
         if any(c.isPartition for c in self.spark.catalog.listColumns(plain)):
             self.spark.catalog.recoverPartitions(plain)
         self.spark.catalog.refreshTable(plain)
 
     def register_history(self, name: str, store: SnapshotStore, replace: bool = False) -> None:
-        """Expose a snapshot history as a view over the folders of its complete runs."""
+        """Expose a snapshot history as a view: the open rows of its newest run and the closed rows of all complete ones, over
+        two tables partitioned by run (``<name>__open``, ``<name>__closed``), however many runs there were."""
         ident, plain = self._name(name)
         self._make_room(ident, plain, None, replace)
-        runs = store.folders()
-        columns = ", ".join(f"`{c}`" for c in store.read().columns)
-        body = " UNION ALL ".join(f"SELECT {columns} FROM parquet.`{path}`" for path in runs)
-        self.spark.sql(f"CREATE OR REPLACE VIEW {ident} AS {body}")
+        schema = stored_schema(self.spark, store.root)
+        columns, bodies = ", ".join(f"`{c}`" for c in schema.names), []
+        which = {"open": f"run = '{store.last()[1]}'", "closed": f"run IN (SELECT run FROM parquet.`{store.root}/log`)"}
+        for kind, live in which.items():
+            if exists(self.spark, f"{store.root}/{kind}"):
+                part, part_plain = self._name(f"{name}__{kind}")
+                by_run = StructType([*schema.fields, StructField("run", StringType())])
+                self._declare(part, part_plain, f"{store.root}/{kind}", by_run, ["run"], replace)
+                bodies.append(f"SELECT {columns} FROM {part} WHERE {live}")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {ident} AS {' UNION ALL '.join(bodies)}")
 
 
 def run_operations(
@@ -296,17 +332,31 @@ def apply_snapshot_flow(spark: SparkSession, wh: Warehouse, p: dict, stored: str
     """Snapshot flow: the W2 view of bronze (first good row per key in ``order_keys`` order, all its columns,
     named ``<target>_snapshot`` for the session) diffed against the stored history. A version that is not newer than the
     last one applied changes nothing, for either SCD type. Open rows are written anew, closed rows only added."""
-    snap = dedup.first_per_key(cdc_stream.plain_rows(read_table(spark, stored)), p["keys"], p["order_keys"])
+    bronze = read_table(spark, stored)
+    snap = dedup.first_per_key(cdc_stream.plain_rows(bronze), p["keys"], p["order_keys"])
     target = p["target_table"]
     snap.createOrReplaceTempView(f"{target.split('.')[-1]}_snapshot")
     store = SnapshotStore(spark, wh.path(target))
     version, last = _plain_version(version), store.last()
     if last is None or version > last[2]:
+        write_rejected(spark, wh, target, bronze, version)
         keep_out = cdc_stream.untracked_lineage(snap, p["track"], p["track_except"])
-        if p["scd_type"] == 1:
-            store.add(snap, None, version)
-        elif last is None:
-            store.add(snapshot.apply_snapshot(None, snap, version, p["keys"], p["track"], keep_out), None, version)
-        else:
-            store.add_changes(snapshot.diff_snapshot(store.open_rows(), snap, version, p["keys"], p["track"], keep_out), version)
+        store.apply(snap, version, p["keys"], p["track"], keep_out, p["scd_type"])
     wh.register_history(target, store, replace)
+
+
+def write_rejected(spark: SparkSession, wh: Warehouse, target: str, bronze: DataFrame, version: Any) -> None:
+    """The rows of bronze that no version of the target could apply, with their reason, in a folder for each version that met
+    them first (a repeated run replaces its own)."""
+    if files.REASON not in bronze.columns:
+        return
+    path = wh.quarantine(target)
+    bad = files.without_buckets(bronze).filter(F.col(files.REASON).isNotNull())
+    schema = evolve(spark, path, bad.schema)
+    own = f"batch={hashlib.md5(str(version).encode()).hexdigest()[:12]}"
+    earlier = [f"{path}/{name}" for name in list_folders(spark, path) if name != own]
+    stamp = "_ingestion_timestamp"
+    if earlier and stamp in bad.columns:  # bronze only grows: later runs see earlier rows again
+        newest = read_stored(spark, *earlier, table=path).agg(F.max(stamp)).first()[0]
+        bad = bad.filter(F.col(stamp) > F.lit(newest)) if newest is not None else bad
+    fitted(bad, schema).write.mode("overwrite").parquet(f"{path}/{own}")

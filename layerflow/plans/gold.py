@@ -5,9 +5,10 @@ statements are passed over. A small scanner cuts the text into words, quoted tex
 semicolons, so that these can stand inside a body. Each body runs through ``spark.sql``; every Spark SQL
 operator is available in it.
 
-Names may have one to three parts. The session catalog knows two at most, so a name of three parts behind FROM
-or JOIN loses its first part (the catalog), and a name of a view built earlier is read from that view, whichever
-way it is spelled. Views are built in file order.
+Names may have one to three parts. The session catalog knows two at most, so a table's name of three parts loses its first
+part (the catalog), and a name of a view built earlier is read from that view, whichever way it is spelled. Which words of a
+body are names of tables is what Spark's own parser says of it; those bound by a ``WITH`` are left alone. Views are built
+in file order.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ _PIECE = re.compile(
     r"""|(?P<name>(?:`(?:``|[^`])*`|\w+)(?:\s*\.\s*(?:`(?:``|[^`])*`|[A-Za-z_]\w*))*)|(?P<mark>[();])|(?P<other>\s+|.)""",
     re.DOTALL,
 )
+_NAME = re.compile(r"(?:`(?:``|[^`])*`|\w+)(?:\s*\.\s*(?:`(?:``|[^`])*`|\w+))*")
 _HEADER = ("create", "or", "refresh", "materialized", "view")
 
 
@@ -89,26 +91,65 @@ def _tail_matches(known: tuple[str, ...], asked: tuple[str, ...]) -> bool:
     return [x.lower() for x in known[-n:]] == [x.lower() for x in asked[-n:]]
 
 
-def on_session_names(body: str, built: dict[tuple[str, ...], str]) -> str:
-    """The body with the tables behind FROM and JOIN under names that the session knows: views built earlier
-    (``built``: parts → temporary view) and two-part names of the catalog."""
-    out, reading = [], False
-    for p in pieces(body):
-        text = p.text
-        if p.kind == "name":
-            if reading:
-                parts = name_parts(text)
-                exact = [v for known, v in built.items() if [x.lower() for x in known] == [x.lower() for x in parts]]
-                alike = exact or [v for known, v in built.items() if _tail_matches(known, parts)]
-                if len(alike) == 1:
-                    text = f"`{alike[0]}`"
-                elif len(parts) == 3:
-                    text = ".".join(f"`{x}`" for x in parts[1:])
-            reading = p.word in ("from", "join")
-        elif p.kind == "mark" or (p.kind == "other" and text.strip()):
-            reading = False
-        out.append(text)
-    return "".join(out)
+def _seq(spark: SparkSession, found) -> list:
+    return list(spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(found))
+
+
+def table_places(spark: SparkSession, body: str) -> list[tuple[int, tuple[str, ...]]]:
+    """(place in the text, parts) of every table that a SELECT reads, from the unresolved plan of the session's parser.
+    Names that a ``WITH`` in reach binds are no tables."""
+    jvm = spark._jvm
+    relation, with_plan, subquery = (
+        jvm.java.lang.Class.forName(f"org.apache.spark.sql.catalyst.{name}")
+        for name in ("analysis.UnresolvedRelation", "plans.logical.UnresolvedWith", "expressions.SubqueryExpression"))
+    found: list[tuple[int, tuple[str, ...]]] = []
+
+    def of_expression(e, bound: frozenset[str]) -> None:
+        if subquery.isInstance(e):
+            of_plan(e.plan(), bound)
+        for child in _seq(spark, e.children()):
+            of_expression(child, bound)
+
+    def of_plan(plan, bound: frozenset[str]) -> None:
+        if relation.isInstance(plan):
+            parts, start = tuple(_seq(spark, plan.multipartIdentifier())), plan.origin().startIndex()
+            if start.isDefined() and not (len(parts) == 1 and parts[0].lower() in bound):
+                found.append((start.get(), parts))
+            return
+        if with_plan.isInstance(plan):
+            for cte in _seq(spark, plan.cteRelations()):  # each may read those before it
+                own = cte.productElement(0).lower()
+                of_plan(cte.productElement(1), bound | {own} if plan.allowRecursion() else bound)
+                bound = bound | {own}
+        for e in _seq(spark, plan.expressions()):
+            of_expression(e, bound)
+        for child in _seq(spark, plan.children()):
+            of_plan(child, bound)
+
+    of_plan(spark._jsparkSession.sessionState().sqlParser().parsePlan(body), frozenset())
+    return sorted(found)
+
+
+def on_session_names(spark: SparkSession, body: str, built: dict[tuple[str, ...], str]) -> str:
+    """The body with its tables under names that the session knows: views built earlier (``built``: parts → temporary
+    view) and two-part names of the catalog."""
+    out, at = [], 0
+    for start, parts in table_places(spark, body):
+        written = _NAME.match(body, start)
+        if written is None or start < at:
+            continue
+        low = [x.lower() for x in parts]
+        exact = [v for known, v in built.items() if [x.lower() for x in known] == low]
+        alike = exact or [v for known, v in built.items() if _tail_matches(known, parts)]
+        if len(alike) == 1:
+            text = f"`{alike[0]}`"
+        elif len(parts) == 3:
+            text = ".".join(f"`{x}`" for x in parts[1:])
+        else:
+            continue
+        out += [body[at:start], text]
+        at = written.end()
+    return "".join([*out, body[at:]])
 
 
 def short_name(name: str) -> str:
@@ -145,7 +186,7 @@ def build_views(spark: SparkSession, sql_text: str) -> dict[str, DataFrame]:
     views: dict[str, DataFrame] = {}
     built: dict[tuple[str, ...], str] = {}
     for name, body in found:
-        views[name] = spark.sql(on_session_names(body, built))
+        views[name] = spark.sql(on_session_names(spark, body, built))
         built[name_parts(name)] = _publish(views[name], name, [n for n, _ in found])
     return views
 
@@ -161,7 +202,7 @@ def materialize_views(spark: SparkSession, sql_text: str, location: str) -> dict
     built: dict[tuple[str, ...], str] = {}
     for name, body in found:
         path = "/".join([location.rstrip("/"), *name_parts(name)])
-        replace_folder(spark, spark.sql(on_session_names(body, built)), path)
+        replace_folder(spark, spark.sql(on_session_names(spark, body, built)), path)
         built[name_parts(name)] = _publish(spark.read.parquet(path), name, [n for n, _ in found])
         written[name] = path
     return written

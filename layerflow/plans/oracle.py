@@ -331,3 +331,45 @@ SELECT event_id, user_id, event_type, 'null_sequence' AS _quarantine_reason FROM
 ORACLE_SQL["gold_stations"] = "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer"
 ORACLE_SQL["gold_measures"] = "SELECT p_partkey, p_name, p_brand FROM part"
 ORACLE_SQL["gold_sensors"] = "SELECT s_suppkey, s_name, s_nationkey FROM supplier"
+
+ORACLE_SQL["bronze_csv_lengths"] = """
+SELECT event_id, user_id,
+       CASE event_id % 10 WHEN 0 THEN NULL WHEN 1 THEN 'x, y, z, and, more' ELSE event_type END AS event_type,
+       CASE event_id % 10 WHEN 0 THEN 'short_row' WHEN 1 THEN 'short_row' WHEN 2 THEN 'long_row' END AS _quarantine_reason
+FROM events
+"""
+
+ORACLE_SQL["gold_cte_names"] = """
+SELECT n.s_nationkey AS nation, n.suppliers, count(*) AS customers, round(sum(c_acctbal), 2) AS acctbal
+FROM (SELECT s_nationkey, count(*) AS suppliers FROM supplier GROUP BY s_nationkey) n
+JOIN customer ON c_nationkey = n.s_nationkey AND c_acctbal > 0 AND c_acctbal <> n.s_nationkey
+GROUP BY n.s_nationkey, n.suppliers
+"""
+
+ORACLE_SQL["schema_change"] = """
+WITH feed AS (
+  SELECT user_id, ts, event_id, event_type, CASE WHEN event_id % 2 = 1 THEN value END AS value FROM events
+), marked AS (
+  SELECT *, (lag(event_type) OVER w IS DISTINCT FROM event_type OR lag(value) OVER w IS DISTINCT FROM value OR lag(ts) OVER w IS NULL)::INT AS opens
+  FROM feed WINDOW w AS (PARTITION BY user_id ORDER BY ts)
+), numbered AS (
+  SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts) AS version FROM marked
+), versions AS (
+  SELECT user_id, version, min(ts) AS since, arg_max(event_id, ts) AS event_id, min(event_type) AS event_type, min(value) AS value
+  FROM numbered GROUP BY user_id, version
+)
+SELECT 'history' AS target, user_id, event_id, event_type, value, since, lead(since) OVER (PARTITION BY user_id ORDER BY since) AS until FROM versions
+UNION ALL
+SELECT 'now', user_id, event_id, event_type, value, ts, NULL FROM feed QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1
+"""
+
+ORACLE_SQL["gold_readings"] = """
+WITH measured AS (
+  SELECT o_orderkey, o_custkey, o_orderdate::DATE + d AS day, k, o_totalprice, CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS shift
+  FROM orders, (VALUES (0, 1), (0, 2), (1, 3)) AS m(d, k)
+  WHERE CASE WHEN d = 0 THEN o_orderstatus = 'F' ELSE o_orderkey % 2 = 0 END
+)
+SELECT o_orderkey AS id_weatherstation, o_custkey AS id_weatherstationsensor, day AS observation_date,
+       o_totalprice * k + shift AS mean, o_totalprice AS min, o_totalprice * 2 AS max, k::DOUBLE AS total
+FROM measured
+"""

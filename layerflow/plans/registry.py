@@ -21,6 +21,7 @@ from ..operators import cdc, dedup, nested, segmented, snapshot
 from . import control, gold
 from ..functions.lineage import file_date
 from ..session import scratch_path, shared_dir
+from ..history import SnapshotStore
 from ..sources import files, landing
 from ..streaming import cdc_stream
 from ..sources.tables import fixture, read_table, stream_table
@@ -125,15 +126,15 @@ def order_snapshot(orders: DataFrame, since: dt.date | None, cutoff: dt.date) ->
     return dedup.latest_per_key(rows, ["o_custkey"], ORDER_KEYS)
 
 
-def _snapshot_history(spark: SparkSession, sf_dir: str, scd_type: int) -> DataFrame:
+def _snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = fixture(spark, sf_dir, "orders")
     shared_dir(spark)
     history = None
     for i, cutoff in enumerate(SNAPSHOT_CUTOFFS):
         history = snapshot.apply_snapshot(
-            history, order_snapshot(orders, SNAPSHOT_CUTOFFS[i - 1] if i else None, cutoff), cutoff, ["o_custkey"], track=["o_orderstatus"], scd_type=scd_type
+            history, order_snapshot(orders, SNAPSHOT_CUTOFFS[i - 1] if i else None, cutoff), cutoff, ["o_custkey"], track=["o_orderstatus"]
         )
-        if i < len(SNAPSHOT_CUTOFFS) - 1 and scd_type == 2:
+        if i < len(SNAPSHOT_CUTOFFS) - 1:
             # The next diff reads this history twice (open and closed rows):
             # materialize it in the shared checkpoint folder to cut lineage.
             history = history.checkpoint(eager=True)
@@ -143,12 +144,18 @@ def _snapshot_history(spark: SparkSession, sf_dir: str, scd_type: int) -> DataFr
 @register("scd2_snapshots")
 def scd2_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshots applied one after another with the incremental diff."""
-    return _snapshot_history(spark, sf_dir, 2)
+    return _snapshot_history(spark, sf_dir)
 
 
 @register("scd1_snapshots")
 def scd1_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _snapshot_history(spark, sf_dir, 1)
+    """Every snapshot applied to a stored table, and an older one once more in between, which changes nothing."""
+    orders, store = fixture(spark, sf_dir, "orders"), SnapshotStore(spark, scratch_path(spark, "snapshots"))
+    for i, cutoff in enumerate(SNAPSHOT_CUTOFFS):
+        store.apply(order_snapshot(orders, SNAPSHOT_CUTOFFS[i - 1] if i else None, cutoff), cutoff, ["o_custkey"], scd_type=1)
+        if i == 2:
+            store.apply(order_snapshot(orders, None, SNAPSHOT_CUTOFFS[0]), SNAPSHOT_CUTOFFS[0], ["o_custkey"], scd_type=1)
+    return store.read()
 
 
 @register("scd2_snapshots_stacked")
@@ -258,6 +265,30 @@ def gold_sql_file_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.build_views(spark, GOLD_FILE_SQL)["gold.suppliers_by_nation"]
 
 
+# A WITH that has the name of an earlier view, a comma join, FROM inside expressions, a view read in a subquery.
+GOLD_NAMES_SQL = """
+CREATE OR REFRESH MATERIALIZED VIEW trade.gold.rich AS (
+  SELECT c_custkey, c_nationkey, c_acctbal FROM customer WHERE c_acctbal > 0
+);
+CREATE OR REFRESH MATERIALIZED VIEW trade.gold.rich_by_nation AS (
+  WITH rich AS (SELECT s_nationkey AS n, count(*) AS suppliers FROM supplier GROUP BY s_nationkey)
+  SELECT rich.n AS nation, rich.suppliers, count(*) AS customers, round(sum(g.c_acctbal), 2) AS acctbal
+  FROM rich, trade.gold.rich g
+  WHERE rich.n = g.c_nationkey AND rich.n IS DISTINCT FROM g.c_acctbal
+    AND EXISTS (SELECT 1 FROM gold.rich AS z WHERE z.c_custkey = g.c_custkey)
+  GROUP BY rich.n, rich.suppliers
+);
+"""
+
+
+@register("gold_cte_names")
+def gold_cte_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of a gold file as Spark's parser sees them."""
+    fixture(spark, sf_dir, "customer").createOrReplaceTempView("customer")
+    fixture(spark, sf_dir, "supplier").createOrReplaceTempView("supplier")
+    return gold.build_views(spark, GOLD_NAMES_SQL)["trade.gold.rich_by_nation"]
+
+
 CURRENT_ORDERS_SQL = """
 CREATE OR REFRESH MATERIALIZED VIEW gold.orders_current as (
 SELECT o_custkey, o_orderkey, o_orderstatus, o_orderdate
@@ -423,6 +454,22 @@ def bronze_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value", "props", files.REASON)
 
 
+@register("bronze_csv_lengths")
+def bronze_csv_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: records of a wrong length, counted as the reader counts: too few fields, too few with a quoted separator among
+    them, too many, and right ones with a quoted separator."""
+    ev = fixture(spark, sf_dir, "events")
+    first = [F.col("event_id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.col("user_id")]
+    kind = F.col("event_id") % 10
+    right = F.concat_ws(",", *first, "event_type", "value", F.lit('"a, quoted"'))
+    row = F.when(kind == 0, F.concat_ws(",", *first)).when(kind == 1, F.concat_ws(",", *first, F.lit('"x, y, z, and, more"'))).when(
+        kind == 2, F.concat_ws(",", right, F.lit("extra"))).otherwise(right)
+    path, bronze = scratch_path(spark, "landing"), scratch_path(spark, "bronze")
+    ev.select(row.alias("value")).write.text(path)
+    files.ingest(spark, path, bronze, scratch_path(spark, "checkpoint"), EVENTS_SCHEMA, "csv")
+    return read_table(spark, bronze).select("event_id", "user_id", "event_type", files.REASON)
+
+
 @register("bronze_lineage")
 def bronze_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What lineage says of every ingested event: its file's folder, that the file has a name and a size, and
@@ -819,3 +866,103 @@ def gold_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("gold_sensors")
 def gold_sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _gold_entity(spark, sf_dir, "sensors")
+
+
+# ---------------------------------------------------------------- declared schemas that change, nested readings
+
+#: The events' schema before it was widened: an integer id, no values.
+EARLIER_EVENTS_SCHEMA = {
+    "type": "struct",
+    "fields": [{**f, "type": "int"} if f["name"] == "event_id" else f for f in EVENTS_SCHEMA["fields"] if f["name"] not in ("value", "props")],
+}
+
+
+@register("schema_change")
+def schema_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even events are ingested under a schema without values and with an integer id; then the control row's schema gains the
+    values and widens the id, and the odd events follow. Both SCD types take it over; earlier rows hold NULL."""
+    events = fixture(spark, sf_dir, "events")
+    base, root = scratch_path(spark, "landing"), scratch_path(spark, "warehouse")
+    silver = lambda target, scd: (target, "silver", {
+        "source_table": "bronze.changing", "target_table": f"silver.{target}", "cdc_parameters": {
+            "cdc_type": "auto_cdc", "keys": ["user_id"], "sequence_by": "ts", "scd_type": scd, "track_history_column_list": ["event_type", "value"]}})
+    for part, schema in enumerate((EARLIER_EVENTS_SCHEMA, EVENTS_SCHEMA)):
+        landing.land_json_arrays(events.filter(F.col("event_id") % 2 == part), base, "events", F.lit(f"2025010{part + 1}_000000"))
+        rows = [
+            ("bronze_changing", "bronze", {
+                "source_path": f"{base}/key=events", "file_format": "json", "target_table": "bronze.changing", "schema": schema}),
+            silver("changing_history", 2), silver("changing_now", 1)]
+        if not part:  # the column to track is not there yet
+            for _, kind, p in rows[1:]:
+                p["cdc_parameters"]["track_history_column_list"] = ["event_type"]
+        control.run_operations(spark, _control(spark, "changing", rows), "changing", root, buckets=STREAM_BUCKETS, replace_tables=True)
+    ntz = lambda c: c.cast("timestamp_ntz")
+    history, now = spark.read.table("silver.changing_history"), spark.read.table("silver.changing_now")
+    columns = ["user_id", "event_id", "event_type", "value"]
+    return history.select(F.lit("history").alias("target"), *columns, ntz(F.col(cdc.START_AT)).alias("since"), ntz(F.col(cdc.END_AT)).alias("until")).unionByName(
+        now.select(F.lit("now").alias("target"), *columns, ntz(F.col("ts")).alias("since"), F.lit(None).cast("timestamp_ntz").alias("until")))
+
+
+MEASURED = {"type": "struct", "fields": [{"name": n, "type": "double"} for n in ("mean", "min", "max", "total")]}
+READINGS_SCHEMA = {
+    "type": "struct",
+    "fields": [
+        {"name": "id_weatherstation", "type": "bigint", "nullable": False},
+        {"name": "sensors", "type": {"type": "array", "elementType": {"type": "struct", "fields": [
+            {"name": "id_weatherstationsensor", "type": "bigint"},
+            {"name": "dates", "type": {"type": "array", "elementType": {"type": "struct", "fields": [
+                {"name": "observation_date", "type": "date"}, {"name": "is_validated", "type": "boolean"},
+                {"name": "values", "type": {"type": "array", "elementType": MEASURED}}]}}}]}}},
+    ],
+}
+GOLD_READINGS_SQL = """
+CREATE OR REFRESH MATERIALIZED VIEW weather.gold.readings_flat AS (
+  WITH by_sensor AS (
+    SELECT id_weatherstation, explode(sensors) AS sensor FROM weather.silver.readings_cdc WHERE `__END_AT` IS NULL
+  ), by_date AS (
+    SELECT id_weatherstation, sensor.id_weatherstationsensor, explode(sensor.dates) AS day FROM by_sensor
+  ), by_value AS (
+    SELECT id_weatherstation, id_weatherstationsensor, day.observation_date, explode(day.`values`) AS v
+    FROM by_date WHERE day.is_validated = 'true'
+  )
+  SELECT id_weatherstation, id_weatherstationsensor, observation_date, v.mean, v.min, v.max, v.total FROM by_value
+);
+"""
+
+
+def station_readings(orders: DataFrame, shift: Column) -> DataFrame:
+    """An order as a station: its customer is the sensor, with two dates (the order's, validated for status F, of two
+    measurements; the day after, validated for even keys, of one) and a sensor without dates."""
+    measured = lambda k: F.struct(
+        (F.col("o_totalprice") * k + shift).alias("mean"), F.col("o_totalprice").alias("min"), (F.col("o_totalprice") * 2).alias("max"),
+        F.lit(float(k)).alias("total"))
+    date = lambda days, valid, values: F.struct(
+        F.date_add(F.col("o_orderdate").cast("date"), days).alias("observation_date"), valid.alias("is_validated"), values.alias("values"))
+    dates = F.array(
+        date(0, F.col("o_orderstatus") == "F", F.array(measured(1), measured(2))), date(1, F.col("o_orderkey") % 2 == 0, F.array(measured(3))))
+    sensor = lambda key, of: F.struct(key.alias("id_weatherstationsensor"), of.alias("dates"))
+    return orders.select(
+        F.col("o_orderkey").alias("id_weatherstation"), F.array(sensor(F.col("o_custkey"), dates), sensor(-F.col("o_custkey"), F.slice(dates, 1, 0))).alias("sensors"))
+
+
+@register("gold_readings")
+def gold_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings flow as deployed: nested arrays landed, bronze under the nested schema, snapshot-fed history that tracks
+    the array, the gold view of its current rows. Every fifth station's readings are corrected in a second snapshot."""
+    orders = fixture(spark, sf_dir, "orders")
+    base, root, sql = scratch_path(spark, "landing"), scratch_path(spark, "warehouse"), scratch_path(spark, "sql")
+    spark.createDataFrame([(GOLD_READINGS_SQL,)], "value string").coalesce(1).write.text(sql)
+    ctl = _control(spark, "readings", [
+        ("bronze_readings", "bronze", {
+            "source_path": f"{base}/key=readings", "file_format": "json", "target_table": "weather.bronze.readings", "schema": READINGS_SCHEMA}),
+        ("readings_cdc", "silver", {
+            "source_table": "weather.bronze.readings", "target_table": "weather.silver.readings_cdc", "cdc_parameters": {
+                "cdc_type": "auto_cdc_from_snapshot", "keys": ["id_weatherstation"], "order_keys": ["file_date desc"],
+                "stored_as_scd_type": "2", "track_history_column_list": ["sensors"]}}),
+        ("gold_layer", "gold", {"sql_file_path": sql}),
+    ])
+    for version, rows in enumerate((orders, orders.filter(F.col("o_orderkey") % 5 == 0)), 1):
+        landing.land_json_arrays(
+            station_readings(rows, F.lit(float(version - 1))), base, "readings", F.lit(f"2025010{version}_000000"), group=F.floor(F.col("id_weatherstation") / 8))
+        control.run_operations(spark, ctl, "readings", root, snapshot_version=version, replace_tables=True)
+    return spark.read.table("gold.readings_flat")

@@ -8,7 +8,8 @@
 * ``mode="native"``: Spark's JSON/CSV reader in PERMISSIVE mode. A record it
   cannot parse (including a JSON array holding one ``null``) becomes one
   all-NULL row whose raw text is in ``_corrupt_record`` (B1); a wrong-typed
-  field is NULL on an otherwise kept row (B3).
+  field is NULL on an otherwise kept row (B3). CSV records with too few or too many fields are
+  quarantined as ``short_row`` and ``long_row``, counted by the reader's own rules of quoting.
 * ``mode="salvage"`` (JSON): each line (or whole file, ``whole_file=True``) is
   read as text and parsed with ``from_json`` as an array of the schema, so the
   good elements next to a ``null`` survive (B2) and the ``null`` becomes one
@@ -30,6 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions.lineage import with_lineage
+from ..schemas import evolve, fitted
 from ..functions.types import as_nullable, required_columns, schema_from_spec
 
 CORRUPT = "_corrupt_record"
@@ -45,6 +47,25 @@ def _reason(schema: StructType, base: Column) -> Column:
     return out
 
 
+#: A field that no text holds, put behind a record to find out how many fields it has.
+_END_FIELD = "\u0002end\u0002"
+
+
+def _csv_count_reason(raw: Column, fields: int, options: dict[str, str]) -> Column:
+    """Why a raw CSV record does not have the declared number of fields (NULL if it has), as the reader itself parses it
+    under the same options (quotes, escapes, separators): the place of a field put behind the last one says it."""
+    low = {k.lower(): v for k, v in options.items()}
+    sep = low.get("sep", low.get("delimiter", ","))
+    own = {k: str(v) for k, v in options.items() if k.lower() not in ("header", "mode", "columnnameofcorruptrecord", "maxfilespertrigger")}
+    columns = [f"f{i}" for i in range(fields + 1)]
+    parsed = F.from_csv(F.concat(raw, F.lit(sep.replace("\\t", "\t") + _END_FIELD)), ", ".join(f"{c} string" for c in columns), own)
+    place = F.array_position(F.array(*[F.coalesce(parsed[c], F.lit("")) for c in columns]), _END_FIELD)
+    swallowed = F.exists(F.array(*[parsed[c] for c in columns]), lambda c: F.coalesce(c.contains(_END_FIELD), F.lit(False)))
+    return (
+        F.when(place == fields + 1, F.lit(None).cast("string")).when(place > 0, F.lit("short_row"))
+        .when(swallowed, F.lit("corrupt_record")).otherwise(F.lit("long_row")))
+
+
 def read_landed(
     spark: SparkSession,
     source_path: str,
@@ -100,10 +121,9 @@ def read_landed(
         for f in readable.fields:
             all_null = all_null & F.col(f.name).isNull()
         base = F.when(F.col(CORRUPT).isNotNull() & all_null, F.lit("corrupt_record"))
-        if fmt == "csv":  # too few fields; a wrong-typed field alone leaves the record (B3)
-            sep = (options or {}).get("sep", (options or {}).get("delimiter", ","))
-            fields = F.size(F.split(F.col(CORRUPT), re.escape(sep)))
-            base = F.coalesce(base, F.when(F.col(CORRUPT).isNotNull() & (fields < len(readable.fields)), F.lit("short_row")))
+        if fmt == "csv":  # a wrong-typed field alone leaves the record (B3)
+            counted = _csv_count_reason(F.col(CORRUPT), len(readable.fields), options or {})
+            base = F.when(F.col(CORRUPT).isNotNull(), F.coalesce(counted, base))
         out = with_lineage(src).withColumn("__base", base)
     else:
         raise ValueError(f"unknown mode {mode!r}; use 'native' or 'salvage'")
@@ -190,7 +210,10 @@ def ingest(
     """S1 + S6: one ``availableNow`` run of the bronze stream for one source folder.
 
     With ``keys`` (known from the silver row that reads this table) bronze is
-    partitioned by key bucket, so silver can recompute only touched buckets.
+    partitioned by key bucket, so silver can recompute only touched buckets; a bucket's
+    rows of a micro-batch are dealt over several tasks where there are more tasks than buckets.
+    A declared schema that has changed since the last run is merged into the table's
+    (``schemas.evolve``) or refused before anything is read.
     """
     df = read_landed(
         spark, source_path, schema, file_format, stream=True, mode=mode, whole_file=whole_file,
@@ -199,5 +222,10 @@ def ingest(
     part = None
     if keys:
         part = [bucket_column(keys, buckets)]
-        df = with_bucket(df, keys, buckets).repartition(part[0])  # one file for each bucket of a micro-batch
+        df = with_bucket(df, keys, buckets)
+    df = fitted(df, evolve(spark, target_path, df.schema, tuple(keys or ())))
+    if part:
+        shares = max(1, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // buckets))
+        df = df.repartition(part[0], F.pmod(F.xxhash64("source_metadata.file_path", "source_metadata.file_block_start", *(
+            f.name for f in df.schema.fields if f.name not in (*LINEAGE, part[0]) and f.dataType.typeName() not in ("map", "variant"))), F.lit(shares)))
     write_bronze(df, target_path, checkpoint, partition_by=part)

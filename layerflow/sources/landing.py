@@ -101,7 +101,8 @@ def land_json_arrays(
     one API answer holds them; the caller's group bounds its length), or of one
     record. ``poison`` (a boolean column) appends a ``null`` element to an array, as
     an empty API answer does. The landing folder name carries the timestamp that
-    ``file_date`` reads; rows are dealt by it, so a folder has few files.
+    ``file_date`` reads; rows are gathered by it, and a folder of many rows is dealt over
+    several tasks and files again by its size.
     """
     record = F.to_json(F.struct(*[F.col(c) for c in df.columns]), JSON_WRITE_OPTIONS)
     rows = df.select(
@@ -114,6 +115,6 @@ def land_json_arrays(
             F.sort_array(F.collect_list("record")).alias("records"), F.bool_or("poison").alias("poison"))
     value = F.concat(F.lit("["), F.array_join("records", ","), F.when(F.col("poison"), ", null").otherwise(""), F.lit("]"))
     (
-        lines.select(F.lit(key).alias("key"), "landed_at", value.alias("value")).repartition("landed_at")
+        lines.select(F.lit(key).alias("key"), "landed_at", value.alias("value")).hint("rebalance", F.col("landed_at"))
         .write.mode(mode).partitionBy("key", "landed_at").text(base_path)
     )

@@ -1,13 +1,10 @@
-"""Folders on the session's file systems: existence, replacement as a whole, and versioned tables."""
+"""Folders on the session's file systems: existence, small files, replacement as a whole."""
 
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
-from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def _fs(spark: SparkSession, path: str):
@@ -29,6 +26,42 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in fs.listStatus(here) if f.isDirectory() and "=" in f.getPath().getName()]
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the plain files directly in a folder, in order; none if it is not there."""
+    fs, here, _ = _fs(spark, path)
+    return sorted(f.getPath().getName() for f in fs.listStatus(here) if f.isFile()) if fs.exists(here) else []
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """The text of a small file, read without a job."""
+    fs, here, _ = _fs(spark, path)
+    stream = fs.open(here)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small new file as a whole: it is not there, or complete. A file of that name that is there raises."""
+    fs, here, path_of = _fs(spark, path)
+    new = path_of(here.getParent(), f".{here.getName()}.{uuid.uuid4().hex}")
+    stream = fs.create(new)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if fs.exists(here) or not fs.rename(new, here):
+        fs.delete(new, False)
+        raise OSError(f"cannot write {path}")
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder, as the file system counts them."""
+    fs, here, _ = _fs(spark, path)
+    return int(fs.getContentSummary(here).getLength()) if fs.exists(here) else 0
+
+
 def replace_folder(spark: SparkSession, df: DataFrame, path: str) -> None:
     """Write ``df`` beside ``path``, then let it take the place: ``df`` may read ``path``, and a failed write leaves
     it as it was."""
@@ -53,67 +86,3 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     if fs.exists(here):
         fs.delete(here, True)
     spark.catalog.refreshByPath(path)
-
-
-@dataclass
-class SnapshotStore:
-    """History of a snapshot-fed table that is only ever added to.
-
-    ``open/run=R`` holds the rows that are open after run R, ``closed/run=R`` those that R closed; ``log`` has one row
-    for each run that is complete, with its place in the order and its version as Spark wrote it. What is not in the
-    log does not exist: a run that failed half-way leaves nothing behind, and no folder is written twice.
-    """
-
-    spark: SparkSession
-    root: str
-
-    def _log(self) -> DataFrame | None:
-        path = f"{self.root}/log"
-        return self.spark.read.parquet(path) if exists(self.spark, path) else None
-
-    def last(self) -> tuple[int, str, Any] | None:
-        """(place, run, version) of the newest complete run."""
-        log = self._log()
-        row = None if log is None else log.orderBy(F.desc("place")).select("place", "run", "version").first()
-        return None if row is None else (row["place"], row["run"], row["version"])
-
-    def folders(self) -> list[str]:
-        """Where the rows are: open rows of the newest run, closed rows of all complete ones."""
-        last = self.last()
-        if last is None:
-            return []
-        closed = [f"{self.root}/closed/run={r.run}" for r in self._log().orderBy("place").select("run").collect()]
-        return [f"{self.root}/open/run={last[1]}", *(path for path in closed if exists(self.spark, path))]
-
-    def open_rows(self) -> DataFrame | None:
-        last = self.last()
-        return None if last is None else self.spark.read.parquet(f"{self.root}/open/run={last[1]}")
-
-    def read(self) -> DataFrame | None:
-        """The whole history."""
-        found = self.folders()
-        return self.spark.read.parquet(*found) if found else None
-
-    def add(self, open_rows: DataFrame, closed_rows: DataFrame | None, version: Any) -> None:
-        """One more complete run of separate open and closed rows."""
-        run = uuid.uuid4().hex
-        open_rows.write.parquet(f"{self.root}/open/run={run}")
-        if closed_rows is not None:
-            closed_rows.write.parquet(f"{self.root}/closed/run={run}")
-        self._log_run(run, version)
-
-    def add_changes(self, changed: DataFrame, version: Any) -> None:
-        """One more complete run of rows that are open (no ``__END_AT``) or closed by it. They are computed once, into a
-        stage of two parts."""
-        stage = f"{self.root}/stage/{uuid.uuid4().hex}"
-        changed.withColumn("__closed", F.col("__END_AT").isNotNull()).write.partitionBy("__closed").parquet(stage)
-        rows = self.spark.read.schema(f"{changed.schema.toDDL()}, __closed boolean").parquet(stage)
-        self.add(rows.filter("not __closed").drop("__closed"), rows.filter("__closed").drop("__closed"), version)
-        remove_folder(self.spark, stage)
-
-    def _log_run(self, run: str, version: Any) -> None:
-        last = self.last()
-        self.spark.range(1).select(
-            F.lit(0 if last is None else last[0] + 1).cast("long").alias("place"), F.lit(run).alias("run"),
-            F.lit(version).alias("version"), F.current_timestamp().alias("applied_at"),
-        ).coalesce(1).write.mode("append").parquet(f"{self.root}/log")

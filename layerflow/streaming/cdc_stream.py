@@ -12,6 +12,10 @@ files are neither read nor written. For the rest of the bucket:
 2. versions of other keys are carried over as they are;
 3. the result is written to a stage first and then takes the place of the bucket's eras from E on.
 
+Work is dealt by key, over all shuffle partitions however few the buckets; only the last step gathers a bucket's era, in
+as many tasks and files as its share of the staged bytes asks for (``file_bytes``), so neither many keys in one bucket nor
+one key of many versions makes one task or file of it.
+
 Late and out-of-order rows are therefore exact (no watermark is needed). A batch that failed on the way is repeated
 from its stage, if that was complete, so it never starts from half-replaced eras. SCD type 1 needs no bronze: the
 newest of the stored row and the batch's rows stays. One writer per silver table is assumed; a reader may see old and
@@ -28,8 +32,9 @@ from pyspark.sql.types import DateType, NumericType, TimestampNTZType, Timestamp
 
 from ..operators import cdc
 from ..sources.files import BUCKET_PREFIX, CORRUPT, LINEAGE, REASON, bucket_column, bucket_of, without_buckets
+from ..schemas import evolve, fitted, read_stored
 from ..sources.tables import read_table, stream_table
-from ..storage import exists, list_folders, remove_folder
+from ..storage import exists, folder_bytes, list_folders, remove_folder
 
 NULL_SEQUENCE = "null_sequence"
 
@@ -96,7 +101,7 @@ def changed_eras(
         rows = new_rows
         if silver is not None:
             rows = silver.filter(F.col(own).isin(touched)).drop(ERA).select(*rows.columns).unionByName(rows)
-        now = cdc.scd1_from_changes(rows.repartition(own), by_key, seq)
+        now = cdc.scd1_from_changes(rows, by_key, seq)
         return now.withColumn(ERA, F.lit(OPEN_ERA)), {b: 0 for b in touched}
 
     at_hand = F.col(own).isin(touched) if own in bronze.columns else bucket_of(keys, buckets).isin(touched)
@@ -117,26 +122,42 @@ def changed_eras(
     since = F.least("__from", F.when(F.col("__from").isNotNull(), F.col("__first")))
     rows = rows.alias("l").join(batch_keys.alias("r"), _null_safe(by_key)).filter(
         since.isNull() | (F.col(f"l.{seq[0]}") >= since)).select("l.*")
-    if not (segments and segments > 1):
-        rows = rows.repartition(own)  # also serves the windows over bucket and keys
     history = cdc.scd2_from_changes(
         rows, by_key, seq, track=track, track_except=untracked_lineage(rows, track, track_except), segments=segments)
     history = history.withColumn(ERA, F.coalesce(era_of(history, cdc.END_AT, era_width), F.lit(OPEN_ERA)))
     if carried is not None:
         history = history.unionByName(carried.select(*history.columns))
-    return history.repartition(own), first_eras
+    return history, first_eras
+
 
+#: Bytes of a stage that make one file of a silver table.
+FILE_BYTES = 128 << 20
 
-def replace_eras(spark: SparkSession, stage: str, silver_path: str, own: str, first_eras: dict[int, int]) -> None:
-    """Let the staged rows take the place of their buckets' eras; eras that the stage no longer has go."""
+
+def replace_eras(
+    spark: SparkSession, stage: str, silver_path: str, own: str, first_eras: dict[int, int], file_bytes: int = FILE_BYTES,
+) -> None:
+    """Let the staged rows take the place of their buckets' eras; eras that the stage no longer has go. The rows of each
+    bucket and era (as many numbers reach the driver) say over how many tasks it is dealt."""
     staged = spark.read.parquet(stage)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(own, ERA).parquet(silver_path)
-    kept = {(r[0], r[1]) for r in staged.select(own, ERA).distinct().collect()}
+    counts = {(r[0], r[1]): r[2] for r in staged.groupBy(own, ERA).count().collect()}
+    row_bytes = folder_bytes(spark, stage) / max(1, sum(counts.values()))
+    many = {place: -(-int(n * row_bytes) // file_bytes) for place, n in counts.items() if n * row_bytes > file_bytes}
+    share = F.lit(0)
+    if many:
+        shares = F.create_map(*[F.lit(x) for (bucket, era), n in many.items() for x in (f"{bucket}/{era}", n)])
+        place = F.concat_ws("/", own, ERA)
+        plain = [c for c in staged.columns if staged.schema[c].dataType.typeName() not in ("map", "variant")]
+        share = F.pmod(F.xxhash64(*plain), F.coalesce(shares[place], F.lit(1)))
+    (
+        staged.repartition(own, ERA, share).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(own, ERA).parquet(silver_path)
+    )
     for bucket, first in first_eras.items():
         folder = f"{silver_path}/{own}={bucket}"
         for name in list_folders(spark, folder):
             era = int(name.partition("=")[2])
-            if era >= first and (bucket, era) not in kept:
+            if era >= first and (bucket, era) not in counts:
                 remove_folder(spark, f"{folder}/{name}")
 
 
@@ -157,11 +178,13 @@ def apply_changes(
     segments: int | None = None,
     quarantine_path: str | None = None,
     era_width: float | None = None,
+    file_bytes: int = FILE_BYTES,
 ):
     """Run the silver stream over everything bronze (a table's name or its folder) holds now (``availableNow``).
 
     Rows that cannot be applied (quarantined by ingest, or without a sequence value) go to ``quarantine_path``, by
-    micro-batch, so a repeated batch replaces its own. ``era_width`` sets the eras of a numeric sequence.
+    micro-batch, so a repeated batch replaces its own. ``era_width`` sets the eras of a numeric sequence. Columns that bronze
+    has gained or widened since the last run are taken into silver and quarantine (``schemas.evolve``).
     """
     changes = stream_table(spark, bronze, max_files_per_trigger=max_files_per_trigger)
     key_list = list(keys)
@@ -177,22 +200,26 @@ def apply_changes(
                 late = late | F.col(c).isNull()
             bad = without_buckets(batch).withColumn(REASON, F.coalesce(reason, F.when(late, F.lit(NULL_SEQUENCE)))).filter(
                 F.col(REASON).isNotNull())
-            bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch={epoch_id}")
+            fitted(bad, evolve(session, quarantine_path, bad.schema)).write.mode("overwrite").parquet(f"{quarantine_path}/batch={epoch_id}")
         stage = f"{checkpoint.rstrip('/')}/stage/batch={epoch_id}"
         done = f"{stage}/eras"
         if not exists(session, f"{done}/_SUCCESS"):
             source = read_table(session, bronze)
             if columns:
                 source = source.select(*[c for c in source.columns if c in columns or c in (REASON, CORRUPT, own)])
-            silver = session.read.parquet(silver_path) if list_folders(session, silver_path) else None
+            silver = read_stored(session, silver_path) if list_folders(session, silver_path) else None
+            if silver is not None:  # what bronze has gained is NULL in the rows carried over
+                gained = [f for f in plain_rows(source).schema.fields if f.name not in silver.columns and f.name not in (own, ERA)]
+                silver = silver.withColumns({f.name: F.lit(None).cast(f.dataType) for f in gained})
             now, first_eras = changed_eras(
                 batch, source, silver, key_list, sequence_by, buckets, track, track_except, scd_type, segments, era_width)
             if not first_eras:
                 return
+            now = fitted(now, evolve(session, silver_path, now.schema, (own, ERA, *key_list)))
             now.write.mode("overwrite").parquet(f"{stage}/rows")
             session.createDataFrame(list(first_eras.items()), "bucket int, era long").coalesce(1).write.mode("overwrite").parquet(done)
         first_eras = {r.bucket: r.era for r in session.read.parquet(done).collect()}
-        replace_eras(session, f"{stage}/rows", silver_path, own, first_eras)
+        replace_eras(session, f"{stage}/rows", silver_path, own, first_eras, file_bytes)
         remove_folder(session, f"{checkpoint.rstrip('/')}/stage/batch={epoch_id - 1}")
 
     q = (
@@ -211,4 +238,4 @@ def apply_changes(
 
 def read_silver(spark: SparkSession, silver_path: str) -> DataFrame:
     """The SCD table without its bucket column."""
-    return without_buckets(spark.read.parquet(silver_path))
+    return without_buckets(read_stored(spark, silver_path))

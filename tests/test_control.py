@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from layerflow.operators import cdc, segmented, snapshot
 from layerflow.plans import control
 from layerflow.sources import files, landing
-from layerflow.storage import SnapshotStore, exists
+from layerflow.history import SnapshotStore
+from layerflow.storage import exists
 from layerflow.streaming import cdc_stream
 
 SEEDED = {
