@@ -94,7 +94,8 @@ def test_a_batch_is_repeated_from_its_stage(spark, tmp_path):
     cdc_stream.apply_changes(spark, bronze, silver, ck, ["user_id"], "ts", buckets=4, track=["event_type"])
     want = canon(cdc_stream.read_silver(spark, silver))
     for folder in list((tmp_path / "silver").glob("*/*"))[::2]:
-        shutil.rmtree(folder)
+        if folder.is_dir():
+            shutil.rmtree(folder)
     (tmp_path / "ck" / "commits" / "1").unlink()
     for crc in (tmp_path / "ck" / "commits").glob(".1*"):
         crc.unlink()
