@@ -44,7 +44,8 @@ class SnapshotStore:
         last = self.last()
         if last is None:
             return []
-        closed = [f"{self.root}/closed/run={r.run}" for r in self._log().orderBy("place").select("run").collect()]
+        runs = dict.fromkeys(r.run for r in self._log().orderBy("place").select("run").collect())  # repeated versions share a run
+        closed = [f"{self.root}/closed/run={run}" for run in runs]
         return [f"{self.root}/open/run={last[1]}", *(path for path in closed if exists(self.spark, path))]
 
     def open_rows(self) -> DataFrame | None:
@@ -76,6 +77,10 @@ class SnapshotStore:
         self.add(rows.filter("not __closed").drop("__closed"), rows.filter("__closed").drop("__closed"), version)
         remove_folder(self.spark, stage)
 
+    def repeat(self, version: Any) -> None:
+        """A newer version whose snapshot is the last one again: a row of the log, no others."""
+        self._log_run(self.last()[1], version)
+
     def _log_run(self, run: str, version: Any) -> None:
         last = self.last()
         self.spark.range(1).select(

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, StringType, StructField, StructType, TimestampType
 
+from ..first_rows import FirstRows
 from ..history import SnapshotStore
 from ..operators import dedup
 from ..schemas import evolve, fitted, read_stored, stored_schema
@@ -331,32 +332,52 @@ def _plain_version(version: Any) -> Any:
 def apply_snapshot_flow(spark: SparkSession, wh: Warehouse, p: dict, stored: str, version: Any, replace: bool) -> None:
     """Snapshot flow: the W2 view of bronze (first good row per key in ``order_keys`` order, all its columns,
     named ``<target>_snapshot`` for the session) diffed against the stored history. A version that is not newer than the
-    last one applied changes nothing, for either SCD type. Open rows are written anew, closed rows only added."""
-    bronze = read_table(spark, stored)
-    snap = dedup.first_per_key(cdc_stream.plain_rows(bronze), p["keys"], p["order_keys"])
+    last one applied changes nothing, for either SCD type. Of a bronze folder only files that no earlier run has merged are
+    read (``first_rows``); a run without new files adds a version and no rows. A table that is known by its
+    name alone is read as a whole."""
     target = p["target_table"]
-    snap.createOrReplaceTempView(f"{target.split('.')[-1]}_snapshot")
     store = SnapshotStore(spark, wh.path(target))
     version, last = _plain_version(version), store.last()
-    if last is None or version > last[2]:
-        write_rejected(spark, wh, target, bronze, version)
-        keep_out = cdc_stream.untracked_lineage(snap, p["track"], p["track_except"])
-        store.apply(snap, version, p["keys"], p["track"], keep_out, p["scd_type"])
+    newer = last is None or version > last[2]
+    view = f"{target.split('.')[-1]}_snapshot"
+    firsts = step = None
+    if "/" in stored:
+        plan = (p["track"], p["track_except"], int(p["scd_type"]))
+        firsts = FirstRows(spark, wh.checkpoint(target, "first_rows"), stored, p["keys"], p["order_keys"], plan)
+        step = firsts.step()
+        snap, fresh, batch = step.rows, step.new, f"place{step.place:06}"
+    else:
+        fresh = read_table(spark, stored)
+        snap = dedup.first_per_key(cdc_stream.plain_rows(fresh), p["keys"], p["order_keys"])
+        batch = hashlib.md5(str(version).encode()).hexdigest()[:12]
+    if newer:
+        if fresh is not None:
+            write_rejected(spark, wh, target, fresh, batch, seen_before=step is None or step.whole)
+        if step is not None:
+            snap = firsts.publish(step)
+        if step is not None and last is not None and firsts.used(step):
+            store.repeat(version)
+        else:
+            keep_out = cdc_stream.untracked_lineage(snap, p["track"], p["track_except"])
+            store.apply(snap, version, p["keys"], p["track"], keep_out, p["scd_type"])
+        if step is not None:
+            firsts.mark_used(step)
+    snap.createOrReplaceTempView(view)
     wh.register_history(target, store, replace)
 
 
-def write_rejected(spark: SparkSession, wh: Warehouse, target: str, bronze: DataFrame, version: Any) -> None:
-    """The rows of bronze that no version of the target could apply, with their reason, in a folder for each version that met
-    them first (a repeated run replaces its own)."""
-    if files.REASON not in bronze.columns:
+def write_rejected(spark: SparkSession, wh: Warehouse, target: str, rows: DataFrame, batch: str, seen_before: bool) -> None:
+    """The bronze rows that no version of the target can apply, with their reason, in a folder for each run that met
+    them first (a repeated run replaces its own). ``seen_before``: the rows may hold some that earlier runs met."""
+    if files.REASON not in rows.columns:
         return
     path = wh.quarantine(target)
-    bad = files.without_buckets(bronze).filter(F.col(files.REASON).isNotNull())
+    bad = files.without_buckets(rows).filter(F.col(files.REASON).isNotNull())
     schema = evolve(spark, path, bad.schema)
-    own = f"batch={hashlib.md5(str(version).encode()).hexdigest()[:12]}"
+    own = f"batch={batch}"
     earlier = [f"{path}/{name}" for name in list_folders(spark, path) if name != own]
     stamp = "_ingestion_timestamp"
-    if earlier and stamp in bad.columns:  # bronze only grows: later runs see earlier rows again
+    if seen_before and earlier and stamp in bad.columns:  # bronze only grows: its rows have later times
         newest = read_stored(spark, *earlier, table=path).agg(F.max(stamp)).first()[0]
         bad = bad.filter(F.col(stamp) > F.lit(newest)) if newest is not None else bad
     fitted(bad, schema).write.mode("overwrite").parquet(f"{path}/{own}")
