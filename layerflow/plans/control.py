@@ -54,7 +54,7 @@ PARAMETERS_SCHEMA = (
     "mode string, whole_file boolean, options map<string,string>, "
     "cdc_parameters struct<cdc_type string, keys array<string>, sequence_by string, scd_type string, "
     "stored_as_scd_type string, order_keys array<string>, track_history_column_list array<string>, "
-    "track_history_except_column_list array<string>, segments int>"
+    "track_history_except_column_list array<string>, segments int, change_feed boolean>"
 )
 
 
@@ -142,6 +142,7 @@ def silver_plan(params: dict) -> dict:
         "track": list(cdc.get("track_history_column_list") or []),
         "track_except": list(cdc.get("track_history_except_column_list") or []),
         "segments": cdc.get("segments"),
+        "change_feed": bool(cdc.get("change_feed")),
     }
     if cdc_type == "auto_cdc":
         plan["sequence_by"] = _need(sequence_columns(_need(cdc.get("sequence_by"), "SEQUENCE_BY")), "SEQUENCE_BY")
@@ -173,6 +174,9 @@ class Warehouse:
     def quarantine(self, name: str) -> str:
         return f"{self.root}/_quarantine/{name.split('.')[-1]}"
 
+    def feed(self, name: str) -> str:
+        return f"{self.root}/_feeds/{name.split('.')[-1]}"
+
     def _name(self, name: str) -> tuple[str, str]:
         """The two-part name in the session catalog, quoted and plain; its database exists afterwards."""
         parts = name.split(".")[-2:]
@@ -298,8 +302,11 @@ def run_operations(
                 spark, stored, wh.path(target), wh.checkpoint(target, "silver"), p["keys"],
                 p["sequence_by"], buckets=buckets, track=p["track"] or None, track_except=p["track_except"] or None,
                 scd_type=p["scd_type"], segments=p["segments"], quarantine_path=wh.quarantine(target),
+                feed_path=wh.feed(target) if p["change_feed"] else None,
             )
             wh.register(target, replace=replace_tables)
+            if p["change_feed"] and list_folders(spark, wh.feed(target)):
+                wh.register(f"{target}__changes", wh.feed(target), replace_tables)
         else:
             apply_snapshot_flow(spark, wh, p, stored, snapshot_version, replace_tables)
         done["silver"].append(target)

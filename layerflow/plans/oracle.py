@@ -224,6 +224,7 @@ SELECT o_custkey, o_orderdate, o_orderkey,
 """
 
 ORACLE_SQL["scd2_stream"] = ORACLE_SQL["scd2_changes"]
+ORACLE_SQL["silver_change_feed"] = ORACLE_SQL["scd2_changes"]
 
 
 ORACLE_SQL["payload_extract"] = """

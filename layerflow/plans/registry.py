@@ -23,7 +23,7 @@ from ..functions.lineage import file_date
 from ..session import scratch_path, shared_dir
 from ..history import SnapshotStore
 from ..sources import files, landing
-from ..streaming import cdc_stream
+from ..streaming import cdc_stream, change_feed
 from ..sources.tables import fixture, read_table, stream_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -537,6 +537,34 @@ def scd2_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("silver_change_feed")
+def silver_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 on a CDC target: the events arrive in three appends split by a hash of the event id; after each the control rows run,
+    and a stream of the target's feed adds what is new to a copy. The copy's changes, replayed, are the history."""
+    events = fixture(spark, sf_dir, "events")
+    base, root = scratch_path(spark, "landing"), scratch_path(spark, "warehouse")
+    copy, ck_copy = scratch_path(spark, "copy"), scratch_path(spark, "checkpoint")
+    ctl = _control(spark, "feed", [
+        ("bronze_events", "bronze", {
+            "source_path": f"{base}/key=events", "file_format": "json", "target_table": "bronze.feed_events", "schema": EVENTS_SCHEMA}),
+        ("events_cdc", "silver", {"source_table": "bronze.feed_events", "target_table": "silver.feed_events_cdc", "cdc_parameters": {
+            "cdc_type": "auto_cdc", "keys": ["user_id"], "sequence_by": "ts", "scd_type": "2",
+            "track_history_column_list": ["event_type"], "change_feed": True}}),
+    ])
+    part = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    for p in range(3):
+        landing.land_json_arrays(events.filter(part == p), base, "events", F.lit(f"2025010{p + 1}_000000"))
+        control.run_operations(spark, ctl, "feed", root, buckets=STREAM_BUCKETS, replace_tables=True)
+        feed = stream_table(spark, control.Warehouse(spark, root).feed("silver.feed_events_cdc"))
+        files.write_bronze(feed.select("user_id", "ts", "event_type", cdc.START_AT, cdc.END_AT, "_change", "batch"), copy, ck_copy)
+    out = change_feed.replay(spark.read.parquet(copy), ["user_id"])
+    return out.select(
+        "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type",
+        F.col(cdc.START_AT).cast("timestamp_ntz").alias(cdc.START_AT),
+        F.col(cdc.END_AT).cast("timestamp_ntz").alias(cdc.END_AT),
+    )
+
+
 # ---------------------------------------------------------------- L1-L7
 
 @register("payload_extract")

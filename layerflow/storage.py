@@ -86,3 +86,13 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     if fs.exists(here):
         fs.delete(here, True)
     spark.catalog.refreshByPath(path)
+
+
+def move_folder(spark: SparkSession, path: str, to: str) -> None:
+    """Give a folder another place by one rename; a place that is taken raises."""
+    fs, here, path_of = _fs(spark, path)
+    there = path_of(to)
+    fs.mkdirs(there.getParent())
+    if fs.exists(there) or not fs.rename(here, there):
+        raise OSError(f"cannot move {path} to {to}")
+    spark.catalog.refreshByPath(to)

@@ -35,6 +35,7 @@ from ..sources.files import BUCKET_PREFIX, CORRUPT, LINEAGE, REASON, bucket_colu
 from ..schemas import evolve, fitted, read_stored
 from ..sources.tables import read_table, stream_table
 from ..storage import exists, folder_bytes, list_folders, remove_folder
+from . import change_feed
 
 NULL_SEQUENCE = "null_sequence"
 
@@ -179,12 +180,14 @@ def apply_changes(
     quarantine_path: str | None = None,
     era_width: float | None = None,
     file_bytes: int = FILE_BYTES,
+    feed_path: str | None = None,
 ):
     """Run the silver stream over everything bronze (a table's name or its folder) holds now (``availableNow``).
 
     Rows that cannot be applied (quarantined by ingest, or without a sequence value) go to ``quarantine_path``, by
     micro-batch, so a repeated batch replaces its own. ``era_width`` sets the eras of a numeric sequence. Columns that bronze
-    has gained or widened since the last run are taken into silver and quarantine (``schemas.evolve``).
+    has gained or widened since the last run are taken into silver and quarantine (``schemas.evolve``). With ``feed_path``
+    every micro-batch adds what it changed to a feed there (``change_feed``).
     """
     changes = stream_table(spark, bronze, max_files_per_trigger=max_files_per_trigger)
     key_list = list(keys)
@@ -217,9 +220,26 @@ def apply_changes(
                 return
             now = fitted(now, evolve(session, silver_path, now.schema, (own, ERA, *key_list)))
             now.write.mode("overwrite").parquet(f"{stage}/rows")
+            if feed_path:
+                batch_keys = plain_rows(batch).select(*key_list).distinct()
+                of_batch = lambda df: df.drop(own, ERA).alias("l").join(
+                    batch_keys.alias("r"), _null_safe(key_list), "left_semi")
+                after, before = session.read.parquet(f"{stage}/rows"), None
+                if silver is not None:
+                    firsts = F.create_map(*[F.lit(x) for pair in first_eras.items() for x in pair])
+                    replaced = F.coalesce(F.col(ERA) >= firsts[F.col(own)], F.lit(False))
+                    if list_folders(session, feed_path):
+                        before = of_batch(silver.filter(F.col(own).isin(list(first_eras))).filter(replaced))
+                        after = of_batch(after)
+                    else:  # a feed of a table that was there before begins with all of its rows
+                        after = after.unionByName(silver.filter(~replaced).select(*after.columns))
+                changes = change_feed.changes_between(before, after.drop(own, ERA), key_list, scd_type)
+                change_feed.stage_changes(session, changes, f"{stage}/feed", feed_path)
             session.createDataFrame(list(first_eras.items()), "bucket int, era long").coalesce(1).write.mode("overwrite").parquet(done)
         first_eras = {r.bucket: r.era for r in session.read.parquet(done).collect()}
         replace_eras(session, f"{stage}/rows", silver_path, own, first_eras, file_bytes)
+        if feed_path:
+            change_feed.publish_changes(session, f"{stage}/feed", feed_path)
         remove_folder(session, f"{checkpoint.rstrip('/')}/stage/batch={epoch_id - 1}")
 
     q = (
