@@ -19,7 +19,7 @@ import json
 from collections.abc import Iterable
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, StringType, StructField, StructType, TimestampType
 
@@ -151,6 +151,43 @@ def silver_plan(params: dict) -> dict:
     return plan
 
 
+def rejected_operations(control: DataFrame) -> DataFrame:
+    """R3 over a whole control table, without running it: the rows that a run would refuse, active or not, with the first
+    ``reason`` in the order in which a run looks. Rows of other layers (``api``) are not run and not judged."""
+    p, cdc = F.col("params"), F.col("params.cdc_parameters")
+    layer, text = F.col("operation_type"), F.col("parameters")
+
+    def gone(c: Column) -> Column:
+        return c.isNull() | (c == "")
+
+    def no_items(c: Column) -> Column:
+        return c.isNull() | (F.size(c) == 0)
+
+    sequence, listed = cdc["sequence_by"], F.from_json(cdc["sequence_by"], "array<string>")
+    scd_type = F.coalesce(*[F.when(~gone(cdc[name]), F.trim(cdc[name])) for name in ("scd_type", "stored_as_scd_type")], F.lit("2"))
+    schema = F.get_json_object(text, "$.schema")
+    rules = [
+        (F.col("operation_type").isin(*LAYER_ORDER), F.from_json(text, "map<string,string>").isNull(), "parameters are no JSON object"),
+        (layer == "bronze", gone(p["target_table"]), "no target_table"),
+        (layer == "bronze", gone(p["source_path"]), "no source_path"),
+        (layer == "bronze", gone(schema) | (schema == "[]"), "no schema"),
+        (layer == "silver", cdc.isNull(), "no cdc_parameters"),
+        (layer == "silver", gone(cdc["cdc_type"]), "no cdc_type"),
+        (layer == "silver", ~cdc["cdc_type"].isin(*CDC_TYPES), "unknown cdc_type"),
+        (layer == "silver", gone(p["source_table"]), "no source_table"),
+        (layer == "silver", gone(p["target_table"]), "no target_table"),
+        (layer == "silver", no_items(cdc["keys"]), "no keys"),
+        (layer == "silver", ~scd_type.isin("1", "2"), "unknown scd_type"),
+        ((layer == "silver") & (cdc["cdc_type"] == CDC_TYPES[0]),
+         gone(sequence) | (F.ltrim(sequence).startswith("[") & no_items(listed)), "no sequence_by"),
+        ((layer == "silver") & (cdc["cdc_type"] == CDC_TYPES[1]), no_items(cdc["order_keys"]), "no order_keys"),
+        (layer == "gold", gone(p["sql_file_path"]), "no sql_file_path"),
+    ]
+    reason = F.coalesce(*[F.when(where & wrong, F.lit(why)) for where, wrong, why in rules])
+    judged = control.withColumn("params", F.from_json("parameters", PARAMETERS_SCHEMA)).withColumn("reason", reason)
+    return judged.filter(F.col("reason").isNotNull()).drop("params")
+
+
 # ---------------------------------------------------------------- runner
 
 def _type_ddl(kind: DataType) -> str:

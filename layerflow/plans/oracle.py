@@ -374,3 +374,14 @@ SELECT o_orderkey AS id_weatherstation, o_custkey AS id_weatherstationsensor, da
        o_totalprice * k + shift AS mean, o_totalprice AS min, o_totalprice * 2 AS max, k::DOUBLE AS total
 FROM measured
 """
+
+
+ORACLE_SQL["control_rejected"] = """
+SELECT 'row_' || s_suppkey AS ingestion_name, f.operation_type, f.reason
+FROM supplier JOIN (VALUES
+    (3, 'bronze', 'no source_path'), (4, 'bronze', 'no schema'), (5, 'silver', 'no cdc_parameters'), (6, 'silver', 'unknown cdc_type'),
+    (7, 'silver', 'no keys'), (8, 'silver', 'unknown scd_type'), (9, 'silver', 'no sequence_by'), (10, 'silver', 'no order_keys'),
+    (11, 'gold', 'no sql_file_path'), (12, 'gold', 'parameters are no JSON object'), (13, 'silver', 'no sequence_by'),
+    (14, 'silver', 'parameters are no JSON object')
+) f(form, operation_type, reason) ON s_suppkey % 16 = f.form
+"""

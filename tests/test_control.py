@@ -229,3 +229,24 @@ def test_delete_by_a_table_of_names(spark, tmp_path):
     left = spark.read.parquet(path)
     assert left.columns == ["operation_name", "ingestion_name", "operation_type"]
     assert sorted(r.ingestion_name or "" for r in left.collect()) == ["", "a", "c"]
+
+
+def test_rejected_rows_are_those_that_a_run_refuses(spark):
+    """The rules as columns say what ``silver_plan`` raises for."""
+    cdc = {"cdc_type": "auto_cdc", "keys": ["k"], "sequence_by": "at"}
+    snap = {"cdc_type": "auto_cdc_from_snapshot", "keys": ["k"], "order_keys": ["at desc"]}
+    whole = {"source_table": "b.t", "target_table": "s.t"}
+    flows = [cdc, snap, {**snap, "order_keys": []}, {**cdc, "sequence_by": '["a","b"]'}, {**cdc, "sequence_by": ["a"]}, {**cdc, "sequence_by": "[]"},
+             {**cdc, "scd_type": 1}, {**cdc, "scd_type": " 2 "}, {**cdc, "scd_type": "", "stored_as_scd_type": "7"}, {**cdc, "scd_type": 0},
+             {**cdc, "keys": None}, {**cdc, "cdc_type": ""}, {**cdc, "cdc_type": "other"}, {}, None]
+    rows = [{**whole, "cdc_parameters": f} for f in flows] + [{**whole, "source_table": ""}, {"cdc_parameters": cdc, "source_table": "b.t"}, {}]
+    ctl = _control(spark, [(f"r{i:02}", "silver", r) for i, r in enumerate(rows)])
+    refused = {}
+    for r in ctl.withColumn("params", F.from_json("parameters", control.PARAMETERS_SCHEMA)).collect():
+        try:
+            control.silver_plan(r.params.asDict(recursive=True))
+        except control.ConfigError as why:
+            refused[r.ingestion_name] = str(why)
+    found = {r.ingestion_name: r.reason for r in control.rejected_operations(ctl).collect()}
+    assert set(found) == set(refused) and len(found) == 12
+    assert all(found[n].split()[-1] in refused[n] for n in found if found[n].startswith("no "))
