@@ -1,16 +1,22 @@
 """Keep an SCD table up to date from the growing bronze table.
 
-Bronze is the complete, append-only change log, so silver is a pure function of it. Silver is stored by key bucket
-(``pmod(xxhash64(keys), N)``, in a column named after keys and N; all rows of a key share a bucket) and, inside it, by
-the era in which a version ended (a month of the sequence; open versions in an era of their own, the last). A
-micro-batch whose earliest row of a bucket falls in era E cannot change versions that ended in an earlier era: those
-files are neither read nor written. For the rest of the bucket:
-
-1. each key of the batch is recomputed from the start of its first version that ended in E or later or is open,
-   from the bronze rows of its bucket from there on (old and new; bronze of another key's buckets, or of none, is
-   read by the hash itself: right, but not pruned);
-2. versions of other keys are carried over as they are;
-3. the result is written to a stage first and then takes the place of the bucket's eras from E on.
+Silver is stored by key bucket (``pmod(xxhash64(keys), N)``, in a column named after keys and N; all rows of a key share
+a bucket) and, inside it, by the era in which a version ended (a month of the sequence; open versions in an era of their
+own, the last). A row can change the versions around it only: the one that it falls into, the one before if it falls on
+a start or between two, and the one after. Of each key that a micro-batch brings rows for:
+
+1. the versions that its rows can change are found among the stored starts, ends and last sequences (of the batch's
+   keys, from the batch's first era of the bucket on);
+2. a version that a row falls into (between its start and its last row) is read again from bronze, only that version's
+   rows, dealt by key and era; a version that rows fall beside takes part as its one stored row, standing at its start;
+3. windows run over these and the batch's rows, apart for each run of neighbouring changed versions; what follows a run
+   is its stored edge, the start at which its last version ends;
+4. the result, with the unchanged versions of the eras where something changed, is written to a stage first and then
+   takes the place of just these eras of the bucket. All other files are neither read nor written.
+
+A key of very many rows is therefore never read again as a whole, and neither are the eras behind a late row.
+Rows of bronze that later micro-batches will bring may take part early if they lie in a version read again; they
+are applied again, to the same end, when their batch comes.
 
 Work is dealt by key, over all shuffle partitions however few the buckets; only the last step gathers a bucket's era, in
 as many tasks and files as its share of the staged bytes asks for (``file_bytes``), so neither many keys in one bucket nor
@@ -26,9 +32,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, LongType, NumericType, StructField, StructType, TimestampNTZType, TimestampType
 
 from ..operators import cdc
 from ..sources.files import BUCKET_PREFIX, CORRUPT, LINEAGE, REASON, bucket_column, bucket_of, without_buckets
@@ -74,61 +80,100 @@ def _null_safe(keys: Sequence[str]) -> Column:
     return out
 
 
-def changed_eras(
-    batch: DataFrame,
+def versions_near(versions: DataFrame, points: DataFrame, keys: Sequence[str], sequence: str) -> DataFrame:
+    """(keys, __at, __version, __split, __until): every sequence value of ``points``, and every version (by its start) that a
+    row there can change, which is one with a point from the start of the version before it to its own end. ``__split``:
+    a point lies between the version's start and its last row, so its rows are needed; else its stored row stands for
+    all of them. ``__until``: the start of the next version that stays as it is (NULL if none does), which is the
+    same for neighbours that change together."""
+    at, is_version = F.col("__at"), F.col("__version") == 1
+    kind = versions.schema[cdc.START_AT].dataType
+    none = F.lit(None).cast(kind)
+    rows = versions.select(
+        *keys, F.col(cdc.START_AT).alias("__at"), F.col(cdc.END_AT).alias("__end"),
+        F.col(sequence).cast(kind).alias("__last"), F.lit(1).alias("__version"),
+    ).unionByName(points.select(*keys, F.col(sequence).cast(kind).alias("__at")).distinct().select(
+        *keys, "__at", none.alias("__end"), none.alias("__last"), F.lit(0).alias("__version")))
+    earlier = Window.partitionBy(*keys).orderBy(at.asc(), "__version").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(*keys).orderBy(at.desc(), "__version").rowsBetween(Window.unboundedPreceding, -1)
+    nearest = lambda where, over: F.last(F.when(where, at), ignorenulls=True).over(over)
+    found = rows.withColumns({"__below": nearest(~is_version, earlier), "__before": nearest(is_version, earlier)}).withColumn(
+        "__above", nearest(~is_version, later))
+    below, above, before, end, last = (F.col(f"__{c}") for c in ("below", "above", "before", "end", "last"))
+    changes = (below.isNotNull() & (before.isNull() | (below >= before))) | (above.isNotNull() & (end.isNull() | (above <= end)))
+    found = found.withColumn("__changes", is_version & changes).withColumn("__split", F.coalesce(above <= last, F.lit(False)))
+    return found.withColumn("__until", nearest(is_version & ~F.col("__changes"), later)).filter(
+        ~is_version | F.col("__changes")).select(*keys, "__at", "__version", "__split", "__until")
+
+
+def _rows_of_versions(rows: DataFrame, ranges: DataFrame, by_key: Sequence[str], sequence: str, era_width: float | None) -> DataFrame:
+    """The rows that lie in the given versions (keys, __from, __to, __until), dealt by key and era."""
+    spread = ranges.withColumn("__era", F.explode(F.sequence(
+        era_of(ranges, "__from", era_width), era_of(ranges, "__to", era_width))))
+    placed = rows.withColumn("__era", era_of(rows, sequence, era_width))
+    s0 = F.col(f"l.{sequence}")
+    met = placed.alias("l").join(
+        spread.alias("r"),
+        _null_safe(by_key) & (F.col("l.__era") == F.col("r.__era")) & (s0 >= F.col("r.__from")) & (s0 <= F.col("r.__to")))
+    return met.select("l.*", "r.__until").drop("__era")
+
+
+def stage_scd1(new_rows: DataFrame, silver: DataFrame | None, by_key: Sequence[str], seq: Sequence[str], schema: StructType, stage: str) -> None:
+    """The newest row of every key in the touched buckets, whose only era is the open one."""
+    rows = new_rows if silver is None else silver.select(*new_rows.columns).unionByName(new_rows)
+    now = cdc.scd1_from_changes(rows, by_key, seq).withColumn(ERA, F.lit(OPEN_ERA))
+    fitted(now, schema).write.mode("overwrite").parquet(f"{stage}/fresh")
+
+
+def stage_scd2(
+    new_rows: DataFrame,
     bronze: DataFrame,
     silver: DataFrame | None,
-    keys: Sequence[str],
-    sequence_by: str | Sequence[str],
-    buckets: int,
+    by_key: Sequence[str],
+    seq: Sequence[str],
+    schema: StructType,
+    stage: str,
     track: Sequence[str] | None = None,
     track_except: Sequence[str] | None = None,
-    scd_type: int = 2,
     segments: int | None = None,
     era_width: float | None = None,
-) -> tuple[DataFrame, dict[int, int]]:
-    """The new rows of the touched buckets' eras from the first that the batch can change on, with bucket and era;
-    and that first era of each touched bucket (at most N numbers reach the driver)."""
-    keys = list(keys)
-    seq = [sequence_by] if isinstance(sequence_by, str) else list(sequence_by)
-    own, by_key = bucket_column(keys, buckets), [bucket_column(keys, buckets), *keys]
-    placed = lambda df: plain_rows(df).withColumn(own, bucket_of(keys, buckets))
-    new_rows = placed(batch)
-    for c in seq:
-        new_rows = new_rows.filter(F.col(c).isNotNull())
-    first_eras = {r[0]: r[1] for r in new_rows.groupBy(own).agg(F.min(era_of(new_rows, seq[0], era_width))).collect()}
-    touched = list(first_eras)
-    if int(scd_type) == 1:
-        rows = new_rows
-        if silver is not None:
-            rows = silver.filter(F.col(own).isin(touched)).drop(ERA).select(*rows.columns).unionByName(rows)
-        now = cdc.scd1_from_changes(rows, by_key, seq)
-        return now.withColumn(ERA, F.lit(OPEN_ERA)), {b: 0 for b in touched}
-
-    at_hand = F.col(own).isin(touched) if own in bronze.columns else bucket_of(keys, buckets).isin(touched)
-    rows = placed(bronze.filter(at_hand))
-    batch_keys = new_rows.groupBy(*by_key).agg(F.min(seq[0]).alias("__first"))
-    carried = None
+) -> None:
+    """Write below ``stage`` what a batch changes: the versions that go (``gone``, if there is a table) and those that
+    take their place (``fresh``). ``bronze`` and ``silver`` are what the touched buckets hold from the batch's first eras on."""
+    spark, s0 = new_rows.sparkSession, seq[0]
+    rows = new_rows.withColumns({"__at": F.col(s0), "__until": F.lit(None).cast(new_rows.schema[s0].dataType)})
     if silver is not None:
-        firsts = F.create_map(*[F.lit(x) for pair in first_eras.items() for x in pair])
-        open_to_change = silver.filter(F.col(own).isin(touched)).filter(F.col(ERA) >= firsts[F.col(own)])
-        carried = open_to_change.alias("l").join(batch_keys.alias("r"), _null_safe(by_key), "left_anti")
-        starts = open_to_change.groupBy(*by_key).agg(F.min(cdc.START_AT).alias("__from"))
-        least = new_rows.select(seq[0]).union(starts.select("__from")).agg(F.min(seq[0])).first()[0]
-        rows = rows.filter(F.col(seq[0]) >= F.lit(least))  # reaches the scan; files and row groups of older rows are skipped
-        batch_keys = batch_keys.alias("l").join(starts.alias("r"), _null_safe(by_key), "left").select("l.*", "__from")
-    else:
-        batch_keys = batch_keys.withColumn("__from", F.lit(None).cast(new_rows.schema[seq[0]].dataType))
-    # A row before all versions of its key is where its history now begins; a key without versions begins anywhere.
-    since = F.least("__from", F.when(F.col("__from").isNotNull(), F.col("__first")))
-    rows = rows.alias("l").join(batch_keys.alias("r"), _null_safe(by_key)).filter(
-        since.isNull() | (F.col(f"l.{seq[0]}") >= since)).select("l.*")
+        of_batch = silver.alias("l").join(new_rows.select(*by_key).distinct().alias("r"), _null_safe(by_key), "left_semi")
+        versions_near(of_batch, new_rows, by_key, s0).write.mode("overwrite").parquet(f"{stage}/near")
+        near = spark.read.parquet(f"{stage}/near")
+        points = near.filter("__version = 0")
+        rows = new_rows.alias("l").join(
+            points.alias("r"), _null_safe(by_key) & (F.col(f"l.{s0}") == F.col("r.__at"))).select("l.*", "r.__at", "r.__until")
+        silver.alias("l").join(
+            near.filter("__version = 1").alias("r"), _null_safe(by_key) & (F.col(f"l.{cdc.START_AT}") == F.col("r.__at"))
+        ).select("l.*", "r.__split", "r.__until").write.mode("overwrite").parquet(f"{stage}/gone")
+        gone = spark.read.parquet(f"{stage}/gone")
+        standing = gone.filter(~F.col("__split")).withColumn("__at", F.col(cdc.START_AT))
+        rows = rows.unionByName(standing.select(*rows.columns))
+        ranges = gone.filter("__split").select(
+            *by_key, F.col(cdc.START_AT).alias("__from"), F.col(s0).cast(gone.schema[cdc.START_AT].dataType).alias("__to"), "__until")
+        least, most = ranges.agg(F.min("__from"), F.max("__to")).first()
+        if least is not None:  # both bounds reach the scan: files and row groups of other times are skipped
+            in_reach = bronze.filter((F.col(s0) >= F.lit(least)) & (F.col(s0) <= F.lit(most)))
+            again = _rows_of_versions(in_reach, ranges, by_key, s0, era_width).withColumn("__at", F.col(s0))
+            rows = rows.unionByName(again.select(*rows.columns))
     history = cdc.scd2_from_changes(
-        rows, by_key, seq, track=track, track_except=untracked_lineage(rows, track, track_except), segments=segments)
+        rows, [*by_key, "__until"], ["__at", *seq], track=track,
+        track_except=untracked_lineage(new_rows, track, track_except), segments=segments)
+    history = history.withColumn(cdc.END_AT, F.coalesce(cdc.END_AT, "__until")).drop("__at", "__until")
     history = history.withColumn(ERA, F.coalesce(era_of(history, cdc.END_AT, era_width), F.lit(OPEN_ERA)))
-    if carried is not None:
-        history = history.unionByName(carried.select(*history.columns))
-    return history, first_eras
+    fitted(history, schema).write.mode("overwrite").parquet(f"{stage}/fresh")
+
+
+def without_versions(silver: DataFrame, gone: DataFrame, by_key: Sequence[str]) -> DataFrame:
+    """The stored versions but those in ``gone``."""
+    same = _null_safe(by_key) & (F.col(f"l.{cdc.START_AT}") == F.col(f"r.{cdc.START_AT}"))
+    return silver.alias("l").join(gone.alias("r"), same, "left_anti")
 
 
 #: Bytes of a stage that make one file of a silver table.
@@ -136,13 +181,14 @@ FILE_BYTES = 128 << 20
 
 
 def replace_eras(
-    spark: SparkSession, stage: str, silver_path: str, own: str, first_eras: dict[int, int], file_bytes: int = FILE_BYTES,
+    spark: SparkSession, stages: Sequence[str], silver_path: str, own: str, places: Sequence[tuple[int, int]],
+    file_bytes: int = FILE_BYTES,
 ) -> None:
-    """Let the staged rows take the place of their buckets' eras; eras that the stage no longer has go. The rows of each
-    bucket and era (as many numbers reach the driver) say over how many tasks it is dealt."""
-    staged = spark.read.parquet(stage)
+    """Let the staged rows take the place of the (bucket, era) places; those that the stages no longer have go. The rows of
+    each place (as many numbers reach the driver) say over how many tasks it is dealt."""
+    staged = spark.read.parquet(*stages)
     counts = {(r[0], r[1]): r[2] for r in staged.groupBy(own, ERA).count().collect()}
-    row_bytes = folder_bytes(spark, stage) / max(1, sum(counts.values()))
+    row_bytes = sum(folder_bytes(spark, stage) for stage in stages) / max(1, sum(counts.values()))
     many = {place: -(-int(n * row_bytes) // file_bytes) for place, n in counts.items() if n * row_bytes > file_bytes}
     share = F.lit(0)
     if many:
@@ -154,12 +200,9 @@ def replace_eras(
         staged.repartition(own, ERA, share).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(own, ERA).parquet(silver_path)
     )
-    for bucket, first in first_eras.items():
-        folder = f"{silver_path}/{own}={bucket}"
-        for name in list_folders(spark, folder):
-            era = int(name.partition("=")[2])
-            if era >= first and (bucket, era) not in counts:
-                remove_folder(spark, f"{folder}/{name}")
+    for bucket, era in places:
+        if (bucket, era) not in counts:
+            remove_folder(spark, f"{silver_path}/{own}={bucket}/{ERA}={era}")
 
 
 def apply_changes(
@@ -192,6 +235,68 @@ def apply_changes(
     changes = stream_table(spark, bronze, max_files_per_trigger=max_files_per_trigger)
     key_list = list(keys)
     own = bucket_column(key_list, buckets)
+    by_key, seq, scd1 = [own, *key_list], [sequence_by] if isinstance(sequence_by, str) else list(sequence_by), int(scd_type) == 1
+
+    def stage_batch(session: SparkSession, batch: DataFrame, stage: str) -> bool:
+        """Write what the batch changes below ``stage``, its places last; False if it holds no row to apply."""
+        placed = lambda df: plain_rows(df).withColumn(own, bucket_of(key_list, buckets))
+        new_rows = placed(batch)
+        for c in seq:
+            new_rows = new_rows.filter(F.col(c).isNotNull())
+        first_eras = {r[0]: r[1] for r in new_rows.groupBy(own).agg(F.min(era_of(new_rows, seq[0], era_width))).collect()}
+        if not first_eras:
+            return False
+        touched, kind = list(first_eras), new_rows.schema[seq[0]].dataType
+        versions = [] if scd1 else [StructField(cdc.START_AT, kind), StructField(cdc.END_AT, kind)]
+        schema = evolve(
+            session, silver_path, StructType([*new_rows.schema.fields, *versions, StructField(ERA, LongType())]), (own, ERA, *key_list))
+        row_schema = StructType([schema[c] for c in new_rows.columns])
+        new_rows, whole, silver, gone = fitted(new_rows, row_schema), None, None, None
+        if list_folders(session, silver_path):
+            firsts = F.create_map(*[F.lit(x) for pair in first_eras.items() for x in pair])
+            whole = fitted(read_stored(session, silver_path), schema)
+            silver = whole.filter(F.col(own).isin(touched))
+            if not scd1:
+                silver = silver.filter(F.col(ERA) >= firsts[F.col(own)])
+        if scd1:
+            stage_scd1(new_rows, silver, by_key, seq, schema, stage)
+            places = [(b, OPEN_ERA) for b in touched]
+            gone = silver
+        else:
+            source = read_table(session, bronze)
+            if columns:
+                source = source.select(*[c for c in source.columns if c in columns or c in (REASON, CORRUPT, own)])
+            at_hand = F.col(own).isin(touched) if own in source.columns else bucket_of(key_list, buckets).isin(touched)
+            stage_scd2(
+                new_rows, fitted(placed(source.filter(at_hand)), row_schema), silver, by_key, seq, schema, stage,
+                track, track_except, segments, era_width)
+            fresh = session.read.schema(schema).parquet(f"{stage}/fresh")
+            changed = fresh.select(own, ERA)
+            if silver is not None:
+                gone = session.read.parquet(f"{stage}/gone")
+                changed = changed.union(gone.select(own, ERA))
+            places = [(r[0], r[1]) for r in changed.distinct().collect()]
+            if silver is not None:
+                here = F.col(own).isin(sorted({b for b, _ in places})) & F.col(ERA).isin(sorted({e for _, e in places}))
+                here = here & F.concat_ws("/", own, ERA).isin([f"{b}/{e}" for b, e in places])
+                without_versions(whole.filter(here), gone, by_key).write.mode("overwrite").parquet(f"{stage}/carried")
+        if feed_path:
+            after, before = session.read.schema(schema).parquet(f"{stage}/fresh"), None
+            if whole is not None and not list_folders(session, feed_path):
+                # a feed of a table that was there before begins with all of its rows
+                rest = whole.filter(~F.col(own).isin(touched)) if scd1 else without_versions(whole, gone, by_key)
+                after = after.unionByName(rest.select(*after.columns))
+            elif gone is not None:
+                before = gone.select(*after.columns)
+                if scd1:
+                    batch_keys = new_rows.select(*by_key).distinct()
+                    of_batch = lambda df: df.alias("l").join(batch_keys.alias("r"), _null_safe(by_key), "left_semi")
+                    before, after = of_batch(before), of_batch(after)
+            changes = change_feed.changes_between(
+                None if before is None else before.drop(own, ERA), after.drop(own, ERA), key_list, scd_type)
+            change_feed.stage_changes(session, changes, f"{stage}/feed", feed_path)
+        session.createDataFrame(places, "bucket int, era long").coalesce(1).write.mode("overwrite").parquet(f"{stage}/places")
+        return True
 
     def apply_batch(batch: DataFrame, epoch_id: int) -> None:
         session = batch.sparkSession
@@ -199,45 +304,18 @@ def apply_changes(
         if quarantine_path:
             reason = F.col(REASON) if REASON in batch.columns else F.lit(None).cast("string")
             late = F.lit(False)
-            for c in [sequence_by] if isinstance(sequence_by, str) else sequence_by:
+            for c in seq:
                 late = late | F.col(c).isNull()
             bad = without_buckets(batch).withColumn(REASON, F.coalesce(reason, F.when(late, F.lit(NULL_SEQUENCE)))).filter(
                 F.col(REASON).isNotNull())
             fitted(bad, evolve(session, quarantine_path, bad.schema)).write.mode("overwrite").parquet(f"{quarantine_path}/batch={epoch_id}")
         stage = f"{checkpoint.rstrip('/')}/stage/batch={epoch_id}"
-        done = f"{stage}/eras"
-        if not exists(session, f"{done}/_SUCCESS"):
-            source = read_table(session, bronze)
-            if columns:
-                source = source.select(*[c for c in source.columns if c in columns or c in (REASON, CORRUPT, own)])
-            silver = read_stored(session, silver_path) if list_folders(session, silver_path) else None
-            if silver is not None:  # what bronze has gained is NULL in the rows carried over
-                gained = [f for f in plain_rows(source).schema.fields if f.name not in silver.columns and f.name not in (own, ERA)]
-                silver = silver.withColumns({f.name: F.lit(None).cast(f.dataType) for f in gained})
-            now, first_eras = changed_eras(
-                batch, source, silver, key_list, sequence_by, buckets, track, track_except, scd_type, segments, era_width)
-            if not first_eras:
-                return
-            now = fitted(now, evolve(session, silver_path, now.schema, (own, ERA, *key_list)))
-            now.write.mode("overwrite").parquet(f"{stage}/rows")
-            if feed_path:
-                batch_keys = plain_rows(batch).select(*key_list).distinct()
-                of_batch = lambda df: df.drop(own, ERA).alias("l").join(
-                    batch_keys.alias("r"), _null_safe(key_list), "left_semi")
-                after, before = session.read.parquet(f"{stage}/rows"), None
-                if silver is not None:
-                    firsts = F.create_map(*[F.lit(x) for pair in first_eras.items() for x in pair])
-                    replaced = F.coalesce(F.col(ERA) >= firsts[F.col(own)], F.lit(False))
-                    if list_folders(session, feed_path):
-                        before = of_batch(silver.filter(F.col(own).isin(list(first_eras))).filter(replaced))
-                        after = of_batch(after)
-                    else:  # a feed of a table that was there before begins with all of its rows
-                        after = after.unionByName(silver.filter(~replaced).select(*after.columns))
-                changes = change_feed.changes_between(before, after.drop(own, ERA), key_list, scd_type)
-                change_feed.stage_changes(session, changes, f"{stage}/feed", feed_path)
-            session.createDataFrame(list(first_eras.items()), "bucket int, era long").coalesce(1).write.mode("overwrite").parquet(done)
-        first_eras = {r.bucket: r.era for r in session.read.parquet(done).collect()}
-        replace_eras(session, f"{stage}/rows", silver_path, own, first_eras, file_bytes)
+        done = f"{stage}/places"
+        if not exists(session, f"{done}/_SUCCESS") and not stage_batch(session, batch, stage):
+            return
+        places = [(r.bucket, r.era) for r in session.read.parquet(done).collect()]
+        stages = [p for p in (f"{stage}/fresh", f"{stage}/carried") if exists(session, p)]
+        replace_eras(session, stages, silver_path, own, places, file_bytes)
         if feed_path:
             change_feed.publish_changes(session, f"{stage}/feed", feed_path)
         remove_folder(session, f"{checkpoint.rstrip('/')}/stage/batch={epoch_id - 1}")
