@@ -30,6 +30,7 @@ new eras of a bucket side by side while a batch commits.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -40,7 +41,7 @@ from ..operators import cdc
 from ..sources.files import BUCKET_PREFIX, CORRUPT, LINEAGE, REASON, bucket_column, bucket_of, without_buckets
 from ..schemas import evolve, fitted, read_stored
 from ..sources.tables import read_table, stream_table
-from ..storage import exists, folder_bytes, list_folders, remove_folder
+from ..storage import exists, folder_bytes, list_folders, read_small, remove_folder, write_small
 from . import change_feed
 
 NULL_SEQUENCE = "null_sequence"
@@ -92,13 +93,16 @@ def versions_near(versions: DataFrame, points: DataFrame, keys: Sequence[str], s
     rows = versions.select(
         *keys, F.col(cdc.START_AT).alias("__at"), F.col(cdc.END_AT).alias("__end"),
         F.col(sequence).cast(kind).alias("__last"), F.lit(1).alias("__version"),
-    ).unionByName(points.select(*keys, F.col(sequence).cast(kind).alias("__at")).distinct().select(
-        *keys, "__at", none.alias("__end"), none.alias("__last"), F.lit(0).alias("__version")))
-    earlier = Window.partitionBy(*keys).orderBy(at.asc(), "__version").rowsBetween(Window.unboundedPreceding, -1)
+    ).unionByName(points.select(
+        *keys, F.col(sequence).cast(kind).alias("__at"), none.alias("__end"), none.alias("__last"), F.lit(0).alias("__version")))
+    forward = Window.partitionBy(*keys).orderBy(at.asc(), "__version")
+    earlier = forward.rowsBetween(Window.unboundedPreceding, -1)
     later = Window.partitionBy(*keys).orderBy(at.desc(), "__version").rowsBetween(Window.unboundedPreceding, -1)
     nearest = lambda where, over: F.last(F.when(where, at), ignorenulls=True).over(over)
-    found = rows.withColumns({"__below": nearest(~is_version, earlier), "__before": nearest(is_version, earlier)}).withColumn(
-        "__above", nearest(~is_version, later))
+    found = rows.withColumns({
+        "__below": nearest(~is_version, earlier), "__before": nearest(is_version, earlier),
+        "__again": ~is_version & F.coalesce((F.lag("__version").over(forward) == 0) & (F.lag(at).over(forward) == at), F.lit(False)),
+    }).filter(~F.col("__again")).withColumn("__above", nearest(~is_version, later))  # a point of several rows counts once
     below, above, before, end, last = (F.col(f"__{c}") for c in ("below", "above", "before", "end", "last"))
     changes = (below.isNotNull() & (before.isNull() | (below >= before))) | (above.isNotNull() & (end.isNull() | (above <= end)))
     found = found.withColumn("__changes", is_version & changes).withColumn("__split", F.coalesce(above <= last, F.lit(False)))
@@ -137,10 +141,12 @@ def stage_scd2(
     track_except: Sequence[str] | None = None,
     segments: int | None = None,
     era_width: float | None = None,
-) -> None:
+) -> set[tuple[int, int]]:
     """Write below ``stage`` what a batch changes: the versions that go (``gone``, if there is a table) and those that
-    take their place (``fresh``). ``bronze`` and ``silver`` are what the touched buckets hold from the batch's first eras on."""
-    spark, s0 = new_rows.sparkSession, seq[0]
+    take their place (``fresh``). ``bronze`` and ``silver`` are what the touched buckets hold from the batch's first eras on.
+    Returns the (bucket, era) places of both."""
+    spark, s0, own = new_rows.sparkSession, seq[0], by_key[0]
+    places: set[tuple[int, int]] = set()
     rows = new_rows.withColumns({"__at": F.col(s0), "__until": F.lit(None).cast(new_rows.schema[s0].dataType)})
     if silver is not None:
         of_batch = silver.alias("l").join(new_rows.select(*by_key).distinct().alias("r"), _null_safe(by_key), "left_semi")
@@ -157,9 +163,16 @@ def stage_scd2(
         rows = rows.unionByName(standing.select(*rows.columns))
         ranges = gone.filter("__split").select(
             *by_key, F.col(cdc.START_AT).alias("__from"), F.col(s0).cast(gone.schema[cdc.START_AT].dataType).alias("__to"), "__until")
-        least, most = ranges.agg(F.min("__from"), F.max("__to")).first()
-        if least is not None:  # both bounds reach the scan: files and row groups of other times are skipped
-            in_reach = bronze.filter((F.col(s0) >= F.lit(least)) & (F.col(s0) <= F.lit(most)))
+        start, last = (F.when(F.col("__split"), F.col(c)) for c in (cdc.START_AT, s0))
+        bounds = gone.groupBy(own, ERA).agg(F.min(start), F.max(last)).collect()
+        places = {(r[0], r[1]) for r in bounds}
+        split = [r for r in bounds if r[2] is not None]
+        if split:  # both bounds reach the scan: files and row groups of other times are skipped
+            least, most = min(r[2] for r in split), max(r[3] for r in split)
+            # A time that reached the driver may be off by a change of clocks; the join below is exact.
+            slack = F.expr("INTERVAL '1' DAY") if isinstance(gone.schema[cdc.START_AT].dataType, TimestampType) else None
+            low, high = (F.lit(least), F.lit(most)) if slack is None else (F.lit(least) - slack, F.lit(most) + slack)
+            in_reach = bronze.filter((F.col(s0) >= low) & (F.col(s0) <= high))
             again = _rows_of_versions(in_reach, ranges, by_key, s0, era_width).withColumn("__at", F.col(s0))
             rows = rows.unionByName(again.select(*rows.columns))
     history = cdc.scd2_from_changes(
@@ -168,6 +181,8 @@ def stage_scd2(
     history = history.withColumn(cdc.END_AT, F.coalesce(cdc.END_AT, "__until")).drop("__at", "__until")
     history = history.withColumn(ERA, F.coalesce(era_of(history, cdc.END_AT, era_width), F.lit(OPEN_ERA)))
     fitted(history, schema).write.mode("overwrite").parquet(f"{stage}/fresh")
+    changed = spark.read.schema(schema).parquet(f"{stage}/fresh").select(own, ERA).distinct().collect()
+    return places | {(r[0], r[1]) for r in changed}
 
 
 def without_versions(silver: DataFrame, gone: DataFrame, by_key: Sequence[str]) -> DataFrame:
@@ -267,16 +282,11 @@ def apply_changes(
             if columns:
                 source = source.select(*[c for c in source.columns if c in columns or c in (REASON, CORRUPT, own)])
             at_hand = F.col(own).isin(touched) if own in source.columns else bucket_of(key_list, buckets).isin(touched)
-            stage_scd2(
+            places = stage_scd2(
                 new_rows, fitted(placed(source.filter(at_hand)), row_schema), silver, by_key, seq, schema, stage,
                 track, track_except, segments, era_width)
-            fresh = session.read.schema(schema).parquet(f"{stage}/fresh")
-            changed = fresh.select(own, ERA)
             if silver is not None:
                 gone = session.read.parquet(f"{stage}/gone")
-                changed = changed.union(gone.select(own, ERA))
-            places = [(r[0], r[1]) for r in changed.distinct().collect()]
-            if silver is not None:
                 here = F.col(own).isin(sorted({b for b, _ in places})) & F.col(ERA).isin(sorted({e for _, e in places}))
                 here = here & F.concat_ws("/", own, ERA).isin([f"{b}/{e}" for b, e in places])
                 without_versions(whole.filter(here), gone, by_key).write.mode("overwrite").parquet(f"{stage}/carried")
@@ -295,7 +305,7 @@ def apply_changes(
             changes = change_feed.changes_between(
                 None if before is None else before.drop(own, ERA), after.drop(own, ERA), key_list, scd_type)
             change_feed.stage_changes(session, changes, f"{stage}/feed", feed_path)
-        session.createDataFrame(places, "bucket int, era long").coalesce(1).write.mode("overwrite").parquet(f"{stage}/places")
+        write_small(session, f"{stage}/places.json", json.dumps(sorted(places)))
         return True
 
     def apply_batch(batch: DataFrame, epoch_id: int) -> None:
@@ -310,10 +320,10 @@ def apply_changes(
                 F.col(REASON).isNotNull())
             fitted(bad, evolve(session, quarantine_path, bad.schema)).write.mode("overwrite").parquet(f"{quarantine_path}/batch={epoch_id}")
         stage = f"{checkpoint.rstrip('/')}/stage/batch={epoch_id}"
-        done = f"{stage}/places"
-        if not exists(session, f"{done}/_SUCCESS") and not stage_batch(session, batch, stage):
+        done = f"{stage}/places.json"
+        if not exists(session, done) and not stage_batch(session, batch, stage):
             return
-        places = [(r.bucket, r.era) for r in session.read.parquet(done).collect()]
+        places = [(bucket, era) for bucket, era in json.loads(read_small(session, done))]
         stages = [p for p in (f"{stage}/fresh", f"{stage}/carried") if exists(session, p)]
         replace_eras(session, stages, silver_path, own, places, file_bytes)
         if feed_path:
