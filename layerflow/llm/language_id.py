@@ -1,18 +1,18 @@
 """Language identification by cross-parsing entropy.
 
-Of each language a bounded sample of labelled running text is indexed by its suffix automaton, which holds every
-substring of it. A document, its letters in lower case with one space for everything between words, is parsed as a whole
+Of each language a text is indexed by its suffix automaton, which holds every substring of it. That text is learned from
+all labelled rows: their words are counted, then the pairs in which the most frequent words follow each other, and the
+text runs along the most frequent pairs, so it reads as the language's rows do. A document, its letters in lower case with one space for everything between words, is parsed as a whole
 against each language: from left to right, always the longest phrase that occurs in the language's text (a character
 that does not occur is a phrase of its own). Phrases run over word borders, so word order and endings count. A phrase of
-a text of n characters costs log2(n + 1) bits, so samples of different length compare; the language needing the
+a text of n characters costs log2(n + 1) bits, so texts of different length compare; the language needing the
 fewest normalised phrases wins.
 
-The labelled sample is the one bounded thing: of each language at most ``pieces`` pieces of ``piece_chars`` characters,
-chosen and cut by hash, fewer where there are many languages (``total_pieces``). Predictions read whole texts of all
-rows, and only the text.
+Bounded is the learned text alone, to ``pieces * piece_chars`` characters, fewer where there are many languages
+(``total_pieces``); counts and bounds read every labelled row. Predictions read whole texts of all rows, and only the text.
 
 ``recognised`` keeps what reads like one of the languages, whatever their number: the best language's bits a letter must
-stay within the bound learned for it on labelled rows (``bounds``).
+stay within the bound learned for it on the labelled rows that the counts leave out (``bounds``).
 
 Results for special input: null texts, texts without a letter, and all texts if no language was learned get
 ``und`` with score 0; equal costs go to the first language in code point order; repeated rows give repeated
@@ -25,21 +25,27 @@ import gc
 import hashlib
 import math
 import re
+from collections import Counter, defaultdict, deque
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crc_mod, map_column, worker_model
+from .common import crc_mod, map_batches, map_column, worker_model
 
 UNKNOWN = "und"
 #: How sharply the score answers to the ratio of two languages' costs.
 SHARPNESS = 12.0
 #: Phrases that a text may need beyond its bound: the first and the last one are cut off by its ends.
 SPARE_PHRASES = 3
-#: Of languages with so many labelled rows one text in ``APART`` is kept from the sample, for the bound.
+#: Of languages with so many labelled rows one text in ``APART`` is kept from the counts, for the bound.
 LEAST_ROWS, APART = 20, 4
+#: Counts that a task holds before it hands them on.
+HELD = 500_000
+#: Characters that a word of the learned text takes, about: so many words and pairs are ranked.
+WORD_CHARS = 8
 _BETWEEN = re.compile(r"[\W\d_]+")
 
 
@@ -107,9 +113,9 @@ def running(text: str) -> str:
 class Identifier:
     """Costs of texts under all languages."""
 
-    def __init__(self, samples: dict[str, str]):
-        self.languages = sorted(samples)
-        self.automata = [SuffixAutomaton(samples[lang]) for lang in self.languages]
+    def __init__(self, learned: dict[str, str]):
+        self.languages = sorted(learned)
+        self.automata = [SuffixAutomaton(learned[lang]) for lang in self.languages]
         gc.freeze()  # the automata stay; no collection needs to walk them again
 
     def costs(self, words: str) -> np.ndarray:
@@ -138,34 +144,94 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, lang_col: str, held_o
     return known.withColumn("apart", many & (F.pmod(F.xxhash64(F.lit("apart"), "text"), F.lit(APART)) == 0)), counts
 
 
-def _every(counts: dict[str, int], rows: int) -> Column:
-    """One text in so many, by language, for about ``rows`` of each."""
-    return F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, max(1, n // rows))])[F.col("lang")]
+def _most_frequent(known: DataFrame, most: int, longest: int, vocabulary: dict[str, set[str]] | None = None) -> list:
+    """(lang, first, second) of each language's ``most`` most frequent words (second empty) in all texts of ``known``, or
+    with a vocabulary pairs of its words that follow each other; the most frequent first, then by code point."""
+    broadcast = None if vocabulary is None else known.sparkSession.sparkContext.broadcast(vocabulary)  # bounded by total_pieces
+
+    def handed(counts: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+        rows = [(lang, *what, n) for lang, own in counts.items() for what, n in own.items() if None not in what]
+        counts.clear()
+        if rows:
+            columns = zip(("lang", "first", "second", "n"), zip(*rows))
+            yield pa.RecordBatch.from_pydict({name: pa.array(c, pa.int64() if name == "n" else pa.string()) for name, c in columns})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, Counter] = defaultdict(Counter)
+        for batch in batches:
+            for lang, text in zip(batch.column("lang"), batch.column("text")):
+                lang = lang.as_py()
+                words = [w[:longest] for w in running(text.as_py()).split()]
+                if broadcast is None:
+                    counts[lang].update((w, "") for w in words)
+                else:
+                    own = broadcast.value.get(lang, ())
+                    words = [w if w in own else None for w in words]
+                    counts[lang].update(zip(words, words[1:]))
+            if sum(map(len, counts.values())) > HELD:
+                yield from handed(counts)
+        yield from handed(counts)
+
+    found = map_batches(known.select("lang", "text"), run, "lang string, first string, second string, n long")
+    by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "first", "second")
+    ranked = found.groupBy("lang", "first", "second").agg(F.sum("n").alias("n")).withColumn("rank", F.row_number().over(by_count))
+    return sorted(ranked.filter(F.col("rank") <= most).collect(), key=lambda r: (r.lang, r["rank"]))
+
+
+def _fitting(parts: Iterable, room: int, taken) -> list:
+    """The first parts that ``taken`` says find room together."""
+    out = []
+    for part in parts:
+        room -= taken(part)
+        if room < 0:
+            break
+        out.append(part)
+    return out
+
+
+def _along(pairs: list[tuple[str, str]]) -> list[str]:
+    """Words that follow each other in every one of the pairs, from each on along its most frequent pair left."""
+    after: dict[str, deque] = defaultdict(deque)
+    for first, second in pairs:
+        after[first].append(second)
+    out: list[str] = []
+    for word, _ in pairs:
+        if after[word]:
+            out.append(word)
+        while after[word]:
+            word = after[word].popleft()
+            out.append(word)
+    return out
 
 
 def learn(
     docs: DataFrame, pieces: int = 150, piece_chars: int = 250, total_pieces: int = 800, id_col: str = "doc_id",
-    text_col: str = "text", lang_col: str = "lang", held_out: tuple[int, int] = (4, 2),
+    text_col: str = "text", lang_col: str = "lang", held_out: tuple[int, int] = (4, 2), keep_apart: bool = True,
 ) -> dict[str, str]:
-    """Of each language pieces of running text, as one text, from the rows whose crc32(id) is not ``held_out[1]`` modulo
-    ``held_out[0]``. The catalogue of languages and at most ``total_pieces`` pieces (one of each language at least) reach
-    the driver."""
+    """Of each language a running text of its most frequent pairs of words, and behind it of its most frequent other words,
+    half of the room for either, counted in all labelled rows whose crc32(id) is not ``held_out[1]`` modulo ``held_out[0]``
+    (with ``keep_apart`` without those that ``bounds`` reads). Words count up to ``piece_chars`` characters. The catalogue of languages
+    and words and pairs for ``total_pieces`` pieces of that length (one of each language at least) reach the driver."""
     known, counts = _labelled(docs, id_col, text_col, lang_col, held_out)
     if not counts:
         return {}
-    each = max(1, min(pieces, total_pieces // len(counts)))
-    chosen = known.filter("not apart").withColumn("h", F.xxhash64(F.lit("sample"), "text")).filter(
-        F.pmod("h", _every(counts, 8 * each)) == 0)
-    begin = (F.pmod(F.xxhash64("h"), F.greatest(F.lit(1), F.length("text") - piece_chars + 1)) + 1).cast("int")
-    cut = chosen.select("lang", "h", F.substring("text", begin, F.lit(piece_chars)).alias("piece")).distinct()
-    # The longer of a language's pieces first, up to the bound: short texts hold little of a language.
-    first = Window.partitionBy("lang").orderBy(F.desc(F.length("piece")), "h", "piece")
-    kept = cut.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= each)
-    out: dict[str, list[str]] = {}
-    for r in sorted(kept.select("lang", "rank", "piece").collect()):
-        out.setdefault(r.lang, []).append(running(r.piece).strip())
-    joined = {lang: " ".join(w for w in texts if w) for lang, texts in out.items()}
-    return {lang: f" {text} " for lang, text in joined.items() if text}
+    if keep_apart:
+        known = known.filter("not apart")
+    room = max(1, min(pieces, total_pieces // len(counts))) * piece_chars
+    most = max(1, room // WORD_CHARS)
+    words: dict[str, list[str]] = defaultdict(list)
+    for r in _most_frequent(known, most, piece_chars):
+        words[r.lang].append(r["first"])
+    pairs: dict[str, list[tuple[str, str]]] = defaultdict(list)
+    for r in _most_frequent(known, most, piece_chars, {lang: set(own) for lang, own in words.items()}):
+        pairs[r.lang].append((r["first"], r["second"]))
+    out = {}
+    for lang, own in words.items():
+        text = _along(_fitting(pairs[lang], room // 2, lambda pair: len(pair[1]) + 1))
+        there = set(text)
+        others = _fitting((w for w in own if w not in there), room - sum(len(w) + 1 for w in text), lambda w: len(w) + 1)
+        out[lang] = f" {' '.join(text + others)} "
+    return out
 
 
 def prediction(docs: DataFrame, learned: dict[str, str], text: Column) -> Column:
@@ -184,17 +250,16 @@ def prediction(docs: DataFrame, learned: dict[str, str], text: Column) -> Column
 
 
 def bounds(
-    docs: DataFrame, learned: dict[str, str], rows: int = 500, share: float = 0.995, slack: float = 1.5, id_col: str = "doc_id",
+    docs: DataFrame, learned: dict[str, str], share: float = 0.995, slack: float = 1.5, id_col: str = "doc_id",
     text_col: str = "text", lang_col: str = "lang", held_out: tuple[int, int] = (4, 2),
 ) -> dict[str, float]:
-    """Bits a letter that texts of each language need: ``slack`` times what ``share`` of about ``rows`` labelled texts of
-    each stay within, none of them in the sample. Languages of fewer than ``LEAST_ROWS`` labelled rows have no bound."""
+    """Bits a letter that texts of each language need: ``slack`` times what ``share`` of all its labelled texts that the
+    counts leave out stay within. Languages of fewer than ``LEAST_ROWS`` labelled rows have no bound."""
     known, counts = _labelled(docs, id_col, text_col, lang_col, held_out)
     if not counts:
         return {}
-    chosen = known.filter(F.col("apart") & F.col("lang").isin(sorted(learned)))
-    chosen = chosen.filter(F.pmod(F.xxhash64(F.lit("bound"), "text"), _every(counts, APART * rows)) == 0)
-    rated = chosen.withColumn("p", prediction(chosen, learned, F.col("text"))).filter("p.lang = lang")
+    apart = known.filter(F.col("apart") & F.col("lang").isin(sorted(learned)))
+    rated = apart.withColumn("p", prediction(apart, learned, F.col("text"))).filter("p.lang = lang")
     found = rated.groupBy("lang").agg(F.percentile_approx("p.rate", share, 10_000).alias("rate")).collect()
     return {r.lang: slack * r.rate for r in found}
 
@@ -223,8 +288,8 @@ def recognised(
 def language_id(
     docs: DataFrame, pieces: int = 150, piece_chars: int = 250, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
 ) -> DataFrame:
-    """doc_id, held_out, lang_pred, score for every row of ``docs``."""
-    learned = learn(docs, pieces, piece_chars, id_col=id_col, text_col=text_col, lang_col=lang_col)
+    """doc_id, held_out, lang_pred, score for every row of ``docs``, learned from all labelled rows that are not held out."""
+    learned = learn(docs, pieces, piece_chars, id_col=id_col, text_col=text_col, lang_col=lang_col, keep_apart=False)
     source = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(crc_mod(id_col, 4) == 2, F.lit(False)).alias("held_out"),
         F.col(text_col).alias("text"))

@@ -165,6 +165,27 @@ def test_the_bound_does_not_depend_on_the_number_of_languages(spark, count):
     assert sum(i < 0 for i in kept) == 0
 
 
+def test_every_labelled_row_counts(spark):
+    """The learned text holds the most frequent words and pairs of all rows, though each row begins with other ones, and
+    the bound is that of all rows kept apart, however many."""
+    rnd = random.Random(5)
+    letters = lambda k: "".join(rnd.choice("abcdefgh") for _ in range(k))
+    rows = [(i, f"{letters(12)} {letters(12)} " + ("often together " if i % 3 == 0 else "") + " ".join(letters(9) for _ in range(40)), "aa")
+            for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = language_id.learn(docs, pieces=1, piece_chars=100, keep_apart=False)
+    assert " often together " in learned["aa"] and len(learned["aa"]) <= 102
+    known, _ = language_id._labelled(docs, "doc_id", "text", "lang", (4, 2))
+    counts = collections.Counter(w for r in known.collect() for w in r.text.split())
+    assert {r["first"] for r in language_id._most_frequent(known, 2, 250)} == {"often", "together"}
+    assert counts["often"] > 1000
+    own = language_id.Identifier(learned)
+    rates = sorted(own.predict(r.text)[2] for r in known.filter("apart").collect())
+    assert len(rates) > 1000
+    bound = language_id.bounds(docs, learned, share=1.0, slack=1.0)
+    assert bound == {"aa": rates[-1]}
+
+
 # ---------------------------------------------------------------- quality
 
 def test_gam_learns_main_effects_and_interactions():
