@@ -111,15 +111,25 @@ def versions_near(versions: DataFrame, points: DataFrame, keys: Sequence[str], s
 
 
 def _rows_of_versions(rows: DataFrame, ranges: DataFrame, by_key: Sequence[str], sequence: str, era_width: float | None) -> DataFrame:
-    """The rows that lie in the given versions (keys, __from, __to, __until), dealt by key and era."""
+    """The rows that lie in the given versions (keys, __from, __to, __until), dealt by key and era. Versions of a key do not
+    overlap, so in the order of time only the last one that has begun can hold a row: one sort, however many versions and
+    rows a key has in an era. Keys and eras without such a version are left out before."""
     spread = ranges.withColumn("__era", F.explode(F.sequence(
         era_of(ranges, "__from", era_width), era_of(ranges, "__to", era_width))))
-    placed = rows.withColumn("__era", era_of(rows, sequence, era_width))
-    s0 = F.col(f"l.{sequence}")
-    met = placed.alias("l").join(
-        spread.alias("r"),
-        _null_safe(by_key) & (F.col("l.__era") == F.col("r.__era")) & (s0 >= F.col("r.__from")) & (s0 <= F.col("r.__to")))
-    return met.select("l.*", "r.__until").drop("__era")
+    placed, place = rows.withColumn("__era", era_of(rows, sequence, era_width)), [*by_key, "__era"]
+    met = placed.alias("l").join(spread.select(*place).distinct().alias("r"), _null_safe(place), "left_semi")
+    version, row = F.struct("__to", "__until").alias("__version"), F.struct(*rows.columns).alias("__row")
+    kind = spread.schema["__from"].dataType
+    held, found = met.select(*place, row), spread.select(*place, version)
+    events = met.select(
+        *place, F.col(sequence).cast(kind).alias("__at"), F.lit(1).alias("__order"),
+        F.lit(None).cast(found.schema["__version"].dataType).alias("__version"), row,
+    ).unionByName(spread.select(
+        *place, F.col("__from").alias("__at"), F.lit(0).alias("__order"), version,
+        F.lit(None).cast(held.schema["__row"].dataType).alias("__row")))
+    begun = Window.partitionBy(*place).orderBy("__at", "__order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = events.withColumn("__version", F.last("__version", ignorenulls=True).over(begun))
+    return last.filter((F.col("__order") == 1) & (F.col("__at") <= F.col("__version.__to"))).select("__row.*", "__version.__until")
 
 
 def stage_scd1(new_rows: DataFrame, silver: DataFrame | None, by_key: Sequence[str], seq: Sequence[str], schema: StructType, stage: str) -> None:

@@ -110,3 +110,18 @@ def test_versions_near_points(spark):
     assert near(-1) == {0: (False, 10)}
     assert near(50) == {40: (False, None)}
     assert near(2, 50) == {0: (True, 20), 10: (False, 20), 40: (False, None)}
+
+
+def test_rows_of_versions_are_found_in_order_of_time(spark):
+    """One key with many versions and rows in one era, a NULL key, ranges over several eras: the rows are those between
+    start and last row, and no join compares times (every row with every version of its key)."""
+    rows = [(0, k, i) for k in (1, None) for i in range(600)] + [(1, 2, 5)]
+    ranges = [(0, k, i, i + 2, i + 4) for k in (1, None) for i in range(0, 500, 4)] + [(0, 1, 500, 590, None), (0, 3, 1, 9, 10)]
+    got = cdc_stream._rows_of_versions(
+        spark.createDataFrame(rows, "b int, k int, s long"),
+        spark.createDataFrame(ranges, "b int, k int, __from long, __to long, __until long"), ["b", "k"], "s", 100.0)
+    want = [(b, k, s, until) for b, k, s in rows for rb, rk, least, most, until in ranges if (b, k) == (rb, rk) and least <= s <= most]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str) and len(want) > 800
+    assert got.columns == ["b", "k", "s", "__until"]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Join" in line and (" <= " in line or " >= " in line)]
