@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from .operators import snapshot
 from .operators.cdc import END_AT, START_AT
 from .schemas import evolve, fitted, read_stored
-from .storage import exists, remove_folder
+from .storage import exists, move_folder, remove_folder
 
 
 @dataclass
@@ -69,12 +69,17 @@ class SnapshotStore:
         self._log_run(run, version)
 
     def add_changes(self, changed: DataFrame, version: Any) -> None:
-        """One more complete run of rows that are open (no ``__END_AT``) or closed by it. They are computed once, into a
-        stage of two parts."""
-        stage = f"{self.root}/stage/{uuid.uuid4().hex}"
-        changed.withColumn("__closed", F.col("__END_AT").isNotNull()).write.partitionBy("__closed").parquet(stage)
-        rows = self.spark.read.schema(f"{changed.schema.toDDL()}, __closed boolean").parquet(stage)
-        self.add(rows.filter("not __closed").drop("__closed"), rows.filter("__closed").drop("__closed"), version)
+        """One more complete run of rows that are open (no ``__END_AT``) or closed by it. They are computed and written once,
+        into a stage of two parts that then become the run's folders."""
+        run, stage = uuid.uuid4().hex, f"{self.root}/stage/{uuid.uuid4().hex}"
+        schema = evolve(self.spark, self.root, changed.schema)
+        fitted(changed, schema).withColumn("__closed", F.col("__END_AT").isNotNull()).write.partitionBy("__closed").parquet(stage)
+        for kind, part in (("open", f"{stage}/__closed=false"), ("closed", f"{stage}/__closed=true")):
+            if exists(self.spark, part):
+                move_folder(self.spark, part, f"{self.root}/{kind}/run={run}")
+            else:
+                self.spark.createDataFrame([], schema).write.parquet(f"{self.root}/{kind}/run={run}")
+        self._log_run(run, version)
         remove_folder(self.spark, stage)
 
     def repeat(self, version: Any) -> None:

@@ -2,6 +2,7 @@
 
 import random
 
+from layerflow import history
 from layerflow.operators import snapshot
 
 COLS = ("k", "s", "v", "__START_AT", "__END_AT")
@@ -59,3 +60,17 @@ def test_diff_equals_stacked_on_random_snapshots(spark):
         rows = [(k, rnd.choice("AB"), rnd.randint(0, 3)) for k in range(15) if rnd.random() < 0.7]
         snaps.append((version, rows))
     assert rows_of(diff_history(spark, snaps)) == rows_of(stacked_history(spark, snaps))
+
+
+def test_changes_of_a_run_are_written_once(spark, tmp_path, monkeypatch):
+    """The staged rows become the run's folders: no second write of them; runs that close all rows or none have both."""
+    store = history.SnapshotStore(spark, str(tmp_path / "h"))
+    rows = lambda *r: spark.createDataFrame(list(r), "k int, v string")
+    store.apply(rows((1, "a"), (2, "b"), (None, "c")), 1, ["k"])
+    monkeypatch.setattr(history.SnapshotStore, "add", None)
+    store.apply(rows((1, "a"), (2, "x"), (None, "c")), 2, ["k"])
+    store.apply(rows((1, "a"), (2, "x"), (None, "c")), 3, ["k"])
+    store.apply(rows().limit(0), 4, ["k"])
+    assert store.open_rows().count() == 0 and not list((tmp_path / "h" / "stage").iterdir())
+    got = sorted((tuple(r) for r in store.read().select("k", "v", "__START_AT", "__END_AT").collect()), key=str)
+    assert got == sorted([(1, "a", 1, 4), (2, "b", 1, 2), (2, "x", 2, 4), (None, "c", 1, 4)], key=str)
