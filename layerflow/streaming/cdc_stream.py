@@ -136,7 +136,7 @@ def stage_scd1(new_rows: DataFrame, silver: DataFrame | None, by_key: Sequence[s
     """The newest row of every key in the touched buckets, whose only era is the open one."""
     rows = new_rows if silver is None else silver.select(*new_rows.columns).unionByName(new_rows)
     now = cdc.scd1_from_changes(rows, by_key, seq).withColumn(ERA, F.lit(OPEN_ERA))
-    fitted(now, schema).write.mode("overwrite").parquet(f"{stage}/fresh")
+    fitted(now, schema).write.mode("overwrite").parquet(f"{stage}/fresh_rows")
 
 
 def stage_scd2(
@@ -190,8 +190,8 @@ def stage_scd2(
         track_except=untracked_lineage(new_rows, track, track_except), segments=segments)
     history = history.withColumn(cdc.END_AT, F.coalesce(cdc.END_AT, "__until")).drop("__at", "__until")
     history = history.withColumn(ERA, F.coalesce(era_of(history, cdc.END_AT, era_width), F.lit(OPEN_ERA)))
-    fitted(history, schema).write.mode("overwrite").parquet(f"{stage}/fresh")
-    changed = spark.read.schema(schema).parquet(f"{stage}/fresh").select(own, ERA).distinct().collect()
+    fitted(history, schema).write.mode("overwrite").parquet(f"{stage}/fresh_rows")
+    changed = spark.read.schema(schema).parquet(f"{stage}/fresh_rows").select(own, ERA).distinct().collect()
     return places | {(r[0], r[1]) for r in changed}
 
 
@@ -301,7 +301,7 @@ def apply_changes(
                 here = here & F.concat_ws("/", own, ERA).isin([f"{b}/{e}" for b, e in places])
                 without_versions(whole.filter(here), gone, by_key).write.mode("overwrite").parquet(f"{stage}/carried")
         if feed_path:
-            after, before = session.read.schema(schema).parquet(f"{stage}/fresh"), None
+            after, before = session.read.schema(schema).parquet(f"{stage}/fresh_rows"), None
             if whole is not None and not list_folders(session, feed_path):
                 # a feed of a table that was there before begins with all of its rows
                 rest = whole.filter(~F.col(own).isin(touched)) if scd1 else without_versions(whole, gone, by_key)
@@ -334,7 +334,7 @@ def apply_changes(
         if not exists(session, done) and not stage_batch(session, batch, stage):
             return
         places = [(bucket, era) for bucket, era in json.loads(read_small(session, done))]
-        stages = [p for p in (f"{stage}/fresh", f"{stage}/carried") if exists(session, p)]
+        stages = [p for p in (f"{stage}/fresh_rows" if exists(session, f"{stage}/fresh_rows") else f"{stage}/fresh", f"{stage}/carried") if exists(session, p)]
         replace_eras(session, stages, silver_path, own, places, file_bytes)
         if feed_path:
             change_feed.publish_changes(session, f"{stage}/feed", feed_path)
