@@ -25,12 +25,14 @@ import gc
 import hashlib
 import math
 import re
+from array import array
 from collections import Counter, defaultdict, deque
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from .common import crc_mod, map_batches, map_column, worker_model
@@ -42,16 +44,27 @@ SHARPNESS = 12.0
 SPARE_PHRASES = 3
 #: Of languages with so many labelled rows one text in ``APART`` is kept from the counts, for the bound.
 LEAST_ROWS, APART = 20, 4
-#: Counts that a task holds before it hands them on.
-HELD = 500_000
+#: Counts of words and of pairs that a task holds before it hands them on, and rows it hands on at a time. A pair takes 16
+#: bytes, a word about 100.
+HELD, HELD_PAIRS, HANDED = 300_000, 2_000_000, 65_536
+#: Groups of the words or pairs of a language that are ranked apart, before the first of each are ranked together.
+SHARES = 64
+#: Table cells for a character of its text that an automaton may take; with more it stays a set of dictionaries.
+CELLS = 100
+#: Characters, times languages, that are parsed together, and parses that are too few for that.
+TOGETHER, FEW = 4_000_000, 64
 #: Characters that a word of the learned text takes, about: so many words and pairs are ranked.
 WORD_CHARS = 8
 _BETWEEN = re.compile(r"[\W\d_]+")
+#: Bytes of UTF-8, with a space for ASCII characters that are no letters.
+_LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
 
 class SuffixAutomaton:
-    """All substrings of a text: states joined by single characters, about two states a character at most. A state is
-    the dictionary of the states that follow it."""
+    """All substrings of a text: states joined by single characters, about two states a character at most. Over an
+    alphabet that is not too large it is a table: the cell of a state and a character (0: one that does not occur) holds
+    four times the first cell of the state that follows, plus the phrases that end with the step. Otherwise a state is the
+    dictionary of the states that follow it."""
 
     def __init__(self, text: str):
         states: list[dict] = [{}]
@@ -79,14 +92,39 @@ class SuffixAutomaton:
                         p = link[p]
                     link[q] = link[here] = copy
             last = here
+        self.bits = math.log2(len(text) + 1)
+        self.codes = {c: i for i, c in enumerate(sorted(states[0]), 1)}
+        self.table = self.start = None
+        if len(states) * (len(self.codes) + 1) <= min(CELLS * len(text), 1 << 28):
+            self.table = self._cells(states)
+            return
         for state in states:
             for c, target in state.items():
                 state[c] = states[target]
         self.start = states[0]
-        self.bits = math.log2(len(text) + 1)
+
+    def _cells(self, states: list[dict]) -> np.ndarray:
+        width = len(self.codes) + 1
+        again = np.array([1, *(4 * width * states[0][c] for c in self.codes)], np.int32)  # a phrase begins, at the first state
+        table = np.repeat(again[None, :] + np.int32(1), len(states), axis=0)
+        table[0] = again
+        for own, state in zip(table, states):
+            for c, target in state.items():
+                own[self.codes[c]] = 4 * width * target
+        return table.ravel()
 
     def phrases(self, s: str) -> int:
         """Number of phrases of the greedy longest-match parse of ``s``."""
+        if self.table is None:
+            return self._phrases(s)
+        found, state, cells, code = 0, 0, memoryview(self.table), self.codes.get
+        for c in s:
+            cell = cells[state + code(c, 0)]
+            found += cell & 3
+            state = cell >> 2
+        return found + (state != 0)
+
+    def _phrases(self, s: str) -> int:
         start = state = self.start
         found = 0
         for c in s:
@@ -104,29 +142,95 @@ class SuffixAutomaton:
 
 def running(text: str) -> str:
     """The words of a text, letters in lower case, with a space around each; empty if there is no letter."""
-    words = _BETWEEN.sub(" ", text.lower()).strip()
-    if words and not words.replace(" ", "").isalpha():  # word characters that are no letters
-        words = " ".join("".join(c if c.isalpha() else " " for c in words).split())
+    words = " ".join(text.lower().encode("utf-8", "surrogatepass").translate(_LETTERS).decode("utf-8", "surrogatepass").split())
+    if words and not words.replace(" ", "").isalpha():  # others than letters beyond ASCII
+        words = _BETWEEN.sub(" ", words).strip()
+        if words and not words.replace(" ", "").isalpha():  # word characters that are no letters
+            words = " ".join("".join(c if c.isalpha() else " " for c in words).split())
     return f" {words} " if words else ""
 
 
 class Identifier:
-    """Costs of texts under all languages."""
+    """Costs of texts under all languages. Those with tables parse many texts at a time, a character of each in a step."""
 
     def __init__(self, learned: dict[str, str]):
         self.languages = sorted(learned)
         self.automata = [SuffixAutomaton(learned[lang]) for lang in self.languages]
+        self.bits = np.array([a.bits for a in self.automata])
+        self.tabled = [i for i, a in enumerate(self.automata) if a.table is not None]
+        tables = [self.automata[i].table for i in self.tabled]
+        self.cells = np.concatenate(tables) if tables else np.zeros(0, np.int32)
+        ends = np.cumsum([0, *map(len, tables)])
+        letters = sorted({c for i in self.tabled for c in self.automata[i].codes})
+        self.letter = np.zeros(0x110000, np.int32)  # 0: in no table
+        self.letter[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.places = np.zeros((len(letters) + 1, len(tables)), np.int32)  # of a letter in the cells, from a state's first on
+        for own, i, begin, end in zip(self.places.T, self.tabled, ends, ends[1:]):
+            self.automata[i].table = self.cells[begin:end]
+            own[:] = [begin, *(begin + self.automata[i].codes.get(c, 0) for c in letters)]
         gc.freeze()  # the automata stay; no collection needs to walk them again
 
+    def _parsed(self, texts: list[str], state: np.ndarray) -> np.ndarray:
+        """Phrases that end in texts, the longest first, under the languages with tables: those of a text side by side.
+        ``state`` holds what the parses begin with and end in."""
+        points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        places = self.places.take(self.letter.take(points), axis=0).ravel()  # the languages of a character side by side
+        count, n = len(self.tabled), len(texts)
+        lengths = np.fromiter(map(len, texts), np.int64, n)
+        begins = (np.repeat((np.cumsum(lengths) - lengths) * count, count).reshape(n, count) + np.arange(count)).ravel()
+        going = np.searchsorted(-lengths, -np.arange(lengths[0]), "left") * count  # parses that have a character at a step
+        steps = int(np.sum(going >= FEW))
+        found, at, cell = np.zeros(n * count, np.int64), np.zeros(n * count, np.int64), np.zeros(n * count, np.int32)
+        for step, go in enumerate(going[:steps].tolist()):
+            own_at, own_cell, own_state = at[:go], cell[:go], state[:go]
+            np.add(own_state, places[step * count:].take(begins[:go], mode="clip"), out=own_at)
+            self.cells.take(own_at, out=own_cell, mode="clip")
+            np.right_shift(own_cell, 2, out=own_state)
+            own_cell &= 3
+            found[:go] += own_cell
+        cells = memoryview(self.cells)
+        for i in range(int(going[steps]) if steps < len(going) else 0):  # the few that are left go on alone
+            begin, end = int(begins[i]), int(begins[i] + lengths[i // count] * count)
+            own = int(state[i]) << 2
+            for j in range(begin + steps * count, end, HANDED * count):
+                passed = [own := cells[(own >> 2) + place] for place in places[j:min(end, j + HANDED * count):count].tolist()]
+                found[i] += np.sum(np.array(passed) & 3)
+            state[i] = own >> 2
+        return found
+
+    def all_costs(self, texts: list[str]) -> np.ndarray:
+        """Costs of every text, a row of each, under all languages."""
+        found = np.zeros((len(texts), len(self.automata)), np.int64)
+        order = sorted((i for i in range(len(texts) if self.tabled else 0) if texts[i]), key=lambda i: -len(texts[i]))
+        chars, at = max(1, TOGETHER // max(1, len(self.tabled))), 0
+        while at < len(order):  # longest first: those parsed together are of like length
+            some, room = [order[at]], chars - len(texts[order[at]])
+            while at + len(some) < len(order) and (room := room - len(texts[order[at + len(some)]])) >= 0:
+                some.append(order[at + len(some)])
+            state = np.zeros(len(some) * len(self.tabled), np.int64)
+            ended = 0
+            for i in range(0, len(texts[some[0]]), chars):  # one step, but for a longer text, which is alone
+                ended = ended + self._parsed([texts[k][i:i + chars] for k in some], state)
+            found[np.ix_(some, self.tabled)] = (ended + (state != 0)).reshape(len(some), -1)
+            at += len(some)
+        for k, own in enumerate(self.automata):
+            if own.table is None:
+                found[:, k] = [own.phrases(s) for s in texts]
+        return self.bits * found
+
     def costs(self, words: str) -> np.ndarray:
-        return np.array([a.bits * a.phrases(words) for a in self.automata])
+        return self.all_costs([words])[0]
 
     def predict(self, text: str | None) -> tuple[str, float, float | None]:
         """(language, score, bits a letter beyond the spare phrases)."""
-        words = running(text) if text and self.languages else ""
-        if not words:
-            return UNKNOWN, 0.0, None
-        costs = self.costs(words)
+        return self.predict_all([text])[0]
+
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float, float | None]]:
+        """``predict`` of every text."""
+        words = [running(t) if t and self.languages else "" for t in texts]
+        return [self._verdict(w, costs) if w else (UNKNOWN, 0.0, None) for w, costs in zip(words, self.all_costs(words))]
+
+    def _verdict(self, words: str, costs: np.ndarray) -> tuple[str, float, float]:
         best = int(np.argmin(costs))
         letters = len(words) - words.count(" ")
         rate = max(0.0, costs[best] - SPARE_PHRASES * self.automata[best].bits) / letters
@@ -144,38 +248,118 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, lang_col: str, held_o
     return known.withColumn("apart", many & (F.pmod(F.xxhash64(F.lit("apart"), "text"), F.lit(APART)) == 0)), counts
 
 
-def _most_frequent(known: DataFrame, most: int, longest: int, vocabulary: dict[str, set[str]] | None = None) -> list:
-    """(lang, first, second) of each language's ``most`` most frequent words (second empty) in all texts of ``known``, or
-    with a vocabulary pairs of its words that follow each other; the most frequent first, then by code point."""
-    broadcast = None if vocabulary is None else known.sparkSession.sparkContext.broadcast(vocabulary)  # bounded by total_pieces
+def _words_counted(known: DataFrame, longest: int) -> DataFrame:
+    """(lang, first, n): words in all texts, n summed for as many as a task holds at a time."""
 
     def handed(counts: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
-        rows = [(lang, *what, n) for lang, own in counts.items() for what, n in own.items() if None not in what]
+        for lang, own in counts.items():
+            words, found = list(own), list(own.values())
+            for i in range(0, len(words), HANDED):
+                cut = pa.array([w[:longest] for w in words[i:i + HANDED]], pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(pa.scalar(lang, pa.string()), len(cut)), cut, pa.array(found[i:i + HANDED], pa.int64())], names=["lang", "first", "n"])
         counts.clear()
-        if rows:
-            columns = zip(("lang", "first", "second", "n"), zip(*rows))
-            yield pa.RecordBatch.from_pydict({name: pa.array(c, pa.int64() if name == "n" else pa.string()) for name, c in columns})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_model("counts", dict)  # the model of an operator before this one goes
         counts: dict[str, Counter] = defaultdict(Counter)
         for batch in batches:
-            for lang, text in zip(batch.column("lang"), batch.column("text")):
+            for i, (lang, text) in enumerate(zip(batch.column("lang"), batch.column("text"))):
+                counts[lang.as_py()].update(running(text.as_py()).split())
+                if i % 256 == 0 and sum(map(len, counts.values())) > HELD:
+                    yield from handed(counts)
+        yield from handed(counts)
+
+    return map_batches(known.select("lang", "text"), run, "lang string, first string, n long")
+
+
+def _pairs_counted(known: DataFrame, longest: int, vocabulary: dict[str, list[str]]) -> DataFrame:
+    """(lang, pair, n): pairs of words of the vocabulary that follow each other in all texts, n summed for as many as a task
+    holds at a time. The pair is the first word's place times the number of the language's words, plus the second's place."""
+    places = {lang: {w: i for i, w in enumerate(own)} for lang, own in vocabulary.items()}
+    broadcast = known.sparkSession.sparkContext.broadcast(places)  # bounded by total_pieces
+
+    def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        return keys[begins], np.add.reduceat(counts[order], begins)
+
+    def handed(counts: dict[str, list]) -> Iterator[pa.RecordBatch]:
+        for lang, runs in counts.items():
+            for keys, found in runs:
+                for i in range(0, len(keys), HANDED):
+                    pairs, n = pa.array(keys[i:i + HANDED]), pa.array(found[i:i + HANDED])
+                    yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(pairs)), pairs, n], names=["lang", "pair", "n"])
+        counts.clear()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_model("counts", dict)  # the model of an operator before this one goes
+        cut = {lang: any(len(w) == longest for w in own) for lang, own in broadcast.value.items()}
+        read: dict[str, array] = defaultdict(lambda: array("i"))
+        counts: dict[str, list] = defaultdict(list)
+
+        def counted() -> None:
+            for lang, own in read.items():
+                ids = np.frombuffer(own, np.int32).astype(np.int64)
+                both = (ids[:-1] >= 0) & (ids[1:] >= 0)
+                keys, n = np.unique(ids[:-1][both] * len(broadcast.value[lang]) + ids[1:][both], return_counts=True)
+                if len(keys):
+                    counts[lang].append((keys, n.astype(np.int64)))
+            read.clear()
+
+        def merged() -> int:
+            for lang, runs in counts.items():
+                if len(runs) > 1:
+                    counts[lang] = [summed(*map(np.concatenate, zip(*runs)))]
+            return sum(len(keys) for runs in counts.values() for keys, _ in runs)
+
+        for batch in batches:
+            for i, (lang, text) in enumerate(zip(batch.column("lang"), batch.column("text"))):
                 lang = lang.as_py()
-                words = [w[:longest] for w in running(text.as_py()).split()]
-                if broadcast is None:
-                    counts[lang].update((w, "") for w in words)
-                else:
-                    own = broadcast.value.get(lang, ())
-                    words = [w if w in own else None for w in words]
-                    counts[lang].update(zip(words, words[1:]))
-            if sum(map(len, counts.values())) > HELD:
-                yield from handed(counts)
+                own = broadcast.value.get(lang)
+                if own:
+                    words = running(text.as_py()).split()
+                    if cut[lang]:
+                        words = [w[:longest] for w in words]
+                    read[lang].extend(map(own.get, words, repeat(-1)))
+                    read[lang].append(-1)
+                if i % 256 == 0 and sum(map(len, read.values())) > HELD_PAIRS // 2:
+                    counted()
+                    if sum(len(keys) for runs in counts.values() for keys, _ in runs) > HELD_PAIRS and merged() > HELD_PAIRS // 2:
+                        yield from handed(counts)
+        counted()
+        merged()
         yield from handed(counts)
 
-    found = map_batches(known.select("lang", "text"), run, "lang string, first string, second string, n long")
-    by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "first", "second")
-    ranked = found.groupBy("lang", "first", "second").agg(F.sum("n").alias("n")).withColumn("rank", F.row_number().over(by_count))
-    return sorted(ranked.filter(F.col("rank") <= most).collect(), key=lambda r: (r.lang, r["rank"]))
+    return map_batches(known.select("lang", "text"), run, "lang string, pair long, n long")
+
+
+def _first(counted: DataFrame, what: str, most: int) -> DataFrame:
+    """(lang, ``what``, rank) of each language's ``most`` most frequent, then by ``what``. Shares of a language are summed and
+    ranked apart, so that a language is no single task's; only the first of each share, ``SHARES * most`` at most, are
+    ranked together."""
+    summed = counted.withColumn("share", F.pmod(F.xxhash64(what), F.lit(SHARES)).cast("int")).repartition("lang", "share").groupBy(
+        "lang", "share", what).agg(F.sum("n").alias("n"))
+    for apart in (["lang", "share"], ["lang"]):
+        by_count = Window.partitionBy(*apart).orderBy(F.desc("n"), what)
+        summed = summed.withColumn("rank", F.row_number().over(by_count)).filter(F.col("rank") <= most)
+    return summed.select("lang", what, "rank")
+
+
+def _most_frequent(known: DataFrame, most: int, longest: int, vocabulary: dict[str, set[str]] | None = None) -> list:
+    """(lang, first, second) of each language's ``most`` most frequent words (second empty) in all texts of ``known``, or
+    with a vocabulary pairs of its words that follow each other; the most frequent first, then by code point."""
+    by_rank = lambda df: sorted(df.collect(), key=lambda r: (r.lang, r["rank"]))
+    if vocabulary is None:
+        return [Row(lang=r.lang, first=r["first"], second="") for r in by_rank(_first(_words_counted(known, longest), "first", most))]
+    words = {lang: sorted(own) for lang, own in vocabulary.items()}
+    found = []
+    for r in by_rank(_first(_pairs_counted(known, longest, words), "pair", most)):
+        own = words[r.lang]
+        first, second = divmod(r.pair, len(own))
+        found.append(Row(lang=r.lang, first=own[first], second=own[second]))
+    return found
 
 
 def _fitting(parts: Iterable, room: int, taken) -> list:
@@ -241,7 +425,7 @@ def prediction(docs: DataFrame, learned: dict[str, str], text: Column) -> Column
 
     def values(texts: pa.Array) -> pa.Array:
         own = worker_model(f"languages {key}", lambda: Identifier(broadcast.value))
-        found = [own.predict(t.as_py()) for t in texts]
+        found = own.predict_all(texts.to_pylist())
         lang, score, rate = zip(*found) if found else ((), (), ())
         return pa.StructArray.from_arrays(
             [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rate, pa.float64())], names=["lang", "score", "rate"])

@@ -186,6 +186,51 @@ def test_every_labelled_row_counts(spark):
     assert bound == {"aa": rates[-1]}
 
 
+@pytest.mark.parametrize("together,few", [(4_000_000, 64), (700, 2), (900, 10**6)])
+def test_texts_parsed_together_cost_what_each_costs_alone(together, few, monkeypatch):
+    """Texts of all lengths, longer ones than are parsed together too, under languages with tables and, of many
+    characters, without."""
+    monkeypatch.setattr(language_id, "TOGETHER", together)
+    monkeypatch.setattr(language_id, "FEW", few)
+    rnd = random.Random(3)
+    text = lambda letters, n: " ".join("".join(rnd.choice(letters) for _ in range(rnd.randint(1, 6))) for _ in range(n))
+    learned = {"aa": f" {text('abcd', 200)} ", "bb": f" {text('cdeé', 90)} ", "cc": f" {text([chr(c) for c in range(0x4e00, 0x4f00)], 90)} "}
+    own = language_id.Identifier(learned)
+    assert [own.languages[i] for i in own.tabled] == ["aa", "bb"]
+    texts = [text("abcdé", rnd.randint(0, 60)) for _ in range(150)] + [text("abxз一", 700), "", "q", text([chr(0x4e00 + i) for i in range(99)], 40)]
+    want = [[a.bits * _phrases(learned[lang], s) for lang, a in zip(own.languages, own.automata)] for s in texts]
+    assert own.all_costs(texts).tolist() == want
+    assert own.predict_all([*texts, None]) == [own.predict(s) for s in [*texts, None]]
+    assert language_id.Identifier({}).predict_all(["a", None]) == [("und", 0.0, None)] * 2
+
+
+@pytest.mark.parametrize("held", [10, 10**6])
+def test_pairs_are_handed_on_as_numbers_and_ranked_in_shares(spark, held, monkeypatch):
+    """Counts are those of all texts, however few a task holds; a pair takes two numbers on its way; no task ranks all of a
+    language's pairs."""
+    for limit in ("HELD", "HELD_PAIRS"):
+        monkeypatch.setattr(language_id, limit, held)
+    rnd = random.Random(9)
+    rows = [(rnd.choice(["aa", "aa", "aa", "bb"]), " ".join(rnd.choice("abcdefghij") * rnd.randint(1, 4) for _ in range(rnd.randint(0, 12))))
+            for _ in range(3000)]
+    known = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    words, pairs = collections.Counter(), collections.Counter()
+    for lang, text in rows:
+        own = [w[:3] for w in text.split()]
+        words.update((lang, w, "") for w in own)
+        pairs.update((lang, x, y) for x, y in zip(own, own[1:]) if {x, y} <= {"a", "bb", "ccc", "d"})
+    first = lambda counts: [
+        key for lang in ("aa", "bb") for key in sorted((k for k in counts if k[0] == lang), key=lambda k: (-counts[k], k))[:7]]
+    vocabulary = {"aa": {"a", "bb", "ccc", "d"}, "bb": {"d", "a", "ccc", "bb"}}
+    assert list(map(tuple, language_id._most_frequent(known, 7, 3))) == first(words)
+    assert list(map(tuple, language_id._most_frequent(known, 7, 3, vocabulary))) == first(pairs)
+    counted = language_id._pairs_counted(known, 3, {lang: sorted(own) for lang, own in vocabulary.items()})
+    assert dict(counted.dtypes) == {"lang": "string", "pair": "bigint", "n": "bigint"}
+    assert sum(r.n for r in counted.collect()) == sum(pairs.values())
+    plan = language_id._first(counted, "pair", 7)._jdf.queryExecution().toString()
+    assert re.search(r"hashpartitioning\(lang#\d+, share#\d+", plan)
+
+
 # ---------------------------------------------------------------- quality
 
 def test_gam_learns_main_effects_and_interactions():
