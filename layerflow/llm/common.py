@@ -82,7 +82,7 @@ def worker_model(key: str, build: Callable[[], object]):
 
 #: Bytes of an Arrow batch on its way to a Python worker, unless the session sets its own: a task holds several batches at
 #: a time, in the JVM and in Python, and rows are whole texts.
-ARROW_BATCH = "8m"
+ARROW_BATCH = "2m"
 _ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 

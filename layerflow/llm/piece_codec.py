@@ -39,7 +39,7 @@ from .common import id_and_bytes, map_rows, worker_model
 SPACE = "▁"
 #: Letters after which punctuation may be cut off, as a class of a regular expression.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
-#: Entries of a generation of the memories of words and pieces (about 250 bytes each); of pairs (100 bytes) four times as many.
+#: Entries of a generation of the memories of words and pieces (about 200 bytes each); of pairs (100 bytes) four times as many.
 MEMO_ENTRIES = 100_000
 MEMO_CHARS = 48
 #: Longest matches known at a time, and how many are looked up ahead.
@@ -106,6 +106,7 @@ class PieceCodec:
             self.automaton.add_word(piece, i)
         self.automaton.make_automaton()
         self.size = len(self.out)
+        self.same = list(range(self.size))  # one object for each id, for all that the memories hold
         self.piece_of = {i: piece for piece, i in self.ids.items()}
         self.chars = {i: len(piece) for piece, i in self.ids.items()}
         self.shorter = {  # the longest beginning of a token that is a token itself
@@ -206,14 +207,14 @@ class PieceCodec:
         return tokens
 
     def piece_ids(self, s: str) -> tuple[int, ...]:
-        found = self.tokens(s)
+        found, same = self.tokens(s), self.same
         if -1 not in found:
-            return tuple(found)
+            return tuple([same[i] for i in found])
         out: list[int] = []
         at = 0
         for i in found:
             if i >= 0:
-                out.append(i)
+                out.append(same[i])
                 at += self.chars[i]
             else:
                 out.extend([self.byte_ids[b] for b in s[at].encode()] if self.byte_ids else [self.unk])

@@ -98,3 +98,12 @@ def test_chunks_are_resynchronised_and_widened():
     texts = [*_texts(300, 400, 5), "word " * 300, "x" * 2000 + " y", "ab,cd" * 400, "é" * 900]
     assert [own.count(t.encode()) for t in texts] == [len(own.tokenizer.encode(t, add_special_tokens=False)) for t in texts]
     assert own.widened > 0
+
+
+def test_remembered_ids_are_one_object_each():
+    """The codec's memories hold tuples of ids; an id is the same object in all of them."""
+    own = piece_codec.PieceCodec(public_tokenizers.path("piece_bpe_32k.model"))
+    own.encode("several different words, several differing words; different again, 漢字 x漢")
+    ids = [i for memory in (own.words, own.memo) for value in memory.young.values() for i in value if i not in own.byte_ids.values()]
+    assert len(ids) > 8
+    assert len({id(i) for i in ids}) == len(set(ids))
