@@ -32,6 +32,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions.lineage import with_lineage
 from ..schemas import evolve, fitted
+from ..storage import bytes_and_files
 from ..functions.types import as_nullable, required_columns, schema_from_spec
 
 CORRUPT = "_corrupt_record"
@@ -193,6 +194,21 @@ def write_bronze(
     return q
 
 
+#: Landed bytes of a bucket's rows in one micro-batch that make a task and a file of their own.
+SHARE_BYTES = 16 << 20
+
+
+def bucket_shares(spark: SparkSession, source_path: str, buckets: int, max_files_per_trigger: int | None = None) -> int:
+    """Over how many tasks and files a bucket's rows of a micro-batch are dealt: as many as the landed bytes that a
+    micro-batch may hold ask for, and no more than fill the shuffle partitions. Files that are smaller than needed
+    would make as many more micro-batches of the streams that read them."""
+    held, number = bytes_and_files(spark, source_path)
+    if max_files_per_trigger and number:
+        held = min(held, held * max_files_per_trigger // number)
+    most = -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // buckets)
+    return max(1, min(most, -(-held // (buckets * SHARE_BYTES))))
+
+
 def ingest(
     spark: SparkSession,
     source_path: str,
@@ -211,7 +227,7 @@ def ingest(
 
     With ``keys`` (known from the silver row that reads this table) bronze is
     partitioned by key bucket, so silver can recompute only touched buckets; a bucket's
-    rows of a micro-batch are dealt over several tasks where there are more tasks than buckets.
+    rows of a micro-batch are dealt over several tasks where they are many (``bucket_shares``).
     A declared schema that has changed since the last run is merged into the table's
     (``schemas.evolve``) or refused before anything is read.
     """
@@ -225,7 +241,8 @@ def ingest(
         df = with_bucket(df, keys, buckets)
     df = fitted(df, evolve(spark, target_path, df.schema, tuple(keys or ())))
     if part:
-        shares = max(1, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // buckets))
-        df = df.repartition(part[0], F.pmod(F.xxhash64("source_metadata.file_path", "source_metadata.file_block_start", *(
+        shares = bucket_shares(spark, source_path, buckets, max_files_per_trigger)
+        tasks = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * buckets * shares)  # a stream's shuffle is not made smaller later
+        df = df.repartition(tasks, part[0], F.pmod(F.xxhash64("source_metadata.file_path", "source_metadata.file_block_start", *(
             f.name for f in df.schema.fields if f.name not in (*LINEAGE, part[0]) and f.dataType.typeName() not in ("map", "variant"))), F.lit(shares)))
     write_bronze(df, target_path, checkpoint, partition_by=part)

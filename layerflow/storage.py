@@ -62,6 +62,13 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(here).getLength()) if fs.exists(here) else 0
 
 
+def bytes_and_files(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Bytes and number of all files below a folder, or below all that a pattern names."""
+    fs, here, _ = _fs(spark, path)
+    found = [fs.getContentSummary(f.getPath()) for f in fs.globStatus(here) or []]
+    return sum(int(f.getLength()) for f in found), sum(int(f.getFileCount()) for f in found)
+
+
 def replace_folder(spark: SparkSession, df: DataFrame, path: str) -> None:
     """Write ``df`` beside ``path``, then let it take the place: ``df`` may read ``path``, and a failed write leaves
     it as it was."""

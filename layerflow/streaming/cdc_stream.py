@@ -22,6 +22,11 @@ Work is dealt by key, over all shuffle partitions however few the buckets; only
 as many tasks and files as its share of the staged bytes asks for (``file_bytes``), so neither many keys in one bucket nor
 one key of many versions makes one task or file of it.
 
+A micro-batch of few rows would still rewrite every era that they fall into. Where a run takes bronze in several
+micro-batches (``max_files_per_trigger``), the rows of one are put aside (``waiting`` beside the stage) until what waits
+holds as many bytes as the table, and are then applied together, the last of them when the run ends: the table is rewritten
+as often as it doubles, not once for each micro-batch. Rows that wait when a run fails are applied by the next one.
+
 Late and out-of-order rows are therefore exact (no watermark is needed). A batch that failed on the way is repeated
 from its stage, if that was complete, so it never starts from half-replaced eras. SCD type 1 needs no bronze: the
 newest of the stored row and the batch's rows stays. One writer per silver table is assumed; a reader may see old and
@@ -262,12 +267,11 @@ def apply_changes(
     own = bucket_column(key_list, buckets)
     by_key, seq, scd1 = [own, *key_list], [sequence_by] if isinstance(sequence_by, str) else list(sequence_by), int(scd_type) == 1
 
-    def stage_batch(session: SparkSession, batch: DataFrame, stage: str) -> bool:
-        """Write what the batch changes below ``stage``, its places last; False if it holds no row to apply."""
-        placed = lambda df: plain_rows(df).withColumn(own, bucket_of(key_list, buckets))
-        new_rows = placed(batch)
-        for c in seq:
-            new_rows = new_rows.filter(F.col(c).isNotNull())
+    placed = lambda df: plain_rows(df).withColumn(own, bucket_of(key_list, buckets))
+    stages, waiting = (f"{checkpoint.rstrip('/')}/{name}" for name in ("stage", "waiting"))
+
+    def stage_rows(session: SparkSession, new_rows: DataFrame, stage: str) -> bool:
+        """Write what the rows change below ``stage``, its places last; False if there is no row to apply."""
         first_eras = {r[0]: r[1] for r in new_rows.groupBy(own).agg(F.min(era_of(new_rows, seq[0], era_width))).collect()}
         if not first_eras:
             return False
@@ -329,17 +333,46 @@ def apply_changes(
             bad = without_buckets(batch).withColumn(REASON, F.coalesce(reason, F.when(late, F.lit(NULL_SEQUENCE)))).filter(
                 F.col(REASON).isNotNull())
             fitted(bad, evolve(session, quarantine_path, bad.schema)).write.mode("overwrite").parquet(f"{quarantine_path}/batch={epoch_id}")
-        stage = f"{checkpoint.rstrip('/')}/stage/batch={epoch_id}"
+        if not exists(session, f"{stages}/batch={epoch_id}/places.json"):
+            rows = placed(batch)
+            for c in seq:
+                rows = rows.filter(F.col(c).isNotNull())
+            gathers = wait and max_files_per_trigger
+            if gathers or list_folders(session, waiting):
+                fitted(rows, evolve(session, waiting, rows.schema)).write.mode("overwrite").parquet(f"{waiting}/batch={epoch_id}")
+                if gathers and folder_bytes(session, waiting) < folder_bytes(session, silver_path):
+                    return
+                rows = None
+            apply_rows(session, rows, epoch_id)
+        else:
+            apply_rows(session, None, epoch_id)
+
+    def apply_rows(session: SparkSession, rows: DataFrame | None, epoch_id: int) -> None:
+        """Apply the rows, or all that wait, under the number of their last micro-batch; from its stage, if that is complete."""
+        stage = f"{stages}/batch={epoch_id}"
         done = f"{stage}/places.json"
-        if not exists(session, done) and not stage_batch(session, batch, stage):
-            return
+        if not exists(session, done):
+            if rows is None:
+                rows = read_stored(session, *[f"{waiting}/{name}" for name in list_folders(session, waiting)], table=waiting)
+            if not stage_rows(session, rows, stage):
+                remove_folder(session, waiting)
+                return
         places = [(bucket, era) for bucket, era in json.loads(read_small(session, done))]
-        stages = [p for p in (f"{stage}/fresh_rows" if exists(session, f"{stage}/fresh_rows") else f"{stage}/fresh", f"{stage}/carried") if exists(session, p)]
-        replace_eras(session, stages, silver_path, own, places, file_bytes)
+        stored = [p for p in (f"{stage}/fresh_rows" if exists(session, f"{stage}/fresh_rows") else f"{stage}/fresh", f"{stage}/carried") if exists(session, p)]
+        replace_eras(session, stored, silver_path, own, places, file_bytes)
         if feed_path:
             change_feed.publish_changes(session, f"{stage}/feed", feed_path)
-        remove_folder(session, f"{checkpoint.rstrip('/')}/stage/batch={epoch_id - 1}")
+        remove_folder(session, waiting)
+        for name in list_folders(session, stages):
+            if name != f"batch={epoch_id}":
+                remove_folder(session, f"{stages}/{name}")
+
+    def last_waiting() -> int | None:
+        return max((int(name.partition("=")[2]) for name in list_folders(spark, waiting)), default=None)
 
+    last = last_waiting()
+    if last is not None and exists(spark, f"{stages}/batch={last}/places.json"):
+        apply_rows(spark, None, last)  # a run ended while these took their place
     q = (
         changes.writeStream.foreachBatch(apply_batch)
         .option("checkpointLocation", checkpoint)
@@ -350,6 +383,9 @@ def apply_changes(
         q.awaitTermination()
         if q.exception() is not None:
             raise q.exception()
+        last = last_waiting()
+        if last is not None:
+            apply_rows(spark, None, last)
         return None
     return q
 
