@@ -93,21 +93,26 @@ def scd2_from_changes_segmented(
     track_except: Sequence[str] | None = None,
     segments: int = 64,
     bounds: Sequence[float] | None = None,
+    ranges: str | None = None,
+    path: str | None = None,
 ) -> DataFrame:
-    """C1 with every key split over up to ``segments`` sequence ranges."""
+    """C1 with every key split over up to ``segments`` sequence ranges, or over those that the column ``ranges`` numbers
+    (in the order of the sequence, equal values in one). The local result is stored at ``path``."""
     keys, seq = _as_list(keys), _as_list(sequence_by)
     _check(df, keys, seq)
-    tracked = tracked_columns(df, keys, seq, track, track_except)
-    columns = df.columns
-    rest = tie_break_columns(df, [*keys, *seq])
+    plain = df if ranges is None else df.drop(ranges)
+    tracked = tracked_columns(plain, keys, seq, track, track_except)
+    columns = plain.columns
+    rest = tie_break_columns(plain, [*keys, *seq])
     s0 = F.col(seq[0])
     src = _with_sequence(df, seq)
-    if bounds is None:
+    if bounds is None and ranges is None:
         bounds = range_bounds(src, seq[0], segments)
 
     def build_local() -> DataFrame:
         """Per-range window pass: the one full shuffle."""
-        rows = src.withColumn(KID, F.struct(*[F.col(k) for k in keys])).withColumn(SEG, _range_of(_numeric(src, seq[0]), bounds))
+        rows = src.withColumn(KID, F.struct(*[F.col(k) for k in keys])).withColumn(
+            SEG, _range_of(_numeric(src, seq[0]), bounds) if ranges is None else F.col(ranges))
         out = (
             rows.withColumn("__next", F.lead(s0).over(wl))
             .filter(F.col("__next").isNull() | (F.col("__next") != s0))
@@ -126,8 +131,8 @@ def scd2_from_changes_segmented(
     trk = F.struct(*[F.col(c) for c in tracked]) if tracked else F.struct(F.lit(0))
     # Stored once: the boundary rows and the final join read it, so the feed is scanned and shuffled once.
     spark = df.sparkSession
-    path = scratch_path(spark, "segmented")
-    build_local().write.parquet(path)
+    path = path or scratch_path(spark, "segmented")
+    build_local().write.mode("overwrite").parquet(path)
     local = spark.read.parquet(path)
 
     rn = F.col("__rn")

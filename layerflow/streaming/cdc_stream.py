@@ -14,7 +14,8 @@ a start or between two, and the one after. Of each key that a micro-batch brings
 4. the result, with the unchanged versions of the eras where something changed, is written to a stage first and then
    takes the place of just these eras of the bucket. All other files are neither read nor written.
 
-A key of very many rows is therefore never read again as a whole, and neither are the eras behind a late row.
+A key of very many rows is therefore never read again as a whole, and neither are the eras behind a late row. Where so many
+versions or rows of a key take part that its windows would fill a task, they run over slices of its time (``operators.slices``).
 Rows of bronze that later micro-batches will bring may take part early if they lie in a version read again; they
 are applied again, to the same end, when their batch comes.
 
@@ -42,7 +43,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, NumericType, StructField, StructType, TimestampNTZType, TimestampType
 
-from ..operators import cdc
+from ..operators import cdc, segmented, slices
 from ..sources.files import BUCKET_PREFIX, CORRUPT, LINEAGE, REASON, bucket_column, bucket_of, without_buckets
 from ..schemas import evolve, fitted, read_stored
 from ..sources.tables import read_table, stream_table
@@ -79,19 +80,34 @@ def era_of(df: DataFrame, column: str, width: float | None = None) -> Column:
     return F.when(c.isNotNull(), F.lit(0).cast("long"))
 
 
-def _null_safe(keys: Sequence[str]) -> Column:
-    out = F.lit(True)
-    for k in keys:
-        out = out & F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
-    return out
+_null_safe = slices.null_safe
 
 
-def versions_near(versions: DataFrame, points: DataFrame, keys: Sequence[str], sequence: str) -> DataFrame:
+def _nearest(value: Column, keys: Sequence[str], order: Sequence[Column]) -> Column:
+    """The last value that is not NULL among the rows before."""
+    return F.last(value, ignorenulls=True).over(
+        Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+
+
+def _carried(df: DataFrame, ends: DataFrame, keys: Sequence[str], before: dict[str, str], after: dict[str, str]) -> DataFrame:
+    """``df`` with what the slices before (``before``: new column to one of ``ends``) and after theirs (``after``) hold last and
+    first; ``ends`` has a row for each slice of a hot key."""
+    side = ends.select(
+        *keys, slices.SLICE, *[_nearest(F.col(c), keys, [F.col(slices.SLICE).asc()]).alias(name) for name, c in before.items()],
+        *[_nearest(F.col(c), keys, [F.col(slices.SLICE).desc()]).alias(name) for name, c in after.items()])
+    return df.alias("l").join(F.broadcast(side).alias("r"), _null_safe([*keys, slices.SLICE]), "left").select(
+        "l.*", *[f"r.{name}" for name in (*before, *after)])
+
+
+def versions_near(
+    versions: DataFrame, points: DataFrame, keys: Sequence[str], sequence: str, hot: slices.HotKeys | None = None, path: str | None = None,
+) -> DataFrame:
     """(keys, __at, __version, __split, __until): every sequence value of ``points``, and every version (by its start) that a
     row there can change, which is one with a point from the start of the version before it to its own end. ``__split``:
     a point lies between the version's start and its last row, so its rows are needed; else its stored row stands for
     all of them. ``__until``: the start of the next version that stays as it is (NULL if none does), which is the
-    same for neighbours that change together."""
+    same for neighbours that change together. Windows run over slices of the ``hot`` keys, for which ``path`` stores the
+    versions that change."""
     at, is_version = F.col("__at"), F.col("__version") == 1
     kind = versions.schema[cdc.START_AT].dataType
     none = F.lit(None).cast(kind)
@@ -100,31 +116,58 @@ def versions_near(versions: DataFrame, points: DataFrame, keys: Sequence[str], s
         F.col(sequence).cast(kind).alias("__last"), F.lit(1).alias("__version"),
     ).unionByName(points.select(
         *keys, F.col(sequence).cast(kind).alias("__at"), none.alias("__end"), none.alias("__last"), F.lit(0).alias("__version")))
-    forward = Window.partitionBy(*keys).orderBy(at.asc(), "__version")
-    earlier = forward.rowsBetween(Window.unboundedPreceding, -1)
-    later = Window.partitionBy(*keys).orderBy(at.desc(), "__version").rowsBetween(Window.unboundedPreceding, -1)
-    nearest = lambda where, over: F.last(F.when(where, at), ignorenulls=True).over(over)
+    rows, group = slices.with_slice(rows, hot, keys, at), [*keys, *([] if hot is None else [slices.SLICE])]
+    ascending, descending = [at.asc(), F.col("__version")], [at.desc(), F.col("__version")]
+    forward = Window.partitionBy(*group).orderBy(*ascending)
+    nearest = lambda where, order: _nearest(F.when(where, at), group, order)
     found = rows.withColumns({
-        "__below": nearest(~is_version, earlier), "__before": nearest(is_version, earlier),
+        "__below": nearest(~is_version, ascending), "__before": nearest(is_version, ascending),
         "__again": ~is_version & F.coalesce((F.lag("__version").over(forward) == 0) & (F.lag(at).over(forward) == at), F.lit(False)),
-    }).filter(~F.col("__again")).withColumn("__above", nearest(~is_version, later))  # a point of several rows counts once
+    }).filter(~F.col("__again")).withColumn("__above", nearest(~is_version, descending))  # a point of several rows counts once
+    if hot is not None:
+        ends = slices.of_hot(rows).groupBy(*group).agg(
+            F.min(F.when(~is_version, at)).alias("__first_point"), F.max(F.when(~is_version, at)).alias("__last_point"),
+            F.max(F.when(is_version, at)).alias("__last_version"))
+        found = _carried(
+            found, ends, keys, {"__c_below": "__last_point", "__c_before": "__last_version"}, {"__c_above": "__first_point"})
+        found = found.withColumns({f"__{c}": F.coalesce(f"__{c}", f"__c_{c}") for c in ("below", "before", "above")})
     below, above, before, end, last = (F.col(f"__{c}") for c in ("below", "above", "before", "end", "last"))
     changes = (below.isNotNull() & (before.isNull() | (below >= before))) | (above.isNotNull() & (end.isNull() | (above <= end)))
     found = found.withColumn("__changes", is_version & changes).withColumn("__split", F.coalesce(above <= last, F.lit(False)))
-    return found.withColumn("__until", nearest(is_version & ~F.col("__changes"), later)).filter(
-        ~is_version | F.col("__changes")).select(*keys, "__at", "__version", "__split", "__until")
-
-
-def _rows_of_versions(rows: DataFrame, ranges: DataFrame, by_key: Sequence[str], sequence: str, era_width: float | None) -> DataFrame:
-    """The rows that lie in the given versions (keys, __from, __to, __until), dealt by key and era. Versions of a key do not
-    overlap, so in the order of time only the last one that has begun can hold a row: one sort, however many versions and
-    rows a key has in an era. Keys and eras without such a version are left out before."""
-    spread = ranges.withColumn("__era", F.explode(F.sequence(
-        era_of(ranges, "__from", era_width), era_of(ranges, "__to", era_width))))
-    placed, place = rows.withColumn("__era", era_of(rows, sequence, era_width)), [*by_key, "__era"]
+    stays, columns = is_version & ~F.col("__changes"), [*keys, "__at", "__version", "__split", "__until"]
+    if hot is None:
+        found = found.withColumn("__until", nearest(stays, descending))
+    else:
+        found.select(*group, "__at", "__version", "__split", "__changes").write.mode("overwrite").parquet(path)
+        found = rows.sparkSession.read.parquet(path)
+        ends = slices.of_hot(found).groupBy(*group).agg(F.min(F.when(stays, at)).alias("__first_stays"))
+        found = _carried(found.withColumn("__until", nearest(stays, descending)), ends, keys, {}, {"__c_until": "__first_stays"})
+        found = found.withColumn("__until", F.coalesce("__until", "__c_until"))
+    return found.filter(~is_version | F.col("__changes")).select(*columns)
+
+
+def _rows_of_versions(
+    rows: DataFrame, ranges: DataFrame, by_key: Sequence[str], sequence: str, era_width: float | None, hot: slices.HotKeys | None = None,
+) -> DataFrame:
+    """The rows that lie in the given versions (keys, __from, __to, __until), dealt by key and era, those of ``hot`` keys by
+    key and slice. Versions of a key do not overlap, so in the order of time only the last one that has begun can hold a
+    row: one sort, however many versions and rows a key has in an era. Keys and eras without such a version are left out
+    before."""
+    kind = ranges.schema["__from"].dataType
+
+    def era(df: DataFrame, column: str) -> Column:
+        own = era_of(df, column, era_width)
+        if hot is None:
+            return own
+        return F.when(F.col(slices.BOUNDS).isNull(), own).otherwise(
+            slices.place_among(F.col(slices.BOUNDS), hot.most, F.col(column).cast(kind)).cast("long"))
+
+    bounded = (lambda df: df) if hot is None else (lambda df: slices.with_bounds(df, hot, by_key))
+    ranges_, rows_, names = bounded(ranges), bounded(rows), rows.columns
+    spread = ranges_.withColumn("__era", F.explode(F.sequence(era(ranges_, "__from"), era(ranges_, "__to"))))
+    placed, place = rows_.withColumn("__era", era(rows_, sequence)), [*by_key, "__era"]
     met = placed.alias("l").join(spread.select(*place).distinct().alias("r"), _null_safe(place), "left_semi")
-    version, row = F.struct("__to", "__until").alias("__version"), F.struct(*rows.columns).alias("__row")
-    kind = spread.schema["__from"].dataType
+    version, row = F.struct("__to", "__until").alias("__version"), F.struct(*names).alias("__row")
     held, found = met.select(*place, row), spread.select(*place, version)
     events = met.select(
         *place, F.col(sequence).cast(kind).alias("__at"), F.lit(1).alias("__order"),
@@ -163,9 +206,13 @@ def stage_scd2(
     spark, s0, own = new_rows.sparkSession, seq[0], by_key[0]
     places: set[tuple[int, int]] = set()
     rows = new_rows.withColumns({"__at": F.col(s0), "__until": F.lit(None).cast(new_rows.schema[s0].dataType)})
+    times = lambda df, c, new: df.select(*by_key, F.col(c).alias("__at"), F.lit(new).alias("__new"))
+    in_reach, read_again = times(new_rows, s0, True), False
     if silver is not None:
         of_batch = silver.alias("l").join(new_rows.select(*by_key).distinct().alias("r"), _null_safe(by_key), "left_semi")
-        versions_near(of_batch, new_rows, by_key, s0).write.mode("overwrite").parquet(f"{stage}/near")
+        hot = slices.hot_slices(
+            times(silver, cdc.START_AT, False).unionByName(times(new_rows, s0, True)), by_key, f"{stage}/hot_versions")
+        versions_near(of_batch, new_rows, by_key, s0, hot, f"{stage}/near_found").write.mode("overwrite").parquet(f"{stage}/near")
         near = spark.read.parquet(f"{stage}/near")
         points = near.filter("__version = 0")
         rows = new_rows.alias("l").join(
@@ -187,12 +234,25 @@ def stage_scd2(
             # A time that reached the driver may be off by a change of clocks; the join below is exact.
             slack = F.expr("INTERVAL '1' DAY") if isinstance(gone.schema[cdc.START_AT].dataType, TimestampType) else None
             low, high = (F.lit(least), F.lit(most)) if slack is None else (F.lit(least) - slack, F.lit(most) + slack)
-            in_reach = bronze.filter((F.col(s0) >= low) & (F.col(s0) <= high))
-            again = _rows_of_versions(in_reach, ranges, by_key, s0, era_width).withColumn("__at", F.col(s0))
-            rows = rows.unionByName(again.select(*rows.columns))
-    history = cdc.scd2_from_changes(
-        rows, [*by_key, "__until"], ["__at", *seq], track=track,
-        track_except=untracked_lineage(new_rows, track, track_except), segments=segments)
+            reach = bronze.filter((F.col(s0) >= low) & (F.col(s0) <= high))
+            in_reach, read_again = in_reach.unionByName(times(reach, s0, False)), True
+    hot = slices.hot_slices(in_reach, by_key, f"{stage}/hot_rows")
+    if read_again:
+        again = _rows_of_versions(reach, ranges, by_key, s0, era_width, hot).withColumn("__at", F.col(s0))
+        rows = rows.unionByName(again.select(*rows.columns))
+    plan = {"track": track, "track_except": untracked_lineage(new_rows, track, track_except)}
+    keys, sequence = [*by_key, "__until"], ["__at", *seq]
+    if hot is None:
+        history = cdc.scd2_from_changes(rows, keys, sequence, segments=segments, **plan)
+    else:
+        rows = slices.with_slice(rows, hot, by_key, F.col("__at"))
+        if read_again:  # found once, for both kinds of keys
+            rows.write.mode("overwrite").parquet(f"{stage}/rows")
+            rows = spark.read.parquet(f"{stage}/rows")
+        few = rows.filter(F.col(slices.SLICE) < 0).drop(slices.SLICE)
+        history = cdc.scd2_from_changes(few, keys, sequence, segments=segments, **plan).unionByName(
+            segmented.scd2_from_changes_segmented(
+                slices.of_hot(rows), keys, sequence, ranges=slices.SLICE, path=f"{stage}/hot_local", **plan))
     history = history.withColumn(cdc.END_AT, F.coalesce(cdc.END_AT, "__until")).drop("__at", "__until")
     history = history.withColumn(ERA, F.coalesce(era_of(history, cdc.END_AT, era_width), F.lit(OPEN_ERA)))
     fitted(history, schema).write.mode("overwrite").parquet(f"{stage}/fresh_rows")
