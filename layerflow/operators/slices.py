@@ -36,12 +36,11 @@ def null_safe(keys: Sequence[str]) -> Column:
 
 
 def hot_slices(rows: DataFrame, keys: Sequence[str], path: str) -> HotKeys | None:
-    """The hot keys of ``rows`` (keys, ``__at``, ``__new``) that have a new row, stored at ``path``; None if
-    there is none. One number reaches the driver. Times that are no numbers, dates or timestamps are not cut."""
+    """The hot keys of ``rows`` (keys, ``__at``), stored at ``path``; None if there is none. One number reaches the driver.
+    Times that are no numbers, dates or timestamps are not cut."""
     if not isinstance(rows.schema["__at"].dataType, (DateType, NumericType, TimestampNTZType, TimestampType)):
         return None
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("__rows"), F.bool_or("__new").alias("__any"))
-    hot = counts.filter((F.col("__rows") > HOT_ROWS) & F.col("__any"))
+    hot = rows.groupBy(*keys).agg(F.count("*").alias("__rows")).filter(F.col("__rows") > HOT_ROWS)
     most = hot.agg(F.max("__rows")).first()[0]
     if most is None:
         return None

@@ -206,12 +206,13 @@ def stage_scd2(
     spark, s0, own = new_rows.sparkSession, seq[0], by_key[0]
     places: set[tuple[int, int]] = set()
     rows = new_rows.withColumns({"__at": F.col(s0), "__until": F.lit(None).cast(new_rows.schema[s0].dataType)})
-    times = lambda df, c, new: df.select(*by_key, F.col(c).alias("__at"), F.lit(new).alias("__new"))
-    in_reach, read_again = times(new_rows, s0, True), False
+    times = lambda df, c: df.select(*by_key, F.col(c).alias("__at"))
+    of_keys = lambda df, keyed: df.alias("l").join(
+        keyed.select(*by_key).distinct().alias("r"), _null_safe(by_key), "left_semi")
+    taking_part, read_again = times(new_rows, s0), False
     if silver is not None:
-        of_batch = silver.alias("l").join(new_rows.select(*by_key).distinct().alias("r"), _null_safe(by_key), "left_semi")
-        hot = slices.hot_slices(
-            times(silver, cdc.START_AT, False).unionByName(times(new_rows, s0, True)), by_key, f"{stage}/hot_versions")
+        of_batch = of_keys(silver, new_rows)
+        hot = slices.hot_slices(times(of_batch, cdc.START_AT).unionByName(taking_part), by_key, f"{stage}/hot_versions")
         versions_near(of_batch, new_rows, by_key, s0, hot, f"{stage}/near_found").write.mode("overwrite").parquet(f"{stage}/near")
         near = spark.read.parquet(f"{stage}/near")
         points = near.filter("__version = 0")
@@ -235,8 +236,8 @@ def stage_scd2(
             slack = F.expr("INTERVAL '1' DAY") if isinstance(gone.schema[cdc.START_AT].dataType, TimestampType) else None
             low, high = (F.lit(least), F.lit(most)) if slack is None else (F.lit(least) - slack, F.lit(most) + slack)
             reach = bronze.filter((F.col(s0) >= low) & (F.col(s0) <= high))
-            in_reach, read_again = in_reach.unionByName(times(reach, s0, False)), True
-    hot = slices.hot_slices(in_reach, by_key, f"{stage}/hot_rows")
+            taking_part, read_again = taking_part.unionByName(times(of_keys(reach, ranges), s0)), True
+    hot = slices.hot_slices(taking_part, by_key, f"{stage}/hot_rows")
     if read_again:
         again = _rows_of_versions(reach, ranges, by_key, s0, era_width, hot).withColumn("__at", F.col(s0))
         rows = rows.unionByName(again.select(*rows.columns))

@@ -48,17 +48,17 @@ def test_hot_keys_equal_the_plain_plan(spark, tmp_path, kind, width):
 
 
 def test_a_slice_has_about_as_many_rows_as_asked_and_every_key_its_own(spark, tmp_path):
-    """One key lies in a short time, one is spread; a key without new rows and one of few rows are not hot."""
+    """One key lies in a short time, two are spread; one of few rows is not hot."""
     rows = spark.range(3000).select(
         F.when(F.col("id") < 1000, 1).when(F.col("id") < 2000, 2).when(F.col("id") < 2950, 3).otherwise(4).alias("k"),
-        F.when(F.col("id") < 1000, F.col("id")).otherwise(F.col("id") * 1000).alias("__at"), ((F.col("id") < 2000) | (F.col("id") >= 2950)).alias("__new"))
+        F.when(F.col("id") < 1000, F.col("id")).otherwise(F.col("id") * 1000).alias("__at"))
     hot = slices.hot_slices(rows, ["k"], f"{tmp_path}/hot")
-    assert sorted(r.k for r in hot.bounds.collect()) == [1, 2]
+    assert sorted(r.k for r in hot.bounds.collect()) == [1, 2, 3]
     placed = slices.with_slice(rows, hot, ["k"], F.col("__at"))
     held = {(r["k"], r[slices.SLICE]): r["count"] for r in placed.groupBy("k", slices.SLICE).count().collect()}
-    assert held[3, -1] == 950 and held[4, -1] == 50
-    of_hot = [n for (k, _), n in held.items() if k < 3]
-    assert len(of_hot) >= 90 and max(of_hot) <= 30
+    assert held[4, -1] == 50
+    of_hot = [n for (k, _), n in held.items() if k < 4]
+    assert len(of_hot) >= 130 and max(of_hot) <= 30
     disorder = placed.alias("l").join(placed.alias("r"), "k").filter(
         (F.col("l.__at") < F.col("r.__at")) & (F.col(f"l.{slices.SLICE}") > F.col(f"r.{slices.SLICE}")))
     assert disorder.filter("k = 1").count() == 0
@@ -73,7 +73,7 @@ def test_versions_near_over_slices(spark, tmp_path):
         [(k, s + rng.randrange(2), s, end) for k, own in starts.items() for s, end in zip(own, [*own[1:], None])],
         f"k int, s int, {cdc.START_AT} int, {cdc.END_AT} int")
     points = spark.createDataFrame([(k, rng.randrange(-10, 4010)) for k in (1, 1, None) for _ in range(6)], "k int, s int")
-    times = stored.select("k", F.col(cdc.START_AT).alias("__at"), F.lit(True).alias("__new"))
+    times = stored.select("k", F.col(cdc.START_AT).alias("__at"))
     hot = slices.hot_slices(times.filter("k is null or k = 1"), ["k"], f"{tmp_path}/hot")
     plain = cdc_stream.versions_near(stored, points, ["k"], "s")
     sliced = cdc_stream.versions_near(stored, points, ["k"], "s", hot, f"{tmp_path}/found")
